@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeward.operators.ledger import ledger_upsert
 from lakeward.operators.merge import merge_by_key
 from lakeward.session import scratch_path
-from lakeward.sinks.tables import hadoop_path, path_exists, read_ledger, write_ledger
+from lakeward.sinks.tables import hadoop_path, read_ledger, write_ledger
 
 LEDGER_BATCH = 10
 
@@ -34,11 +34,31 @@ def write_by_year(rows: DataFrame, path: str, column: str = "competencia") -> No
     write_months(rows.withColumn("ano", F.substring(column, 1, 4)), path, "ano", column)
 
 
-def read_months(spark: SparkSession, path: str, column: str = "competencia") -> DataFrame | None:
-    """The partitioned table with its key as text, or None before the first write."""
-    if not path_exists(spark, path):
+def month_folders(spark: SparkSession, path: str, column: str = "competencia") -> list[str]:
+    """Months that have a folder, from one listing of the table's root."""
+    system, where = hadoop_path(spark, path)
+    if not system.exists(where):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(where)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def read_months(
+    spark: SparkSession, path: str, column: str = "competencia", months: list[str] | None = None
+) -> DataFrame | None:
+    """The partitioned table, or some months of it, with its key as text.
+
+    Columns may differ between eras, so schemas are merged; naming the months
+    limits the files that are listed and whose footers are read for that. None
+    where nothing was written.
+    """
+    found = month_folders(spark, path, column)
+    if months is not None:
+        found = sorted(set(found) & set(months))
+    if not found:
         return None
-    table = spark.read.option("mergeSchema", True).parquet(path)
+    folders = [path] if months is None else [f"{path}/{column}={m}" for m in found]
+    table = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders)
     return table.withColumn(column, F.col(column).cast("string"))
 
 
@@ -112,10 +132,8 @@ def merge_partitions(
     spark = delivered.sparkSession
     units = (delivered if delivered_files is None else delivered_files).select(key, column).distinct()
     months = month_list(units, column)
-    existing = read_months(spark, path, column)
-    if existing is not None:
-        existing = existing.where(F.col(column).isin(months))
+    existing = read_months(spark, path, column, months)
     merged = merge_by_key(existing, delivered, key, delivered_keys=units, as_text=False)
     staged = scratch_path(spark, "merged-months")
     write_months(merged, staged, column)
-    rebuild_partitions(read_months(spark, staged, column), months, path, column)
+    rebuild_partitions(spark.read.schema(merged.schema).parquet(staged), months, path, column)

@@ -33,6 +33,21 @@ def check_window(
         raise ValueError(f"range is inverted: {start} is after {end}")
 
 
+def in_window(
+    key: str,
+    year: str | None = None,
+    month: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
+) -> bool:
+    """Whether one month key lies in the window."""
+    if year is not None:
+        return key[:4] == year
+    if month is not None:
+        return key == month
+    return start is None or start <= key <= end
+
+
 def period_window(
     df: DataFrame,
     column: str = "competencia",

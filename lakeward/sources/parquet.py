@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lakeward.operators.periods import period_window
+from lakeward.operators.partitions import month_folders, read_months
+from lakeward.operators.periods import check_window, in_window
 from lakeward.sources.files import path_list
 
 
@@ -27,11 +27,13 @@ def scan_parquet_union_by_name(spark: SparkSession, paths: str | Iterable[str])
 def scan_month_range(
     spark: SparkSession, path: str, column: str = "competencia", **window: str | None
 ) -> DataFrame:
-    """Months of a month-partitioned table; the window prunes folders.
+    """Months of a month-partitioned table; only the folders of the window are opened.
 
     Eras with different columns are aligned by name.
     """
-    table = scan_parquet_union_by_name(spark, path)
-    return period_window(
-        table.withColumn(column, F.col(column).cast("string")), column, **window
-    )
+    check_window(**window)
+    months = [m for m in month_folders(spark, path, column) if in_window(m, **window)]
+    rows = read_months(spark, path, column, months)
+    if rows is None:
+        raise ValueError(f"no month of {path} lies in the window {window}")
+    return rows
