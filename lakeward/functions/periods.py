@@ -27,7 +27,8 @@ def full_year(digits: Column | str, pivot: int | Column | None) -> Column:
 
 
 def month_key(year: Column | str, month: Column | str) -> Column:
-    return F.format_string("%04d%02d", as_column(year).cast("int"), as_column(month).cast("int"))
+    number = as_column(year).cast("int") * 100 + as_column(month).cast("int")
+    return F.lpad(number.cast("string"), 6, "0")
 
 
 def month_key_of(ts: Column | str) -> Column:

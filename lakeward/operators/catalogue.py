@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeward.functions.periods import month_label, year_of_key, year_span
+from lakeward.functions.periods import month_key, month_label, year_of_key, year_span
 from lakeward.functions.report import local_time
 from lakeward.functions.text import top_folder
 from lakeward.operators.enrich import UNMAPPED, first_substring_match
@@ -83,7 +83,7 @@ def coverage_with_total(inventory: DataFrame, period: str) -> DataFrame:
     years without any shown as zero, and a total row with a null year."""
     months = _months(inventory, period)
     grid = calendar(months, period)
-    key = F.format_string("%04d%02d", "ano", "mes")
+    key = month_key("ano", "mes")
     cells = grid.join(months, key == F.col(period), "left")
     years = cells.rollup("ano").agg(
         F.coalesce(F.sum("files"), F.lit(0)).cast("bigint").alias("arquivos"),
@@ -109,7 +109,7 @@ def coverage_gaps(df: DataFrame, period: str) -> DataFrame:
     years = present.select(year_of_key(period).alias("ano")).distinct()
     expected = years.select(
         "ano", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("mes")
-    ).withColumn("expected", F.format_string("%04d%02d", "ano", "mes"))
+    ).withColumn("expected", month_key("ano", "mes"))
     absent = expected.join(present, F.col("expected") == F.col(period), "left_anti")
     return absent.withColumn("mes_faltante", F.format_string("%02d", "mes")).groupBy("ano").agg(
         _missing_text().alias("missing")

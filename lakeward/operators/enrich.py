@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.functions.text import as_column, zero_fill
-from lakeward.operators.sizing import broadcast_if_small
+from lakeward.operators.sizing import join_small
 
 UNMAPPED = "(não mapeado no registro)"  # fixed value: label of what has no source
 
@@ -23,7 +23,7 @@ def left_enrich(
     """
     places = right.withColumn("_code", zero_fill(right_key, width)).drop(right_key)
     rows = left.withColumn(left_key, zero_fill(left_key, width))
-    return rows.join(broadcast_if_small(places), F.col(left_key) == F.col("_code"), "left").drop("_code")
+    return join_small(rows, places, F.col(left_key), "_code", "left").drop("_code")
 
 
 def first_substring_match(
@@ -47,11 +47,11 @@ def first_substring_match(
 
 def dimension_lookup(df: DataFrame, dimension: DataFrame, key: str, strict: bool = True) -> DataFrame:
     """Add the columns of a keyed dimension; with `strict` an unknown key fails the job."""
-    marked = dimension.withColumn("_known", F.lit(True))
-    joined = df.join(broadcast_if_small(marked), key, "left")
+    marked = dimension.withColumnRenamed(key, "_known")
+    joined = join_small(df, marked, F.col(key), "_known", "left")
     if strict:
         message = F.concat(F.lit(f"unknown {key}: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
-        checked = F.when(F.col("_known"), F.col(key)).otherwise(F.raise_error(message))
+        checked = F.when(F.col("_known").isNotNull(), F.col(key)).otherwise(F.raise_error(message))
         joined = joined.withColumn(key, checked)
     return joined.drop("_known")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeward.operators.conform import union_by_name
 from lakeward.operators.periods import latest_period
-from lakeward.operators.sizing import broadcast_if_small
+from lakeward.operators.sizing import join_small
 
 
 def _key_text(key: str) -> Column:
@@ -24,11 +24,10 @@ def not_in(existing: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
     As with SQL ``NOT IN``, a row without a key is dropped. Key sets are small
     (file names, years) and broadcast once measured, so the table itself is not
-    shuffled; past the bound a shuffle join with skew splitting takes over.
+    shuffled.
     """
-    gone = broadcast_if_small(replaced_keys(keys, key))
     kept = existing.where(F.col(key).isNotNull())
-    return kept.join(gone, _key_text(key) == F.col("_replaced"), "left_anti")
+    return join_small(kept, replaced_keys(keys, key), _key_text(key), "_replaced", "left_anti")
 
 
 def merge_by_key(
@@ -57,8 +56,6 @@ def replace_snapshot(deliveries: DataFrame, period: str, *group: str) -> DataFra
 
 def prefer_final(rows: DataFrame, key: str, is_final: str) -> DataFrame:
     """Where a unit came both as final and as preliminary, its final rows only."""
-    final = rows.where(F.col(is_final)).select(_key_text(key).alias("_replaced")).distinct()
-    preliminary = rows.where(~F.col(is_final)).join(
-        broadcast_if_small(final), _key_text(key) == F.col("_replaced"), "left_anti"
-    )
+    final = replaced_keys(rows.where(F.col(is_final)), key)
+    preliminary = join_small(rows.where(~F.col(is_final)), final, _key_text(key), "_replaced", "left_anti")
     return rows.where(F.col(is_final)).unionByName(preliminary)

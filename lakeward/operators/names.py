@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.functions.periods import full_year
+from lakeward.functions.periods import full_year, month_key
 from lakeward.functions.text import as_column, regex_group
 from lakeward.session import small_table
 
@@ -87,48 +87,50 @@ def classify_names(inventory: DataFrame, rules: DataFrame, name: str = "name") -
     Names that no rule accepts are left out; see ``unclassified``.
     """
     upper = F.upper(name)
+    digits, place, part = F.col("_digits"), F.col("_as.place"), F.col("_part")
     parsed = inventory.select(
         "*",
         regex_group(upper, r"^([A-Z]+)[0-9]").alias("_letters"),
         regex_group(upper, r"^[A-Z]+([0-9]+)[A-Z]?\.DBC$").alias("_digits"),
         F.regexp_extract(upper, r"([A-Z]?)\.DBC$", 1).alias("_part"),
-    ).where("_letters is not null and _digits is not null")
-    # A name can be read without or with two place letters.
-    length = F.length("_letters")
-    no_place = F.struct(F.col("_letters").alias("prefix"), F.lit("").alias("place"))
-    with_place = F.struct(
-        F.substring("_letters", F.lit(1), length - 2).alias("prefix"),
-        F.substring("_letters", length - 1, F.lit(2)).alias("place"),
     )
-    readings = parsed.withColumn("_as", F.explode(F.array(no_place, with_place)))
-    rule = F.broadcast(rules.select(F.struct("*").alias("_rule")))  # a hundred rows of code
-    hit = readings.join(rule, F.col("_as.prefix") == F.col("_rule.prefix"))
-
-    place = F.col("_as.place")
-    kind = F.col("_rule.place")
-    place_fits = (
-        ((kind == "none") & (place == ""))
-        | ((kind == "br") & (place == "BR"))
-        | ((kind == "uf") & (place != ""))
-        | ((kind == "state") & valid_state(place))
+    # Every way to read the letters and the digits; the rules then join by equality.
+    length = F.length("_letters")
+    prefix, tail = F.substring("_letters", F.lit(1), length - 2), F.substring("_letters", length - 1, F.lit(2))
+
+    def reading(kind: str, before: Column, after: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), before.alias("prefix"), after.alias("place"))
+
+    letters = F.array_compact(
+        F.array(
+            reading("none", F.col("_letters"), F.lit("")),
+            reading("uf", prefix, tail),
+            F.when(tail == "BR", reading("br", prefix, tail)),
+            F.when(valid_state(tail), reading("state", prefix, tail)),
+        )
     )
-    digits, n = F.col("_digits"), F.length("_digits")
-    shape = F.col("_rule.digits")
-    month = F.when(shape == "month", F.substring(digits, 3, 2).try_cast("int"))
-    digits_fit = (
-        ((shape == "month") & (n == 4) & month.between(1, 12))
-        | ((shape == "year2") & (n == 2) & (F.col("_part") == ""))
-        | ((shape == "year4") & (n == 4) & (F.col("_part") == ""))
-        | ((shape == "year") & n.isin(2, 4) & (F.col("_part") == ""))
+    n, whole = F.length(digits), part == ""
+    shapes = F.array_compact(
+        F.array(
+            F.when(whole & (n == 2), "year2"),
+            F.when(whole & (n == 4), "year4"),
+            F.when(whole & n.isin(2, 4), "year"),
+            F.when((n == 4) & F.substring(digits, 3, 2).between("01", "12"), "month"),
+        )
     )
-    year_digits = F.when(shape == "month", F.substring(digits, 1, 2)).otherwise(digits)
-    year = full_year(year_digits, F.col("_rule.pivot"))
-    found = hit.where(place_fits & digits_fit).select(
+    readings = parsed.withColumn("_as", F.explode(letters)).withColumn("_shape", F.explode(shapes))
+    rule = F.broadcast(rules.select(F.struct("*").alias("_rule")))  # a hundred rows of code
+    same_name = (F.col("_as.prefix") == F.col("_rule.prefix")) & (F.col("_as.kind") == F.col("_rule.place"))
+    hit = readings.join(rule, same_name & (F.col("_shape") == F.col("_rule.digits")))
+
+    monthly = F.col("_shape") == "month"
+    year = full_year(F.when(monthly, F.substring(digits, 1, 2)).otherwise(digits), F.col("_rule.pivot"))
+    found = hit.select(
         *inventory.columns,
         F.col("_rule.source").alias("source"),
         place.alias("place"),
         year.alias("year"),
-        F.when(month.isNotNull(), F.format_string("%04d%02d", year, month)).alias("period"),
+        F.when(monthly, month_key(year, F.substring(digits, 3, 2))).alias("period"),
         "_rule",
     )
     inside = year_bounds(F.col("year"), F.col("_rule.first_year"), F.col("_rule.last_year"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.functions.periods import year_of_key
-from lakeward.operators.sizing import broadcast_if_small
+from lakeward.operators.sizing import join_small
 
 
 def check_window(
@@ -115,12 +115,9 @@ def recent_or_unknown(
     Periods must be four-digit-year keys, or the nineties would sort last.
     """
     recent = F.broadcast(top_n_periods(inventory, period, n).select(F.col(period).alias("_recent")))
-    known = broadcast_if_small(
-        ledger.where(F.col(key).isNotNull()).select(F.upper(key).alias("_known")).distinct()
-    )
-    marked = inventory.join(recent, F.col(period) == F.col("_recent"), "left").join(
-        known, F.upper(key) == F.col("_known"), "left"
-    )
+    known = ledger.where(F.col(key).isNotNull()).select(F.upper(key).alias("_known")).distinct()
+    marked = inventory.join(recent, F.col(period) == F.col("_recent"), "left")
+    marked = join_small(marked, known, F.upper(key), "_known", "left")
     wanted = F.col("_recent").isNotNull() | F.col("_known").isNull()
     return marked.where(wanted).drop("_recent", "_known")
 
@@ -137,14 +134,9 @@ def latest_period(df: DataFrame, period: str, *group: str) -> DataFrame:
     # Distinct first: that is a hash aggregate, while a maximum of texts would
     # sort every row of the table.
     pairs = df.select(*group, period).distinct()
-    latest = pairs.groupBy(*group).agg(F.max(period).alias("_latest"))
-    for name in group:
-        latest = latest.withColumnRenamed(name, f"_{name}")
-    same = F.col(period) == F.col("_latest")
-    for name in group:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    rows = df.join(broadcast_if_small(latest), same)
-    return rows.drop("_latest", *[f"_{name}" for name in group])
+    latest = pairs.groupBy(*group).agg(F.max(period).alias(period))
+    unit = F.to_json(F.struct(*group, period))
+    return join_small(df, latest.select(unit.alias("_unit")), unit, "_unit", "left_semi")
 
 
 def calendar(periods: DataFrame, column: str) -> DataFrame:

@@ -1,11 +1,11 @@
-"""Broadcast only what a measurement shows to be small."""
+"""Joins with a side whose size is measured before it is broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# Bound of a broadcast side, for its text width plus a fixed cost per cell.
+# Bound of a broadcast side: its text width plus a fixed cost per cell.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _CELL_COST = 24
 
@@ -19,10 +19,44 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """`df` marked for broadcast when its measured size is within `limit`.
-
-    Beyond it the frame comes back unmarked: the join then shuffles, and adaptive
-    execution splits hot keys of its other side.
+def join_small(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: Column,
+    right_key: str,
+    how: str,
+    limit: int | None = None,
+) -> DataFrame:
+    """Join a large left side with a side that is expected, but not known, to be small.
+
+    Within `limit` bytes the right side is broadcast and the left side stays where
+    it is. Beyond it the join shuffles, but for the hot keys: a key with more rows
+    than a fair share of a shuffle partition (there are fewer of those than
+    partitions) is joined with a broadcast of its few right rows, as are rows
+    without a key, which all would meet in one task.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    limit = BROADCAST_BYTES if limit is None else limit
+    if measured_bytes(right) <= limit:
+        return left.join(F.broadcast(right), left_key == F.col(right_key), how)
+    hot = _hot_keys(left.select(left_key.alias("k")))
+    is_hot = left_key.isNull() | left_key.isin(hot)
+    hot_right = right.where(F.col(right_key).isin(hot))
+    if hot and measured_bytes(hot_right) <= limit:
+        hot_right = F.broadcast(hot_right)
+    parts = [
+        left.where(is_hot).join(hot_right, left_key == F.col(right_key), how),
+        left.where(~is_hot).join(right, left_key == F.col(right_key), how),
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _hot_keys(keys: DataFrame) -> list:
+    """Keys with more than an even share of the rows per shuffle partition."""
+    partitions = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = keys.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    # Fewer than `partitions` keys can exceed an even share; the total is
+    # observed in the same pass that finds the largest counts.
+    seen = Observation()
+    largest = counts.observe(seen, F.sum("n").alias("total")).orderBy(F.desc("n")).limit(partitions).collect()
+    total = seen.get["total"] or 0
+    return [row["k"] for row in largest if row["n"] * partitions > total]

@@ -27,7 +27,7 @@ from lakeward.operators.partitions import LEDGER_BATCH, month_list, rebuild_part
 from lakeward.operators.periods import check_window, latest_period, period_window
 from lakeward.plans import registry
 from lakeward.sinks.tables import (
-    publish_table,
+    publish_counted,
     publish_text,
     read_ledger,
     read_published,
@@ -43,10 +43,12 @@ from lakeward.sources.rawtext import scan_raw_text
 
 @dataclass
 class Outcome:
-    """What a run wrote, and which files it set aside (path, name, bytes, error)."""
+    """What a run wrote, how many rows a whole table has, and which files were set
+    aside (path, name, bytes, error)."""
 
     changed: bool
     target: str
+    rows: int | None = None
     rejected: DataFrame | None = None
 
 
@@ -91,13 +93,13 @@ def ingest_merge(spark: SparkSession, landing: str, lake: str, folder: str, tabl
         return Outcome(False, target)
     scan = scan_dbf(spark, todo)
     done = _done(scan.accepted, todo)
-    rows = conform(_tag(scan.rows))
+    fresh = conform(_tag(scan.rows))
     merged = merge_by_key(
-        read_published(spark, target), rows, LINEAGE, delivered_keys=done.select(F.col("key").alias(LINEAGE))
+        read_published(spark, target), fresh, LINEAGE, delivered_keys=done.select(F.col("key").alias(LINEAGE))
     )
-    publish_table(merged, target)
+    rows = publish_counted(merged, target)
     write_ledger(ledger_upsert(ledger, done), ledger_path(lake, folder))
-    return Outcome(True, target, scan.rejected)
+    return Outcome(True, target, rows, scan.rejected)
 
 
 def ingest_snapshot(spark: SparkSession, landing: str, lake: str, folder: str, table: str, rule: NameRule) -> Outcome:
@@ -108,10 +110,10 @@ def ingest_snapshot(spark: SparkSession, landing: str, lake: str, folder: str, t
     if revision_diff(files, ledger).isEmpty():
         return Outcome(False, target)
     scan = scan_dbf(spark, files)
-    publish_table(conform(_tag(scan.rows)), target)
+    rows = publish_counted(conform(_tag(scan.rows)), target)
     done = _done(scan.accepted, files)
     write_ledger(ledger_replace_prefix(ledger, rule.prefix, done), ledger_path(lake, folder))
-    return Outcome(True, target, scan.rejected)
+    return Outcome(True, target, rows, scan.rejected)
 
 
 def ingest_months(
@@ -153,7 +155,7 @@ def ingest_months(
             ledger_upsert(read_ledger(spark, ledger_path(lake, table)), done), ledger_path(lake, table)
         )
         rejected = scan.rejected if rejected is None else rejected.unionByName(scan.rejected)
-    return Outcome(bool(months), target, rejected)
+    return Outcome(bool(months), target, rejected=rejected)
 
 
 def _news(spark: SparkSession, landing: str, glob: str, ledger: DataFrame) -> DataFrame:
@@ -180,9 +182,9 @@ def ingest_years(spark: SparkSession, landing: str, lake: str, folder: str, tabl
     # A year that came without rows still replaces its old rows.
     years = todo.select(F.regexp_extract("name", r"_([0-9]{4})\.json$", 1).cast("int").alias("ANO"))
     existing = read_published(spark, target)
-    publish_table(merge_by_key(existing, rows, "ANO", delivered_keys=years, as_text=False), target)
+    n_rows = publish_counted(merge_by_key(existing, rows, "ANO", delivered_keys=years, as_text=False), target)
     write_ledger(ledger_upsert(ledger, todo), ledger_path(lake, folder))
-    return Outcome(True, target)
+    return Outcome(True, target, n_rows)
 
 
 def ingest_delimited(spark: SparkSession, landing: str, lake: str, folder: str, table: str) -> Outcome:
@@ -193,9 +195,9 @@ def ingest_delimited(spark: SparkSession, landing: str, lake: str, folder: str,
     paths = _paths(todo)
     if not paths:
         return Outcome(False, target)
-    publish_table(scan_delimited(spark, paths), target)
+    rows = publish_counted(scan_delimited(spark, paths), target)
     write_ledger(ledger_upsert(ledger, todo), ledger_path(lake, folder))
-    return Outcome(True, target)
+    return Outcome(True, target, rows)
 
 
 def ingest_macro_regions(spark: SparkSession, landing: str, places: DataFrame, lake: str) -> Outcome:
@@ -207,9 +209,9 @@ def ingest_macro_regions(spark: SparkSession, landing: str, places: DataFrame, l
     if not paths:
         return Outcome(False, target)
     regions = scan_delimited(spark, paths, encoding="UTF-8")
-    publish_table(left_enrich(regions, places, "cod_municipio", "MUNCOD"), target)
+    rows = publish_counted(left_enrich(regions, places, "cod_municipio", "MUNCOD"), target)
     write_ledger(ledger_upsert(ledger, todo), ledger_path(lake, "geo"))
-    return Outcome(True, target)
+    return Outcome(True, target, rows)
 
 
 def ingest_text(spark: SparkSession, path: str, lake: str, folder: str, table: str) -> Outcome:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeward.functions.periods import month_key_of
 from lakeward.operators import catalogue as cat
 from lakeward.operators.enrich import (
     dimension_lookup,
@@ -137,7 +138,7 @@ _SQL_LINE_FILES = """months AS (
 def _line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as the files of an inventory: one per month and return flag."""
     lines = table(spark, sf_dir, "lineitem").select(
-        F.format_string("%04d%02d", F.year("l_shipdate"), F.month("l_shipdate")).alias("period"),
+        month_key_of("l_shipdate").alias("period"),
         F.col("l_returnflag").alias("part"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         "l_shipdate",

@@ -12,7 +12,7 @@ from lakeward.plans.catalog import query
 from lakeward.plans.deliveries import SQL_TAGGED, table, tagged_orders, write_dbf, write_ragged_lines
 from lakeward.plans.ingest import consolidate_folder
 from lakeward.session import scratch_path
-from lakeward.sinks.tables import publish_table, publish_text, read_published, write_csv
+from lakeward.sinks.tables import publish_counted, publish_table, publish_text, read_published, write_csv
 from lakeward.sources.dbf import LINEAGE, scan_dbf
 from lakeward.sources.delimited import scan_csv_union_by_header, scan_delimited, scan_delimited_with_rejects
 from lakeward.sources.files import scan_file_inventory
@@ -272,6 +272,16 @@ def publish_over_itself(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, path)
 
 
+@query("""SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n, (SELECT count(*) FROM orders) AS written
+    FROM orders GROUP BY o_orderstatus""")
+def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted while they are written, beside counts of what was written."""
+    path = scratch_path(spark, "counted")
+    written = publish_counted(table(spark, sf_dir, "orders"), path)
+    counts = read_published(spark, path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("written", F.lit(written).cast("bigint"))
+
+
 @query(f"""WITH {SQL_TAGGED}
     SELECT CAST(uf AS VARCHAR) AS uf, count(*) AS n, true AS one_file_name FROM tagged GROUP BY uf""")
 def tag_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.session import small_table
@@ -47,17 +47,21 @@ def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/v{version:08d}"
 
 
-def publish_table(df: DataFrame, path: str, max_records_per_file: int = 5_000_000, columns_by: str | None = None) -> str:
+def publish_table(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
     """Write a new version of the table at `path`; returns the folder written."""
     taken = versions(df.sparkSession, path, committed=False)
     target = version_path(path, (taken[-1] if taken else 0) + 1)
-    writer = df.write.option("maxRecordsPerFile", max_records_per_file)
-    if columns_by:
-        writer = writer.partitionBy(columns_by)
-    writer.parquet(target)
+    df.write.option("maxRecordsPerFile", max_records_per_file).parquet(target)
     return target
 
 
+def publish_counted(df: DataFrame, path: str) -> int:
+    """Publish a version and return its rows, counted while they are written."""
+    seen = Observation()
+    publish_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
 def read_published(spark: SparkSession, path: str) -> DataFrame | None:
     """Latest committed version, or None before the first publication."""
     done = versions(spark, path)
