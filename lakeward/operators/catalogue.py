@@ -180,7 +180,7 @@ def file_catalogue(
 def table_catalogue(catalogue: DataFrame) -> DataFrame:
     """The file catalogue by table: files, bytes and rows of each latest version."""
     version = F.regexp_extract("arquivo", "/(v[0-9]{8})/", 1)
-    table = F.regexp_replace("arquivo", "(/v[0-9]{8})?/[^/]*$|\\.parquet$|\\.txt$", "")
+    table = F.regexp_replace("arquivo", "(/v[0-9]{8}|/[a-z]+=[^/]*)*/[^/]*$|\\.parquet$", "")
     per_version = (
         catalogue.groupBy(
             table.alias("tabela"), version.alias("versao"), "diretorio", "nome_fonte", "descricao"

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.functions.periods import full_year, month_key
+from lakeward.functions.periods import full_year, month_key, pivot_year
 from lakeward.functions.text import as_column, regex_group
 from lakeward.session import small_table
 
@@ -69,6 +69,14 @@ def matches_name(name: Column | str, prefix: str, place: str, digits: str) -> Co
     return F.upper(as_column(name)).rlike(name_pattern(prefix, place, digits))
 
 
+def period_of_name(name: Column | str, digits: str, pivot: int | None) -> Column:
+    """Month key, or year as text, of a name that a rule has accepted."""
+    found = regex_group(F.upper(as_column(name)), "^[A-Z]+([0-9]+)")
+    if digits == "month":
+        return month_key(pivot_year(F.substring(found, 1, 2), pivot), F.substring(found, 3, 2))
+    return full_year(found, pivot).cast("string")
+
+
 def valid_state(code: Column | str) -> Column:
     """One of the federal units; leaves out national roll-ups, which count twice."""
     return as_column(code).isin(STATES)

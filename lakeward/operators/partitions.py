@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.operators.ledger import ledger_upsert
 from lakeward.operators.merge import merge_by_key
-from lakeward.session import scratch_path
-from lakeward.sinks.tables import hadoop_path, read_ledger, write_ledger
+from lakeward.session import small_table
+from lakeward.sinks.tables import hadoop_path, path_exists, read_ledger, write_ledger
 
 LEDGER_BATCH = 10
+PENDING = "_pending"
 
 
-def write_months(rows: DataFrame, path: str, *columns: str) -> None:
-    """Replace the partitions that `rows` has; others stay as they are.
+def write_months(rows: DataFrame, path: str, *columns: str, whole: bool = False) -> None:
+    """Replace the partitions that `rows` has; others stay as they are, unless
+    the `whole` folder is replaced (only then does Spark mark it as complete).
 
     Rebalancing by the partition columns gives a small month one file and
     splits a month that is far larger than the rest over several tasks.
@@ -23,7 +26,7 @@ def write_months(rows: DataFrame, path: str, *columns: str) -> None:
     (
         rows.hint("rebalance", *[F.col(c) for c in columns])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*columns)
         .parquet(path)
     )
@@ -63,8 +66,8 @@ def read_months(
 
 
 def month_list(periods: DataFrame, column: str) -> list[str]:
-    """Month keys on the driver: twelve a year at most."""
-    keys = periods.where(F.col(column).rlike("^[0-9]{6,8}$")).select(column).distinct()
+    """Period keys (years, months or days) on the driver: a calendar bounds them."""
+    keys = periods.where(F.col(column).rlike("^([0-9]{4}|[0-9]{6}|[0-9]{8})$")).select(column).distinct()
     return [row[0] for row in keys.orderBy(column).collect()]
 
 
@@ -74,23 +77,23 @@ def drop_months(spark: SparkSession, path: str, months: list[str], column: str =
         system.delete(where, True)
 
 
-def rebuild_partitions(
-    rows: DataFrame,
-    months: list[str],
-    path: str,
-    column: str = "competencia",
-) -> None:
+def rebuild_partitions(rows: DataFrame, months: list[str], path: str, column: str = "competencia") -> int:
     """Write the listed months anew from `rows`, which holds all their source rows.
 
     A listed month without rows is removed: dynamic overwrite alone would leave
-    its old rows in place.
+    its old rows in place. Which months had rows, and how many rows there were,
+    is observed while they are written. Returns the number of rows.
     """
     if not months:
-        return
-    wanted = rows.where(F.col(column).isin(months))
+        return 0
+    seen = Observation()
+    wanted = rows.where(F.col(column).isin(months)).observe(
+        seen, F.collect_set(column).alias("months"), F.count(F.lit(1)).alias("rows")
+    )
     write_months(wanted, path, column)
-    left = set(month_list(wanted.select(column), column))
-    drop_months(rows.sparkSession, path, [m for m in months if m not in left], column)
+    written = set(seen.get["months"])
+    drop_months(rows.sparkSession, path, [m for m in months if m not in written], column)
+    return seen.get["rows"]
 
 
 def rebuild_with_ledger(
@@ -121,19 +124,44 @@ def merge_partitions(
     key: str = "_ARQUIVO_ORIGEM",
     column: str = "competencia",
     delivered_files: DataFrame | None = None,
-) -> None:
+) -> int:
     """Merge a delivery by source, rewriting only the months it touches.
 
     A source file belongs to one month, so all other folders are neither read
     nor written. `delivered_files` (key and month columns) adds files without
-    rows. The merged months are first written apart: the table is replaced from
-    that copy, never from itself.
+    rows. The merged months are first written whole to a pending folder of the
+    table and then take the place of the old ones; a run that stops in between
+    is finished by the next one. Returns the rows of the months written.
     """
     spark = delivered.sparkSession
+    apply_pending(spark, path, column)
     units = (delivered if delivered_files is None else delivered_files).select(key, column).distinct()
     months = month_list(units, column)
+    if not months:
+        return 0
     existing = read_months(spark, path, column, months)
     merged = merge_by_key(existing, delivered, key, delivered_keys=units, as_text=False)
-    staged = scratch_path(spark, "merged-months")
-    write_months(merged, staged, column)
-    rebuild_partitions(spark.read.schema(merged.schema).parquet(staged), months, path, column)
+    named = small_table(spark, [{column: m} for m in months], pa.schema([(column, pa.string())]))
+    named.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PENDING}/months")
+    write_months(merged, f"{path}/{PENDING}/rows", column, whole=True)
+    return apply_pending(spark, path, column)
+
+
+def apply_pending(spark: SparkSession, path: str, column: str = "competencia") -> int:
+    """Finish a merge whose months are written but not yet in place."""
+    pending = f"{path}/{PENDING}"
+    done = f"{pending}/rows/_SUCCESS"
+    if not path_exists(spark, done):
+        return 0
+    months = month_list(spark.read.parquet(f"{pending}/months"), column)
+    rows = read_months(spark, f"{pending}/rows", column)
+    if rows is None:
+        drop_months(spark, path, months, column)
+        written = 0
+    else:
+        written = rebuild_partitions(rows, months, path, column)
+    # The mark goes first: a folder that is half deleted must not be applied.
+    for part in (done, pending):
+        system, where = hadoop_path(spark, part)
+        system.delete(where, True)
+    return written

@@ -22,8 +22,8 @@ from lakeward.operators.ledger import (
     revision_diff,
 )
 from lakeward.operators.merge import merge_by_key
-from lakeward.operators.names import NameRule, classify_names, rule_table
-from lakeward.operators.partitions import LEDGER_BATCH, month_list, rebuild_partitions
+from lakeward.operators.names import NameRule, classify_names, period_of_name, rule_table
+from lakeward.operators.partitions import LEDGER_BATCH, merge_partitions, month_list, rebuild_partitions
 from lakeward.operators.periods import check_window, latest_period, period_window
 from lakeward.plans import registry
 from lakeward.sinks.tables import (
@@ -60,6 +60,10 @@ def table_path(lake: str, folder: str, table: str) -> str:
     return f"{lake.rstrip('/')}/{folder}/{table}"
 
 
+def _with_period(rows: DataFrame, rule: NameRule) -> DataFrame:
+    return rows.withColumn("competencia", period_of_name(LINEAGE, rule.digits, rule.pivot))
+
+
 def delivered_files(spark: SparkSession, landing: str, rules: list[NameRule]) -> DataFrame:
     """Recognised dBASE files of a folder, one per name ignoring case.
 
@@ -84,7 +88,11 @@ def _tag(rows: DataFrame) -> DataFrame:
 
 
 def ingest_merge(spark: SparkSession, landing: str, lake: str, folder: str, table: str, rule: NameRule) -> Outcome:
-    """New and changed files replace their own earlier rows; all others stay."""
+    """New and changed files replace their own earlier rows; all others stay.
+
+    The table is partitioned by the month or year of the file name, so that a
+    delivery rewrites the periods it touches and not the whole series.
+    """
     files = delivered_files(spark, landing, [rule])
     ledger = read_ledger(spark, ledger_path(lake, folder))
     todo = files.join(revision_diff(files, ledger), "key", "left_semi")
@@ -93,11 +101,8 @@ def ingest_merge(spark: SparkSession, landing: str, lake: str, folder: str, tabl
         return Outcome(False, target)
     scan = scan_dbf(spark, todo)
     done = _done(scan.accepted, todo)
-    fresh = conform(_tag(scan.rows))
-    merged = merge_by_key(
-        read_published(spark, target), fresh, LINEAGE, delivered_keys=done.select(F.col("key").alias(LINEAGE))
-    )
-    rows = publish_counted(merged, target)
+    units = _with_period(done.select(F.col("key").alias(LINEAGE)), rule)
+    rows = merge_partitions(_with_period(conform(_tag(scan.rows)), rule), target, delivered_files=units)
     write_ledger(ledger_upsert(ledger, done), ledger_path(lake, folder))
     return Outcome(True, target, rows, scan.rejected)
 
@@ -146,8 +151,7 @@ def ingest_months(
         part = months[first : first + batch]
         todo = files.where(F.col("period").isin(part))
         scan = scan_dbf(spark, todo)
-        months_of = F.broadcast(todo.select(F.col("key").alias(LINEAGE), F.col("period").alias("competencia")))
-        rows = conform(_tag(scan.rows)).join(months_of, LINEAGE)
+        rows = _with_period(conform(_tag(scan.rows)), rule)
         read_well = month_list(scan.accepted.join(todo.select("path", "period"), "path"), "period")
         rebuild_partitions(rows, read_well, target)
         done = _done(scan.accepted, todo)

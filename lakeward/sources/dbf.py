@@ -21,6 +21,7 @@ from lakeward.sources.files import open_in_task
 
 RECORDS_PER_RANGE = 250_000
 RECORDS_PER_BATCH = 50_000
+MAX_TASKS = 50_000
 LINEAGE = "_ARQUIVO_ORIGEM"
 
 HEADER_TYPE = (
@@ -181,7 +182,7 @@ def scan_dbf(
         good.where("records > 0")
         .select("path", "header_length", "record_length", "fields", "records", F.explode(starts).alias("start"))
         .withColumn("count", F.least(F.lit(range_records).cast("bigint"), F.col("records") - F.col("start")))
-        .repartition(max(int(n_ranges), 1))
+        .repartition(min(max(int(n_ranges), 1), MAX_TASKS))
     )
     decoded = _decode_ranges(ranges, names, encoding, batch_records)
     rows = decoded.select(

@@ -35,14 +35,14 @@ def test_merge_source(spark, tmp_path):
     (outcome,) = ingest(spark, "sih_rd", str(landing), lake)
     assert outcome.changed and outcome.rows == 3 and [r["name"] for r in outcome.rejected.collect()] == ["RDMG0801.dbf"]
     table = table_path(lake, "sih", "aih_reduzida")
-    assert rows_of(read_published(spark, table).select("ID", LINEAGE)) == [
+    assert rows_of(read_months(spark, table).select("ID", LINEAGE)) == [
         ("a", "RDSP0801.DBC"), ("b", "RDSP0801.DBC"), ("c", "RDRJ0801.DBC"),
     ]
     assert keys(spark, lake, "sih") == {"RDSP0801.DBC", "RDRJ0801.DBC"}
 
     # The broken file is tried again; nothing else is.
     (outcome,) = ingest(spark, "sih_rd", str(landing), lake)
-    assert outcome.changed and read_published(spark, table).count() == 3
+    assert outcome.changed and read_months(spark, table).count() == 3
 
     # A file is revised to fewer rows, one to none, one is new with a further column,
     # and the broken one arrives whole under another case.
@@ -51,9 +51,10 @@ def test_merge_source(spark, tmp_path):
     deliver(landing, "RDSP0802.dbf", "d", fields=[*FIELDS, ("X", "C", 2)])
     (landing / "RDMG0801.dbf").write_bytes(dbf_bytes(FIELDS, [["m", "1"]]))
     ingest(spark, "sih_rd", str(landing), lake)
-    assert rows_of(read_published(spark, table).select("ID", "X", LINEAGE)) == [
+    assert rows_of(read_months(spark, table).select("ID", "X", LINEAGE)) == [
         ("a2", None, "RDSP0801.DBC"), ("d", "e", "RDSP0802.DBC"), ("m", None, "RDMG0801.DBC"),
     ]
+    assert month_folders(spark, table) == ["200801", "200802"]
     (outcome,) = ingest(spark, "sih_rd", str(landing), lake)
     assert not outcome.changed
 
@@ -115,8 +116,8 @@ def test_diseases(spark, tmp_path, monkeypatch):
     deliver(landing, "LERDBR10.dbf", "y")
     outcomes = ingest(spark, "sinan", str(landing), lake)
     assert [o.changed for o in outcomes] == [True, True]
-    assert rows_of(read_published(spark, table_path(lake, "sinan", "ler_dort")).select("ID")) == [("x",)]
-    assert rows_of(read_published(spark, table_path(lake, "sinan", "ler_dort_detalhado")).select("ID")) == [("y",)]
+    assert rows_of(read_months(spark, table_path(lake, "sinan", "ler_dort")).select("ID", "competencia")) == [("x", "2010")]
+    assert rows_of(read_months(spark, table_path(lake, "sinan", "ler_dort_detalhado")).select("ID")) == [("y",)]
 
 
 def test_yearly_sources(spark, tmp_path):

@@ -14,6 +14,7 @@ from lakeward.operators import ledger as led
 from lakeward.operators.merge import merge_by_key
 from lakeward.operators.partitions import (
     merge_partitions,
+    month_folders,
     read_months,
     rebuild_partitions,
     rebuild_with_ledger,
@@ -152,6 +153,28 @@ def test_merge_partitions_by_source(spark, tmp_path):
     assert "202003" not in {r["competencia"] for r in read_months(spark, path).collect()}
 
 
+def test_a_merge_that_stops_halfway_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    from lakeward.operators import partitions
+
+    path = str(tmp_path / "t")
+    merge_partitions(months(spark, [("202001", "A1", "1"), ("202001", "A2", "2"), ("202002", "B1", "3")]), path)
+
+    def dies(rows, part, *rest):
+        partitions.drop_months(spark, path, part)
+        raise RuntimeError("lost")
+
+    real = partitions.rebuild_partitions
+    monkeypatch.setattr(partitions, "rebuild_partitions", dies)
+    with pytest.raises(RuntimeError):
+        merge_partitions(months(spark, [("202001", "A1", "10")]), path)
+    monkeypatch.setattr(partitions, "rebuild_partitions", real)
+    assert month_folders(spark, path) == ["202002"]
+    merge_partitions(months(spark, [("202003", "C1", "4")]), path)
+    got = {(r["competencia"], r[KEY], r["v"]) for r in read_months(spark, path).collect()}
+    assert got == {("202001", "A1", "10"), ("202001", "A2", "2"), ("202002", "B1", "3"), ("202003", "C1", "4")}
+    assert not (Path(path) / "_pending").exists()
+
+
 def test_ledger_follows_the_data(spark, tmp_path, monkeypatch):
     path, ledger = str(tmp_path / "t"), str(tmp_path / "l")
     keys = [f"2020{m:02d}" for m in range(1, 6)]
