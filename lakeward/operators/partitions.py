@@ -15,17 +15,21 @@ LEDGER_BATCH = 10
 PENDING = "_pending"
 
 
-def write_months(rows: DataFrame, path: str, *columns: str, whole: bool = False) -> None:
+def write_months(
+    rows: DataFrame, path: str, *columns: str, whole: bool = False, clustered: bool = False
+) -> None:
     """Replace the partitions that `rows` has; others stay as they are, unless
     the `whole` folder is replaced (only then does Spark mark it as complete).
 
     Rebalancing by the partition columns gives a small month one file and
-    splits a month that is far larger than the rest over several tasks.
+    splits a month that is far larger than the rest over several tasks. Rows
+    that already come month by month (`clustered`) are written where they are,
+    without that shuffle.
     """
     columns = columns or ("competencia",)
+    spread = rows if clustered else rows.hint("rebalance", *[F.col(c) for c in columns])
     (
-        rows.hint("rebalance", *[F.col(c) for c in columns])
-        .write.mode("overwrite")
+        spread.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*columns)
         .parquet(path)
@@ -77,7 +81,9 @@ def drop_months(spark: SparkSession, path: str, months: list[str], column: str =
         system.delete(where, True)
 
 
-def rebuild_partitions(rows: DataFrame, months: list[str], path: str, column: str = "competencia") -> int:
+def rebuild_partitions(
+    rows: DataFrame, months: list[str], path: str, column: str = "competencia", clustered: bool = False
+) -> int:
     """Write the listed months anew from `rows`, which holds all their source rows.
 
     A listed month without rows is removed: dynamic overwrite alone would leave
@@ -90,7 +96,7 @@ def rebuild_partitions(rows: DataFrame, months: list[str], path: str, column: st
     wanted = rows.where(F.col(column).isin(months)).observe(
         seen, F.collect_set(column).alias("months"), F.count(F.lit(1)).alias("rows")
     )
-    write_months(wanted, path, column)
+    write_months(wanted, path, column, clustered=clustered)
     written = set(seen.get["months"])
     drop_months(rows.sparkSession, path, [m for m in months if m not in written], column)
     return seen.get["rows"]
@@ -124,6 +130,7 @@ def merge_partitions(
     key: str = "_ARQUIVO_ORIGEM",
     column: str = "competencia",
     delivered_files: DataFrame | None = None,
+    clustered: bool = False,
 ) -> int:
     """Merge a delivery by source, rewriting only the months it touches.
 
@@ -131,7 +138,8 @@ def merge_partitions(
     nor written. `delivered_files` (key and month columns) adds files without
     rows. The merged months are first written whole to a pending folder of the
     table and then take the place of the old ones; a run that stops in between
-    is finished by the next one. Returns the rows of the months written.
+    is finished by the next one. Months that are all new are written directly.
+    Returns the rows of the months written.
     """
     spark = delivered.sparkSession
     apply_pending(spark, path, column)
@@ -140,6 +148,8 @@ def merge_partitions(
     if not months:
         return 0
     existing = read_months(spark, path, column, months)
+    if existing is None:
+        return rebuild_partitions(delivered, months, path, column, clustered)
     merged = merge_by_key(existing, delivered, key, delivered_keys=units, as_text=False)
     named = small_table(spark, [{column: m} for m in months], pa.schema([(column, pa.string())]))
     named.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PENDING}/months")
@@ -159,7 +169,7 @@ def apply_pending(spark: SparkSession, path: str, column: str = "competencia") -
         drop_months(spark, path, months, column)
         written = 0
     else:
-        written = rebuild_partitions(rows, months, path, column)
+        written = rebuild_partitions(rows, months, path, column, clustered=True)
     # The mark goes first: a folder that is half deleted must not be applied.
     for part in (done, pending):
         system, where = hadoop_path(spark, part)

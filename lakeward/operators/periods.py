@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.functions.periods import year_of_key
-from lakeward.operators.sizing import join_small
+from lakeward.operators.sizing import BROADCAST_BYTES, join_small, measured_bytes
 
 
 def check_window(
@@ -135,6 +137,10 @@ def latest_period(df: DataFrame, period: str, *group: str) -> DataFrame:
     # sort every row of the table.
     pairs = df.select(*group, period).distinct()
     latest = pairs.groupBy(*group).agg(F.max(period).alias(period))
+    if measured_bytes(latest) <= BROADCAST_BYTES:
+        names = {c: f"_{c}" for c in (*group, period)}
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(r)) for c, r in names.items()])
+        return df.join(F.broadcast(latest.withColumnsRenamed(names)), same, "left_semi")
     unit = F.to_json(F.struct(*group, period))
     return join_small(df, latest.select(unit.alias("_unit")), unit, "_unit", "left_semi")
 

@@ -109,42 +109,59 @@ def write_ragged_lines(lines: DataFrame, header: str, path: str, encoding: str)
     )
 
 
-def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str) -> None:
-    """Write rows as dBASE files, one per partition.
+def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str, name: str | None = None) -> None:
+    """Write rows as dBASE files, one per partition or one per value of `name`.
 
     `df` has a column ``flag`` (blank, or ``*`` for a deleted record) and text
     columns; `fields` lists (name, type, width). Numbers are right-aligned.
+    Records are counted first, so that tasks write headers ahead of the records
+    and hold one batch at a time.
     """
     cells = [
-        (F.lpad if kind == "N" else F.rpad)(F.coalesce(F.col(name), F.lit("")), width, " ")
-        for name, kind, width in fields
+        (F.lpad if kind == "N" else F.rpad)(F.coalesce(F.col(column), F.lit("")), width, " ")
+        for column, kind, width in fields
     ]
-    records = df.select(F.concat(F.col("flag"), *cells).alias("record"))
+    record = F.concat(F.col("flag"), *cells).alias("record")
+    if name is None:
+        part = F.format_string("PART%05d.dbf", F.spark_partition_id())
+        records = df.select(part.alias("file"), record)
+    else:
+        records = df.select(F.col(name).alias("file"), record)
+    counts = records.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    records = records.join(counts, "file")
+    records = records.repartition("file").sortWithinPartitions("file")
 
     def write(batches):
         import struct
 
         import pyarrow as pa
-        from pyspark import TaskContext
 
         width = 1 + sum(w for _, _, w in fields)
         descriptors = b"".join(
-            name.encode("latin-1").ljust(11, b"\x00") + kind.encode() + bytes(4) + bytes([w, 0]) + bytes(14)
-            for name, kind, w in fields
+            column.encode("latin-1").ljust(11, b"\x00") + kind.encode() + bytes(4) + bytes([w, 0]) + bytes(14)
+            for column, kind, w in fields
         )
-        body, n = [], 0
-        for batch in batches:
-            body.append("".join(batch.column("record").to_pylist()).encode("latin-1"))
-            n += batch.num_rows
-        header = struct.pack("<BBBBIHH20x", 3, 124, 1, 1, n, 33 + len(descriptors), width)
-        part = TaskContext.get().partitionId()
         system, folder = arrow_path(path)
         system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/PART{part:05d}.dbf") as out:
-            out.write(header + descriptors + b"\r")
-            for block in body:
-                out.write(block)
-            out.write(b"\x1a")
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    records.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+        current, out, total = None, None, 0
+
+        def close():
+            if out is not None:
+                out.write(b"\x1a")
+                out.close()
+
+        for batch in batches:
+            files, sizes, lines = (batch.column(c).to_pylist() for c in ("file", "n", "record"))
+            total += batch.num_rows
+            for file, size, line in zip(files, sizes, lines):
+                if file != current:
+                    close()
+                    current = file
+                    out = system.open_output_stream(f"{folder}/{file}")
+                    out.write(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, size, 33 + len(descriptors), width))
+                    out.write(descriptors + b"\r")
+                out.write(line.encode("latin-1"))
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
+
+    records.select("file", "n", "record").mapInArrow(write, "n bigint").agg(F.sum("n")).collect()

@@ -26,6 +26,7 @@ from lakeward.operators.names import NameRule, classify_names, period_of_name, r
 from lakeward.operators.partitions import LEDGER_BATCH, merge_partitions, month_list, rebuild_partitions
 from lakeward.operators.periods import check_window, latest_period, period_window
 from lakeward.plans import registry
+from lakeward.session import settled
 from lakeward.sinks.tables import (
     publish_counted,
     publish_text,
@@ -64,6 +65,10 @@ def _with_period(rows: DataFrame, rule: NameRule) -> DataFrame:
     return rows.withColumn("competencia", period_of_name(LINEAGE, rule.digits, rule.pivot))
 
 
+def _order(rule: NameRule) -> str:
+    return "period" if rule.digits == "month" else "year"
+
+
 def delivered_files(spark: SparkSession, landing: str, rules: list[NameRule]) -> DataFrame:
     """Recognised dBASE files of a folder, one per name ignoring case.
 
@@ -72,7 +77,9 @@ def delivered_files(spark: SparkSession, landing: str, rules: list[NameRule]) ->
     """
     files = scan_file_inventory(spark, landing, glob="*.[dD][bB][fF]")
     named = files.withColumn("key", F.regexp_replace(F.upper("name"), r"\.DBF$", ".DBC"))
-    unique = dedup_case_insensitive(named, "key", "path")
+    # Of a final and a preliminary file with one name, the final one counts.
+    ranked = named.withColumn("preliminary", F.contains(F.upper("path"), F.lit("/PRELIM/")))
+    unique = dedup_case_insensitive(ranked, "key", "preliminary", "path").drop("preliminary")
     known = classify_names(unique, rule_table(spark, rules), name="key")
     return known.withColumn("fingerprint", F.col("bytes"))
 
@@ -95,26 +102,26 @@ def ingest_merge(spark: SparkSession, landing: str, lake: str, folder: str, tabl
     """
     files = delivered_files(spark, landing, [rule])
     ledger = read_ledger(spark, ledger_path(lake, folder))
-    todo = files.join(revision_diff(files, ledger), "key", "left_semi")
+    todo = settled(files.join(revision_diff(files, ledger), "key", "left_semi"), "todo")
     target = table_path(lake, folder, table)
     if todo.isEmpty():
         return Outcome(False, target)
-    scan = scan_dbf(spark, todo)
-    done = _done(scan.accepted, todo)
+    scan = scan_dbf(todo, order_by=_order(rule))
+    done = settled(_done(scan.accepted, todo), "done")
     units = _with_period(done.select(F.col("key").alias(LINEAGE)), rule)
-    rows = merge_partitions(_with_period(conform(_tag(scan.rows)), rule), target, delivered_files=units)
+    rows = merge_partitions(_with_period(conform(_tag(scan.rows)), rule), target, delivered_files=units, clustered=True)
     write_ledger(ledger_upsert(ledger, done), ledger_path(lake, folder))
     return Outcome(True, target, rows, scan.rejected)
 
 
 def ingest_snapshot(spark: SparkSession, landing: str, lake: str, folder: str, table: str, rule: NameRule) -> Outcome:
     """All files of the latest month, whenever one of them is new or changed."""
-    files = latest_period(delivered_files(spark, landing, [rule]), "period")
+    files = settled(latest_period(delivered_files(spark, landing, [rule]), "period"), "snapshot")
     ledger = read_ledger(spark, ledger_path(lake, folder))
     target = table_path(lake, folder, table)
     if revision_diff(files, ledger).isEmpty():
         return Outcome(False, target)
-    scan = scan_dbf(spark, files)
+    scan = scan_dbf(files)
     rows = publish_counted(conform(_tag(scan.rows)), target)
     done = _done(scan.accepted, files)
     write_ledger(ledger_replace_prefix(ledger, rule.prefix, done), ledger_path(lake, folder))
@@ -137,7 +144,7 @@ def ingest_months(
     each batch is one job over all files of its months, then a ledger write.
     """
     check_window(**window)
-    files = delivered_files(spark, landing, [rule])
+    files = settled(delivered_files(spark, landing, [rule]), "files")
     ledger = read_ledger(spark, ledger_path(lake, table))
     target = table_path(lake, table, table)
     if window:
@@ -150,10 +157,10 @@ def ingest_months(
     for first in range(0, len(months), batch):
         part = months[first : first + batch]
         todo = files.where(F.col("period").isin(part))
-        scan = scan_dbf(spark, todo)
+        scan = scan_dbf(todo, order_by="period")
         rows = _with_period(conform(_tag(scan.rows)), rule)
         read_well = month_list(scan.accepted.join(todo.select("path", "period"), "path"), "period")
-        rebuild_partitions(rows, read_well, target)
+        rebuild_partitions(rows, read_well, target, clustered=True)
         done = _done(scan.accepted, todo)
         write_ledger(
             ledger_upsert(read_ledger(spark, ledger_path(lake, table)), done), ledger_path(lake, table)

@@ -131,7 +131,8 @@ def final_over_preliminary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SQL_TAGGED},
     latest AS (SELECT o_orderstatus, max(period) AS period FROM tagged GROUP BY o_orderstatus)
     SELECT o_orderkey, t.o_orderstatus, t.period, cents
-    FROM tagged t JOIN latest l ON t.o_orderstatus = l.o_orderstatus AND t.period = l.period""")
+    FROM tagged t JOIN latest l ON t.o_orderstatus = l.o_orderstatus AND t.period = l.period""",
+    name="replace_snapshot")
 def replace_snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tagged_orders(spark, sf_dir).select("o_orderkey", "o_orderstatus", "period", "cents")
     target = scratch_path(spark, "snapshot")
@@ -308,8 +309,8 @@ def any_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SQL_LEDGER}
     SELECT key, uf, period, rows, fingerprint FROM files
     WHERE period IN (SELECT DISTINCT period FROM files ORDER BY period DESC LIMIT 2)
-       OR upper(key) NOT IN (SELECT upper(key) FROM ledger)""")
-def recent_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+       OR upper(key) NOT IN (SELECT upper(key) FROM ledger)""", name="recent_or_unknown")
+def recent_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = listing(spark, sf_dir).drop("mtime")
     return recent_or_unknown(files, old_ledger(files), "key", "period", n=2)
 

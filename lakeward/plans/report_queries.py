@@ -83,8 +83,8 @@ FRAGMENTS = [("small", "r0"), ("ring", "r1"), ("red bolt", "r2"), ("bolt", "r3")
              WHEN contains(p_name, 'red bolt') THEN 'ASIA' WHEN contains(p_name, 'bolt') THEN 'EUROPE'
              WHEN contains(p_name, 'widget') THEN 'MIDDLE EAST'
              WHEN p_brand = 'Brand#1' THEN 'AMERICA' ELSE 'unmapped' END AS name
-    FROM part""")
-def first_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    FROM part""", name="first_substring_match")
+def region_of_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First fragment contained in the name, then a fallback by brand, then a label."""
     regions = table(spark, sf_dir, "region").select(
         F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id"), F.col("r_name").alias("name")

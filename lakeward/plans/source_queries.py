@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from lakeward.functions.periods import month_key_of
 from lakeward.operators.conform import tag_file
 from lakeward.operators.partitions import read_months, write_months
+from lakeward.plans import registry
 from lakeward.plans.catalog import query
 from lakeward.plans.deliveries import SQL_TAGGED, table, tagged_orders, write_dbf, write_ragged_lines
-from lakeward.plans.ingest import consolidate_folder
+from lakeward.plans.ingest import consolidate_folder, ingest_merge, ingest_months
 from lakeward.session import scratch_path
 from lakeward.sinks.tables import publish_counted, publish_table, publish_text, read_published, write_csv
 from lakeward.sources.dbf import LINEAGE, scan_dbf
@@ -18,6 +19,7 @@ from lakeward.sources.delimited import scan_csv_union_by_header, scan_delimited,
 from lakeward.sources.files import scan_file_inventory
 from lakeward.sources.json_arrays import POPULATION_COLUMNS, picked_rows, scan_answers, scan_header_first_json
 from lakeward.sources.parquet import scan_month_range
+from lakeward.sources.parquet import scan_parquet_union_by_name as read_parts
 from lakeward.sources.rawtext import apply_layout, scan_raw_text
 from lakeward.streaming.arrivals import stream_append_new_files
 
@@ -113,6 +115,16 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS cod_municipio, c_name AS nome FROM customer""")
+def scan_delimited_bom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UTF-8 with a byte-order mark in front of the first name; codes keep their zeros."""
+    customer = table(spark, sf_dir, "customer")
+    line = F.concat_ws(";", F.lpad(F.col("c_custkey").cast("string"), 7, "0"), "c_name")
+    path = scratch_path(spark, "bom")
+    write_ragged_lines(customer.select(line), "\ufeffcod_municipio;nome", path, "UTF-8")
+    return scan_delimited(spark, path, encoding="UTF-8")
+
+
 # ---- yearly JSON -------------------------------------------------------------
 
 _SQL_PEOPLE = """people AS (
@@ -216,10 +228,82 @@ def _dbf_folder(spark: SparkSession, sf_dir: str) -> str:
 def dbf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two eras of dBASE files with deleted records, read in small record ranges."""
     files = scan_file_inventory(spark, _dbf_folder(spark, sf_dir), glob="*.dbf")
-    rows = scan_dbf(spark, files, range_records=20_000).rows
+    rows = scan_dbf(files, range_records=20_000).rows
     return rows.withColumn("tagged", F.col(LINEAGE).isNotNull()).drop(LINEAGE)
 
 
+@query(f"""WITH {SQL_TAGGED}
+    SELECT CASE WHEN uf = 'RS' THEN 'rejected' ELSE 'accepted' END AS outcome, count(DISTINCT file) AS files,
+           CAST(sum(CASE WHEN uf = 'RS' THEN 0 ELSE 1 END) AS BIGINT) AS records
+    FROM tagged GROUP BY 1""")
+def quarantine_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a field type that no reader knows are set aside with their error."""
+    orders = _dbf_orders(spark, sf_dir)
+    path = scratch_path(spark, "dbf-bad")
+    broken = [(name, "Q" if name == "CHAVE" else kind, width) for name, kind, width in _PRICE_FIELDS]
+    write_dbf(orders.where("uf = 'RS'"), broken, f"{path}/bad", name="file")
+    write_dbf(orders.where("uf <> 'RS'"), _PRICE_FIELDS, f"{path}/good", name="file")
+    scan = scan_dbf(scan_file_inventory(spark, path, glob="*.dbf"))
+    kept = scan.accepted.select(F.lit("accepted").alias("outcome"), "records")
+    bad = scan.rejected.where("error is not null").select(F.lit("rejected").alias("outcome"), F.lit(0).alias("records"))
+    return kept.unionByName(bad).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("records").cast("bigint").alias("records")
+    )
+
+
+_PRICE_FIELDS = [("CHAVE", "N", 12), ("VALOR", "N", 14), ("SITUACAO", "C", 1)]
+
+
+def _dbf_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagged_orders(spark, sf_dir).select(
+        F.lit(" ").alias("flag"),
+        F.col("o_orderkey").cast("string").alias("CHAVE"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("VALOR"),
+        F.col("o_orderstatus").alias("SITUACAO"),
+        F.regexp_replace("file", r"\.dbc$", ".dbf").alias("file"),
+        "uf",
+        "period",
+    )
+
+
+_SQL_TWO_DELIVERIES = f"""WITH {SQL_TAGGED}
+    SELECT CAST(o_orderkey AS VARCHAR) AS CHAVE, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS VALOR,
+           o_orderstatus AS SITUACAO, upper(file) AS _ARQUIVO_ORIGEM, period AS competencia
+    FROM tagged WHERE NOT (uf = 'MG' AND substr(period, 1, 4) = '2000' AND o_orderstatus = 'P')"""
+
+
+def _two_deliveries(spark: SparkSession, sf_dir: str, take) -> None:
+    """First all states but one; then that state, and a year of another state
+    again with fewer records."""
+    orders = _dbf_orders(spark, sf_dir)
+    again = "uf = 'MG' and substring(period, 1, 4) = '2000'"
+    first, second = scratch_path(spark, "delivery-1"), scratch_path(spark, "delivery-2")
+    write_dbf(orders.where("uf <> 'SP'"), _PRICE_FIELDS, first, name="file")
+    take(first)
+    write_dbf(orders.where(f"uf = 'SP' or ({again} and SITUACAO <> 'P')"), _PRICE_FIELDS, second, name="file")
+    # A month is rebuilt from all its files, so the rest of each is there too.
+    write_dbf(orders.where(f"uf <> 'SP' and not ({again})"), _PRICE_FIELDS, second, name="file")
+    take(second)
+
+
+@query(_SQL_TWO_DELIVERIES)
+def ingest_months_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of the monthly source, rebuilt month by month from its ledger."""
+    lake = scratch_path(spark, "lake")
+    rule = registry.get_source("sia_pa").rule
+    _two_deliveries(spark, sf_dir, lambda landing: ingest_months(spark, landing, lake, "pa", rule, batch=40))
+    return read_months(spark, f"{lake}/pa/pa")
+
+
+@query(_SQL_TWO_DELIVERIES)
+def ingest_merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries merged file by file; unchanged files are not read again."""
+    lake = scratch_path(spark, "lake")
+    rule = registry.get_source("sia_pa").rule
+    _two_deliveries(spark, sf_dir, lambda landing: ingest_merge(spark, landing, lake, "sia", "pa", rule))
+    return read_months(spark, f"{lake}/sia/pa")
+
+
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS chave, CAST(o_custkey AS VARCHAR) AS cliente, o_orderstatus AS situacao,
         strftime(o_orderdate, '%Y%m%d') AS data FROM orders""")
 def raw_text_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +323,17 @@ def raw_text_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(*[F.trim(c).alias(c) for c in cut.columns])
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS chave, o_orderstatus AS situacao, NULL::VARCHAR AS linha FROM orders
+    UNION ALL SELECT CAST(l_orderkey AS VARCHAR), NULL, CAST(l_linenumber AS VARCHAR) FROM lineitem""")
+def scan_parquet_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with other columns in another order, united by name."""
+    path = scratch_path(spark, "parts")
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    orders.selectExpr("cast(o_orderkey as string) chave", "o_orderstatus situacao").write.parquet(f"{path}/a")
+    lines.selectExpr("cast(l_linenumber as string) linha", "cast(l_orderkey as string) chave").write.parquet(f"{path}/b")
+    return read_parts(spark, [f"{path}/a", f"{path}/b"])
+
+
 @query("""SELECT CAST(l_orderkey AS VARCHAR) AS chave, CAST(l_linenumber AS VARCHAR) AS linha,
         CASE WHEN year(l_shipdate) < 1998 THEN l_returnflag END AS retorno,
         CASE WHEN year(l_shipdate) >= 1998 THEN l_linestatus END AS situacao,
@@ -298,8 +393,9 @@ def tag_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- stream ------------------------------------------------------------------
 
 
-@query("""SELECT event_id, strftime(ts, '%Y%m%d') AS competencia, user_id FROM events""")
-def stream_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("""SELECT event_id, strftime(ts, '%Y%m%d') AS competencia, user_id FROM events""",
+       name="stream_append_new_files")
+def events_as_they_arrive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event files taken in several micro-batches, each replacing the days it touches."""
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "arrived")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")

@@ -49,3 +49,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             base = tempfile.mkdtemp(prefix="lakeward-")
             _local_scratch[context.applicationId] = base
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a written table: computed once, and the same for the whole run
+    even if the folder it lists changes meanwhile."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

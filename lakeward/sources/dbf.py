@@ -10,17 +10,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.functions.fields import to_date, to_logical, tolerant_number
 from lakeward.functions.text import file_name
 from lakeward.operators.conform import clean_name
-from lakeward.session import scratch_path
+from lakeward.session import settled
 from lakeward.sources.files import open_in_task
 
 RECORDS_PER_RANGE = 250_000
 RECORDS_PER_BATCH = 50_000
+TASK_BYTES = 128 * 1024 * 1024
+RANGE_COST = 4 * 1024 * 1024
 MAX_TASKS = 50_000
 LINEAGE = "_ARQUIVO_ORIGEM"
 
@@ -145,23 +147,26 @@ def _decode_ranges(ranges: DataFrame, columns: list[str], encoding: str, batch_r
 
 
 def scan_dbf(
-    spark: SparkSession,
     files: DataFrame,
     columns: list[str] | None = None,
+    order_by: str | None = None,
     encoding: str = "latin-1",
     range_records: int = RECORDS_PER_RANGE,
     batch_records: int = RECORDS_PER_BATCH,
 ) -> DbfScan:
     """Union by name of the dBASE files of an inventory, all text, tagged with the file name.
 
-    `columns` limits what is decoded. Deleted records are left out. Dates come
+    `columns` limits what is decoded. `order_by` names a column of the inventory,
+    such as the month: tasks then read neighbouring files, so that their rows can
+    be written by month without a shuffle. Deleted records are left out. Dates come
     as ``YYYY-MM-DD``, logicals as ``True``/``False``, numbers as written; a
     name whose type differs between files stays as written.
     """
-    headers_path = scratch_path(spark, "dbf-headers")
-    scan_headers(files).write.parquet(headers_path)
-    headers = spark.read.schema(HEADER_TYPE).parquet(headers_path)
+    headers = settled(scan_headers(files), "dbf-headers")
     good = headers.where(F.col("error").isNull())
+    order = [order_by] if order_by else []
+    if order:
+        good = good.join(files.select("path", order_by), "path")
 
     # One row per distinct (field, type), in order of first position.
     fields = (
@@ -176,13 +181,16 @@ def scan_dbf(
         kinds.setdefault(clean_name(field["name"]), set()).add(field["kind"])
     names = [n for n in kinds if columns is None or n in columns]
 
-    n_ranges = good.agg(F.sum(F.ceil(F.col("records") / range_records))).first()[0] or 0
+    # Ranges of small files share tasks: each counts as a few megabytes at least.
+    n_ranges = F.ceil(F.col("records") / range_records)
+    cost = F.greatest(F.col("bytes"), n_ranges * RANGE_COST)
+    n_tasks = good.agg(F.ceil(F.sum(cost) / TASK_BYTES)).first()[0] or 1
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.lit(range_records).cast("bigint"))
     ranges = (
         good.where("records > 0")
-        .select("path", "header_length", "record_length", "fields", "records", F.explode(starts).alias("start"))
+        .select(*order, "path", "header_length", "record_length", "fields", "records", F.explode(starts).alias("start"))
         .withColumn("count", F.least(F.lit(range_records).cast("bigint"), F.col("records") - F.col("start")))
-        .repartition(min(max(int(n_ranges), 1), MAX_TASKS))
+        .repartitionByRange(min(int(n_tasks), MAX_TASKS), *order, "path", "start")
     )
     decoded = _decode_ranges(ranges, names, encoding, batch_records)
     rows = decoded.select(

@@ -113,11 +113,13 @@ def test_diseases(spark, tmp_path, monkeypatch):
     landing, lake = tmp_path / "in", str(tmp_path / "lake")
     monkeypatch.setattr(registry, "DISEASES", [("LER", "ler_dort"), ("LERD", "ler_dort_detalhado")])
     deliver(landing, "LERBR10.dbf", "x")
-    deliver(landing, "LERDBR10.dbf", "y")
+    deliver(landing / "FINAIS", "LERDBR10.dbf", "y")
+    deliver(landing / "PRELIM", "lerdbr10.dbf", "preliminary")
+    deliver(landing / "A" / "PRELIM", "LERDBR11.dbf", "later")
     outcomes = ingest(spark, "sinan", str(landing), lake)
     assert [o.changed for o in outcomes] == [True, True]
     assert rows_of(read_months(spark, table_path(lake, "sinan", "ler_dort")).select("ID", "competencia")) == [("x", "2010")]
-    assert rows_of(read_months(spark, table_path(lake, "sinan", "ler_dort_detalhado")).select("ID")) == [("y",)]
+    assert rows_of(read_months(spark, table_path(lake, "sinan", "ler_dort_detalhado")).select("ID")) == [("later",), ("y",)]
 
 
 def test_yearly_sources(spark, tmp_path):

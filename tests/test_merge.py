@@ -159,7 +159,7 @@ def test_a_merge_that_stops_halfway_is_finished_by_the_next(spark, tmp_path, mon
     path = str(tmp_path / "t")
     merge_partitions(months(spark, [("202001", "A1", "1"), ("202001", "A2", "2"), ("202002", "B1", "3")]), path)
 
-    def dies(rows, part, *rest):
+    def dies(rows, part, *rest, **more):
         partitions.drop_months(spark, path, part)
         raise RuntimeError("lost")
 
@@ -185,11 +185,11 @@ def test_ledger_follows_the_data(spark, tmp_path, monkeypatch):
     real = partitions.rebuild_partitions
     seen = []
 
-    def stops(rows, part, *rest):
+    def stops(rows, part, *rest, **more):
         if seen:
             raise RuntimeError("stopped")
         seen.append(part)
-        real(rows, part, *rest)
+        real(rows, part, *rest, **more)
 
     monkeypatch.setattr(partitions, "rebuild_partitions", stops)
     with pytest.raises(RuntimeError):

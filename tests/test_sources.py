@@ -144,7 +144,7 @@ def dbf_folder(tmp_path):
 @pytest.mark.parametrize("range_records", [1, 2, 1000])
 def test_dbf(spark, dbf_folder, range_records):
     files = scan_file_inventory(spark, dbf_folder, glob="*.[dD][bB][fF]")
-    scan = scan_dbf(spark, files, range_records=range_records, batch_records=1)
+    scan = scan_dbf(files, range_records=range_records, batch_records=1)
     rows = scan.rows.select("NOME", "VA", "DIA", "OK", "F1", "EXTRA", LINEAGE)
     assert rows_of(rows) == sorted(
         [
@@ -168,15 +168,15 @@ def test_dbf_columns_and_mixed_types(spark, tmp_path):
     (tmp_path / "a.dbf").write_bytes(dbf_bytes([("K", "C", 4), ("D", "D", 8)], [["a", "20200101"]]))
     (tmp_path / "b.dbf").write_bytes(dbf_bytes([("K", "N", 4), ("D", "C", 8)], [["12", "20200102"]]))
     files = scan_file_inventory(spark, str(tmp_path), glob="*.dbf")
-    scan = scan_dbf(spark, files)
+    scan = scan_dbf(files)
     # A name whose type differs between files stays as written.
     assert rows_of(scan.rows.select("K", "D")) == [("12", "20200102"), ("a", "20200101")]
-    assert scan_dbf(spark, files, columns=["K"]).rows.columns == ["K", LINEAGE]
+    assert scan_dbf(files, columns=["K"]).rows.columns == ["K", LINEAGE]
 
 
 def test_dbf_without_readable_files(spark, tmp_path):
     (tmp_path / "a.dbf").write_bytes(b"x")
-    scan = scan_dbf(spark, scan_file_inventory(spark, str(tmp_path), glob="*.dbf"))
+    scan = scan_dbf(scan_file_inventory(spark, str(tmp_path), glob="*.dbf"))
     assert scan.rows.count() == 0 and scan.accepted.count() == 0 and scan.rejected.count() == 1
 
 
