@@ -267,22 +267,26 @@ def _dbf_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SQL_TWO_DELIVERIES = f"""WITH {SQL_TAGGED}
-    SELECT CAST(o_orderkey AS VARCHAR) AS CHAVE, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS VALOR,
+    SELECT CAST(o_orderkey AS VARCHAR) AS CHAVE,
+           CAST(CAST(CASE WHEN uf = 'MG' AND substr(period, 1, 4) = '2000' THEN CAST(o_totalprice AS DECIMAL(18,2)) + 1
+                     ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS DECIMAL(18,2)) AS VARCHAR) AS VALOR,
            o_orderstatus AS SITUACAO, upper(file) AS _ARQUIVO_ORIGEM, period AS competencia
-    FROM tagged WHERE NOT (uf = 'MG' AND substr(period, 1, 4) = '2000' AND o_orderstatus = 'P')"""
+    FROM tagged"""
 
 
 def _two_deliveries(spark: SparkSession, sf_dir: str, take) -> None:
     """First all states but one; then that state, and a year of another state
-    again with fewer records."""
+    again with other prices in wider records."""
     orders = _dbf_orders(spark, sf_dir)
     again = "uf = 'MG' and substring(period, 1, 4) = '2000'"
     first, second = scratch_path(spark, "delivery-1"), scratch_path(spark, "delivery-2")
     write_dbf(orders.where("uf <> 'SP'"), _PRICE_FIELDS, first, name="file")
     take(first)
-    write_dbf(orders.where(f"uf = 'SP' or ({again} and SITUACAO <> 'P')"), _PRICE_FIELDS, second, name="file")
-    # A month is rebuilt from all its files, so the rest of each is there too.
-    write_dbf(orders.where(f"uf <> 'SP' and not ({again})"), _PRICE_FIELDS, second, name="file")
+    # A month is rebuilt from all its files, so the unchanged ones are there too.
+    write_dbf(orders.where(f"not ({again})"), _PRICE_FIELDS, second, name="file")
+    dearer = (F.col("VALOR").cast("decimal(18,2)") + 1).cast("decimal(18,2)").cast("string")
+    wider = [(name, kind, width + 2) for name, kind, width in _PRICE_FIELDS]
+    write_dbf(orders.where(again).withColumn("VALOR", dearer), wider, second, name="file")
     take(second)
 
 
