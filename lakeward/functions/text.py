@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Trimmed texts that mean "no value".
-BLANK_MARKERS = ["", "None", "nan", "NaT"]
+# Trimmed texts that mean "no value", beside the empty text.
+BLANK_MARKERS = ["None", "nan", "NaT"]
 
 # Accented capitals that become plain letters. Other accented
 # letters are not mapped and end up as a separator in normalised labels.
@@ -14,7 +14,9 @@ ACCENTED = "ÁÃÂÉÊÍÓÕÔÚÇ"
 PLAIN = "AAAEEIOOOUC"
 
 # Unicode white space (no-break space included) plus the ASCII separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_SPACE = r"[\s\x1c-\x1f]"
+_EDGE_SPACE = rf"(?U)^{_SPACE}+|{_SPACE}+\z"
+_BLANK = rf"(?U)\A{_SPACE}*({'|'.join(BLANK_MARKERS)})?{_SPACE}*\z"
 
 
 def as_column(value: Column | str) -> Column:
@@ -29,7 +31,7 @@ def strip_space(value: Column | str) -> Column:
 def blank_to_null(value: Column | str) -> Column:
     """Null where the trimmed text is a blank marker; other values keep their blanks."""
     value = as_column(value)
-    return F.when(~strip_space(value).isin(BLANK_MARKERS), value)
+    return F.when(~value.rlike(_BLANK), value)
 
 
 def strip_accents(value: Column | str) -> Column:

@@ -127,8 +127,9 @@ def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str, name
         records = df.select(part.alias("file"), record)
     else:
         records = df.select(F.col(name).alias("file"), record)
-    counts = records.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    records = records.join(counts, "file")
+    # One number per file to write. A join would not do: its exchange by file may
+    # be dropped at run time, and then several tasks would write one file.
+    sizes = {row["file"]: row["n"] for row in records.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
     records = records.repartition("file").sortWithinPartitions("file")
 
     def write(batches):
@@ -151,17 +152,16 @@ def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str, name
                 out.close()
 
         for batch in batches:
-            files, sizes, lines = (batch.column(c).to_pylist() for c in ("file", "n", "record"))
             total += batch.num_rows
-            for file, size, line in zip(files, sizes, lines):
+            for file, line in zip(batch.column("file").to_pylist(), batch.column("record").to_pylist()):
                 if file != current:
                     close()
                     current = file
                     out = system.open_output_stream(f"{folder}/{file}")
-                    out.write(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, size, 33 + len(descriptors), width))
+                    out.write(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, sizes[file], 33 + len(descriptors), width))
                     out.write(descriptors + b"\r")
                 out.write(line.encode("latin-1"))
         close()
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
 
-    records.select("file", "n", "record").mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
+    records.mapInArrow(write, "n bigint").agg(F.sum("n")).collect()

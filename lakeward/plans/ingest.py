@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.operators.conform import conform
 from lakeward.operators.enrich import left_enrich
 from lakeward.operators.ledger import (
     affected_periods,
@@ -22,7 +21,7 @@ from lakeward.operators.ledger import (
     revision_diff,
 )
 from lakeward.operators.merge import merge_by_key
-from lakeward.operators.names import NameRule, classify_names, period_of_name, rule_table
+from lakeward.operators.names import NameRule, classify_names, rule_table
 from lakeward.operators.partitions import LEDGER_BATCH, merge_partitions, month_list, rebuild_partitions
 from lakeward.operators.periods import check_window, latest_period, period_window
 from lakeward.plans import registry
@@ -61,16 +60,9 @@ def table_path(lake: str, folder: str, table: str) -> str:
     return f"{lake.rstrip('/')}/{folder}/{table}"
 
 
-def _with_period(rows: DataFrame, rule: NameRule) -> DataFrame:
-    return rows.withColumn("competencia", period_of_name(LINEAGE, rule.digits, rule.pivot))
-
-
-def _order(rule: NameRule) -> str:
-    return "period" if rule.digits == "month" else "year"
-
-
 def delivered_files(spark: SparkSession, landing: str, rules: list[NameRule]) -> DataFrame:
-    """Recognised dBASE files of a folder, one per name ignoring case.
+    """Recognised dBASE files of a folder, one per name ignoring case, with the
+    lineage and the period (month or year) that their rows will carry.
 
     Names follow the delivery pattern with either extension: the compressed
     form and the table inside it share one name.
@@ -81,7 +73,12 @@ def delivered_files(spark: SparkSession, landing: str, rules: list[NameRule]) ->
     ranked = named.withColumn("preliminary", F.contains(F.upper("path"), F.lit("/PRELIM/")))
     unique = dedup_case_insensitive(ranked, "key", "preliminary", "path").drop("preliminary")
     known = classify_names(unique, rule_table(spark, rules), name="key")
-    return known.withColumn("fingerprint", F.col("bytes"))
+    return known.select(
+        "*",
+        F.col("bytes").alias("fingerprint"),
+        F.col("key").alias(LINEAGE),
+        F.coalesce("period", F.col("year").cast("string")).alias("competencia"),
+    )
 
 
 def _done(accepted: DataFrame, files: DataFrame) -> DataFrame:
@@ -89,11 +86,6 @@ def _done(accepted: DataFrame, files: DataFrame) -> DataFrame:
     return files.join(accepted.select("path"), "path", "left_semi").select("key", "fingerprint")
 
 
-def _tag(rows: DataFrame) -> DataFrame:
-    """Lineage under the delivery name, upper case."""
-    return rows.withColumn(LINEAGE, F.regexp_replace(F.upper(LINEAGE), r"\.DBF$", ".DBC"))
-
-
 def ingest_merge(spark: SparkSession, landing: str, lake: str, folder: str, table: str, rule: NameRule) -> Outcome:
     """New and changed files replace their own earlier rows; all others stay.
 
@@ -106,10 +98,9 @@ def ingest_merge(spark: SparkSession, landing: str, lake: str, folder: str, tabl
     target = table_path(lake, folder, table)
     if todo.isEmpty():
         return Outcome(False, target)
-    scan = scan_dbf(todo, order_by=_order(rule))
-    done = settled(_done(scan.accepted, todo), "done")
-    units = _with_period(done.select(F.col("key").alias(LINEAGE)), rule)
-    rows = merge_partitions(_with_period(conform(_tag(scan.rows)), rule), target, delivered_files=units, clustered=True)
+    scan = scan_dbf(todo, carry=(LINEAGE, "competencia"), order_by="competencia")
+    done = settled(todo.join(scan.accepted.select("path"), "path", "left_semi"), "done")
+    rows = merge_partitions(scan.rows, target, delivered_files=done, clustered=True)
     write_ledger(ledger_upsert(ledger, done), ledger_path(lake, folder))
     return Outcome(True, target, rows, scan.rejected)
 
@@ -122,7 +113,7 @@ def ingest_snapshot(spark: SparkSession, landing: str, lake: str, folder: str, t
     if revision_diff(files, ledger).isEmpty():
         return Outcome(False, target)
     scan = scan_dbf(files)
-    rows = publish_counted(conform(_tag(scan.rows)), target)
+    rows = publish_counted(scan.rows, target)
     done = _done(scan.accepted, files)
     write_ledger(ledger_replace_prefix(ledger, rule.prefix, done), ledger_path(lake, folder))
     return Outcome(True, target, rows, scan.rejected)
@@ -148,19 +139,18 @@ def ingest_months(
     ledger = read_ledger(spark, ledger_path(lake, table))
     target = table_path(lake, table, table)
     if window:
-        months = month_list(period_window(files, "period", **window), "period")
+        months = month_list(period_window(files, **window), "competencia")
     elif revision_diff(files, ledger).isEmpty():
         months = []
     else:
-        months = month_list(affected_periods(files, ledger, "period", margin), "period")
+        months = month_list(affected_periods(files, ledger, "competencia", margin), "competencia")
     rejected = None
     for first in range(0, len(months), batch):
         part = months[first : first + batch]
-        todo = files.where(F.col("period").isin(part))
-        scan = scan_dbf(todo, order_by="period")
-        rows = _with_period(conform(_tag(scan.rows)), rule)
-        read_well = month_list(scan.accepted.join(todo.select("path", "period"), "path"), "period")
-        rebuild_partitions(rows, read_well, target, clustered=True)
+        todo = files.where(F.col("competencia").isin(part))
+        scan = scan_dbf(todo, carry=(LINEAGE, "competencia"), order_by="competencia")
+        read_well = month_list(todo.join(scan.accepted.select("path"), "path", "left_semi"), "competencia")
+        rebuild_partitions(scan.rows, read_well, target, clustered=True)
         done = _done(scan.accepted, todo)
         write_ledger(
             ledger_upsert(read_ledger(spark, ledger_path(lake, table)), done), ledger_path(lake, table)

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.functions.fields import to_date, to_logical, tolerant_number
-from lakeward.functions.text import file_name
+from lakeward.functions.fields import is_plain_number, to_date, to_logical, tolerant_number
+from lakeward.functions.text import blank_to_null, file_name
 from lakeward.operators.conform import clean_name
 from lakeward.session import settled
 from lakeward.sources.files import open_in_task
@@ -95,8 +95,11 @@ def scan_headers(files: DataFrame) -> DataFrame:
     return files.select("path", "bytes").mapInArrow(read, HEADER_TYPE)
 
 
-def _decode_ranges(ranges: DataFrame, columns: list[str], encoding: str, batch_records: int) -> DataFrame:
-    """Read the records of each (path, start, count) row as trimmed text columns."""
+def _decode_ranges(
+    ranges: DataFrame, columns: list[str], carried: list[str], encoding: str, batch_records: int
+) -> DataFrame:
+    """Read the records of each (path, start, count) row as trimmed text columns,
+    each with the carried values of its file."""
 
     def read(batches):
         import numpy as np
@@ -137,36 +140,40 @@ def _decode_ranges(ranges: DataFrame, columns: list[str], encoding: str, batch_r
                         left -= n
                         cells = {c: text(rows[f"f{i}"]) for i, c in enumerate(present)}
                         empty = pa.nulls(len(rows), pa.string())
-                        path = pa.array([item["path"]] * len(rows), pa.string())
+                        tags = [pa.repeat(pa.scalar(item[c], pa.string()), len(rows)) for c in carried]
                         yield pa.RecordBatch.from_arrays(
-                            [*[cells.get(c, empty) for c in columns], path], [*columns, "_path"]
+                            [*[cells.get(c, empty) for c in columns], *tags], [*columns, *carried]
                         )
 
-    schema = ", ".join(f"`{c}` string" for c in [*columns, "_path"])
+    schema = ", ".join(f"`{c}` string" for c in [*columns, *carried])
     return ranges.mapInArrow(read, schema)
 
 
 def scan_dbf(
     files: DataFrame,
     columns: list[str] | None = None,
+    carry: tuple[str, ...] = (LINEAGE,),
     order_by: str | None = None,
     encoding: str = "latin-1",
     range_records: int = RECORDS_PER_RANGE,
     batch_records: int = RECORDS_PER_BATCH,
 ) -> DbfScan:
-    """Union by name of the dBASE files of an inventory, all text, tagged with the file name.
-
-    `columns` limits what is decoded. `order_by` names a column of the inventory,
-    such as the month: tasks then read neighbouring files, so that their rows can
-    be written by month without a shuffle. Deleted records are left out. Dates come
-    as ``YYYY-MM-DD``, logicals as ``True``/``False``, numbers as written; a
-    name whose type differs between files stays as written.
+    """Union by name of the dBASE files of an inventory: conformed text, tagged by file.
+
+    `columns` limits what is decoded. `carry` names text columns of the inventory
+    that each row gets from its file; the lineage is the file name unless the
+    inventory has it. `order_by` names a column of the inventory, such as the
+    month: tasks then read neighbouring files, so that their rows can be written
+    by month without a shuffle. Deleted records are left out. Dates come as
+    ``YYYY-MM-DD``, logicals as ``True``/``False``, numbers as written; a name
+    whose type differs between files stays as written.
     """
+    if LINEAGE not in files.columns:
+        files = files.withColumn(LINEAGE, file_name("path"))
     headers = settled(scan_headers(files), "dbf-headers")
     good = headers.where(F.col("error").isNull())
-    order = [order_by] if order_by else []
-    if order:
-        good = good.join(files.select("path", order_by), "path")
+    extra = list(dict.fromkeys([*carry, *([order_by] if order_by else [])]))
+    known = good.join(files.select("path", *extra), "path")
 
     # One row per distinct (field, type), in order of first position.
     fields = (
@@ -187,18 +194,14 @@ def scan_dbf(
     n_tasks = good.agg(F.ceil(F.sum(cost) / TASK_BYTES)).first()[0] or 1
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.lit(range_records).cast("bigint"))
     ranges = (
-        good.where("records > 0")
-        .select(*order, "path", "header_length", "record_length", "fields", "records", F.explode(starts).alias("start"))
+        known.where("records > 0")
+        .select(*extra, "path", "header_length", "record_length", "fields", "records", F.explode(starts).alias("start"))
         .withColumn("count", F.least(F.lit(range_records).cast("bigint"), F.col("records") - F.col("start")))
-        .repartitionByRange(min(int(n_tasks), MAX_TASKS), *order, "path", "start")
-    )
-    decoded = _decode_ranges(ranges, names, encoding, batch_records)
-    rows = decoded.select(
-        *[_published_text(name, kinds[name]).alias(name) for name in names],
-        file_name("_path").alias(LINEAGE),
+        .repartitionByRange(min(int(n_tasks), MAX_TASKS), *([order_by] if order_by else []), "path", "start")
     )
+    decoded = _decode_ranges(ranges, names, list(carry), encoding, batch_records)
     return DbfScan(
-        rows=rows,
+        rows=decoded.select(*[_published_text(n, kinds[n]).alias(n) for n in names], *carry),
         accepted=good.select("path", file_name("path").alias("name"), "bytes", "records"),
         rejected=headers.where(F.col("error").isNotNull()).select(
             "path", file_name("path").alias("name"), "bytes", "error"
@@ -207,11 +210,13 @@ def scan_dbf(
 
 
 def _published_text(name: str, kinds: set[str]):
+    """Text of a decoded cell, which is trimmed and not empty."""
     value = F.col(f"`{name}`")
     if kinds == {"D"}:
         return to_date(value).cast("string")
     if kinds == {"L"}:
         return F.initcap(to_logical(value).cast("string"))
     if kinds <= {"N", "F"}:
-        return tolerant_number(value)
-    return value
+        # Only what is no plain number is looked at more closely.
+        return F.when(is_plain_number(value), value).otherwise(blank_to_null(tolerant_number(value)))
+    return blank_to_null(value)
