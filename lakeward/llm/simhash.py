@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +46,11 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
     return sum(1 << i for i, n in enumerate(count.tolist()) if 2 * n > len(found))
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bits = np.fromiter(map(fingerprint, utf8(batch["text"])), np.uint64, len(batch))
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "bits": bits.view(np.int64)})
+        texts = utf8(batch.column("text").to_pylist())
+        bits = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -175,7 +177,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     names a component; if none of its component has a doc_id, component_id is null. Repeated
     rows stay as they are. Other columns are not read. No rows: an empty result.
     """
-    prints = settled(docs.select("doc_id", "text").mapInPandas(_fingerprints, "doc_id long, bits long"), "fingerprints")
+    prints = settled(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_fingerprints, "doc_id long, bits long"), "fingerprints")
     distinct = settled(prints.groupBy("bits").agg(F.min("doc_id").alias("first")), "distinct")
     links = near_links(distinct.select("bits"), distinct.count())
     found = connected_components(links)

@@ -190,17 +190,14 @@ def _cleaned(text: bytes, spans) -> tuple[bytes, int, int]:
     return b" ".join(words), total, total - len(words)
 
 
-def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [_cleaned(*x) for x in zip(utf8(batch["text"]), batch["_spans"], strict=True)]
-        yield pd.DataFrame(
-            {
-                "doc_id": batch["doc_id"],
-                "n_words": [total for _, total, _ in rows],
-                "n_removed": [gone for _, _, gone in rows],
-                "kept_sha256": [hashlib.sha256(kept).hexdigest() for kept, _, _ in rows],
-            }
-        )
+        texts = utf8(batch.column("text").to_pylist())
+        rows = [_cleaned(*x) for x in zip(texts, batch.column("_spans").to_pylist(), strict=True)]
+        total, gone = (pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2))
+        digest = pa.array([hashlib.sha256(r[0]).hexdigest() for r in rows], pa.string())
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), total, gone, digest], names=names)
 
 
 def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,8 +225,8 @@ def with_repeats(docs: DataFrame) -> DataFrame:
 
 def kept_digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row; see `with_repeats`."""
-    rows = with_repeats(docs.select("doc_id", "text"))
-    return rows.mapInPandas(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = with_repeats(docs.select(F.col("doc_id").cast("bigint"), "text"))
+    return rows.mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
