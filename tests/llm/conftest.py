@@ -1,0 +1,24 @@
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+SF_DIR = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents():
+    """(doc_id, text) of the smallest table."""
+    return duckdb.connect().execute(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet'").fetchall()
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """A table of documents from (doc_id, text) or (doc_id, text, source)."""
+
+    def make(rows):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        return spark.createDataFrame(full, DOCS)
+
+    return make

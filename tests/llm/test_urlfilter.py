@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeward.llm import urlfilter
+from tests.conftest import rows_of
+
+DAY = datetime.date
+
+
+def judged(spark, captures, events):
+    c = spark.createDataFrame(captures, "id long, host string, fetched date")
+    e = spark.createDataFrame(events, "entry string, day date, added boolean")
+    return {r["id"]: (r["blocked"], r["entry"], r["since"]) for r in urlfilter.judged(c, e).collect()}
+
+
+@pytest.mark.parametrize(
+    ("url", "host"),
+    [("http://A.b.com/x", "a.b.com"), ("https://u:p@h.org:80?q", "h.org"), ("ftp://x.y.", "x.y"), ("/path", None), ("", None), (None, None), ("http:///x", None)],
+)
+def test_host(spark, url, host):
+    row = spark.createDataFrame([(url,)], "u string").select(urlfilter.host_of(F.col("u"))).first()
+    assert row[0] == host
+
+
+def test_active_entries_at_fetch_time(spark):
+    events = [
+        ("bad.com", DAY(2024, 1, 10), True), ("bad.com", DAY(2024, 3, 5), False), ("bad.com", DAY(2024, 6, 1), True),
+        ("sub.bad.com", DAY(2024, 2, 1), True), ("com", DAY(2025, 1, 1), True), ("same.org", DAY(2024, 1, 1), True),
+        ("same.org", DAY(2024, 1, 1), False), ("twice.org", DAY(2024, 1, 1), True), ("twice.org", DAY(2024, 2, 1), True),
+        ("off.org", DAY(2024, 1, 1), False), (None, DAY(2024, 1, 1), True), ("null.org", None, True),
+    ]
+    captures = [
+        (1, "www.bad.com", DAY(2024, 1, 9)), (2, "www.bad.com", DAY(2024, 1, 10)), (3, "bad.com", DAY(2024, 3, 4)),
+        (4, "bad.com", DAY(2024, 3, 5)), (5, "x.sub.bad.com", DAY(2024, 2, 2)), (6, "x.sub.bad.com", DAY(2024, 4, 2)),
+        (7, "notbad.com", DAY(2024, 2, 2)), (8, "any.com", DAY(2025, 5, 1)), (9, "same.org", DAY(2024, 1, 1)),
+        (10, "twice.org", DAY(2024, 2, 3)), (11, "off.org", DAY(2024, 2, 3)), (12, None, DAY(2024, 2, 3)), (13, "bad.com", None),
+        (14, "null.org", DAY(2024, 2, 3)), (2, "www.bad.com", DAY(2024, 1, 10)),
+    ]
+    got = judged(spark, captures, events)
+    no = (False, None, None)
+    assert got == {
+        1: no, 2: (True, "bad.com", DAY(2024, 1, 10)), 3: (True, "bad.com", DAY(2024, 1, 10)), 4: no,
+        5: (True, "sub.bad.com", DAY(2024, 2, 1)), 6: (True, "sub.bad.com", DAY(2024, 2, 1)), 7: no,
+        8: (True, "com", DAY(2025, 1, 1)), 9: (True, "same.org", DAY(2024, 1, 1)), 10: (True, "twice.org", DAY(2024, 2, 1)),
+        11: no, 12: no, 13: no, 14: no,
+    }
+
+
+def test_empty_tables(spark):
+    assert judged(spark, [], [("a.com", DAY(2024, 1, 1), True)]) == {}
+    assert judged(spark, [(1, "a.com", DAY(2024, 1, 1))], []) == {1: (False, None, None)}
+
+
+def test_pages_with_nulls_and_more_columns(spark):
+    rows = [(1, None, "x"), (None, "http://a.com", "x"), (-3, "http://a.com", "x"), (1, None, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string")
+    got = urlfilter.filter_pages(spark, pages)
+    assert got.columns == ["page_id", "url", "host", "fetched", "blocked", "entry", "since"]
+    assert len(rows_of(got)) == 4
