@@ -50,7 +50,10 @@ def stop_factor(missed: float = MISSED, dimensions: int = DIMENSIONS) -> float:
 
 
 def projection(width: int) -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((width, DIMENSIONS))
+    """A Gaussian matrix, each row scaled to its expected length: a difference in one component alone,
+    such as the one added, then has the mean of the chi-square law and not one draw of it for all vectors."""
+    rows = np.random.default_rng(SEED).standard_normal((width, DIMENSIONS))
+    return rows * np.sqrt(DIMENSIONS / (rows**2).sum(axis=1, keepdims=True))
 
 
 class KdTree:

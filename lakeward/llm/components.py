@@ -40,5 +40,6 @@ def connected_components(links: DataFrame) -> DataFrame:
         moved = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         after = settled(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "small")
         if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
-            return after.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            stars = after.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
         edges = after

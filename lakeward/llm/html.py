@@ -142,7 +142,7 @@ def blocks(source: str) -> list[Block]:
         if stack and (stack[-1].silent or stack[-1].beside):
             return
         text = html.unescape(raw) if "&" in raw else raw
-        if breaks and not text.isspace():
+        if breaks and text.strip():
             breaks = 0
         parts.append(text)
         if links:

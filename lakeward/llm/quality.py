@@ -65,7 +65,7 @@ def _weighed(ratios: np.ndarray):
             for a, b in slices(texts):
                 owner, bucket = grams(texts[a:b])
                 parts.append(np.bincount(owner, weights=ratios[bucket], minlength=b - a))
-            weight = pa.array(np.concatenate(parts) if parts else np.zeros(0))
+            weight = pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), weight], names=["doc_id", "digest", "log_weight"])
 
     return weigh
