@@ -20,8 +20,8 @@ FOLDS = 5
 BUCKETS = 1 << 20
 # Letters of the beginnings of words that are features, and of the pieces inside them.
 PREFIXES, PIECE = range(3, 9), 5
-# Standard errors by which the evidence of a feature is lowered.
-CAUTION = 1.0
+# Standard errors by which the evidence of a feature is lowered, and the toxic texts that it needs.
+CAUTION, LEAST_TOXIC = 1.0, 2
 # Tokens whose score a task remembers.
 REMEMBERED = 300_000
 
@@ -88,7 +88,7 @@ def _evidence(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: flo
     """How much more often toxic texts have each feature, as a cautious logarithm of odds; 0 if not surely."""
     odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
     error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    return np.where(toxic >= 2, np.maximum(odds - CAUTION * error, 0), 0).astype(np.float32)
+    return np.where(toxic >= LEAST_TOXIC, np.maximum(odds - CAUTION * error, 0), 0).astype(np.float32)
 
 
 @dataclass
@@ -189,15 +189,19 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     steps = 1 << 20
     kept = min(steps, steps * train_rows // max(1, known.count()))
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(steps))
-    sample = (
-        known.where(place < kept)
-        .withColumn("fold", F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(FOLDS)).cast("int"))
-        .join(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id")
-        .select("text", "toxic", "fold")
-    )
+    fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(FOLDS)).cast("int")
+    # About `train_rows` rows of three numbers: small at any size of the input.
+    drawn = F.broadcast(known.where(place < kept).withColumn("fold", fold))
+    sample = docs.where("doc_id is not null").select("doc_id", "text").join(drawn, "doc_id").select("text", "toxic", "fold")
     cells = [F.sum(F.col("cell")[i]).alias(f"c{i}") for i in range(2 * FOLDS)]
+    in_toxic = sum((F.col(f"c{2 * f + 1}") for f in range(FOLDS)), F.lit(0))
+    # Only features of at least LEAST_TOXIC toxic texts have a weight.
     counted = (
-        sample.mapInPandas(_counted(costs), "bucket long, cell array<int>").groupBy("bucket").agg(*cells).toPandas()
+        sample.mapInPandas(_counted(costs), "bucket long, cell array<int>")
+        .groupBy("bucket")
+        .agg(*cells)
+        .where((in_toxic >= LEAST_TOXIC) | (F.col("bucket") < 0))
+        .toPandas()
     )
     counts = counted.drop(columns="bucket").to_numpy(np.float64).reshape(-1, FOLDS, 2)
     bucket = counted["bucket"].to_numpy()
@@ -223,6 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
                 yield pd.DataFrame({"a": s[:, 0], "b": s[:, 1], "c": s[:, 2], "toxic": part["toxic"].to_numpy()})
 
     found = sample.mapInPandas(summed, "a double, b double, c double, toxic int").toPandas()
+    shared.unpersist()
     found = found.sort_values(list(found.columns))
     line = _logistic(found[["a", "b", "c"]].to_numpy(np.float64), (found["toxic"] > 0).to_numpy(np.float64))
     return ToxicityModel(costs, weights(None), line)
