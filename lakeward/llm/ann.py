@@ -9,7 +9,6 @@ until that law says that a nearer one is unlikely to come.
 
 from __future__ import annotations
 
-import heapq
 import math
 from functools import lru_cache
 
@@ -23,12 +22,12 @@ from lakeward.session import settled
 
 NEAREST = 20
 # Dimensions of the projection (even), and the share of true neighbours that a stop may miss.
-DIMENSIONS, MISSED = 8, 0.02
+DIMENSIONS, MISSED = 8, 0.05
 SEED = 17
 # Vectors of a block of the index, the sample from which the cells are cut, and the most cells.
 BLOCK, SAMPLE, CELLS = 4096, 100_000, 4096
 # Points of a leaf of a block's tree, verified together.
-LEAF = 32
+LEAF = 128
 # Queries of a group that meet one block.
 QUERIES = 2048
 
@@ -57,67 +56,81 @@ def projection(width: int) -> np.ndarray:
 
 
 class KdTree:
-    """Points in few dimensions, in leaves of at most LEAF that halve the widest side again and again."""
+    """Points in few dimensions, in leaves of at most LEAF that halve the widest side again and again.
 
-    def __init__(self, points: np.ndarray):
-        self.points = points
-        self.order = np.arange(len(points))
-        # (low corner, high corner, first, last, left, right); a leaf has no children.
-        self.nodes: list[tuple] = []
-        self._build(0, len(points))
+    `rows` are the points of each leaf, `low` and `high` the corners of their boxes.
+    """
 
-    def _build(self, a: int, b: int) -> int:
-        own = self.points[self.order[a:b]]
-        low, high = own.min(axis=0), own.max(axis=0)
-        at = len(self.nodes)
-        self.nodes.append(())
-        left = right = -1
-        if b - a > LEAF:
-            axis = int(np.argmax(high - low))
-            middle = (b - a) // 2
-            self.order[a:b] = self.order[a:b][np.argpartition(own[:, axis], middle, kind="introselect")]
-            left, right = self._build(a, a + middle), self._build(a + middle, b)
-        self.nodes[at] = (low, high, a, b, left, right)
-        return at
+    def __init__(self, points: np.ndarray):
+        self.rows: list[np.ndarray] = []
+        self._build(points, np.arange(len(points)))
+        self.low = np.array([points[r].min(axis=0) for r in self.rows])
+        self.high = np.array([points[r].max(axis=0) for r in self.rows])
+
+    def _build(self, points: np.ndarray, rows: np.ndarray) -> None:
+        if len(rows) <= LEAF:
+            self.rows.append(rows)
+            return
+        own = points[rows]
+        axis = int(np.argmax(np.ptp(own, axis=0)))
+        middle = len(rows) // 2
+        halves = rows[np.argpartition(own[:, axis], middle)]
+        self._build(points, halves[:middle])
+        self._build(points, halves[middle:])
+
+    def distances(self, shadows: np.ndarray) -> np.ndarray:
+        """The squared projected distance from each query to the box of each leaf."""
+        out = np.zeros((len(shadows), len(self.rows)))
+        for axis in range(shadows.shape[1]):
+            at = shadows[:, axis, None]
+            out += np.maximum(0.0, np.maximum(self.low[:, axis] - at, at - self.high[:, axis])) ** 2
+        return out
 
-    def leaves(self, query: np.ndarray):
-        """(squared projected distance of the box, its points), nearest box first."""
-        heap = [(self._distance(0, query), 0)]
-        while heap:
-            distance, at = heapq.heappop(heap)
-            _, _, a, b, left, right = self.nodes[at]
-            if left < 0:
-                yield distance, self.order[a:b]
-            else:
-                heapq.heappush(heap, (self._distance(left, query), left))
-                heapq.heappush(heap, (self._distance(right, query), right))
 
-    def _distance(self, at: int, query: np.ndarray) -> float:
-        low, high = self.nodes[at][:2]
-        gap = np.maximum(0.0, np.maximum(low - query, query - high))
-        return float(gap @ gap)
+def _best(owner: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places of the NEAREST + 1 best of each owner, best first; equal scores by id."""
+    order = np.lexsort((ids, -scores, owner))
+    sorted_owner = owner[order]
+    head = np.concatenate(([True], sorted_owner[1:] != sorted_owner[:-1]))
+    first = np.flatnonzero(head)
+    rank = np.arange(len(order)) - first[np.cumsum(head) - 1]
+    return order[rank <= NEAREST]
 
 
-def search(tree: KdTree, vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, shadow: np.ndarray, reach: float, squares: float):
-    """The nearest rows of one block to a query as (score, id), best first.
+def search(
+    tree: KdTree, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, shadows: np.ndarray, reach: np.ndarray, squares: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The nearest rows of one block to each query, as (query, score, id), best first.
 
     `reach` is the squared distance of the worst of the neighbours that are known already, `squares` the
-    squared lengths of query and vectors together, so that a distance is squares - 2 * score. Equal scores at
-    the end of the list are all kept until the ids are compared.
+    squared lengths of query and vectors together, so that a distance is squares - 2 * score. In each round
+    all queries that the stopping test leaves open verify their next nearest leaf.
     """
-    found_scores, found_ids = np.zeros(0), np.zeros(0, np.int64)
-    factor = stop_factor()
-    for box, rows in tree.leaves(shadow):
-        if box > factor * max(reach, 0.0) * (1 + 1e-9) + 1e-9:
+    factor, reach = stop_factor(), reach.copy()
+    distances = tree.distances(shadows)
+    order = np.argsort(distances, axis=1, kind="stable")
+    owner, scores, names = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    for turn in range(order.shape[1]):
+        leaf = order[:, turn]
+        near = distances[np.arange(len(leaf)), leaf]
+        open_ = np.flatnonzero(near <= factor * np.maximum(reach, 0.0) * (1 + 1e-9) + 1e-9)
+        if not len(open_):
             break
-        # One sum per row, so that equal vectors have equal scores wherever they stand.
-        scores = np.concatenate((found_scores, (vectors[rows] * query).sum(axis=1)))
-        names = np.concatenate((found_ids, ids[rows]))
-        best = np.lexsort((names, -scores))[: NEAREST + 1]
-        found_scores, found_ids = scores[best], names[best]
-        if len(best) > NEAREST:
-            reach = min(reach, squares - 2 * float(found_scores[-1]))
-    return found_scores, found_ids
+        least = (squares - reach) / 2 - 1e-9 * (1 + squares)  # no lower score can be among the best
+        parts = [(owner, scores, names)]
+        for at in np.unique(leaf[open_]):
+            asked, rows = open_[leaf[open_] == at], tree.rows[at]
+            # Summed in one order for every pair, so that equal vectors have equal scores wherever they stand.
+            found = np.einsum("qd,vd->qv", queries[asked], vectors[rows])
+            q, v = np.nonzero(found >= least[asked, None])
+            parts.append((asked[q], found[q, v], ids[rows[v]]))
+        owner, scores, names = (np.concatenate(x) for x in zip(*parts, strict=True))
+        best = _best(owner, scores, names)
+        owner, scores, names = owner[best], scores[best], names[best]
+        last = np.flatnonzero(np.bincount(owner, minlength=len(queries)) > NEAREST)
+        end = np.searchsorted(owner, last, side="right") - 1
+        reach[last] = np.minimum(reach[last], squares[last] - 2 * scores[end])
+    return owner, scores, names
 
 
 def _valid(vector: Column) -> Column:
@@ -212,18 +225,14 @@ def _in_block(ceiling: float):
 
     def run(key, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(block):
-            return pd.DataFrame({"query": [], "vec_id": [], "score": []}).astype({"query": "int64", "vec_id": "int64", "score": "float64"})
-        vectors = np.array(block["vector"].tolist(), np.float64)
-        tree, ids = KdTree(np.array(block["place"].tolist(), np.float64)), block["vec_id"].to_numpy(np.int64)
-        names, found, scores = [], [], []
-        for name, vector, place, reach in zip(queries["query"], queries["vector"], queries["place"], queries["reach"], strict=True):
-            query = np.asarray(vector, np.float64)
-            squares = float((query**2).sum()) + ceiling
-            score, near = search(tree, vectors, ids, query, np.asarray(place, np.float64), reach, squares)
-            names += [name] * len(near)
-            found += near.tolist()
-            scores += score.tolist()
-        return pd.DataFrame({"query": np.array(names, np.int64), "vec_id": np.array(found, np.int64), "score": np.array(scores, np.float64)})
+            return pd.DataFrame({"query": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        matrix = lambda column: np.array(column.tolist(), np.float64)
+        tree, asked = KdTree(matrix(block["place"])), matrix(queries["vector"])
+        owner, scores, ids = search(
+            tree, matrix(block["vector"]), block["vec_id"].to_numpy(np.int64), asked, matrix(queries["place"]),
+            queries["reach"].to_numpy(np.float64), (asked**2).sum(axis=1) + ceiling,
+        )
+        return pd.DataFrame({"query": queries["query"].to_numpy(np.int64)[owner], "vec_id": ids, "score": scores})
 
     return run
 

@@ -90,14 +90,33 @@ def test_chi_square_stop():
     assert ann.stop_factor(0.05, 8) == pytest.approx(15.507, abs=1e-2)
 
 
-def test_tree_gives_leaves_by_distance():
-    points = np.random.default_rng(1).standard_normal((500, ann.DIMENSIONS))
-    tree, seen, last = ann.KdTree(points), [], -1.0
-    for distance, rows in tree.leaves(np.zeros(ann.DIMENSIONS)):
-        assert distance >= last and ((points[rows] ** 2).sum(axis=1) >= distance - 1e-12).all()
-        last = distance
-        seen += rows.tolist()
-    assert sorted(seen) == list(range(500))
+def test_tree_bounds_the_distance_of_its_leaves():
+    rng = np.random.default_rng(1)
+    points, queries = rng.standard_normal((500, ann.DIMENSIONS)), rng.standard_normal((7, ann.DIMENSIONS))
+    tree = ann.KdTree(points)
+    assert sorted(np.concatenate(tree.rows).tolist()) == list(range(500)) and max(map(len, tree.rows)) <= ann.LEAF
+    for i, row in enumerate(tree.distances(queries)):
+        for bound, rows in zip(row, tree.rows):
+            assert (((points[rows] - queries[i]) ** 2).sum(axis=1) >= bound - 1e-12).all()
+
+
+def test_search_stops_early_on_clusters():
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 16)) * 4
+    x = centres[rng.integers(0, 40, 4000)] + 0.1 * rng.standard_normal((4000, 16))
+    x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
+    places = x @ ann.projection(17)[:-1]
+    tree = ann.KdTree(places)
+    asked = []
+    real = np.einsum
+    try:
+        np.einsum = lambda how, q, v: (asked.append(len(q) * len(v)), real(how, q, v))[1]
+        owner, scores, ids = ann.search(tree, x, np.arange(4000), x[:50], places[:50], np.full(50, np.inf), np.full(50, 2.0))
+    finally:
+        np.einsum = real
+    exact = np.argsort(-(x[:50] @ x.T), axis=1)[:, :20]
+    hit = np.mean([len(set(ids[owner == i]) & set(exact[i])) / 20 for i in range(50)])
+    assert hit >= 0.95 and sum(asked) < 0.5 * 50 * 4000
 
 
 def test_cells_within_a_ball():
