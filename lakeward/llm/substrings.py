@@ -137,7 +137,9 @@ def _earlier_in_first(passages: DataFrame) -> DataFrame:
     right = many.withColumn("r", F.col("tile")).withColumn("l", others).withColumn("side", F.lit(1)).select(*cells)
     key = F.when(F.col("shard") < 0, F.col("anchor")).otherwise(F.lit(0))
     rows = one.unionByName(left).unionByName(right).withColumn("hot", key)
-    return rows.groupBy("shard", "hot", "l", "r").applyInPandas(
+    # As many tasks as shards: by their bytes alone the shuffle would put many in one.
+    keys = ["shard", "hot", "l", "r"]
+    return rows.repartition(shards, *keys).groupBy(*keys).applyInPandas(
         _matches, "anchor long, run long, doc_id long, skip int, n int"
     )
 
