@@ -43,14 +43,15 @@ def thousands(n: Column | str) -> Column:
 
 
 def row_digest(df: DataFrame) -> Column:
-    """First 60 bits of the MD5 of a row's values, as a whole number."""
+    """The two halves of the MD5 of a row's values, as whole numbers (high, low)."""
     # Nulls and texts are told apart, and the unit separator keeps values apart.
     cells = [
         F.when(F.col(c).isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), F.col(c).cast("string")))
         for c in sorted(df.columns)
     ]
-    digest = F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15)
-    return F.conv(digest, 16, 10).cast("decimal(20,0)")
+    digest = F.md5(F.concat_ws("\x1f", *cells).cast("binary"))
+    half = lambda first: F.conv(F.substring(digest, first, 16), 16, 10).cast("decimal(20,0)")
+    return F.struct(half(1).alias("high"), half(17).alias("low"))
 
 
 def fingerprint(df: DataFrame, *group: str) -> DataFrame:
@@ -64,6 +65,8 @@ def fingerprint(df: DataFrame, *group: str) -> DataFrame:
         .groupBy(*group)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum("_digest").cast("decimal(38,0)").cast("string").alias("digest"),
+            F.concat_ws(
+                "-", *(F.sum(f"_digest.{half}").cast("decimal(38,0)").cast("string") for half in ("high", "low"))
+            ).alias("digest"),
         )
     )

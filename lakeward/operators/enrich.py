@@ -77,12 +77,36 @@ def rate_per(
     """Events, population and rate per `per` inhabitants, by place (and year).
 
     Events are counted first (or `weight`, an existing count, is summed), so the
-    join sees one row per place and year however many events one place has.
+    join sees one row per place and year however many events one place has. Places without a population
+    stay, with a null population and rate.
     """
     keys = [place] if year is None else [place, year]
     total = F.sum(weight) if weight else F.count(F.lit(1))
     counts = events.groupBy(*keys).agg(total.cast("bigint").alias("events"))
     rate = F.lit(float(per)) * F.col("events") / F.nullif(F.col(people), F.lit(0))
-    return counts.join(population, [k for k in keys if k in population.columns]).select(
+    return counts.join(population, [k for k in keys if k in population.columns], "left").select(
         *keys, "events", F.col(people).cast("bigint").alias("population"), F.round(rate, 2).alias("rate")
     )
+
+
+def rate_per_municipality(
+    events: DataFrame,
+    population: DataFrame,
+    code: str,
+    population_code: str,
+    year: str,
+    people: str = "population",
+    per: int = 100_000,
+) -> DataFrame:
+    """Rates by municipality and year where either side has codes of six or of seven digits.
+
+    Both are compared by their first six digits. Two codes of one year that share these would
+    add up two places, or one place twice, so they fail.
+    """
+    codes = population.groupBy(municipality(population_code).alias(code), year).agg(
+        F.sum(people).alias(people), F.count_distinct(population_code).alias("_codes")
+    )
+    message = F.concat(F.lit("several codes for municipality "), F.col(code), F.lit(" in "), F.col(year).cast("string"))
+    checked = F.when(F.col("_codes") > 1, F.raise_error(message)).otherwise(F.col(people))
+    whole = codes.withColumn(people, checked).drop("_codes")
+    return rate_per(events.withColumn(code, municipality(code)), whole, code, year, people, per)

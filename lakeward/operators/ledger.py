@@ -74,6 +74,27 @@ def ledger_upsert(ledger: DataFrame, delivered: DataFrame, key: str = "key", fin
     )
 
 
+def ledger_record(ledger: DataFrame, asked: DataFrame, done: DataFrame, key: str = "key", fingerprint: str = "fingerprint") -> DataFrame:
+    """Ledger after a run that asked for some files and read some of them well.
+
+    A file that could not be read leaves the ledger, so that it is tried again whatever its size.
+    """
+    blank = F.lit(None).cast(ledger.schema[fingerprint].dataType)
+
+    def side(df: DataFrame, name: str, mark) -> DataFrame:
+        return df.where(F.col(key).isNotNull()).select(F.upper(key).alias(key), mark.alias(fingerprint), F.lit(name).alias("side"))
+
+    mark = F.col(fingerprint)
+    sides = side(ledger, "known", mark).unionByName(side(asked, "asked", blank)).unionByName(side(done, "done", mark))
+    of = lambda name: F.max(F.when(F.col("side") == name, mark))
+    merged = sides.groupBy(key).agg(
+        of("known").alias("known"), of("done").alias("done"), F.bool_or(F.col("side") == "done").alias("is_done"),
+        F.bool_or(F.col("side") == "asked").alias("is_asked"),
+    )
+    kept = merged.where(F.col("is_done") | ~F.col("is_asked"))
+    return kept.select(key, F.when(F.col("is_done"), F.col("done")).otherwise(F.col("known")).alias(fingerprint))
+
+
 def ledger_replace_prefix(
     ledger: DataFrame, prefix: str, delivered: DataFrame, key: str = "key", fingerprint: str = "fingerprint"
 ) -> DataFrame:

@@ -1,127 +1,228 @@
-"""Month-partitioned tables: rewrite only the months that changed."""
+"""Month-partitioned tables: rewrite only the months that changed, once, and switch them at once.
+
+A table is a folder of written versions, ``data/table_version=N/<month>``, and a small
+published table that says in which version each month is. A write puts the new
+rows of its months into a new version and then publishes the next list of
+months. Readers follow the list, so they see all of a write or nothing of it; a
+run that dies before the list is published changes nothing. No file is moved
+or written twice.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeward.operators.ledger import ledger_upsert
+from lakeward.operators.ledger import ledger_record
 from lakeward.operators.merge import merge_by_key
 from lakeward.session import small_table
-from lakeward.sinks.tables import hadoop_path, path_exists, read_ledger, write_ledger
+from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_path, latest_version, publish_table, read_ledger, write_ledger
 
-LEDGER_BATCH = 10
-PENDING = "_pending"
+# Bytes of source files that are rebuilt in one job, before the ledger is written.
+BATCH_BYTES = 1 << 40
+MONTHS, DATA, VERSION = "_months", "data", "table_version"
+# The folder of rows whose key is no period, in place of a month, and the column with that key.
+REJECTED, REJECTED_KEY = "rejected", "_rejected_key"
+MONTHS_TYPE = pa.schema([("month", pa.string()), ("version", pa.int64()), ("schema", pa.string())])
+# Year, month or day.
+KEY_PATTERN = "^([0-9]{4}|[0-9]{6}|[0-9]{8})$"
 
 
-def write_months(
-    rows: DataFrame, path: str, *columns: str, whole: bool = False, clustered: bool = False
-) -> None:
-    """Replace the partitions that `rows` has; others stay as they are, unless
-    the `whole` folder is replaced (only then does Spark mark it as complete).
+@dataclass(frozen=True)
+class Written:
+    """Rows of the months written, and rows set aside because their key is no period."""
 
-    Rebalancing by the partition columns gives a small month one file and
-    splits a month that is far larger than the rest over several tasks. Rows
-    that already come month by month (`clustered`) are written where they are,
-    without that shuffle.
-    """
-    columns = columns or ("competencia",)
-    spread = rows if clustered else rows.hint("rebalance", *[F.col(c) for c in columns])
+    rows: int
+    rejected: int
+
+
+def is_period(column: str):
+    return F.coalesce(F.col(column).rlike(KEY_PATTERN), F.lit(False))
+
+
+def write_by_year(rows: DataFrame, path: str, column: str = "competencia") -> None:
+    """A plain layout, without versions: the months of a year in a folder of that year."""
     (
-        spread.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(*columns)
+        rows.withColumn("ano", F.substring(column, 1, 4))
+        .hint("rebalance", F.col("ano"), F.col(column))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy("ano", column)
         .parquet(path)
     )
 
 
-def write_by_year(rows: DataFrame, path: str, column: str = "competencia") -> None:
-    """The same table with the months of a year in a folder of that year."""
-    write_months(rows.withColumn("ano", F.substring(column, 1, 4)), path, "ano", column)
+# ---- the list of months --------------------------------------------------------
+
+
+def _listed(spark: SparkSession, path: str) -> dict[str, tuple[int, str]]:
+    """Month -> (version, schema), which a calendar bounds."""
+    folder = latest_version(spark, f"{path}/{MONTHS}")
+    if folder is None:
+        return {}
+    rows = spark.read.schema("month string, version bigint, schema string").parquet(folder).collect()
+    return {r["month"]: (r["version"], r["schema"]) for r in rows}
+
+
+def _months(listed: dict[str, tuple[int, str]]) -> dict[str, tuple[int, str]]:
+    return {m: at for m, at in listed.items() if not m.startswith(REJECTED)}
+
+
+def _publish_list(spark: SparkSession, path: str, months: dict[str, tuple[int, str]]) -> None:
+    rows = [{"month": m, "version": v, "schema": s} for m, (v, s) in sorted(months.items())]
+    publish_table(small_table(spark, rows, MONTHS_TYPE).coalesce(1), f"{path}/{MONTHS}")
 
 
 def month_folders(spark: SparkSession, path: str, column: str = "competencia") -> list[str]:
-    """Months that have a folder, from one listing of the table's root."""
+    """Months of the table, from its list."""
+    return sorted(_months(_listed(spark, path)))
+
+
+def current_months(spark: SparkSession, path: str, column: str = "competencia") -> dict[str, str]:
+    """The folder of each month in its current version; empty if `path` is no such table."""
+    listed = _months(_listed(spark, path))
+    return {m: f"{path}/{DATA}/{VERSION}={v}/{column}={m}" for m, (v, _) in sorted(listed.items())}
+
+
+def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of `column` that have a folder in `path`."""
     system, where = hadoop_path(spark, path)
     if not system.exists(where):
         return []
     names = [status.getPath().getName() for status in system.listStatus(where)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+
+
+def _version_folders(spark: SparkSession, path: str) -> list[int]:
+    return sorted(map(int, _folders(spark, f"{path}/{DATA}", VERSION)))
+
+
+def _united(schemas: Iterable[str]) -> T.StructType:
+    """The columns of all eras by name, in the order in which they first appear."""
+    fields: dict[str, T.StructField] = {}
+    for text in dict.fromkeys(schemas):
+        for field in T.StructType.fromJson(json.loads(text)):
+            known = fields.setdefault(field.name, T.StructField(field.name, field.dataType))
+            if known.dataType != field.dataType:
+                raise TypeError(f"column {field.name} is {known.dataType.simpleString()} and {field.dataType.simpleString()}")
+    return T.StructType(list(fields.values()))
 
 
 def read_months(
     spark: SparkSession, path: str, column: str = "competencia", months: list[str] | None = None
 ) -> DataFrame | None:
-    """The partitioned table, or some months of it, with its key as text.
+    """The table, or some months of it, with its key as text.
 
-    Columns may differ between eras, so schemas are merged; naming the months
-    limits the files that are listed and whose footers are read for that. None
+    The schemas of all eras stand in the list of months, so no footer is read to
+    plan a query, and naming months limits the folders that are opened. None
     where nothing was written.
     """
-    found = month_folders(spark, path, column)
-    if months is not None:
-        found = sorted(set(found) & set(months))
-    if not found:
+    listed = _months(_listed(spark, path))
+    wanted = sorted(set(listed) if months is None else set(listed) & set(months))
+    if not wanted:
         return None
-    folders = [path] if months is None else [f"{path}/{column}={m}" for m in found]
-    table = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders)
-    return table.withColumn(column, F.col(column).cast("string"))
+    schema = _united(listed[m][1] for m in wanted)
+    schema = schema.add(VERSION, T.LongType()).add(column, T.StringType())
+    folders = [f"{path}/{DATA}/{VERSION}={listed[m][0]}/{column}={m}" for m in wanted]
+    return spark.read.schema(schema).option("basePath", f"{path}/{DATA}").parquet(*folders).drop(VERSION)
 
 
 def month_list(periods: DataFrame, column: str) -> list[str]:
-    """Period keys (years, months or days) on the driver: a calendar bounds them."""
-    keys = periods.where(F.col(column).rlike("^([0-9]{4}|[0-9]{6}|[0-9]{8})$")).select(column).distinct()
-    return [row[0] for row in keys.orderBy(column).collect()]
+    """Period keys (years, months or days) on the driver: a calendar bounds them.
+
+    Other keys are no periods; `rebuild_partitions` sets their rows aside.
+    """
+    keys = periods.where(is_period(column)).select(column).distinct()
+    return sorted(row[0] for row in keys.collect())
 
 
-def drop_months(spark: SparkSession, path: str, months: list[str], column: str = "competencia") -> None:
-    for month in months:
-        system, where = hadoop_path(spark, f"{path}/{column}={month}")
-        system.delete(where, True)
+def drop_unlisted(spark: SparkSession, path: str, column: str = "competencia") -> int:
+    """Delete the month folders that the current list no longer names; returns how many.
 
+    For times without readers: a reader that planned with an older list still needs them.
+    """
+    listed, dropped = _listed(spark, path), 0
+    for version in _version_folders(spark, path):
+        folder = f"{path}/{DATA}/{VERSION}={version}"
+        months = _folders(spark, folder, column)
+        kept = {m for m, (v, _) in listed.items() if v == version}
+        kept |= {REJECTED} if f"{REJECTED}{version}" in listed else set()
+        system, where = hadoop_path(spark, folder)
+        for month in set(months) - kept:
+            system.delete(hadoop_path(spark, f"{folder}/{column}={month}")[1], True)
+            dropped += 1
+        if not kept:
+            system.delete(where, True)
+    return dropped
+
+
+# ---- writes --------------------------------------------------------------------
 
-def rebuild_partitions(
-    rows: DataFrame, months: list[str], path: str, column: str = "competencia", clustered: bool = False
-) -> int:
-    """Write the listed months anew from `rows`, which holds all their source rows.
 
-    A listed month without rows is removed: dynamic overwrite alone would leave
-    its old rows in place. Which months had rows, and how many rows there were,
-    is observed while they are written. Returns the number of rows.
+def _commit(rows: DataFrame, path: str, column: str, months: list[str] | None, clustered: bool) -> Written:
+    """Write rows as a new version and publish the list in which their months point to it.
+
+    `months` are replaced, also if they have no rows now; without it, those that `rows` has. Rows whose key is no
+    period go into a folder of their own beside the months of the version. How many rows there are is read from the footers.
     """
-    if not months:
-        return 0
-    seen = Observation()
-    wanted = rows.where(F.col(column).isin(months)).observe(
-        seen, F.collect_set(column).alias("months"), F.count(F.lit(1)).alias("rows")
+    spark = rows.sparkSession
+    version = max([0, *_version_folders(spark, path)]) + 1
+    folder = f"{path}/{DATA}/{VERSION}={version}"
+    valid = is_period(column)
+    if months is not None:
+        rows = rows.where(F.col(column).isin(months) | ~valid)
+    marked = rows.withColumn(REJECTED_KEY, F.when(~valid, F.col(column))).withColumn(
+        column, F.when(valid, F.col(column)).otherwise(REJECTED)
     )
-    write_months(wanted, path, column, clustered=clustered)
-    written = set(seen.get["months"])
-    drop_months(rows.sparkSession, path, [m for m in months if m not in written], column)
-    return seen.get["rows"]
+    # Rebalancing gives a small month one file and splits a month that is far
+    # larger than the rest; rows that come month by month stay where they are.
+    spread = marked if clustered else marked.hint("rebalance", F.col(column))
+    spread.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(column).parquet(folder)
+    counts: dict[str, int] = {}
+    if _folders(spark, folder, column):
+        written = spark.read.schema(T.StructType().add(column, T.StringType())).parquet(folder)
+        counts = {r[0]: r[1] for r in written.groupBy(column).count().collect()}
+    rejected = counts.pop(REJECTED, 0)
+    schema = T.StructType([f for f in rows.schema if f.name != column]).json()
+    listed, gone = _listed(spark, path), set(counts if months is None else months)
+    after = {m: at for m, at in listed.items() if m not in gone} | {m: (version, schema) for m in counts}
+    if rejected:
+        after[f"{REJECTED}{version}"] = (version, schema)
+    if after != listed:
+        _publish_list(spark, path, after)
+    return Written(sum(counts.values()), rejected)
 
 
-def rebuild_with_ledger(
-    rows: DataFrame,
-    files: DataFrame,
-    months: list[str],
-    path: str,
-    ledger_path: str,
-    column: str = "competencia",
-    batch: int = LEDGER_BATCH,
-) -> None:
-    """Rebuild months in batches; after each, record the files of its months.
+def write_months(rows: DataFrame, path: str, column: str = "competencia", clustered: bool = False) -> Written:
+    """Replace the months that `rows` has; others stay as they are."""
+    return _commit(rows, path, column, None, clustered)
+
+
+def rebuild_partitions(
+    rows: DataFrame, months: list[str], path: str, column: str = "competencia", clustered: bool = False
+) -> Written:
+    """Write the listed months anew from `rows`, which holds all their source rows.
 
-    `files` has key, fingerprint and the month column. Data is written before
-    the ledger, so a run that stops in between only repeats its last batch.
+    A listed month without rows is removed. Rows without a period as their key are set aside and counted.
     """
-    spark = rows.sparkSession
-    for first in range(0, len(months), batch):
-        part = months[first : first + batch]
-        rebuild_partitions(rows, part, path, column)
-        done = files.where(F.col(column).isin(part)).select("key", "fingerprint")
-        write_ledger(ledger_upsert(read_ledger(spark, ledger_path), done), ledger_path)
+    return _commit(rows, path, column, months, clustered) if months else Written(0, 0)
+
+
+def read_rejects(spark: SparkSession, path: str, column: str = "competencia") -> DataFrame | None:
+    """Rows that were set aside because their key is no period; None if there are none."""
+    aside = {v: s for m, (v, s) in _listed(spark, path).items() if m.startswith(REJECTED)}
+    if not aside:
+        return None
+    schema = _united(aside.values()).add(REJECTED_KEY, T.StringType())
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{DATA}/{VERSION}={v}/{column}={REJECTED}" for v in aside])
+    return rows.withColumnRenamed(REJECTED_KEY, column)
 
 
 def merge_partitions(
@@ -131,47 +232,60 @@ def merge_partitions(
     column: str = "competencia",
     delivered_files: DataFrame | None = None,
     clustered: bool = False,
-) -> int:
+) -> Written:
     """Merge a delivery by source, rewriting only the months it touches.
 
-    A source file belongs to one month, so all other folders are neither read
-    nor written. `delivered_files` (key and month columns) adds files without
-    rows. The merged months are first written whole to a pending folder of the
-    table and then take the place of the old ones; a run that stops in between
-    is finished by the next one. Months that are all new are written directly.
-    Returns the rows of the months written.
+    A source file belongs to one month, so all other months are neither read nor
+    written. `delivered_files` (key and month columns) adds files without rows. Delivered rows without
+    a period as their key are set aside and counted.
     """
     spark = delivered.sparkSession
-    apply_pending(spark, path, column)
     units = (delivered if delivered_files is None else delivered_files).select(key, column).distinct()
     months = month_list(units, column)
-    if not months:
-        return 0
     existing = read_months(spark, path, column, months)
     if existing is None:
-        return rebuild_partitions(delivered, months, path, column, clustered)
+        return _commit(delivered, path, column, months, clustered)
     merged = merge_by_key(existing, delivered, key, delivered_keys=units, as_text=False)
-    named = small_table(spark, [{column: m} for m in months], pa.schema([(column, pa.string())]))
-    named.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PENDING}/months")
-    write_months(merged, f"{path}/{PENDING}/rows", column, whole=True)
-    return apply_pending(spark, path, column)
-
-
-def apply_pending(spark: SparkSession, path: str, column: str = "competencia") -> int:
-    """Finish a merge whose months are written but not yet in place."""
-    pending = f"{path}/{PENDING}"
-    done = f"{pending}/rows/_SUCCESS"
-    if not path_exists(spark, done):
-        return 0
-    months = month_list(spark.read.parquet(f"{pending}/months"), column)
-    rows = read_months(spark, f"{pending}/rows", column)
-    if rows is None:
-        drop_months(spark, path, months, column)
-        written = 0
-    else:
-        written = rebuild_partitions(rows, months, path, column, clustered=True)
-    # The mark goes first: a folder that is half deleted must not be applied.
-    for part in (done, pending):
-        system, where = hadoop_path(spark, part)
-        system.delete(where, True)
-    return written
+    return _commit(merged, path, column, months, False)
+
+
+def month_batches(files: DataFrame, months: list[str], column: str, limit: int = BATCH_BYTES) -> list[list[str]]:
+    """The months in order, in batches whose files (column bytes) have about `limit` bytes."""
+    sizes = {r[0]: r[1] for r in files.where(F.col(column).isin(months)).groupBy(column).agg(F.sum("bytes")).collect()}
+    batches: list[list[str]] = []
+    size = limit
+    for month in months:
+        more = sizes.get(month) or 0
+        if not batches or size + more > limit:
+            batches.append([])
+            size = 0
+        batches[-1].append(month)
+        size += more
+    return batches
+
+
+def rebuild_with_ledger(
+    rows_of: Callable[[list[str]], tuple[DataFrame, DataFrame]],
+    files: DataFrame,
+    months: list[str],
+    path: str,
+    ledger_path: str,
+    column: str = "competencia",
+    batch_bytes: int = BATCH_BYTES,
+    clustered: bool = False,
+) -> Written:
+    """Rebuild months from their source files; after each batch, record its files.
+
+    `files` has key, fingerprint, bytes and the month column. `rows_of` gives, for some months, all their rows and the
+    files (key, fingerprint, month) that were read well; a month of which no file was read well stays as it is, and
+    only files that were read well enter the ledger. Data is written before the ledger, so a run that
+    stops in between only repeats its last batch.
+    """
+    spark, rows, rejected = files.sparkSession, 0, 0
+    for part in month_batches(files, months, column, batch_bytes):
+        read, done = rows_of(part)
+        written = rebuild_partitions(read, month_list(done, column), path, column, clustered)
+        rows, rejected = rows + written.rows, rejected + written.rejected
+        asked = files.where(F.col(column).isin(part))
+        write_ledger(ledger_record(read_ledger(spark, ledger_path), asked, done), ledger_path)
+    return Written(rows, rejected)

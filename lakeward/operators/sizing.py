@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lakeward.session import settled
+
 # Bound of a broadcast side: its text width plus a fixed cost per cell.
 BROADCAST_BYTES = 64 * 1024 * 1024
 _CELL_COST = 24
+# Tasks among which the rows of a hot key are spread.
+SALTS = 64
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Approximate in-memory size of a frame of scalar columns (one aggregate job)."""
+def _width(df: DataFrame) -> Column:
+    """Approximate bytes of a frame of scalar columns, as an aggregate."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + _CELL_COST for c in df.columns),
         F.lit(0),
     )
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
+    return F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Approximate in-memory size of a frame of scalar columns (one aggregate job)."""
+    return df.agg(_width(df)).first()[0]
+
+
+def settled_with_size(df: DataFrame) -> tuple[DataFrame, int]:
+    """The frame, written once, and its approximate size, which is observed while it is written."""
+    seen = Observation()
+    written = settled(df.observe(seen, _width(df).alias("bytes")), "side")
+    return written, seen.get["bytes"] or 0
 
 
 def join_small(
@@ -29,25 +45,33 @@ def join_small(
 ) -> DataFrame:
     """Join a large left side with a side that is expected, but not known, to be small.
 
-    Within `limit` bytes the right side is broadcast and the left side stays where
+    The right side is written and measured in one job. Within `limit` bytes it is broadcast and the left side stays where
     it is. Beyond it the join shuffles, but for the hot keys: a key with more rows
     than a fair share of a shuffle partition (there are fewer of those than
-    partitions) is joined with a broadcast of its few right rows, as are rows
+    partitions) is joined with a broadcast of its few right rows, or if these too are beyond the limit
+    with copies of them in several tasks, as are rows
     without a key, which all would meet in one task.
     """
     limit = BROADCAST_BYTES if limit is None else limit
-    if measured_bytes(right) <= limit:
+    right, size = settled_with_size(right)
+    if size <= limit:
         return left.join(F.broadcast(right), left_key == F.col(right_key), how)
     hot = _hot_keys(left.select(left_key.alias("k")))
     is_hot = left_key.isNull() | left_key.isin(hot)
-    hot_right = right.where(F.col(right_key).isin(hot))
-    if hot and measured_bytes(hot_right) <= limit:
-        hot_right = F.broadcast(hot_right)
-    parts = [
-        left.where(is_hot).join(hot_right, left_key == F.col(right_key), how),
-        left.where(~is_hot).join(right, left_key == F.col(right_key), how),
-    ]
-    return parts[0].unionByName(parts[1])
+    hot_left, hot_right = left.where(is_hot), right.where(F.col(right_key).isin(hot))
+    if hot and measured_bytes(hot_right) > limit:
+        met = _salted(hot_left, hot_right, left_key, right_key, how)
+    else:
+        met = hot_left.join(F.broadcast(hot_right), left_key == F.col(right_key), how)
+    return met.unionByName(left.where(~is_hot).join(right, left_key == F.col(right_key), how))
+
+
+def _salted(left: DataFrame, right: DataFrame, left_key: Column, right_key: str, how: str) -> DataFrame:
+    """A join whose left rows of one key are spread over SALTS tasks by a hash of the row, each with a copy of the right rows."""
+    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in left.columns)), F.lit(SALTS)).cast("int")
+    spread = left.withColumn("_salt", salt)
+    copies = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.join(copies, (left_key == F.col(right_key)) & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy")
 
 
 def _hot_keys(keys: DataFrame) -> list:

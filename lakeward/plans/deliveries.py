@@ -7,17 +7,18 @@ file such as ``PASP9703.dbc``. Each derivation has a column form and an SQL form
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeward.functions.periods import month_key_of
 from lakeward.sources.files import arrow_path
+from lakeward.sources.parquet import scan_parquet
 
 STATE_OF_PRIORITY = {"1": "SP", "2": "RJ", "3": "MG", "4": "BA", "5": "RS"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def state() -> Column:
@@ -109,33 +110,26 @@ def write_ragged_lines(lines: DataFrame, header: str, path: str, encoding: str)
     )
 
 
-def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str, name: str | None = None) -> None:
-    """Write rows as dBASE files, one per partition or one per value of `name`.
+def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str, claim: int = 0) -> None:
+    """Write rows as dBASE files, one per value of ``file``.
 
-    `df` has a column ``flag`` (blank, or ``*`` for a deleted record) and text
-    columns; `fields` lists (name, type, width). Numbers are right-aligned.
-    Records are counted first, so that tasks write headers ahead of the records
-    and hold one batch at a time.
+    `df` has a column ``flag`` (blank, or ``*`` for a deleted record), ``file`` and text
+    columns; `fields` lists (name, type, width). Numbers are right-aligned. Files whose header should name
+    `claim` records more than they hold look as if their transfer had broken off.
     """
     cells = [
         (F.lpad if kind == "N" else F.rpad)(F.coalesce(F.col(column), F.lit("")), width, " ")
         for column, kind, width in fields
     ]
-    record = F.concat(F.col("flag"), *cells).alias("record")
-    if name is None:
-        part = F.format_string("PART%05d.dbf", F.spark_partition_id())
-        records = df.select(part.alias("file"), record)
-    else:
-        records = df.select(F.col(name).alias("file"), record)
-    # One number per file to write. A join would not do: its exchange by file may
-    # be dropped at run time, and then several tasks would write one file.
-    sizes = {row["file"]: row["n"] for row in records.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
-    records = records.repartition("file").sortWithinPartitions("file")
+    # The header comes first and names the number of records; the window brings them together.
+    n = F.count(F.lit(1)).over(Window.partitionBy("file"))
+    records = df.select("file", F.concat(F.col("flag"), *cells).alias("record")).withColumn("n", n)
 
     def write(batches):
         import struct
 
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         width = 1 + sum(w for _, _, w in fields)
         descriptors = b"".join(
@@ -153,14 +147,18 @@ def write_dbf(df: DataFrame, fields: list[tuple[str, str, int]], path: str, name
 
         for batch in batches:
             total += batch.num_rows
-            for file, line in zip(batch.column("file").to_pylist(), batch.column("record").to_pylist()):
+            runs = pc.run_end_encode(batch.column("file"))
+            first = 0
+            for file, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
                 if file != current:
                     close()
                     current = file
                     out = system.open_output_stream(f"{folder}/{file}")
-                    out.write(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, sizes[file], 33 + len(descriptors), width))
+                    held = batch.column("n")[first].as_py() + claim
+                    out.write(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, held, 33 + len(descriptors), width))
                     out.write(descriptors + b"\r")
-                out.write(line.encode("latin-1"))
+                out.write("".join(batch.column("record").slice(first, end - first).to_pylist()).encode("latin-1"))
+                first = end
         close()
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
 

@@ -28,7 +28,7 @@ from lakeward.plans.deliveries import (
     table,
     tagged_orders,
 )
-from lakeward.session import scratch_path
+from lakeward.session import scratch_path, settled
 from lakeward.sinks.tables import publish_table, read_ledger, read_published, write_ledger
 
 MONEY = "decimal(18,2)"
@@ -189,12 +189,16 @@ def rebuild_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SQL_LISTING}
     SELECT upper(key) AS key, fingerprint FROM files WHERE period BETWEEN '199609' AND '199812'""")
 def rebuild_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger after a backfill in batches of ten months."""
+    """The ledger after a backfill, whose batches are cut by the bytes of their files."""
     orders = tagged_orders(spark, sf_dir).select("o_orderkey", F.col("period").alias("competencia"), "cents")
-    files = listing(spark, sf_dir).withColumnRenamed("period", "competencia")
+    files = settled(listing(spark, sf_dir).withColumnRenamed("period", "competencia").withColumn("bytes", F.col("rows") * 100), "files")
     months = month_list(files.where("competencia between '199609' and '199812'"), "competencia")
     target, ledger = scratch_path(spark, "backfill"), scratch_path(spark, "backfill-ledger")
-    rebuild_with_ledger(orders, files, months, target, ledger)
+
+    def rows_of(part: list[str]) -> tuple[DataFrame, DataFrame]:
+        return orders, files.where(F.col("competencia").isin(part))
+
+    rebuild_with_ledger(rows_of, files, months, target, ledger)
     return read_ledger(spark, ledger)
 
 

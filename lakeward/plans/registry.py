@@ -77,19 +77,19 @@ _SIM = [
     ("sim_causas_externas_cid9", "SIM - Causas Externas, CID-9 (1979-1995)", "declaracoes_de_obito_causas_externas_cid9",
      NameRule("sim_causas_externas_cid9", "DOEXT", "none", "year", 79, 1979, 1995)),
     ("sim_causas_externas_cid10", "SIM - Causas Externas, CID-10 (1996-atual)", "declaracoes_de_obito_causas_externas_cid10",
-     NameRule("sim_causas_externas_cid10", "DOEXT", "none", "year", 90, 1996, None)),
+     NameRule("sim_causas_externas_cid10", "DOEXT", "none", "year", 79, 1996, None)),
     ("sim_dofet_cid9", "SIM - Óbitos Fetais, CID-9 (1979-1995)", "declaracoes_de_obito_fetais_cid9",
      NameRule("sim_dofet_cid9", "DOFET", "none", "year2", 79, 1979, 1995)),
     ("sim_dofet_cid10", "SIM - Óbitos Fetais, CID-10 (1996-atual)", "declaracoes_de_obito_fetais_cid10",
-     NameRule("sim_dofet_cid10", "DOFET", "none", "year2", 90, 1996, None)),
+     NameRule("sim_dofet_cid10", "DOFET", "none", "year2", 79, 1996, None)),
     ("sim_doinf_cid9", "SIM - Óbitos Infantis, CID-9 (1979-1995)", "declaracoes_de_obito_infantis_cid9",
      NameRule("sim_doinf_cid9", "DOINF", "none", "year2", 79, 1979, 1995)),
     ("sim_doinf_cid10", "SIM - Óbitos Infantis, CID-10 (1996-atual)", "declaracoes_de_obito_infantis_cid10",
-     NameRule("sim_doinf_cid10", "DOINF", "none", "year2", 90, 1996, None)),
+     NameRule("sim_doinf_cid10", "DOINF", "none", "year2", 79, 1996, None)),
     ("sim_domat", "SIM - Óbitos Maternos (1996-atual)", "declaracoes_de_obito_maternos_cid10",
-     NameRule("sim_domat", "DOMAT", "none", "year2", 90, 1996, None)),
+     NameRule("sim_domat", "DOMAT", "none", "year2", 79, 1996, None)),
     ("sim_dorext", "SIM - Mortalidade de Residentes no Exterior (2013-atual)", "declaracoes_de_obito_residentes_exterior_cid10",
-     NameRule("sim_dorext", "DOREXT", "none", "year2", 90, 2013, None)),
+     NameRule("sim_dorext", "DOREXT", "none", "year2", 79, 2013, None)),
 ]
 
 SOURCES: list[Source] = [

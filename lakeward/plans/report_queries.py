@@ -14,9 +14,13 @@ from lakeward.operators.enrich import (
     rate_per,
     unmapped_folders,
 )
+from lakeward.operators.enrich import rate_per_municipality as municipality_rates
+from lakeward.operators.partitions import write_months
 from lakeward.plans import registry
 from lakeward.plans.catalog import query
-from lakeward.plans.deliveries import SQL_LISTING, listing, table, tagged_orders
+from lakeward.plans.deliveries import SQL_LISTING, SQL_TAGGED, listing, table, tagged_orders
+from lakeward.session import scratch_path
+from lakeward.sinks.tables import hadoop_path, publish_table, publish_text
 from lakeward.sources.files import scan_file_inventory, scan_row_counts
 
 
@@ -237,9 +241,73 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("name", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
 
 
-@query()
+def _small_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake with a monthly table of two versions, published tables (one revised, one without rows, one with an
+    unfinished version), a text, and a folder that no source has and whose name needs care."""
+    lake = scratch_path(spark, "lake")
+    orders = tagged_orders(spark, sf_dir).select("o_orderkey", "cents", "uf", "period")
+    months = orders.select("o_orderkey", "cents", F.col("period").alias("competencia"))
+    write_months(months, f"{lake}/sia/producao_ambulatorial")
+    write_months(months.where("competencia >= '200001' and o_orderkey % 2 = 0"), f"{lake}/sia/producao_ambulatorial")
+    publish_table(orders, f"{lake}/cnes/leitos")
+    publish_table(orders.where("uf = 'SP'"), f"{lake}/cnes/leitos")
+    publish_table(orders.where("uf = 'RJ'"), f"{lake}/sih/aih_reduzida")
+    unfinished = publish_table(orders, f"{lake}/sih/aih_reduzida")
+    system, mark = hadoop_path(spark, f"{unfinished}/_SUCCESS")
+    system.delete(mark, False)
+    publish_table(orders.where("false"), f"{lake}/sim/declaracoes_de_obito_cid9")
+    publish_text(orders.select(F.col("uf").alias("value")), f"{lake}/ibge/microdados_pns_2013.txt")
+    publish_table(table(spark, sf_dir, "customer"), f"{lake}/outros dados 100%/notas")
+    return lake
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> cat.LakeReports:
+    return cat.lake_reports(
+        spark, _small_lake(spark, sf_dir), "sia/producao_ambulatorial", registry.FILE_FRAGMENTS,
+        registry.source_dimension(spark), registry.FOLDER_SOURCES,
+    )
+
+
+@query(f"""WITH {SQL_TAGGED}
+    SELECT 'cnes' AS diretorio, 'cnes/leitos' AS tabela, 'CNES - Leitos' AS nome_fonte, count(*) AS num_registros FROM tagged WHERE uf = 'SP'
+    UNION ALL SELECT 'sih', 'sih/aih_reduzida', 'SIH/SUS - AIH Reduzida', count(*) FROM tagged WHERE uf = 'RJ'
+    UNION ALL SELECT 'sim', 'sim/declaracoes_de_obito_cid9', 'SIM - Declaração de Óbito, CID-9 (1979-1995)', 0
+    UNION ALL SELECT 'ibge', 'ibge/microdados_pns_2013.txt', 'PNS/IBGE 2013 - Microdados Brutos', NULL
+    UNION ALL SELECT 'outros dados 100%', 'outros dados 100%/notas', '(não mapeado no registro)', count(*) FROM customer""")
 def file_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes and times belong to the files, so there is no SQL for this one."""
-    return cat.file_catalogue(
-        spark, sf_dir, registry.FILE_FRAGMENTS, registry.source_dimension(spark), registry.FOLDER_SOURCES
+    """The catalogue of a whole lake by table. Numbers of files, sizes and times belong to the files."""
+    return _reports(spark, sf_dir).tables.select("diretorio", "tabela", "nome_fonte", "num_registros")
+
+
+@query(f"""WITH {SQL_TAGGED},
+    years AS (SELECT CAST(substr(period, 1, 4) AS INTEGER) AS ano, count(DISTINCT period) AS meses, max(period) AS p, count(*) AS num_registros
+              FROM tagged WHERE period < '200001' OR o_orderkey % 2 = 0 GROUP BY 1)
+    SELECT ano, concat(substr(p, 5, 2), '/', substr(p, 1, 4)) AS ultima_competencia, num_registros,
+           CAST(sum(num_registros) OVER (ORDER BY ano) AS BIGINT) AS registros_acumulado, meses
+    FROM years""")
+def lake_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly table by year, from its files in the lake, with the months that it has."""
+    reports = _reports(spark, sf_dir)
+    profile = reports.profile.select("ano", "ultima_competencia", "num_registros", "registros_acumulado")
+    return profile.join(reports.coverage.select("ano", "meses"), "ano")
+
+
+@query(f"""WITH {SQL_TAGGED},
+    coded AS (SELECT year(o_orderdate) AS ano, c_nationkey AS nk FROM orders JOIN customer ON o_custkey = c_custkey),
+    ev AS (SELECT CAST(350000 + nk AS VARCHAR) AS codigo, ano, count(*) AS events FROM coded GROUP BY 1, 2),
+    pop AS (SELECT CAST(350000 + c_nationkey AS VARCHAR) AS codigo, count(*) AS population FROM customer GROUP BY 1)
+    SELECT ev.codigo, CAST(ev.ano AS INTEGER) AS ano, events, population, round(CAST(100000 AS DOUBLE) * events / population, 2) AS rate
+    FROM ev LEFT JOIN pop ON ev.codigo = pop.codigo AND ev.ano <> 1998""")
+def rate_per_municipality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with seven digits or six, populations the other way round, and a year without populations."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") + 350000).cast("string").alias("six"), "c_nationkey")
+    odd = F.col("c_nationkey") % 2 == 1
+    seven = F.concat("six", F.lit("8"))
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("ano"))
+    events = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.when(odd, seven).otherwise(F.col("six")).alias("codigo"), "ano"
     )
+    people = customer.groupBy(F.when(odd, F.col("six")).otherwise(seven).alias("place")).agg(F.count(F.lit(1)).alias("population"))
+    years = orders.select("ano").distinct().where("ano <> 1998")
+    population = people.withColumn("ano", F.explode(F.lit([r["ano"] for r in years.collect()])))
+    return municipality_rates(events, population, "codigo", "place", "ano")

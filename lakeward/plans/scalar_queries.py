@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.functions import fields, report, text
-from lakeward.functions.periods import full_year, month_label, pivot_year, year_span
+from lakeward.functions.periods import full_year, month_key_of, month_label, pivot_year, year_span
 from lakeward.operators.conform import align_to, clean_column_names, conform, exclude_columns, union_by_name
 from lakeward.operators.ledger import dedup_case_insensitive
 from lakeward.operators.names import (
@@ -76,18 +76,28 @@ def char_class_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""WITH names AS (SELECT DISTINCT concat('DOEXT', strftime(o_orderdate, '%y'), '.DBC') AS name FROM orders),
-    years AS (SELECT name, CAST(substr(name, 6, 2) AS INTEGER) AS aa FROM names)
-    SELECT name, CASE WHEN aa >= 79 AND aa <= 95 THEN 'sim_causas_externas_cid9' ELSE 'sim_causas_externas_cid10' END AS source,
-           CAST(CASE WHEN aa >= 79 THEN 1900 + aa ELSE 2000 + aa END AS INTEGER) AS year FROM years""",
+# Two-digit years of the deaths from 1979 on, in four kinds of files; the maternal ones begin in 1996.
+_SQL_ERAS = """WITH parts AS (SELECT DISTINCT (o_orderkey * 7 + year(o_orderdate)) % 42 + 1979 AS ano FROM orders),
+    kinds AS (SELECT unnest(['DOEXT', 'DOFET', 'DOINF', 'DOMAT']) AS kind),
+    names AS (SELECT concat(kind, lpad(CAST(ano % 100 AS VARCHAR), 2, '0'), '.DBC') AS name, kind, ano
+              FROM parts CROSS JOIN kinds WHERE kind <> 'DOMAT' OR ano >= 1996)"""
+
+
+@query(f"""{_SQL_ERAS}
+    SELECT name, CASE kind WHEN 'DOMAT' THEN 'sim_domat' ELSE
+             concat('sim_', CASE kind WHEN 'DOEXT' THEN 'causas_externas' WHEN 'DOFET' THEN 'dofet' ELSE 'doinf' END,
+                    CASE WHEN ano <= 1995 THEN '_cid9' ELSE '_cid10' END) END AS source,
+           CAST(ano AS INTEGER) AS year FROM names""",
        name="year_bounds")
 def eras_of_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each name belongs to one era; maternal files of earlier years to none."""
     orders = table(spark, sf_dir, "orders")
-    names = orders.select(
-        F.concat(F.lit("DOEXT"), F.date_format("o_orderdate", "yy"), F.lit(".DBC")).alias("name")
-    ).distinct()
+    year = (F.col("o_orderkey") * 7 + F.year("o_orderdate")) % 42 + 1979
+    kinds = F.explode(F.array(*map(F.lit, ("DOEXT", "DOFET", "DOINF", "DOMAT"))))
+    years = orders.select(year.alias("ano")).distinct().select("ano", kinds.alias("kind"))
+    name = F.concat("kind", F.lpad((F.col("ano") % 100).cast("string"), 2, "0"), F.lit(".DBC"))
     rules = rule_table(spark, registry.name_rules())
-    return classify_names(names, rules).select("name", "source", "year")
+    return classify_names(years.select(name.alias("name")), rules).select("name", "source", "year")
 
 
 @query("""WITH y AS (SELECT o_orderkey, CAST(strftime(o_orderdate, '%y') AS INTEGER) AS aa FROM orders),
@@ -362,17 +372,18 @@ def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_column_names(table(spark, sf_dir, "region").toDF("cod\x00", " nome "))
 
 
-@query("""SELECT strftime(o_orderdate, '%Y%m') AS period, count(*) AS n_rows,
-        CAST(CAST(sum(CAST(('0x' || substr(md5(concat_ws(chr(31), 'v' || CAST(o_custkey AS VARCHAR), 'v' || CAST(o_orderkey AS VARCHAR),
-            'v' || o_orderstatus)), 1, 15)) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS digest
-    FROM orders GROUP BY 1""")
-def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order-free content digest per month."""
-    orders = tagged_orders(spark, sf_dir)
-    cells = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
-    digests = orders.select("period", report.row_digest(cells).alias("digest"))
-    return digests.groupBy("period").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("digest").cast("decimal(38,0)").cast("string").alias("digest")
-    )
+_SQL_CELLS = ", ".join(
+    f"'v' || CAST({c} AS VARCHAR)"
+    for c in ("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "strftime(o_orderdate, '%Y%m')")
+)
 
 
+@query(f"""WITH rows AS (SELECT strftime(o_orderdate, '%Y%m') AS period, md5(concat_ws(chr(31), {_SQL_CELLS})) AS h FROM orders)
+    SELECT period, count(*) AS n_rows,
+           concat(CAST(sum(CAST(('0x' || substr(h, 1, 16)) AS UBIGINT)) AS VARCHAR), '-',
+                  CAST(sum(CAST(('0x' || substr(h, 17, 16)) AS UBIGINT)) AS VARCHAR)) AS digest
+    FROM rows GROUP BY 1""")
+def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order-free digest of all columns per month."""
+    orders = table(spark, sf_dir, "orders").withColumn("period", month_key_of("o_orderdate"))
+    return report.fingerprint(orders, "period")

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.periods import month_key_of
 from lakeward.operators.conform import tag_file
-from lakeward.operators.partitions import read_months, write_months
+from lakeward.operators.partitions import merge_partitions, read_months, read_rejects, write_months
 from lakeward.plans import registry
 from lakeward.plans.catalog import query
 from lakeward.plans.deliveries import SQL_TAGGED, table, tagged_orders, write_dbf, write_ragged_lines
-from lakeward.plans.ingest import consolidate_folder, ingest_merge, ingest_months
+from lakeward.plans.ingest import consolidate_folder, ingest_merge, ingest_months, ingest_snapshot, ingest_years
 from lakeward.session import scratch_path
 from lakeward.sinks.tables import publish_counted, publish_table, publish_text, read_published, write_csv
 from lakeward.sources.dbf import LINEAGE, scan_dbf
-from lakeward.sources.delimited import scan_csv_union_by_header, scan_delimited, scan_delimited_with_rejects
+from lakeward.sources.delimited import (
+    scan_csv_union_by_header,
+    scan_delimited,
+    scan_delimited_files,
+    scan_delimited_with_rejects,
+)
 from lakeward.sources.files import scan_file_inventory
 from lakeward.sources.json_arrays import POPULATION_COLUMNS, picked_rows, scan_answers, scan_header_first_json
 from lakeward.sources.parquet import scan_month_range
@@ -93,8 +98,8 @@ def consolidate_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     write_csv(orders.where("municipio in ('SP', 'RJ')"), f"{landing}/one")
     write_csv(orders.where("municipio not in ('SP', 'RJ')").select("valor", "fase", "municipio", "codigo"), f"{landing}/two")
-    write_csv(consolidate_folder(spark, landing, drop="municipio"), output)
-    back = spark.read.option("header", True).csv(output)
+    rows, _ = consolidate_folder(spark, landing, drop="municipio")
+    back = spark.read.option("header", True).csv(write_csv(rows, output))
     return back.select(
         F.col("codigo").cast("bigint").alias("codigo"), "fase", F.col("valor").cast("bigint").alias("valor")
     )
@@ -103,8 +108,7 @@ def consolidate_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, lang, text FROM documents", name="write_csv")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes, separators and line breaks inside fields survive."""
-    path = scratch_path(spark, "csv")
-    write_csv(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), path)
+    path = write_csv(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), scratch_path(spark, "csv"))
     return (
         spark.read.option("header", True)
         .option("multiLine", True)
@@ -208,12 +212,13 @@ def _dbf_folder(spark: SparkSession, sf_dir: str) -> str:
         F.concat(F.lit("É "), F.substring("o_orderpriority", 3, 14)).alias("URG"),
         F.when(first == "3", F.lit("00000000")).otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias("DATA"),
         F.when(first == "1", "T").when(first == "4", "?").otherwise("n").alias("PRIMEIRO"),
+        F.regexp_replace("file", r"\.dbc$", ".dbf").alias("file"),
     )
     path = scratch_path(spark, "dbf")
-    # One era has a column less.
-    old = [f for f in _FIELDS if f[0] != "CLIENTE"]
-    write_dbf(rows.where("DATA < '19980101' and DATA <> '00000000'").repartition(3), old, f"{path}/old")
-    write_dbf(rows.where("DATA >= '19980101' or DATA = '00000000'").repartition(2), _FIELDS, f"{path}/new")
+    # One era has a column less and writes a name in small letters.
+    old = [(name.lower() if name == "VALOR" else name, *more) for name, *more in _FIELDS if name != "CLIENTE"]
+    write_dbf(rows.where("DATA < '19980101' and DATA <> '00000000'"), old, f"{path}/old")
+    write_dbf(rows.where("DATA >= '19980101' or DATA = '00000000'"), _FIELDS, f"{path}/new")
     return path
 
 
@@ -226,7 +231,7 @@ def _dbf_folder(spark: SparkSession, sf_dir: str) -> str:
            CASE k WHEN '1' THEN 'True' WHEN '4' THEN NULL ELSE 'False' END AS PRIMEIRO, true AS tagged
     FROM o""", name="scan_dbf")
 def dbf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two eras of dBASE files with deleted records, read in small record ranges."""
+    """Two eras of dBASE files with deleted records, and with a name in other letters, read in small record ranges."""
     files = scan_file_inventory(spark, _dbf_folder(spark, sf_dir), glob="*.dbf")
     rows = scan_dbf(files, range_records=20_000).rows
     return rows.withColumn("tagged", F.col(LINEAGE).isNotNull()).drop(LINEAGE)
@@ -237,12 +242,11 @@ def dbf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(sum(CASE WHEN uf = 'RS' THEN 0 ELSE 1 END) AS BIGINT) AS records
     FROM tagged GROUP BY 1""")
 def quarantine_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files with a field type that no reader knows are set aside with their error."""
+    """Files that end before their last record are set aside with their error."""
     orders = _dbf_orders(spark, sf_dir)
     path = scratch_path(spark, "dbf-bad")
-    broken = [(name, "Q" if name == "CHAVE" else kind, width) for name, kind, width in _PRICE_FIELDS]
-    write_dbf(orders.where("uf = 'RS'"), broken, f"{path}/bad", name="file")
-    write_dbf(orders.where("uf <> 'RS'"), _PRICE_FIELDS, f"{path}/good", name="file")
+    write_dbf(orders.where("uf = 'RS'"), _PRICE_FIELDS, f"{path}/bad", claim=1)
+    write_dbf(orders.where("uf <> 'RS'"), _PRICE_FIELDS, f"{path}/good")
     scan = scan_dbf(scan_file_inventory(spark, path, glob="*.dbf"))
     kept = scan.accepted.select(F.lit("accepted").alias("outcome"), "records")
     bad = scan.rejected.where("error is not null").select(F.lit("rejected").alias("outcome"), F.lit(0).alias("records"))
@@ -280,13 +284,13 @@ def _two_deliveries(spark: SparkSession, sf_dir: str, take) -> None:
     orders = _dbf_orders(spark, sf_dir)
     again = "uf = 'MG' and substring(period, 1, 4) = '2000'"
     first, second = scratch_path(spark, "delivery-1"), scratch_path(spark, "delivery-2")
-    write_dbf(orders.where("uf <> 'SP'"), _PRICE_FIELDS, first, name="file")
+    write_dbf(orders.where("uf <> 'SP'"), _PRICE_FIELDS, first)
     take(first)
     # A month is rebuilt from all its files, so the unchanged ones are there too.
-    write_dbf(orders.where(f"not ({again})"), _PRICE_FIELDS, second, name="file")
+    write_dbf(orders.where(f"not ({again})"), _PRICE_FIELDS, second)
     dearer = (F.col("VALOR").cast("decimal(18,2)") + 1).cast("decimal(18,2)").cast("string")
     wider = [(name, kind, width + 2) for name, kind, width in _PRICE_FIELDS]
-    write_dbf(orders.where(again).withColumn("VALOR", dearer), wider, second, name="file")
+    write_dbf(orders.where(again).withColumn("VALOR", dearer), wider, second)
     take(second)
 
 
@@ -295,7 +299,7 @@ def ingest_months_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries of the monthly source, rebuilt month by month from its ledger."""
     lake = scratch_path(spark, "lake")
     rule = registry.get_source("sia_pa").rule
-    _two_deliveries(spark, sf_dir, lambda landing: ingest_months(spark, landing, lake, "pa", rule, batch=40))
+    _two_deliveries(spark, sf_dir, lambda landing: ingest_months(spark, landing, lake, "pa", rule))
     return read_months(spark, f"{lake}/pa/pa")
 
 
@@ -308,6 +312,141 @@ def ingest_merge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_months(spark, f"{lake}/sia/pa")
 
 
+# ---- deliveries with broken files ----------------------------------------------
+
+_BROKEN = "uf = 'SP' and substring(period, 1, 4) = '2000'"
+_SQL_PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+# All but the broken files are dearer in the second delivery.
+_SQL_BROKEN = f"""CAST(o_orderkey AS VARCHAR) AS CHAVE,
+           CAST(CAST(CASE WHEN uf = 'SP' AND substr(period, 1, 4) = '2000' THEN {_SQL_PRICE} ELSE {_SQL_PRICE} + 1 END
+                     AS DECIMAL(18,2)) AS VARCHAR) AS VALOR,
+           o_orderstatus AS SITUACAO, upper(file) AS _ARQUIVO_ORIGEM"""
+
+
+def _dearer(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("VALOR", (F.col("VALOR").cast("decimal(18,2)") + 1).cast("decimal(18,2)").cast("string"))
+
+
+def _broken_delivery(spark: SparkSession, sf_dir: str, take) -> None:
+    """All files; then all again, dearer and wider, but for those of one state and year, which are broken."""
+    orders = _dbf_orders(spark, sf_dir)
+    first, second = scratch_path(spark, "whole"), scratch_path(spark, "broken")
+    write_dbf(orders, _PRICE_FIELDS, first)
+    take(first)
+    wider = [(name, kind, width + 2) for name, kind, width in _PRICE_FIELDS]
+    write_dbf(_dearer(orders.where(f"not ({_BROKEN})")), wider, second)
+    write_dbf(_dearer(orders.where(_BROKEN)), wider, second, claim=3)
+    take(second)
+
+
+@query(f"""WITH {SQL_TAGGED} SELECT {_SQL_BROKEN}, period AS competencia FROM tagged""")
+def months_with_broken_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months are rebuilt from the files that can be read; a broken file keeps its earlier rows."""
+    lake, rule = scratch_path(spark, "lake"), registry.get_source("sia_pa").rule
+    _broken_delivery(spark, sf_dir, lambda landing: ingest_months(spark, landing, lake, "pa", rule))
+    return read_months(spark, f"{lake}/pa/pa")
+
+
+@query(f"""WITH {SQL_TAGGED} SELECT {_SQL_BROKEN.replace("'2000'", "'2001'")} FROM tagged
+    WHERE period = (SELECT max(period) FROM tagged)""")
+def snapshot_with_broken_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot keeps the state whose revised file is broken."""
+    lake, rule = scratch_path(spark, "lake"), registry.get_source("sia_pa").rule
+    orders = _dbf_orders(spark, sf_dir).where("period >= '200101'")
+    first, second = scratch_path(spark, "whole"), scratch_path(spark, "broken")
+    write_dbf(orders, _PRICE_FIELDS, first)
+    ingest_snapshot(spark, first, lake, "cnes", "pa", rule)
+    wider = [(name, kind, width + 2) for name, kind, width in _PRICE_FIELDS]
+    write_dbf(_dearer(orders.where("uf <> 'SP'")), wider, second)
+    write_dbf(_dearer(orders.where("uf = 'SP'")), wider, second, claim=3)
+    ingest_snapshot(spark, second, lake, "cnes", "pa", rule)
+    return read_published(spark, f"{lake}/cnes/pa")
+
+
+@query(f"""WITH {_SQL_PEOPLE}
+    SELECT CAST(nk AS VARCHAR) AS COD_MUNICIPIO, CASE WHEN nk <> 7 THEN n_name END AS NOME_MUNICIPIO,
+           CAST(ano AS INTEGER) AS ANO, CAST(CASE WHEN ano = 1998 THEN n ELSE n * 2 END AS VARCHAR) AS POPULACAO_ESTIMADA
+    FROM people JOIN nation ON n_nationkey = nk""")
+def years_with_broken_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the years that come again one is an error page: it keeps its earlier rows."""
+    lake = scratch_path(spark, "lake")
+    labels = {"D1C": "Município (Código)", "D1N": "Município", "V": "Valor"}
+    answers = spark.read.text(_answers(spark, sf_dir, labels), wholetext=True)
+    doubled = F.transform(
+        F.from_json("value", "array<map<string,string>>"),
+        lambda row, i: F.when(i == 0, row).otherwise(
+            F.transform_values(row, lambda k, v: F.when(k == "V", (v.cast("bigint") * 2).cast("string")).otherwise(v))
+        ),
+    )
+    page = F.when(F.col("ano") == 1998, F.lit("<html>Service unavailable</html>")).otherwise(F.to_json(doubled))
+    for delivery in (answers, answers.withColumn("value", page)):
+        landing = scratch_path(spark, "answers")
+        # The year stands in the folder's name here, and ends the path as the file's name does elsewhere.
+        delivery.select("value", F.concat(F.col("ano").cast("string"), F.lit(".json")).alias("nome")).write.partitionBy("nome").text(landing)
+        ingest_years(spark, landing, lake, "ibge", "populacao_estimada", "*.txt", _NAMED_YEAR)
+    return read_published(spark, f"{lake}/ibge/populacao_estimada")
+
+
+_NAMED_YEAR = r"nome=([0-9]{4})\.json/"
+
+
+@query(f"""WITH {SQL_TAGGED}
+    SELECT CASE WHEN uf IN ('SP', 'RJ') THEN 'rejected' ELSE period END AS competencia, count(*) AS n FROM tagged GROUP BY 1""")
+def rows_without_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose key is no month are set aside and counted, not lost."""
+    orders = tagged_orders(spark, sf_dir)
+    bad = F.when(F.col("uf") == "SP", F.concat(F.substring("period", 1, 4), F.lit("-"), F.substring("period", 5, 2)))
+    key = F.when(F.col("uf").isin("SP", "RJ"), bad).otherwise(F.col("period"))
+    target = scratch_path(spark, "no-period")
+    merge_partitions(orders.select("o_orderkey", F.col("file").alias(LINEAGE), key.alias("competencia")), target)
+    kept = read_months(spark, target).select("competencia")
+    aside = read_rejects(spark, target).select(F.lit("rejected").alias("competencia"))
+    return kept.unionByName(aside).groupBy("competencia").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH {SQL_TAGGED}
+    SELECT CAST(o_orderkey AS VARCHAR) AS CHAVE,
+           CAST(CASE WHEN uf = 'BA' THEN 'X' ELSE o_orderstatus END AS VARCHAR) AS SITUACAO, upper(file) AS _ARQUIVO_ORIGEM
+    FROM tagged""")
+def same_size_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one state come again in the same size with another content."""
+    lake, rule = scratch_path(spark, "lake"), registry.get_source("sia_pa").rule
+    orders = _dbf_orders(spark, sf_dir)
+    first, second = scratch_path(spark, "size-1"), scratch_path(spark, "size-2")
+    write_dbf(orders, _PRICE_FIELDS, first)
+    again = F.when(F.col("uf") == "BA", "X").otherwise(F.col("SITUACAO"))
+    write_dbf(orders.withColumn("SITUACAO", again), _PRICE_FIELDS, second)
+    for landing in (first, second):
+        ingest_merge(spark, landing, lake, "sia", "pa", rule, by_content=True)
+    return read_months(spark, f"{lake}/sia/pa").select("CHAVE", "SITUACAO", LINEAGE)
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS codigo, lang AS idioma, source AS origem FROM documents""")
+def two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files with their columns in another order: each is read by its own header."""
+    path = scratch_path(spark, "headers")
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("codigo"), "lang", "source")
+    even = (F.col("codigo").cast("bigint") % 2) == 0
+    write_ragged_lines(documents.where(even).select(F.concat_ws(";", "codigo", "lang", "source")), "codigo;idioma;origem", f"{path}/a", "ISO-8859-1")
+    write_ragged_lines(documents.where(~even).select(F.concat_ws(";", "source", "codigo", "lang")), "origem;codigo;idioma", f"{path}/b", "ISO-8859-1")
+    return scan_delimited(spark, path)
+
+
+@query("""SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'rejected' ELSE 'read' END AS outcome, count(*) AS n
+    FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1""")
+def quarantine_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a field too many are set aside with their error, and so is a file in another encoding."""
+    path = scratch_path(spark, "csv-bad")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    line = F.concat_ws(";", "c_custkey", F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("x;y")).otherwise(F.lit("x")))
+    write_ragged_lines(customer.where("c_mktsegment <> 'MACHINERY'").select(line), "codigo;nome", f"{path}/good", "UTF-8")
+    write_ragged_lines(customer.where("c_mktsegment = 'MACHINERY'").select(line), "c\xf3digo;nome", f"{path}/bad", "ISO-8859-1")
+    rows, aside = scan_delimited_files(spark, scan_file_inventory(spark, path), encoding="UTF-8")
+    lines = aside.where(F.startswith("error", F.lit("malformed line"))).select(F.lit("rejected").alias("outcome"))
+    every = rows.select(F.lit("read").alias("outcome")).unionByName(lines)
+    return every.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS chave, CAST(o_custkey AS VARCHAR) AS cliente, o_orderstatus AS situacao,
         strftime(o_orderdate, '%Y%m%d') AS data FROM orders""")
 def raw_text_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,8 +459,7 @@ def raw_text_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyyMMdd"),
         F.lit("  "),
     )
-    path = scratch_path(spark, "microdata")
-    publish_text(orders.select(line.alias("value")), path)
+    path = publish_text(orders.select(line.alias("value")), scratch_path(spark, "microdata"))
     layout = [("chave", 1, 12), ("cliente", 13, 10), ("situacao", 23, 1), ("data", 24, 8)]
     cut = apply_layout(scan_raw_text(spark, path), layout)
     return cut.select(*[F.trim(c).alias(c) for c in cut.columns])
@@ -400,10 +538,11 @@ def tag_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT event_id, strftime(ts, '%Y%m%d') AS competencia, user_id FROM events""",
        name="stream_append_new_files")
 def events_as_they_arrive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event files taken in several micro-batches, each replacing the days it touches."""
+    """Event files of two folders with the same names, taken in several micro-batches, each replacing the days it touches."""
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "arrived")
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    events.repartition(4, "user_id").write.parquet(landing)
+    folder = F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd")
+    events.withColumn("pasta", folder).write.partitionBy("pasta").parquet(landing)
     stream_append_new_files(
         spark,
         landing,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,18 +39,30 @@ def small_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> Dat
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name under the folder that the cluster sets aside for checkpoints.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own, which goes with the process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{_scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_base(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_scratch.get(context.applicationId)
         if base is None:
             base = tempfile.mkdtemp(prefix="lakeward-")
             _local_scratch[context.applicationId] = base
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return f"{base.rstrip('/')}/lakeward-{context.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, when no frame that reads them is needed any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_base(spark))
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def settled(df: DataFrame, label: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lakeward.session import small_table
 
+MAX_RECORDS_PER_FILE = 5_000_000
 LEDGER_TYPE = pa.schema([("key", pa.string()), ("fingerprint", pa.int64())])
 
 
@@ -47,10 +48,21 @@ def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/v{version:08d}"
 
 
-def publish_table(df: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
+def next_version(spark: SparkSession, path: str) -> str:
+    """The folder of a version that nobody has begun. Of two runs that choose the same one, the second fails."""
+    taken = versions(spark, path, committed=False)
+    return version_path(path, (taken[-1] if taken else 0) + 1)
+
+
+def latest_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the latest committed version, or None before the first publication."""
+    done = versions(spark, path)
+    return version_path(path, done[-1]) if done else None
+
+
+def publish_table(df: DataFrame, path: str, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
     """Write a new version of the table at `path`; returns the folder written."""
-    taken = versions(df.sparkSession, path, committed=False)
-    target = version_path(path, (taken[-1] if taken else 0) + 1)
+    target = next_version(df.sparkSession, path)
     df.write.option("maxRecordsPerFile", max_records_per_file).parquet(target)
     return target
 
@@ -64,8 +76,8 @@ def publish_counted(df: DataFrame, path: str) -> int:
 
 def read_published(spark: SparkSession, path: str) -> DataFrame | None:
     """Latest committed version, or None before the first publication."""
-    done = versions(spark, path)
-    return spark.read.parquet(version_path(path, done[-1])) if done else None
+    folder = latest_version(spark, path)
+    return spark.read.parquet(folder) if folder else None
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
@@ -77,22 +89,26 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
     return len(old)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Comma-separated files with a header in each."""
-    df.write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
+def write_csv(df: DataFrame, path: str) -> str:
+    """Comma-separated files with a header in each, as a new version; returns its folder."""
+    target = next_version(df.sparkSession, path)
+    df.write.option("header", True).option("escape", '"').csv(target)
+    return target
 
 
-def publish_text(lines: DataFrame, path: str) -> None:
-    """Raw lines as they are."""
-    lines.select("value").write.mode("overwrite").text(path)
+def publish_text(lines: DataFrame, path: str) -> str:
+    """Raw lines as they are, as a new version; returns its folder."""
+    target = next_version(lines.sparkSession, path)
+    lines.select("value").write.text(target)
+    return target
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger (key, fingerprint), empty before the first write."""
-    ledger = read_published(spark, path)
-    if ledger is None:
+    folder = latest_version(spark, path)
+    if folder is None:
         return small_table(spark, [], LEDGER_TYPE)
-    return ledger.select(F.col("key"), F.col("fingerprint").cast("bigint"))
+    return spark.read.schema("key string, fingerprint bigint").parquet(folder)
 
 
 def write_ledger(ledger: DataFrame, path: str) -> None:

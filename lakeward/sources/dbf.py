@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.functions.fields import is_plain_number, to_date, to_logical, tolerant_number
@@ -23,7 +23,6 @@ RECORDS_PER_RANGE = 250_000
 RECORDS_PER_BATCH = 50_000
 TASK_BYTES = 128 * 1024 * 1024
 RANGE_COST = 4 * 1024 * 1024
-MAX_TASKS = 50_000
 LINEAGE = "_ARQUIVO_ORIGEM"
 
 HEADER_TYPE = (
@@ -32,6 +31,15 @@ HEADER_TYPE = (
 )
 
 
+@dataclass
+class DbfHeaders:
+    """The layouts of files that can be read, those set aside, and the types under which each column occurs."""
+
+    good: DataFrame
+    rejected: DataFrame
+    kinds: dict[str, set[str]]
+
+
 @dataclass
 class DbfScan:
     """Rows of the readable files; one row per file read; one row per file set aside."""
@@ -68,9 +76,8 @@ def scan_headers(files: DataFrame) -> DataFrame:
                 item = descriptors[at : at + 32]
                 if item[0] == 0x0D:
                     break
-                kind = chr(item[11])
-                if kind not in kinds:
-                    raise ValueError(f"field type {kind!r} is not supported")
+                # Other types (memo pointers, binary numbers) stay as they are written.
+                kind = chr(item[11]) if chr(item[11]) in kinds else "C"
                 name = item[:11].split(b"\x00", 1)[0].decode("latin-1")
                 fields.append({"name": name, "kind": kind, "first": first, "width": item[16]})
                 first += item[16]
@@ -117,7 +124,7 @@ def _decode_ranges(
 
         for batch in batches:
             for item in batch.to_pylist():
-                cut = {clean_name(f["name"]): f for f in item["fields"]}
+                cut = {_column(f["name"]): f for f in item["fields"]}
                 present = [c for c in columns if c in cut]
                 record = np.dtype(
                     {
@@ -149,6 +156,51 @@ def _decode_ranges(
     return ranges.mapInArrow(read, schema)
 
 
+def read_headers(files: DataFrame) -> DbfHeaders:
+    """The headers of an inventory (path, bytes), read once; columns are known by their upper-case name."""
+    headers = settled(scan_headers(files), "dbf-headers")
+    good = headers.where(F.col("error").isNull())
+    # One row per distinct (field, type), in order of first position.
+    fields = (
+        good.select(F.explode("fields").alias("f"))
+        .groupBy(F.col("f.name").alias("name"), F.col("f.kind").alias("kind"))
+        .agg(F.min("f.first").alias("first"))
+        .collect()
+    )
+    kinds: dict[str, set[str]] = {}
+    for field in sorted(fields, key=lambda f: (f["first"], f["name"])):
+        kinds.setdefault(_column(field["name"]), set()).add(field["kind"])
+    rejected = headers.where(F.col("error").isNotNull())
+    return DbfHeaders(good, rejected.select("path", file_name("path").alias("name"), "bytes", "error"), kinds)
+
+
+def _column(name: str) -> str:
+    return clean_name(name).upper()
+
+
+def _dealt(ranges: DataFrame, order_by: str | None) -> DataFrame:
+    """Record ranges in tasks of about TASK_BYTES each, neighbours together.
+
+    The cost of the ranges before each one, in the order of the files, gives its task: summed
+    within a value of `order_by`, such as a month, after the totals of the values before, which a calendar bounds.
+    """
+    if order_by is None:
+        n_tasks = ranges.agg(F.ceil(F.sum("cost") / TASK_BYTES)).first()[0] or 1
+        return ranges.repartitionByRange(int(n_tasks), "path", "start")
+    totals = ranges.groupBy(order_by).agg(F.sum("cost").alias("cost")).collect()
+    before, offset = 0, {}
+    for row in sorted(totals, key=lambda r: (r[0] is not None, r[0])):
+        offset[row[0]] = before
+        before += row["cost"]
+    starts = F.lit(offset.pop(None, 0))
+    if offset:
+        known = F.create_map(*[F.lit(x) for pair in offset.items() for x in pair])
+        starts = F.coalesce(F.try_element_at(known, F.col(order_by)), starts)
+    so_far = F.sum("cost").over(Window.partitionBy(order_by).orderBy("path", "start")) - F.col("cost")
+    placed = ranges.withColumn("task", F.floor((starts + so_far) / TASK_BYTES).cast("int"))
+    return placed.repartitionById(before // TASK_BYTES + 1, "task")
+
+
 def scan_dbf(
     files: DataFrame,
     columns: list[str] | None = None,
@@ -157,6 +209,7 @@ def scan_dbf(
     encoding: str = "latin-1",
     range_records: int = RECORDS_PER_RANGE,
     batch_records: int = RECORDS_PER_BATCH,
+    headers: DbfHeaders | None = None,
 ) -> DbfScan:
     """Union by name of the dBASE files of an inventory: conformed text, tagged by file.
 
@@ -164,48 +217,32 @@ def scan_dbf(
     that each row gets from its file; the lineage is the file name unless the
     inventory has it. `order_by` names a column of the inventory, such as the
     month: tasks then read neighbouring files, so that their rows can be written
-    by month without a shuffle. Deleted records are left out. Dates come as
+    by month without a shuffle. `headers` are those of these files and perhaps others, where they were read before. Deleted records are left out. Names are
+    compared and shown in upper case. Dates come as
     ``YYYY-MM-DD``, logicals as ``True``/``False``, numbers as written; a name
     whose type differs between files stays as written.
     """
     if LINEAGE not in files.columns:
         files = files.withColumn(LINEAGE, file_name("path"))
-    headers = settled(scan_headers(files), "dbf-headers")
-    good = headers.where(F.col("error").isNull())
+    headers = headers or read_headers(files)
     extra = list(dict.fromkeys([*carry, *([order_by] if order_by else [])]))
-    known = good.join(files.select("path", *extra), "path")
-
-    # One row per distinct (field, type), in order of first position.
-    fields = (
-        good.select(F.explode("fields").alias("f"))
-        .groupBy(F.col("f.name").alias("name"), F.col("f.kind").alias("kind"))
-        .agg(F.min("f.first").alias("first"))
-        .orderBy("first", "name")
-        .collect()
-    )
-    kinds: dict[str, set[str]] = {}
-    for field in fields:
-        kinds.setdefault(clean_name(field["name"]), set()).add(field["kind"])
-    names = [n for n in kinds if columns is None or n in columns]
+    known = headers.good.join(files.select("path", *extra), "path")
+    names = [n for n in headers.kinds if columns is None or n in columns]
 
     # Ranges of small files share tasks: each counts as a few megabytes at least.
-    n_ranges = F.ceil(F.col("records") / range_records)
-    cost = F.greatest(F.col("bytes"), n_ranges * RANGE_COST)
-    n_tasks = good.agg(F.ceil(F.sum(cost) / TASK_BYTES)).first()[0] or 1
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.lit(range_records).cast("bigint"))
     ranges = (
         known.where("records > 0")
         .select(*extra, "path", "header_length", "record_length", "fields", "records", F.explode(starts).alias("start"))
         .withColumn("count", F.least(F.lit(range_records).cast("bigint"), F.col("records") - F.col("start")))
-        .repartitionByRange(min(int(n_tasks), MAX_TASKS), *([order_by] if order_by else []), "path", "start")
+        .withColumn("cost", F.greatest(F.col("count") * F.col("record_length"), F.lit(RANGE_COST)).cast("bigint"))
     )
-    decoded = _decode_ranges(ranges, names, list(carry), encoding, batch_records)
+    decoded = _decode_ranges(_dealt(ranges, order_by), names, list(carry), encoding, batch_records)
+    of_files = files.select("path")
     return DbfScan(
-        rows=decoded.select(*[_published_text(n, kinds[n]).alias(n) for n in names], *carry),
-        accepted=good.select("path", file_name("path").alias("name"), "bytes", "records"),
-        rejected=headers.where(F.col("error").isNotNull()).select(
-            "path", file_name("path").alias("name"), "bytes", "error"
-        ),
+        rows=decoded.select(*[_published_text(n, headers.kinds[n]).alias(n) for n in names], *carry),
+        accepted=headers.good.join(of_files, "path", "left_semi").select("path", file_name("path").alias("name"), "bytes", "records"),
+        rejected=headers.rejected.join(of_files, "path", "left_semi"),
     )
 
 

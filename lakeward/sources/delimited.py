@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 from functools import reduce
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.operators.conform import union_by_name
-from lakeward.sources.files import path_list, scan_file_inventory, scan_first_lines
+from lakeward.session import settled
+from lakeward.sources.files import scan_file_inventory, scan_first_lines
 
 REJECT = "_corrupt_record"
 
@@ -26,26 +28,23 @@ def _reader(spark: SparkSession, sep: str, encoding: str):
     )
 
 
-def scan_delimited(
-    spark: SparkSession,
-    paths: str | Iterable[str],
-    sep: str = ";",
-    encoding: str = "ISO-8859-1",
-) -> DataFrame:
-    """All-text table of files with one header; lines with too few or too many
-    fields are dropped. A UTF-8 byte-order mark is not part of the first name."""
-    return _reader(spark, sep, encoding).option("mode", "DROPMALFORMED").csv(path_list(paths))
+def files_by_header(files: DataFrame, encoding: str) -> tuple[dict[str, list[str]], DataFrame]:
+    """Paths of an inventory by their header line, and the files set aside (path, name, bytes, error).
 
+    Spark takes the first header for all files, so only files with the same one may be
+    read together. Files without any line hold nothing and are in neither.
+    """
+    heads = settled(scan_first_lines(files, encoding).join(files.select("path", "name", "bytes"), "path"), "headers")
+    groups: dict[str, list[str]] = {}
+    # File names only, as many as the listing already holds.
+    for head in heads.where("error is null and line <> ''").orderBy("path").select("path", "line").toLocalIterator():
+        groups.setdefault(head["line"], []).append(head["path"])
+    return groups, heads.where("error is not null").select("path", "name", "bytes", "error")
 
-def scan_delimited_with_rejects(
-    spark: SparkSession,
-    paths: str | Iterable[str],
-    sep: str = ";",
-    encoding: str = "ISO-8859-1",
-) -> tuple[DataFrame, DataFrame]:
-    """The same table, and beside it the lines set aside: (file, line)."""
-    paths = path_list(paths)
-    names = _reader(spark, sep, encoding).csv(paths).schema.names
+
+def _lines(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of files with one header, and their malformed lines (path, line)."""
+    names = _reader(spark, sep, encoding).csv(paths[0]).schema.names
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, REJECT]])
     # This condition always holds. It makes every query use every column, without
     # which Spark does not fill the reject column.
@@ -57,45 +56,115 @@ def scan_delimited_with_rejects(
         .schema(schema)
         .csv(paths)
         .where(uses_all)
-        .withColumn("_file", F.col("_metadata.file_name"))
+        .withColumn("_path", F.col("_metadata.file_path"))
     )
-    good = lines.where(F.col(REJECT).isNull()).drop(REJECT, "_file")
-    rejected = lines.where(F.col(REJECT).isNotNull()).select(
-        F.col("_file").alias("file"), F.col(REJECT).alias("line")
-    )
-    return good, rejected
+    good = lines.where(F.col(REJECT).isNull()).drop(REJECT, "_path")
+    return good, lines.where(F.col(REJECT).isNotNull()).select(F.col("_path").alias("path"), F.col(REJECT).alias("line"))
 
 
-def scan_csv_union_by_header(
+def scan_delimited_files(
+    spark: SparkSession, files: DataFrame, sep: str = ";", encoding: str = "ISO-8859-1"
+) -> tuple[DataFrame | None, DataFrame]:
+    """All-text rows of an inventory, united by the names in each file's header, and what was set
+    aside: (path, name, bytes, error), one row per malformed line or file that cannot be read.
+
+    The rows are None if no file has a header. A UTF-8 byte-order mark is not part of the first name.
+    """
+    groups, unread = files_by_header(files, encoding)
+    parts = [_lines(spark, paths, sep, encoding) for paths in groups.values()]
+    nothing = spark.range(0).select(F.lit("").alias("path"), F.lit("").alias("line"))
+    bad = reduce(DataFrame.unionByName, [lines for _, lines in parts], nothing)
+    named = bad.select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("name"), F.octet_length("line").cast("bigint").alias("bytes"),
+        F.concat(F.lit("malformed line: "), "line").alias("error"),
+    )
+    rows = reduce(lambda a, b: union_by_name(a, b, as_text=False), [good for good, _ in parts]) if parts else None
+    return rows, unread.unionByName(named)
+
+
+def scan_delimited(
     spark: SparkSession,
     paths: str | Iterable[str],
-    sep: str = ",",
-    encoding: str = "UTF-8",
-    infer: bool = True,
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
 ) -> DataFrame:
-    """Files whose headers differ, united by column name.
+    """All-text table of files, by the names in their headers; lines with too few or too many
+    fields are left out (`scan_delimited_with_rejects` gives them too)."""
+    return scan_delimited_with_rejects(spark, paths, sep, encoding)[0]
+
 
-    Spark takes the first header for all files, so files are grouped by their
-    header line and each group is read on its own. Types are inferred over each
-    whole group; a name with different types becomes text.
+def scan_delimited_with_rejects(
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    sep: str = ";",
+    encoding: str = "ISO-8859-1",
+) -> tuple[DataFrame, DataFrame]:
+    """The same table, and beside it the lines set aside: (file, line). A file that cannot be read fails."""
+    rows, aside = scan_delimited_files(spark, scan_file_inventory(spark, paths), sep, encoding)
+    prefix = "malformed line: "
+    lost = aside.where(~F.startswith("error", F.lit(prefix))).first()
+    if lost:
+        raise OSError(f"{lost['path']}: {lost['error']}")
+    if rows is None:
+        raise ValueError(f"no header in {paths}")
+    return rows, aside.select(F.col("name").alias("file"), F.substring(F.col("error"), len(prefix) + 1, 1 << 30).alias("line"))
+
+
+# Types in the order in which they are tried, each with the texts that it takes.
+_TYPES = [
+    ("int", r"^[+-]?[0-9]+$"),
+    ("bigint", r"^[+-]?[0-9]+$"),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}"),
+    ("boolean", r"^(?i)(true|false)$"),
+]
+
+
+def with_inferred_types(rows: DataFrame) -> DataFrame:
+    """Text columns as the first type that takes all their values, found in one pass over all rows; text if none does."""
+    fits = [
+        F.bool_and(F.when(F.col(f"`{c}`").isNotNull(), F.col(f"`{c}`").rlike(pattern) & F.col(f"`{c}`").try_cast(kind).isNotNull()))
+        for c in rows.columns
+        for kind, pattern in _TYPES
+    ]
+    found = iter(rows.agg(*[f.alias(f"t{i}") for i, f in enumerate(fits)]).first())
+    kinds = {c: next((k for k, ok in [(k, next(found)) for k, _ in _TYPES] if ok), "string") for c in rows.columns}
+    return rows.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()])
+
+
+def scan_csv_union_with_rejects(
+    spark: SparkSession, paths: str | Iterable[str], sep: str = ",", encoding: str = "UTF-8", infer: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files whose headers differ, united by column name, and the files set aside (path, name, bytes, error).
+
+    Files are grouped by their header line, whose names are the columns of the group as text.
+    Types are inferred once, over the union.
     """
-    files = scan_file_inventory(spark, paths, glob="*.csv")
-    heads = scan_first_lines(files, encoding)
-    # File names only, as many as the listing above already holds.
-    groups: dict[str, list[str]] = {}
-    for head in heads.orderBy("path").toLocalIterator():
-        if head["error"]:
-            raise OSError(f"{head['path']}: {head['error']}")
-        if head["line"]:
-            groups.setdefault(head["line"], []).append(head["path"])
+    groups, unread = files_by_header(scan_file_inventory(spark, paths, glob="*.csv"), encoding)
     if not groups:
         raise ValueError(f"no readable CSV file in {paths}")
-    tables = [
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("inferSchema", infer)
-        .csv(group)
-        for group in groups.values()
-    ]
-    return reduce(lambda left, right: union_by_name(left, right, as_text=False), tables)
+    tables = []
+    for header, group in groups.items():
+        names = next(csv.reader([header], delimiter=sep))
+        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)])
+        tables.append(
+            spark.read.option("sep", sep).option("header", True).option("encoding", encoding).schema(schema).csv(group)
+        )
+    rows = reduce(lambda left, right: union_by_name(left, right, as_text=False), tables)
+    return (with_inferred_types(rows) if infer else rows), unread
+
+
+def scan_csv_union_by_header(
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    infer: bool = True,
+) -> DataFrame:
+    """The same table; a file that cannot be read fails."""
+    rows, aside = scan_csv_union_with_rejects(spark, paths, sep, encoding, infer)
+    lost = aside.first()
+    if lost:
+        raise OSError(f"{lost['path']}: {lost['error']}")
+    return rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.functions.text import file_name
@@ -30,6 +30,11 @@ def scan_file_inventory(
     )
 
 
+def plain_path(encoded: Column) -> Column:
+    """A `_metadata.file_path`, in which some characters are encoded, as listings show it."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def content_hashes(
     spark: SparkSession, paths: str | Iterable[str], glob: str | None = None
 ) -> DataFrame:
@@ -51,9 +56,8 @@ def scan_row_counts(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
         .option("mergeSchema", False)
         .parquet(*path_list(paths))
     )
-    return table.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    counts = table.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.select(plain_path(F.col("path")).alias("path"), "rows")
 
 
 def arrow_path(path: str):

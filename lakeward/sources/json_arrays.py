@@ -15,17 +15,38 @@ from lakeward.functions.text import normalize_label, regex_group
 from lakeward.sources.files import path_list
 
 ANSWER_TYPE = "array<map<string,string>>"
+# Fixed value: where the year stands in a file name.
+YEAR_PATTERN = r"_([0-9]{4})\.json$"
 
 
 def scan_answers(
-    spark: SparkSession, paths: str | Iterable[str], year_pattern: str = r"_([0-9]{4})\.json$"
+    spark: SparkSession, paths: str | Iterable[str], year_pattern: str = YEAR_PATTERN
 ) -> DataFrame:
-    """One row per file: its year (from the path) and its parsed array."""
+    """One row per file: its path, year (from the path) and parsed array, or the error for which it is set aside."""
     text = spark.read.option("wholetext", True).text(path_list(paths))
-    return text.select(
+    found = text.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("bytes"),
         regex_group(F.col("_metadata.file_path"), year_pattern).cast("int").alias("ANO"),
         F.from_json("value", ANSWER_TYPE).alias("answer"),
     )
+    labels = F.try_element_at("answer", F.lit(1))
+    error = (
+        F.when(F.col("ANO").isNull(), "no year in the name")
+        .when(F.col("answer").isNull(), "not an array of JSON objects")
+        .when(labels.isNull() | (F.size(labels) == 0), "no element with labels")
+    )
+    return found.withColumn("error", error)
+
+
+def read_well(answers: DataFrame) -> DataFrame:
+    return answers.where("error is null")
+
+
+def set_aside(answers: DataFrame) -> DataFrame:
+    """(path, name, bytes, error) of the answers that tell nothing about their year."""
+    name = F.element_at(F.split("path", "/"), -1)
+    return answers.where("error is not null").select("path", name.alias("name"), "bytes", "error")
 
 
 def _data_elements(answers: DataFrame, *keep: str) -> DataFrame:
@@ -86,10 +107,14 @@ POPULATION_COLUMNS = {
 }
 
 
-def scan_population(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    rows = picked_rows(scan_answers(spark, paths), POPULATION_COLUMNS)
+def population_rows(answers: DataFrame) -> DataFrame:
+    rows = picked_rows(read_well(answers), POPULATION_COLUMNS)
     return rows.select("COD_MUNICIPIO", "NOME_MUNICIPIO", "ANO", "POPULACAO_ESTIMADA")
 
 
+def scan_population(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    return population_rows(scan_answers(spark, paths))
+
+
 def scan_header_first_json(spark: SparkSession, paths: str | Iterable[str], **options) -> DataFrame:
-    return labelled_rows(scan_answers(spark, paths, **options))
+    return labelled_rows(read_well(scan_answers(spark, paths, **options)))

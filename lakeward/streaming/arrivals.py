@@ -8,12 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.operators.partitions import merge_partitions
+from lakeward.session import settled
 from lakeward.sources.dbf import LINEAGE
+from lakeward.sources.files import plain_path
+
+
+def _below(landing: str) -> Column:
+    """The path of a row's file below the landing folder."""
+    path = plain_path(F.col("_metadata.file_path"))
+    folder = "/" + landing.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
+    return F.substring_index(path, folder, -1)
 
 
 def stream_append_new_files(
@@ -27,19 +36,20 @@ def stream_append_new_files(
 ) -> None:
     """Take all files that arrived since the last call, then stop.
 
-    `period` adds the month column ``competencia``. Each micro-batch merges by
-    source file, so a batch that is run again after a failure replaces what its
-    first attempt wrote.
+    `period` adds the month column ``competencia``; rows without a period are set aside in the
+    table's reject folder. A file is known by its path below the landing folder. Each micro-batch is written
+    once before it is used, and merges by source file, so a batch that is run again
+    after a failure replaces what its first attempt wrote.
     """
     arrivals = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files)
         .parquet(landing)
-        .withColumn(LINEAGE, F.col("_metadata.file_name"))
+        .withColumn(LINEAGE, _below(landing))
     )
 
     def take(batch: DataFrame, _: int) -> None:
-        merge_partitions(period(batch), target)
+        merge_partitions(settled(period(batch), "arrivals"), target)
 
     (
         arrivals.writeStream.foreachBatch(take)

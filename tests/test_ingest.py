@@ -6,11 +6,13 @@ import json
 
 import pytest
 
+from lakeward import session
 from lakeward.operators import catalogue as cat
 from lakeward.operators.partitions import month_folders, read_months
 from lakeward.plans import registry
-from lakeward.plans.ingest import ingest, ingest_budget, ingest_months, ledger_path, table_path
-from lakeward.sinks.tables import read_ledger, read_published
+from lakeward.plans.ingest import ingest, ingest_budget, ingest_months, ledger_path, table_path, tidy_lake
+from lakeward.session import clear_scratch, settled
+from lakeward.sinks.tables import latest_version, read_ledger, read_published
 from lakeward.sources.dbf import LINEAGE
 from tests.conftest import dbf_bytes, rows_of
 
@@ -22,8 +24,8 @@ def deliver(folder, name, *ids, fields=FIELDS):
     (folder / name).write_bytes(dbf_bytes(fields, [[i, "1", *["e"] * (len(fields) - 2)] for i in ids]))
 
 
-def keys(spark, lake, folder):
-    return {r["key"] for r in read_ledger(spark, ledger_path(lake, folder)).collect()}
+def keys(spark, lake, folder, table):
+    return {r["key"] for r in read_ledger(spark, ledger_path(lake, folder, table)).collect()}
 
 
 def test_merge_source(spark, tmp_path):
@@ -38,7 +40,7 @@ def test_merge_source(spark, tmp_path):
     assert rows_of(read_months(spark, table).select("ID", LINEAGE)) == [
         ("a", "RDSP0801.DBC"), ("b", "RDSP0801.DBC"), ("c", "RDRJ0801.DBC"),
     ]
-    assert keys(spark, lake, "sih") == {"RDSP0801.DBC", "RDRJ0801.DBC"}
+    assert keys(spark, lake, "sih", "aih_reduzida") == {"RDSP0801.DBC", "RDRJ0801.DBC"}
 
     # The broken file is tried again; nothing else is.
     (outcome,) = ingest(spark, "sih_rd", str(landing), lake)
@@ -58,9 +60,10 @@ def test_merge_source(spark, tmp_path):
     (outcome,) = ingest(spark, "sih_rd", str(landing), lake)
     assert not outcome.changed
 
-    # Another source of the same folder shares the ledger but not the table.
+    # Another source of the same folder has a table and a ledger of its own.
     ingest(spark, "sih_sp", str(landing), lake)
-    assert "SPSP0801.DBC" in keys(spark, lake, "sih") and len(keys(spark, lake, "sih")) == 5
+    assert keys(spark, lake, "sih", "servicos_profissionais") == {"SPSP0801.DBC"}
+    assert len(keys(spark, lake, "sih", "aih_reduzida")) == 4
 
 
 def test_snapshot_source(spark, tmp_path):
@@ -74,19 +77,66 @@ def test_snapshot_source(spark, tmp_path):
     deliver(landing, "LTSP2602.dbf", "s")
     deliver(landing, "LTRJ2602.dbf", "r")
     ingest(spark, "cnes_leitos", str(landing), lake)
-    assert keys(spark, lake, "cnes") == {"LTSP2602.DBC", "LTRJ2602.DBC"}
+    assert keys(spark, lake, "cnes", "leitos") == {"LTSP2602.DBC", "LTRJ2602.DBC"}
     # One state alone is revised: the snapshot still holds every state.
     deliver(landing, "LTSP2602.dbf", "s1", "s2")
     ingest(spark, "cnes_leitos", str(landing), lake)
     assert rows_of(read_published(spark, table).select("ID")) == [("r",), ("s1",), ("s2",)]
 
+    # A broken revision keeps the state's rows and is tried again; without any file that can be read nothing changes.
+    deliver(landing, "LTRJ2602.dbf", "r1")
+    (landing / "LTSP2602.dbf").write_bytes(dbf_bytes(FIELDS, [["s3", "1"]])[:-8])
+    (outcome,) = ingest(spark, "cnes_leitos", str(landing), lake)
+    assert [r["name"] for r in outcome.rejected.collect()] == ["LTSP2602.dbf"]
+    assert rows_of(read_published(spark, table).select("ID")) == [("r1",), ("s1",), ("s2",)]
+    assert keys(spark, lake, "cnes", "leitos") == {"LTRJ2602.DBC"}
+    (landing / "LTRJ2602.dbf").write_bytes(b"broken too")
+    (outcome,) = ingest(spark, "cnes_leitos", str(landing), lake)
+    assert not outcome.changed and outcome.rejected.count() == 2
+    assert rows_of(read_published(spark, table).select("ID")) == [("r1",), ("s1",), ("s2",)]
+    deliver(landing, "LTSP2602.dbf", "s4")
+    deliver(landing, "LTRJ2602.dbf", "r2")
+    ingest(spark, "cnes_leitos", str(landing), lake)
+    assert rows_of(read_published(spark, table).select("ID")) == [("r2",), ("s4",)]
+
+
+def test_a_broken_file_keeps_its_rows_in_a_rebuilt_month(spark, tmp_path):
+    landing, lake = tmp_path / "in", str(tmp_path / "lake")
+    for name in ("PASP2401", "PASP2401a", "PARJ2401", "PASP2402"):
+        deliver(landing, f"{name}.dbf", f"{name[2:4]}1")
+    ingest(spark, "sia_pa", str(landing), lake)
+    table = table_path(lake, "producao_ambulatorial", "producao_ambulatorial")
+    for name in ("PASP2401", "PASP2402"):
+        (landing / f"{name}.dbf").write_bytes(dbf_bytes(FIELDS, [["x", "1"]] * 2)[:-5])
+    deliver(landing, "PARJ2401.dbf", "RJ2", "RJ2")
+    (outcome,) = ingest(spark, "sia_pa", str(landing), lake)
+    assert outcome.rejected.count() == 2
+    got = rows_of(read_months(spark, table).select("ID", "competencia"))
+    assert got == [("RJ2", "202401"), ("RJ2", "202401"), ("SP1", "202401"), ("SP1", "202401"), ("SP1", "202402")]
+    (outcome,) = ingest(spark, "sia_pa", str(landing), lake)
+    assert outcome.changed  # the broken files are tried again
+    deliver(landing, "PASP2402.dbf", "SP3")
+    ingest(spark, "sia_pa", str(landing), lake)
+    assert rows_of(read_months(spark, table).where("competencia = '202402'").select("ID")) == [("SP3",)]
+
+
+def test_a_revision_of_equal_size(spark, tmp_path):
+    landing, lake = tmp_path / "in", str(tmp_path / "lake")
+    deliver(landing, "RDSP0801.dbf", "one")
+    ingest(spark, "sih_rd", str(landing), lake, by_content=True)
+    deliver(landing, "RDSP0801.dbf", "two")
+    (outcome,) = ingest(spark, "sih_rd", str(landing), lake, by_content=True)
+    assert outcome.changed
+    assert rows_of(read_months(spark, table_path(lake, "sih", "aih_reduzida")).select("ID")) == [("two",)]
+    assert not ingest(spark, "sih_rd", str(landing), lake, by_content=True)[0].changed
+
 
 def test_month_source(spark, tmp_path):
     landing, lake = tmp_path / "in", str(tmp_path / "lake")
     for month in ("9407", "0701", "2401", "2402"):
         deliver(landing, f"PASP{month}.dbf", f"s{month}")
     deliver(landing, "PASP2401a.dbf", "part a")
-    ingest(spark, "sia_pa", str(landing), lake, batch=2)
+    ingest(spark, "sia_pa", str(landing), lake, batch_bytes=200)
     table = table_path(lake, "producao_ambulatorial", "producao_ambulatorial")
     assert month_folders(spark, table) == ["199407", "200701", "202401", "202402"]
     assert read_months(spark, table).where("competencia = '202401'").count() == 2
@@ -143,7 +193,21 @@ def test_yearly_sources(spark, tmp_path):
     assert not ingest(spark, "ibge_populacao", str(landing), lake)[0].changed
     product = read_published(spark, table_path(lake, "ibge", "pib_municipal"))
     assert product.columns == ["MUNICIPIO", "MUNICIPIO_CODIGO", "VALOR", "ANO"] and product.count() == 1
-    assert keys(spark, lake, "ibge") == {"POPULACAO_2020.JSON", "POPULACAO_2021.JSON", "PIB_2020.JSON"}
+    assert keys(spark, lake, "ibge", "populacao_estimada") == {"POPULACAO_2020.JSON", "POPULACAO_2021.JSON"}
+    assert keys(spark, lake, "ibge", "pib_municipal") == {"PIB_2020.JSON"}
+
+    # Error pages, empty answers and files without a year tell nothing about theirs.
+    (landing / "populacao_2021.json").write_text("<html>error</html>")
+    (landing / "populacao_2022.json").write_text("[]")
+    (landing / "populacao_x.json").write_text("[{}]")
+    (outcome,) = ingest(spark, "ibge_populacao", str(landing), lake)
+    assert not outcome.changed and outcome.rejected.count() == 3
+    year("populacao", 2020, {"D1C": "3", "D1N": "C", "V": "1"})
+    (outcome,) = ingest(spark, "ibge_populacao", str(landing), lake)
+    assert {r["name"] for r in outcome.rejected.collect()} == {"populacao_2021.json", "populacao_2022.json", "populacao_x.json"}
+    assert rows_of(read_published(spark, people)) == [("1", "A", 2021, "12"), ("2", "B", 2021, "..."), ("3", "C", 2020, "1")]
+    assert keys(spark, lake, "ibge", "populacao_estimada") == {"POPULACAO_2020.JSON"}
+    assert ingest(spark, "ibge_populacao", str(landing), lake)[0].rejected.count() == 3
 
 
 def test_files_published_whole(spark, tmp_path):
@@ -151,8 +215,16 @@ def test_files_published_whole(spark, tmp_path):
     estab = tmp_path / "estab"
     estab.mkdir()
     (estab / "cnes.csv").write_bytes("CO;NO\n01;ação\nbad\n".encode("latin-1"))
+    (outcome,) = ingest(spark, "cnes_estabelecimentos", str(estab), lake)
+    assert [r["error"] for r in outcome.rejected.collect()] == ["malformed line: bad"]
+    (estab / "more.csv").write_bytes(b"NO;CO\nx;02\n")
+    ingest(spark, "cnes_estabelecimentos", str(estab), lake)
+    both = read_published(spark, table_path(lake, "cnes", "estabelecimentos_de_saude"))
+    assert rows_of(both.select("CO", "NO")) == [("01", "ação"), ("02", "x")]
+    (estab / "more.csv").unlink()
+    (estab / "cnes.csv").write_bytes("CO;NO\n01;ação;\n01;a\n".encode("latin-1"))
     ingest(spark, "cnes_estabelecimentos", str(estab), lake)
-    assert rows_of(read_published(spark, table_path(lake, "cnes", "estabelecimentos_de_saude"))) == [("01", "ação")]
+    assert rows_of(read_published(spark, table_path(lake, "cnes", "estabelecimentos_de_saude"))) == [("01", "a")]
 
     macro = tmp_path / "macro"
     macro.mkdir()
@@ -168,15 +240,44 @@ def test_files_published_whole(spark, tmp_path):
     assert not ingest(spark, "pns_2013", str(raw), lake)[0].changed
     raw.write_text("0001\n0002\n")
     assert ingest(spark, "pns_2013", str(raw), lake)[0].changed
-    assert spark.read.text(table_path(lake, "ibge", "microdados_pns_2013.txt")).count() == 2
+    assert spark.read.text(latest_version(spark, table_path(lake, "ibge", "microdados_pns_2013.txt"))).count() == 2
 
     # The catalogue of all this.
-    files = cat.file_catalogue(spark, lake, registry.FILE_FRAGMENTS, registry.source_dimension(spark), registry.FOLDER_SOURCES)
-    tables = {r["tabela"]: r for r in cat.table_catalogue(files.where("arquivo not like '%/_ledger/%'")).collect()}
+    reports = cat.lake_reports(spark, lake, "sia/x", registry.FILE_FRAGMENTS, registry.source_dimension(spark), registry.FOLDER_SOURCES)
+    tables = {r["tabela"]: r for r in reports.tables.collect()}
+    assert set(tables) == {"cnes/estabelecimentos_de_saude", "geo/macroregiao_de_saude", "ibge/microdados_pns_2013.txt"}
     assert tables["cnes/estabelecimentos_de_saude"]["nome_fonte"] == "CNES - Estabelecimentos de Saúde"
     assert tables["cnes/estabelecimentos_de_saude"]["num_registros"] == 1
     assert tables["ibge/microdados_pns_2013.txt"]["nome_fonte"] == "PNS/IBGE 2013 - Microdados Brutos"
     assert tables["ibge/microdados_pns_2013.txt"]["num_registros"] is None
+    assert tables["ibge/microdados_pns_2013.txt"]["tamanho_bytes"] == 10
+    assert reports.profile.collect() == []
+
+
+def test_tidying_changes_no_table(spark, tmp_path):
+    landing, lake = tmp_path / "in", str(tmp_path / "lake")
+    for ids in (["a"], ["a", "b"], ["c", "d", "e"]):
+        deliver(landing, "RDSP0801.dbf", *ids)
+        deliver(landing, "LTSP2601.dbf", *ids)
+        ingest(spark, "sih_rd", str(landing), lake)
+        ingest(spark, "cnes_leitos", str(landing), lake)
+    assert tidy_lake(spark, lake, keep=1) > 0
+    assert rows_of(read_months(spark, table_path(lake, "sih", "aih_reduzida")).select("ID")) == [("c",), ("d",), ("e",)]
+    assert rows_of(read_published(spark, table_path(lake, "cnes", "leitos")).select("ID")) == [("c",), ("d",), ("e",)]
+    assert not ingest(spark, "sih_rd", str(landing), lake)[0].changed
+    assert tidy_lake(spark, lake, keep=1) == 0
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_base", lambda _: str(tmp_path / "scratch"))
+    assert settled(spark.range(3), "x").count() == 3 and any(tmp_path.rglob("*.parquet"))
+    clear_scratch(spark)
+    assert not any(tmp_path.rglob("*"))
+
+
+def test_reports_of_an_empty_lake(spark, tmp_path):
+    reports = cat.lake_reports(spark, str(tmp_path), "sia/x", registry.FILE_FRAGMENTS, registry.source_dimension(spark))
+    assert reports.files.collect() == reports.tables.collect() == []
 
 
 def test_budget(spark, tmp_path):
@@ -187,8 +288,9 @@ def test_budget(spark, tmp_path):
     ):
         (tmp_path / folder).mkdir()
         (tmp_path / folder / "x.csv").write_text(header + "\n" + ",".join("123"[: header.count(",") + 1]) + "\n")
-    ingest_budget(spark, str(tmp_path), str(tmp_path / "out"))
+    # One file in another encoding does not stop its folder.
+    (tmp_path / "csv_siops_rreo" / "y.csv").write_bytes("município,ano\n1,2\n".encode("latin-1"))
+    outcomes = ingest_budget(spark, str(tmp_path), str(tmp_path / "out"))
+    assert [o.rejected.count() for o in outcomes] == [0, 1, 0]
     read = spark.read.option("header", True)
-    assert read.csv(str(tmp_path / "out/raw_siops_exec_saude.csv")).columns == ["ano", "v"]
-    assert read.csv(str(tmp_path / "out/raw_siops_exec_rreo.csv")).columns == ["ano"]
-    assert read.csv(str(tmp_path / "out/raw_siops_indicadores.csv")).columns == ["ano", "municipio"]
+    assert [read.csv(o.target).columns for o in outcomes] == [["ano", "v"], ["ano"], ["ano", "municipio"]]

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from lakeward.operators import ledger as led
 from lakeward.operators.merge import merge_by_key
 from lakeward.operators.partitions import (
+    drop_unlisted,
     merge_partitions,
     month_folders,
     read_months,
+    read_rejects,
     rebuild_partitions,
     rebuild_with_ledger,
     write_by_year,
@@ -153,52 +155,82 @@ def test_merge_partitions_by_source(spark, tmp_path):
     assert "202003" not in {r["competencia"] for r in read_months(spark, path).collect()}
 
 
-def test_a_merge_that_stops_halfway_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+def test_a_merge_that_stops_before_the_switch_changes_nothing(spark, tmp_path, monkeypatch):
     from lakeward.operators import partitions
 
     path = str(tmp_path / "t")
     merge_partitions(months(spark, [("202001", "A1", "1"), ("202001", "A2", "2"), ("202002", "B1", "3")]), path)
+    planned = read_months(spark, path)
+    before = rows_of(planned)
 
-    def dies(rows, part, *rest, **more):
-        partitions.drop_months(spark, path, part)
+    def dies(*args):
         raise RuntimeError("lost")
 
-    real = partitions.rebuild_partitions
-    monkeypatch.setattr(partitions, "rebuild_partitions", dies)
+    real = partitions._publish_list
+    monkeypatch.setattr(partitions, "_publish_list", dies)
     with pytest.raises(RuntimeError):
-        merge_partitions(months(spark, [("202001", "A1", "10")]), path)
-    monkeypatch.setattr(partitions, "rebuild_partitions", real)
-    assert month_folders(spark, path) == ["202002"]
+        merge_partitions(months(spark, [("202001", "A1", "10"), ("202003", "C1", "4")]), path)
+    monkeypatch.setattr(partitions, "_publish_list", real)
+    assert rows_of(read_months(spark, path)) == before and month_folders(spark, path) == ["202001", "202002"]
     merge_partitions(months(spark, [("202003", "C1", "4")]), path)
-    got = {(r["competencia"], r[KEY], r["v"]) for r in read_months(spark, path).collect()}
-    assert got == {("202001", "A1", "10"), ("202001", "A2", "2"), ("202002", "B1", "3"), ("202003", "C1", "4")}
-    assert not (Path(path) / "_pending").exists()
+    assert rows_of(read_months(spark, path)) == sorted([*before, ("C1", "4", "202003")])
+    # A reader that planned before sees the state of that time; what no list names can go afterwards.
+    assert rows_of(planned) == before
+    assert drop_unlisted(spark, path) == 2
+    assert rows_of(read_months(spark, path)) == sorted([*before, ("C1", "4", "202003")])
+
+
+def test_rows_without_a_period_are_set_aside(spark, tmp_path):
+    path = str(tmp_path / "t")
+    written = merge_partitions(months(spark, [("202401", "A", "1"), (None, "B", "2"), ("2024-02", "C", "3")]), path)
+    assert (written.rows, written.rejected) == (1, 2)
+    written = merge_partitions(months(spark, [("202401", "a", "4"), ("x", "D", "5")]), path)
+    assert (written.rows, written.rejected) == (1, 1)
+    assert rows_of(read_months(spark, path)) == [("a", "4", "202401")]
+    assert rows_of(read_rejects(spark, path).select("v", "competencia")) == [("2", None), ("3", "2024-02"), ("5", "x")]
+    again = rebuild_partitions(months(spark, [("202401", "a", "6"), ("", "E", "7")]), ["202401"], path)
+    assert (again.rows, again.rejected) == (1, 1)
+    assert merge_partitions(months(spark, [(None, "F", "8")]), path).rejected == 1
+    assert read_rejects(spark, str(tmp_path / "none")) is None
+
+
+def test_eras_with_other_types_fail(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_months(months(spark, [("202001", "a", "1")]), path)
+    write_months(months(spark, [("202002", "a", "1")]).withColumn("v", F.col("v").cast("int")), path)
+    with pytest.raises(TypeError):
+        read_months(spark, path)
+    assert read_months(spark, path, months=["202002"]).dtypes[1] == ("v", "int")
 
 
 def test_ledger_follows_the_data(spark, tmp_path, monkeypatch):
     path, ledger = str(tmp_path / "t"), str(tmp_path / "l")
     keys = [f"2020{m:02d}" for m in range(1, 6)]
     rows = months(spark, [(k, k, "x") for k in keys])
-    files = spark.createDataFrame([(f"f{k}", 1, k) for k in keys], "key string, fingerprint bigint, competencia string")
+    files = spark.createDataFrame([(f"f{k}", 1, 10, k) for k in keys], "key string, fingerprint bigint, bytes bigint, competencia string")
     from lakeward.operators import partitions
 
+    assert partitions.month_batches(files, keys, "competencia", 20) == [keys[:2], keys[2:4], keys[4:]]
+    assert partitions.month_batches(files, keys, "competencia", 5) == [[k] for k in keys]
+    assert partitions.month_batches(files, keys, "competencia") == [keys]
     real = partitions.rebuild_partitions
     seen = []
 
-    def stops(rows, part, *rest, **more):
+    def stops(read, part, *rest, **more):
         if seen:
             raise RuntimeError("stopped")
         seen.append(part)
-        real(rows, part, *rest, **more)
+        return real(read, part, *rest, **more)
 
+    rows_of_batch = lambda part: (rows, files.where(F.col("competencia").isin(part)))
     monkeypatch.setattr(partitions, "rebuild_partitions", stops)
     with pytest.raises(RuntimeError):
-        rebuild_with_ledger(rows, files, keys, path, ledger, batch=2)
+        rebuild_with_ledger(rows_of_batch, files, keys, path, ledger, batch_bytes=20)
     assert {r["key"] for r in read_ledger(spark, ledger).collect()} == {"F202001", "F202002"}
     monkeypatch.setattr(partitions, "rebuild_partitions", real)
     left = led.affected_periods(files, read_ledger(spark, ledger), "competencia")
     assert {r[0] for r in left.collect()} == set(keys[2:])
-    rebuild_with_ledger(rows, files, keys[2:], path, ledger, batch=2)
+    rebuild_with_ledger(rows_of_batch, files, keys[2:], path, ledger, batch_bytes=20)
     assert read_ledger(spark, ledger).count() == 5 and read_months(spark, path).count() == 5
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeward.operators.names import classify_names, matches_name, rule_table, unclassified
 from lakeward.operators.periods import check_window, period_window
@@ -73,3 +74,11 @@ def test_windows(spark):
 def test_bad_windows(bad):
     with pytest.raises(ValueError):
         check_window(**bad)
+
+
+def test_each_death_file_belongs_to_one_source(spark):
+    names = [f"{kind}{year % 100:02d}.DBC" for kind in ("DOEXT", "DOFET", "DOINF", "DOMAT", "DOREXT", "DORBR") for year in range(1979, 2079)]
+    found = classify_names(spark.createDataFrame([(n,) for n in names], "name string"), rule_table(spark, registry.name_rules()))
+    counts = {r["name"]: (r["n"], r["first"]) for r in found.groupBy("name").agg(F.count("*").alias("n"), F.min("year").alias("first")).collect()}
+    assert {n for n, _ in counts.values()} == {1}
+    assert counts["DOEXT85.DBC"] == (1, 1985) and counts["DOEXT05.DBC"] == (1, 2005) and "DOMAT85.DBC" not in counts

@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lakeward.operators.catalogue import file_catalogue
+from lakeward.plans import registry
 from tests.conftest import SF_DIR
 
 TABLES = [
@@ -56,6 +58,7 @@ def test_entry_and_registry(spark):
 
 
 def test_file_catalogue_lists_every_table(spark):
-    rows = queries()["file_catalogue"](spark, SF_DIR).collect()
+    found = file_catalogue(spark, SF_DIR, registry.FILE_FRAGMENTS, registry.source_dimension(spark), registry.FOLDER_SOURCES)
+    rows = found.collect()
     assert [r["arquivo"] for r in rows] == sorted(f"{t}.parquet" for t in TABLES)
     assert all(r["tamanho_bytes"] > 0 and r["num_registros"] > 0 for r in rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeward.operators import sizing
 from lakeward.operators.ledger import dedup_case_insensitive, revision_diff
 from lakeward.operators.merge import merge_by_key, not_in
-from lakeward.operators.partitions import write_months
+from lakeward.operators.partitions import read_months, write_months
 from lakeward.operators.periods import latest_period, period_window
 from lakeward.plans.catalog import QUERIES
 from lakeward.plans import queries  # noqa: F401 - fills the registry
@@ -38,7 +38,10 @@ def formatted(df) -> str:
 
 
 def test_no_python_on_the_data_path(spark):
-    reads_python = {"scan_dbf", "quarantine_files", "ingest_months_twice", "ingest_merge_twice"}
+    reads_python = {
+        "scan_dbf", "quarantine_files", "ingest_months_twice", "ingest_merge_twice", "months_with_broken_file",
+        "snapshot_with_broken_file", "same_size_revision", "quarantine_csv",
+    }
     for name, query in QUERIES.items():
         if name in reads_python:
             continue
@@ -49,7 +52,7 @@ def test_no_python_on_the_data_path(spark):
 
 _WRITERS = {
     "rebuild_partitions", "rebuild_in_batches", "merge_by_source_in_months", "layout_by_year", "stream_append_new_files",
-    "scan_csv_union_by_header", "consolidate_by_folder",
+    "scan_csv_union_by_header", "consolidate_by_folder", "rows_without_period",
 }
 
 
@@ -62,7 +65,7 @@ def test_window_reaches_the_scan(spark):
 def test_window_prunes_month_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     write_months(spark.createDataFrame([(f"2020{m:02d}", m) for m in range(1, 13)], "competencia string, v int"), path)
-    rows = period_window(spark.read.parquet(path), start="202003", end="202004")
+    rows = period_window(read_months(spark, path), start="202003", end="202004")
     assert "PartitionFilters: [isnotnull(competencia" in formatted(rows)
     assert rows.count() == 2
 
@@ -79,8 +82,7 @@ NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptiv
 
 def test_beyond_the_bound_hot_keys_are_split_off(spark, monkeypatch):
     # The side is past the bound, its rows for the hot keys are not.
-    real, first = sizing.measured_bytes, iter([10**12])
-    monkeypatch.setattr(sizing, "measured_bytes", lambda df: next(first, None) or real(df))
+    monkeypatch.setattr(sizing, "settled_with_size", lambda df: (df, 10**12))
     # Two sources hold most rows, others have lost their source.
     rows = spark.range(0, 60_000, 1, 8).select(
         F.when(F.col("id") < 20_000, "HOT")
@@ -103,7 +105,7 @@ def test_split_join_equals_the_plain_one(spark, how):
     left = spark.createDataFrame([("a", i) for i in range(50)] + [(None, i) for i in range(20)] + [("b", 1), ("c", 2), ("d", 3)], "k string, v int")
     right = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z"), ("q", "w")], "rk string, t string")
     plain = rows_of(left.join(right, F.col("k") == F.col("rk"), how))
-    for limit in (0, 10**9):
+    for limit in (-1, 0, 10**9):  # the hot rows are copied, or broadcast, or all are
         assert rows_of(sizing.join_small(left, right, F.col("k"), "rk", how, limit)) == plain
     assert sizing._hot_keys(left.select("k")) == ["a"]
 
@@ -138,9 +140,9 @@ def test_hot_month_is_split_over_files(spark, tmp_path):
         )
         path = str(tmp_path / "t")
         write_months(rows, path)
-        files = spark.read.parquet(path).inputFiles()
+        files = read_months(spark, path).inputFiles()
         assert sum("202001" in f for f in files) > 1
-        assert spark.read.parquet(path).count() == 40_000
+        assert read_months(spark, path).count() == 40_000
 
 
 def test_merge_through_the_shuffle_gives_the_same(spark, monkeypatch):
@@ -149,3 +151,33 @@ def test_merge_through_the_shuffle_gives_the_same(spark, monkeypatch):
     small = rows_of(merge_by_key(old, new))
     monkeypatch.setattr(sizing, "BROADCAST_BYTES", -1)
     assert rows_of(merge_by_key(old, new)) == small == [("A", "1"), ("B", "9")]
+
+
+def jobs_of(spark, run) -> int:
+    group = f"jobs-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_queries_take_few_jobs(spark):
+    count = lambda name: jobs_of(spark, lambda: QUERIES[name](spark, SF_DIR).collect())
+    assert count("merge_by_source") <= 6
+    # Two ingestions, the fixtures of both and the read; every shuffle of a small table is a job.
+    assert count("ingest_months_twice") < 80
+
+
+def test_a_rebuild_reads_its_source_once(spark):
+    from lakeward.operators import partitions
+
+    read = []
+    real = partitions.rebuild_partitions
+    partitions.rebuild_partitions = lambda rows, *rest, **more: (read.append(rows), real(rows, *rest, **more))[1]
+    try:
+        QUERIES["rebuild_in_batches"](spark, SF_DIR).collect()
+    finally:
+        partitions.rebuild_partitions = real
+    assert len(read) == 1

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeward.operators import catalogue as cat
-from lakeward.operators.enrich import dimension_lookup, first_substring_match, left_enrich, municipality, rate_per
+from lakeward.operators.enrich import dimension_lookup, first_substring_match, left_enrich, municipality, rate_per, rate_per_municipality
 from lakeward.operators.partitions import read_months
 from lakeward.plans import registry
 from lakeward.streaming.arrivals import stream_append_new_files
@@ -87,10 +87,20 @@ def test_rates(spark):
         [("350010", 2020, 1000), ("350020", 2020, 0), ("350010", 2021, 5)], "place string, ano int, population bigint"
     )
     assert rows_of(rate_per(events, people, "place", "ano")) == [
-        ("350010", 2020, 3, 1000, 300.0), ("350020", 2020, 1, 0, None),
+        ("350010", 2020, 3, 1000, 300.0), ("350020", 2020, 1, 0, None), ("350030", 2020, 1, None, None),
     ]
 
 
+def test_rates_by_codes_of_six_and_seven_digits(spark):
+    events = spark.createDataFrame([("3550308", 2020), ("355030", 2020), ("3500105", 2020)], "code string, ano int")
+    people = spark.createDataFrame([("355030", 2020, 1000), ("3500105", 2020, 10), ("355030", 2021, 7)], "place string, ano int, population bigint")
+    got = rows_of(rate_per_municipality(events, people, "code", "place", "ano"))
+    assert got == [("350010", 2020, 1, 10, 10000.0), ("355030", 2020, 2, 1000, 200.0)]
+    twice = people.union(spark.createDataFrame([("3550308", 2020, 5)], people.schema))
+    with pytest.raises(Exception, match="several codes for municipality 355030 in 2020"):
+        rate_per_municipality(events, twice, "code", "place", "ano").collect()
+
+
 def test_stream_takes_files_once_and_replaces_by_source(spark, tmp_path):
     landing, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = "k int, period string"

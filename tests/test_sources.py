@@ -29,6 +29,14 @@ def establishments(tmp_path):
     return str(path)
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("CO;NO\n1;x\n")
+    (tmp_path / "b.csv").write_text("NO;CO\ny;2\nz\n")
+    (tmp_path / "c.csv").write_text("")
+    good, rejected = scan_delimited_with_rejects(spark, str(tmp_path))
+    assert rows_of(good.select("CO", "NO")) == [("1", "x"), ("2", "y")] and rows_of(rejected) == [("b.csv", "z")]
+
+
 def test_bad_lines_are_dropped(spark, establishments):
     rows = scan_delimited(spark, establishments)
     assert rows.columns == ["CO_CNES", "NO_RAZÃO", "CO_UF"] and {t for _, t in rows.dtypes} == {"string"}
@@ -75,8 +83,10 @@ def test_union_by_header_without_files(spark, tmp_path):
 
 def test_csv_sink(spark, tmp_path):
     rows = spark.createDataFrame([('say "hi", all', 1), ("línea", None)], "t string, n int")
-    write_csv(rows, str(tmp_path / "out"))
-    back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "out"))
+    first = write_csv(rows.limit(0), str(tmp_path / "out"))
+    second = write_csv(rows, str(tmp_path / "out"))
+    back = spark.read.option("header", True).option("escape", '"').csv(second)
+    assert first != second and spark.read.option("header", True).csv(first).count() == 0
     assert set(rows_of(back)) == {('say "hi", all', "1"), ("línea", None)}
 
 
@@ -154,13 +164,16 @@ def test_dbf(spark, dbf_folder, range_records):
             ("x", None, None, "False", "-.5", None, "PASP2401.dbf"),
             (None, None, "2024-03-01", None, None, "e1", "PARJ2401.DBF"),
             (None, None, "2024-03-02", None, None, "e2", "PARJ2401.DBF"),
+            (None, None, None, None, None, None, "PASC2401.dbf"),
         ],
         key=repr,
     )
-    assert {r["name"] for r in scan.accepted.collect()} == {"PASP2401.dbf", "PARJ2401.DBF", "PAMG2401.dbf"}
+    assert {r["name"] for r in scan.accepted.collect()} == {"PASP2401.dbf", "PARJ2401.DBF", "PAMG2401.dbf", "PASC2401.dbf"}
     rejected = {r["name"]: r["error"] for r in scan.rejected.collect()}
-    assert set(rejected) == {"PABA2401.dbf", "PARS2401.dbf", "PASC2401.dbf"}
-    assert "last record" in rejected["PABA2401.dbf"] and "'Q'" in rejected["PASC2401.dbf"]
+    assert set(rejected) == {"PABA2401.dbf", "PARS2401.dbf"}
+    assert "last record" in rejected["PABA2401.dbf"]
+    # A type that is not known stays as it is written.
+    assert rows_of(scan.rows.where("Z is not null").select("Z", LINEAGE)) == [("a", "PASC2401.dbf")]
 
 
 def test_dbf_columns_and_mixed_types(spark, tmp_path):
@@ -173,6 +186,28 @@ def test_dbf_columns_and_mixed_types(spark, tmp_path):
     assert scan_dbf(files, columns=["K"]).rows.columns == ["K", LINEAGE]
 
 
+def test_dbf_names_in_other_letters(spark, tmp_path):
+    (tmp_path / "a.dbf").write_bytes(dbf_bytes([("UF", "C", 2), ("V", "N", 2)], [["SP", "1"]]))
+    (tmp_path / "b.dbf").write_bytes(dbf_bytes([("v", "N", 2), ("uf", "C", 2)], [["2", "RJ"]]))
+    scan = scan_dbf(scan_file_inventory(spark, str(tmp_path), glob="*.dbf"))
+    assert rows_of(scan.rows.select("UF", "V")) == [("RJ", "2"), ("SP", "1")]
+
+
+def test_dbf_ranges_are_dealt_by_bytes_in_the_order_of_months(spark, tmp_path, monkeypatch):
+    from lakeward.sources import dbf
+
+    monkeypatch.setattr(dbf, "TASK_BYTES", 4000)
+    monkeypatch.setattr(dbf, "RANGE_COST", 100)
+    for month in range(1, 7):
+        rows = [[str(i), "x" * 90] for i in range(60 if month == 3 else 6)]
+        (tmp_path / f"PASP240{month}.dbf").write_bytes(dbf_bytes([("N", "N", 4), ("T", "C", 90)], rows))
+    files = scan_file_inventory(spark, str(tmp_path), glob="*.dbf").withColumn("m", F.substring("name", 5, 4))
+    scan = scan_dbf(files, carry=("m",), order_by="m", range_records=10)
+    got = scan.rows.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("m"), F.max("m"), F.count("*")).orderBy("p").collect()
+    assert sum(r[3] for r in got) == 90 and max(r[3] for r in got) <= 60
+    assert all(a[2] <= b[1] for a, b in zip(got, got[1:])) and len(got) >= 2
+
+
 def test_dbf_without_readable_files(spark, tmp_path):
     (tmp_path / "a.dbf").write_bytes(b"x")
     scan = scan_dbf(scan_file_inventory(spark, str(tmp_path), glob="*.dbf"))
@@ -185,8 +220,7 @@ def test_dbf_without_readable_files(spark, tmp_path):
 def test_raw_text(spark, tmp_path):
     (tmp_path / "PNS.txt").write_text("01é  x \n02ab y  \n", encoding="utf-8")
     lines = scan_raw_text(spark, str(tmp_path / "PNS.txt"))
-    publish_text(lines, str(tmp_path / "out"))
-    assert rows_of(scan_raw_text(spark, str(tmp_path / "out"))) == [("01é  x ",), ("02ab y  ",)]
+    assert rows_of(scan_raw_text(spark, publish_text(lines, str(tmp_path / "out")))) == [("01é  x ",), ("02ab y  ",)]
     cut = apply_layout(lines, [("UF", 1, 2), ("V", 3, 2)])
     assert rows_of(cut) == [("01", "é "), ("02", "ab")]
 
@@ -222,6 +256,10 @@ def test_row_counts_read_no_column(spark, tmp_path):
     )
     files = scan_file_inventory(spark, root, glob="*.parquet").join(counts, "path", "left")
     assert sorted(r["rows"] or 0 for r in files.collect()) == [0, 5]
+    odd = str(tmp_path / "pasta ção 100%+x")
+    spark.range(3).coalesce(1).write.parquet(odd)
+    files = scan_file_inventory(spark, odd, glob="*.parquet").join(scan_row_counts(spark, odd), "path", "left")
+    assert [r["rows"] for r in files.collect()] == [3]
 
 
 def test_inventory_does_not_read_content(spark, tmp_path):
