@@ -147,16 +147,17 @@ def _earlier_in_first(passages: DataFrame) -> DataFrame:
 def repeated_spans(keyed: DataFrame) -> DataFrame:
     """(doc_key, spans): the stretches of windows of each document that also start in a document with a smaller doc_id."""
     light = keyed.where("doc_id is not null").mapInPandas(_runs, _RUNS)
-    shared_anchor = (
-        light.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
-    )
+    # Written, so that the joins with them are of two shuffled sides: those of a hot anchor can then be split.
+    twice = light.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
+    shared_anchor = settled(twice.select("anchor"), "shared_anchors")
     shared = settled(light.join(shared_anchor, "anchor", "left_semi"), "runs")
     # The same run in several documents: all but the first lose it whole.
     first = settled(
         shared.groupBy("anchor", "run").agg(F.min(F.struct("doc_id", "doc_key", "start", "n")).alias("at")), "first_runs"
     )
     # The first document of a run can lose windows only to another run of that anchor.
-    several = first.groupBy("anchor").agg(F.min("run").alias("a"), F.max("run").alias("b")).where("a < b").select("anchor")
+    unequal = first.groupBy("anchor").agg(F.min("run").alias("a"), F.max("run").alias("b")).where("a < b")
+    several = settled(unequal.select("anchor"), "several_runs")
     listed = (
         first.join(several, "anchor", "left_semi")
         .groupBy(F.col("at.doc_key").alias("doc_key"))
