@@ -276,12 +276,11 @@ def ingest_macro_regions(spark: SparkSession, landing: str, places: DataFrame, l
 
 
 def ingest_text(spark: SparkSession, path: str, lake: str, folder: str, table: str) -> Outcome:
-    """Raw microdata, published again when their size changed."""
+    """Raw microdata, one file or a folder of parts, published again when their size changed."""
     where = ledger_path(lake, folder, table)
     ledger = read_ledger(spark, where)
-    files = scan_file_inventory(spark, path).select(
-        F.lit(table.upper()).alias("key"), F.col("bytes").alias("fingerprint")
-    )
+    size = scan_file_inventory(spark, path).agg(F.sum("bytes").alias("fingerprint")).where("fingerprint is not null")
+    files = size.select(F.lit(table.upper()).alias("key"), "fingerprint")
     target = table_path(lake, folder, table)
     if revision_diff(files, ledger).isEmpty():
         return Outcome(False, target)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from lakeward.operators.partitions import merge_partitions, read_months, read_re
 from lakeward.plans import registry
 from lakeward.plans.catalog import query
 from lakeward.plans.deliveries import SQL_TAGGED, table, tagged_orders, write_dbf, write_ragged_lines
-from lakeward.plans.ingest import consolidate_folder, ingest_merge, ingest_months, ingest_snapshot, ingest_years
+from lakeward.plans.ingest import consolidate_folder, ingest_merge, ingest_months, ingest_snapshot, ingest_text, ingest_years
 from lakeward.session import scratch_path
-from lakeward.sinks.tables import publish_counted, publish_table, publish_text, read_published, write_csv
+from lakeward.sinks.tables import latest_version, publish_counted, publish_table, publish_text, read_published, write_csv
 from lakeward.sources.dbf import LINEAGE, scan_dbf
 from lakeward.sources.delimited import (
     scan_csv_union_by_header,
@@ -465,6 +467,23 @@ def raw_text_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(*[F.trim(c).alias(c) for c in cut.columns])
 
 
+@query("""SELECT unnest([1, 2, 3]) AS delivery, unnest([true, false, true]) AS changed,
+        unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM orders), (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0)]) AS lines""")
+def raw_text_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text is published when its size changed, not when it comes again as it was."""
+    lake = scratch_path(spark, "lake")
+    lines = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("value"), "o_orderkey")
+    whole = publish_text(lines, scratch_path(spark, "text"))
+    fewer = publish_text(lines.where("o_orderkey % 3 <> 0"), scratch_path(spark, "text"))
+    rows = []
+    for number, landing in enumerate((whole, whole, fewer), 1):
+        outcome = ingest_text(spark, landing, lake, "ibge", "microdados.txt")
+        published = scan_raw_text(spark, latest_version(spark, outcome.target))
+        counted = published.agg(F.count(F.lit(1)).alias("lines"))
+        rows.append(counted.select(F.lit(number).alias("delivery"), F.lit(outcome.changed).alias("changed"), "lines"))
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS chave, o_orderstatus AS situacao, NULL::VARCHAR AS linha FROM orders
     UNION ALL SELECT CAST(l_orderkey AS VARCHAR), NULL, CAST(l_linenumber AS VARCHAR) FROM lineitem""")
 def scan_parquet_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:

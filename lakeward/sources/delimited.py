@@ -6,13 +6,15 @@ import csv
 from collections.abc import Iterable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.operators.conform import union_by_name
-from lakeward.session import settled
-from lakeward.sources.files import scan_file_inventory, scan_first_lines
+from lakeward.operators.sizing import join_small
+from lakeward.session import settled, small_table
+from lakeward.sources.files import path_list, plain_path, scan_file_inventory, scan_first_lines
 
 REJECT = "_corrupt_record"
 
@@ -28,13 +30,18 @@ def _reader(spark: SparkSession, sep: str, encoding: str):
     )
 
 
+def first_lines(files: DataFrame, encoding: str) -> DataFrame:
+    """An inventory (path, name, bytes) with the first line of each file, or the error of reading it."""
+    return settled(scan_first_lines(files, encoding).join(files.select("path", "name", "bytes"), "path"), "headers")
+
+
 def files_by_header(files: DataFrame, encoding: str) -> tuple[dict[str, list[str]], DataFrame]:
     """Paths of an inventory by their header line, and the files set aside (path, name, bytes, error).
 
     Spark takes the first header for all files, so only files with the same one may be
     read together. Files without any line hold nothing and are in neither.
     """
-    heads = settled(scan_first_lines(files, encoding).join(files.select("path", "name", "bytes"), "path"), "headers")
+    heads = first_lines(files, encoding)
     groups: dict[str, list[str]] = {}
     # File names only, as many as the listing already holds.
     for head in heads.where("error is null and line <> ''").orderBy("path").select("path", "line").toLocalIterator():
@@ -138,21 +145,45 @@ def scan_csv_union_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """CSV files whose headers differ, united by column name, and the files set aside (path, name, bytes, error).
 
-    Files are grouped by their header line, whose names are the columns of the group as text.
-    Types are inferred once, over the union.
+    All files are read in one scan, by position; each row then meets the header of its file, which says where each
+    name stands in it. The driver sees the distinct headers. Names are compared ignoring case and shown
+    as they first appear. Types are inferred once, over the union.
     """
-    groups, unread = files_by_header(scan_file_inventory(spark, paths, glob="*.csv"), encoding)
-    if not groups:
+    heads = first_lines(scan_file_inventory(spark, paths, glob="*.csv"), encoding)
+    good = heads.where("error is null and line <> ''")
+    found = good.groupBy("line").agg(F.min("path").alias("path")).collect()
+    if not found:
         raise ValueError(f"no readable CSV file in {paths}")
-    tables = []
-    for header, group in groups.items():
-        names = next(csv.reader([header], delimiter=sep))
-        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)])
-        tables.append(
-            spark.read.option("sep", sep).option("header", True).option("encoding", encoding).schema(schema).csv(group)
-        )
-    rows = reduce(lambda left, right: union_by_name(left, right, as_text=False), tables)
-    return (with_inferred_types(rows) if infer else rows), unread
+    headers = {
+        row["line"]: [n or f"_c{i}" for i, n in enumerate(next(csv.reader([row["line"]], delimiter=sep)))]
+        for row in sorted(found, key=lambda row: row["path"])
+    }
+    shown: dict[str, str] = {}
+    for names in headers.values():
+        for name in names:
+            shown.setdefault(name.upper(), name)
+    width = max(map(len, headers.values()))
+    known = small_table(
+        spark, [{"line": line, "_names": [n.upper() for n in names]} for line, names in headers.items()],
+        pa.schema([("line", pa.string()), ("_names", pa.list_(pa.string()))]),
+    )
+    of_file = good.join(F.broadcast(known), "line").select(F.col("path").alias("_of"), F.array_join("_names", "\x1f").alias("_joined"))
+    cells = [f"_{i}" for i in range(width)]
+    lines = (
+        spark.read.option("sep", sep)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .schema(T.StructType([T.StructField(c, T.StringType()) for c in cells]))
+        .csv(path_list(paths))
+        .withColumn("_path", plain_path(F.col("_metadata.file_path")))
+    )
+    placed = join_small(lines, of_file, F.col("_path"), "_of", "inner").withColumn("_names", F.split("_joined", "\x1f"))
+    value = lambda name: F.get(F.array(*cells), (F.array_position("_names", name) - 1).cast("int"))
+    rows = placed.select(*[value(upper).alias(name) for upper, name in shown.items()])
+    rejected = heads.where("error is not null").select("path", "name", "bytes", "error")
+    return (with_inferred_types(rows) if infer else rows), rejected
 
 
 def scan_csv_union_by_header(
