@@ -25,11 +25,11 @@ NEAREST = 20
 DIMENSIONS, MISSED = 8, 0.05
 SEED = 17
 # Vectors of a block of the index, the sample from which the cells are cut, and the most cells.
-BLOCK, SAMPLE, CELLS = 4096, 100_000, 4096
+BLOCK, SAMPLE, CELLS = 16_384, 100_000, 4096
 # Points of a leaf of a block's tree, verified together.
 LEAF = 128
 # Queries of a group that meet one block.
-QUERIES = 2048
+QUERIES = 16_384
 
 
 def chi_square_share(x: float, dimensions: int = DIMENSIONS) -> float:
@@ -143,20 +143,15 @@ def _valid(vector: Column) -> Column:
     )
 
 
-def _projected(ceiling: float):
-    """The place of each vector, lengthened to the square root of `ceiling`, in the projection."""
+def places(vectors: np.ndarray, ceiling: float) -> np.ndarray:
+    """Where vectors, lengthened to the square root of `ceiling` by one more component, fall in the projection."""
+    spare = np.maximum(0.0, ceiling - (vectors**2).sum(axis=1))
+    matrix = projection(vectors.shape[1] + 1)
+    return vectors @ matrix[:-1] + np.sqrt(spare)[:, None] * matrix[-1]
 
-    def project(batches):
-        for batch in batches:
-            vectors = np.array(batch["vector"].tolist(), np.float64)
-            if not len(vectors):
-                continue
-            spare = np.maximum(0.0, ceiling - (vectors**2).sum(axis=1))
-            matrix = projection(vectors.shape[1] + 1)
-            place = vectors @ matrix[:-1] + np.sqrt(spare)[:, None] * matrix[-1]
-            yield batch.assign(place=list(place))
 
-    return project
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.array(column.tolist(), np.float64)
 
 
 class Cells:
@@ -226,10 +221,9 @@ def _in_block(ceiling: float):
     def run(key, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(block):
             return pd.DataFrame({"query": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        matrix = lambda column: np.array(column.tolist(), np.float64)
-        tree, asked = KdTree(matrix(block["place"])), matrix(queries["vector"])
+        tree, asked = KdTree(_matrix(block["place"])), _matrix(queries["vector"])
         owner, scores, ids = search(
-            tree, matrix(block["vector"]), block["vec_id"].to_numpy(np.int64), asked, matrix(queries["place"]),
+            tree, _matrix(block["vector"]), block["vec_id"].to_numpy(np.int64), asked, _matrix(queries["place"]),
             queries["reach"].to_numpy(np.float64), (asked**2).sum(axis=1) + ceiling,
         )
         return pd.DataFrame({"query": queries["query"].to_numpy(np.int64)[owner], "vec_id": ids, "score": scores})
@@ -283,28 +277,23 @@ def nearest(embeddings: DataFrame, query_every: int = 20) -> DataFrame:
     ceiling, total = rows.agg(F.max(squares), F.count(F.lit(1))).first()
     ceiling = float(ceiling)
 
-    placed = copies.select("vec_id", "vector").mapInPandas(
-        _projected(ceiling), "vec_id long, vector array<float>, place array<double>"
-    )
-    placed = settled(placed, "places")
-    share = min(1.0, SAMPLE / max(1, total))
-    taken = placed.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("vec_id", "place").limit(2 * SAMPLE)
-    sample = taken.toPandas().sort_values("vec_id")
-    points = np.array(sample["place"].tolist(), np.float64).reshape(-1, DIMENSIONS)
+    # The sample is a share of the rows by a hash of their id; its limit only guards against equal ids.
+    kept = int(min(1.0, SAMPLE / max(1, total)) * (1 << 20)) + 1
+    sample = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < kept).limit(2 * SAMPLE).toPandas()
+    points = places(_matrix(sample["vector"]).reshape(len(sample), width["w"]), ceiling)
     cells = spark.sparkContext.broadcast(Cells(points, min(CELLS, blocks_for(total, BLOCK // 2))))
 
     def deal(batches):
         for batch in batches:
             if len(batch):
-                yield batch.assign(cell=cells.value.of(np.array(batch["place"].tolist(), np.float64)))
-
-    dealt = placed.mapInPandas(deal, "vec_id long, vector array<float>, place array<double>, cell int")
-    dealt = settled(dealt, "dealt")
-    parts = dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    parts = settled(parts, "parts")
-    blocks = dealt.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    blocks = settled(blocks.drop("parts"), "blocks")
-
+                found = places(_matrix(batch["vector"]), ceiling)
+                yield batch.assign(place=list(found), cell=cells.value.of(found))
+
+    schema = "vec_id long, vector array<float>, place array<double>, cell int"
+    dealt = settled(copies.select("vec_id", "vector").mapInPandas(deal, schema), "dealt")
+    parts = settled(dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "parts")
+    of_cell = F.broadcast(parts)  # at most CELLS rows
+    blocks = dealt.join(of_cell, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).drop("parts")
     return _answers(distinct, blocks, parts, cells, ceiling, query_every)
 
 
@@ -315,8 +304,8 @@ def _answers(distinct: DataFrame, blocks: DataFrame, parts: DataFrame, cells, ce
 
     def place(batches):
         for batch in batches:
-            vectors = np.array(batch["vector"].tolist(), np.float64)
-            if len(vectors):
+            if len(batch):
+                vectors = _matrix(batch["vector"])
                 points = vectors @ projection(vectors.shape[1] + 1)[:-1]
                 yield batch.assign(place=list(points), cell=cells.value.of(points))
 
@@ -324,7 +313,7 @@ def _answers(distinct: DataFrame, blocks: DataFrame, parts: DataFrame, cells, ce
     queries = settled(names.mapInPandas(place, schema), "placed_queries")
     # Each query in one block of its own cell; if that has no vector, nothing bounds its reach.
     home = F.pmod(F.xxhash64("query"), F.col("parts")).cast("int")
-    at_home = queries.join(parts, "cell").withColumn("part", home).withColumn("reach", F.lit(float("inf")))
+    at_home = queries.join(F.broadcast(parts), "cell").withColumn("part", home).withColumn("reach", F.lit(float("inf")))
     near = settled(_searched(at_home, blocks, ceiling), "home")
     worst = near.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
     own = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
@@ -343,7 +332,7 @@ def _answers(distinct: DataFrame, blocks: DataFrame, parts: DataFrame, cells, ce
     wide = bounded.select("vector", "query", "place", "reach").mapInPandas(
         spread, "vector array<float>, query long, place array<double>, reach double, cell int"
     )
-    sent = wide.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sent = wide.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     found = _searched(sent, blocks, ceiling)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     top = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= NEAREST + 1).drop("n")
