@@ -265,7 +265,7 @@ def month_batches(files: DataFrame, months: list[str], column: str, limit: int =
 
 
 def rebuild_with_ledger(
-    rows_of: Callable[[list[str]], tuple[DataFrame, DataFrame]],
+    rows_of: Callable[[list[str]], tuple[DataFrame, DataFrame | None]],
     files: DataFrame,
     months: list[str],
     path: str,
@@ -273,19 +273,23 @@ def rebuild_with_ledger(
     column: str = "competencia",
     batch_bytes: int = BATCH_BYTES,
     clustered: bool = False,
+    total_bytes: int | None = None,
 ) -> Written:
     """Rebuild months from their source files; after each batch, record its files.
 
     `files` has key, fingerprint, bytes and the month column. `rows_of` gives, for some months, all their rows and the
-    files (key, fingerprint, month) that were read well; a month of which no file was read well stays as it is, and
-    only files that were read well enter the ledger. Data is written before the ledger, so a run that
+    files (key, fingerprint, month) that were read well, or None if all were; a month of which no file was read well
+    stays as it is, and only files that were read well enter the ledger. `total_bytes` of all files, where it is
+    known, may show that one batch is enough. Data is written before the ledger, so a run that
     stops in between only repeats its last batch.
     """
     spark, rows, rejected = files.sparkSession, 0, 0
-    for part in month_batches(files, months, column, batch_bytes):
+    all_fit = total_bytes is not None and total_bytes <= batch_bytes
+    for part in [months] if all_fit else month_batches(files, months, column, batch_bytes):
         read, done = rows_of(part)
-        written = rebuild_partitions(read, month_list(done, column), path, column, clustered)
-        rows, rejected = rows + written.rows, rejected + written.rejected
         asked = files.where(F.col(column).isin(part))
+        written = rebuild_partitions(read, part if done is None else month_list(done, column), path, column, clustered)
+        rows, rejected = rows + written.rows, rejected + written.rejected
+        done = asked if done is None else done
         write_ledger(ledger_record(read_ledger(spark, ledger_path), asked, done), ledger_path)
     return Written(rows, rejected)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakeward.session import settled
+from lakeward.session import settled_observed
 
 # Bound of a broadcast side: its text width plus a fixed cost per cell.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -30,9 +30,8 @@ def measured_bytes(df: DataFrame) -> int:
 
 def settled_with_size(df: DataFrame) -> tuple[DataFrame, int]:
     """The frame, written once, and its approximate size, which is observed while it is written."""
-    seen = Observation()
-    written = settled(df.observe(seen, _width(df).alias("bytes")), "side")
-    return written, seen.get["bytes"] or 0
+    written, seen = settled_observed(df, "side", bytes=_width(df))
+    return written, seen["bytes"] or 0
 
 
 def join_small(

@@ -30,7 +30,7 @@ from lakeward.operators.partitions import BATCH_BYTES, drop_unlisted, merge_part
 from lakeward.operators.periods import check_window, latest_period, period_window
 from lakeward.operators.sizing import join_small
 from lakeward.plans import registry
-from lakeward.session import settled
+from lakeward.session import settled, settled_observed
 from lakeward.sinks.tables import (
     drop_old_versions,
     publish_counted,
@@ -171,7 +171,7 @@ def ingest_months(
     that cannot be read keeps its earlier rows.
     """
     check_window(**window)
-    files = settled(delivered_files(spark, landing, [rule], by_content), "files")
+    files, seen = settled_observed(delivered_files(spark, landing, [rule], by_content), "files", bytes=F.sum("bytes"))
     where = ledger_path(lake, table, table)
     target = table_path(lake, table, table)
     if window:
@@ -186,15 +186,18 @@ def ingest_months(
     asked = files.where(F.col("competencia").isin(months))
     headers = read_headers(asked)
 
-    def rows_of(part: list[str]) -> tuple[DataFrame, DataFrame]:
+    def rows_of(part: list[str]) -> tuple[DataFrame, DataFrame | None]:
         todo = asked.where(F.col("competencia").isin(part))
         scan = scan_dbf(todo, carry=(LINEAGE, "competencia"), order_by="competencia", headers=headers)
-        kept = _kept_rows(read_months(spark, target, months=part), todo, scan.rejected) if some_rejected else None
+        if not headers.n_rejected:
+            return scan.rows, None
+        kept = _kept_rows(read_months(spark, target, months=part), todo, scan.rejected)
         rows = scan.rows if kept is None else union_by_name(scan.rows, kept, as_text=False)
         return rows, _read_well(todo, scan.accepted)
 
-    some_rejected = not headers.rejected.isEmpty()
-    written = rebuild_with_ledger(rows_of, asked, months, target, where, batch_bytes=batch_bytes, clustered=True)
+    written = rebuild_with_ledger(
+        rows_of, asked, months, target, where, batch_bytes=batch_bytes, clustered=True, total_bytes=seen["bytes"] or 0
+    )
     return Outcome(True, target, written.rows, headers.rejected, written.rejected)
 
 

@@ -195,10 +195,7 @@ def rebuild_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = month_list(files.where("competencia between '199609' and '199812'"), "competencia")
     target, ledger = scratch_path(spark, "backfill"), scratch_path(spark, "backfill-ledger")
 
-    def rows_of(part: list[str]) -> tuple[DataFrame, DataFrame]:
-        return orders, files.where(F.col("competencia").isin(part))
-
-    rebuild_with_ledger(rows_of, files, months, target, ledger)
+    rebuild_with_ledger(lambda part: (orders, None), files, months, target, ledger)
     return read_ledger(spark, ledger)
 
 

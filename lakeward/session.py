@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -71,3 +71,10 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled_observed(df: DataFrame, label: str, **aggregates: Column) -> tuple[DataFrame, dict]:
+    """The frame as a written table, and aggregates of its rows taken while it is written."""
+    seen = Observation()
+    written = settled(df.observe(seen, *[value.alias(name) for name, value in aggregates.items()]), label)
+    return written, seen.get

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakeward.functions.fields import is_plain_number, to_date, to_logical, tolerant_number
 from lakeward.functions.text import blank_to_null, file_name
 from lakeward.operators.conform import clean_name
-from lakeward.session import settled
+from lakeward.session import settled_observed
 from lakeward.sources.files import open_in_task
 
 RECORDS_PER_RANGE = 250_000
@@ -38,6 +38,7 @@ class DbfHeaders:
     good: DataFrame
     rejected: DataFrame
     kinds: dict[str, set[str]]
+    n_rejected: int
 
 
 @dataclass
@@ -158,7 +159,7 @@ def _decode_ranges(
 
 def read_headers(files: DataFrame) -> DbfHeaders:
     """The headers of an inventory (path, bytes), read once; columns are known by their upper-case name."""
-    headers = settled(scan_headers(files), "dbf-headers")
+    headers, seen = settled_observed(scan_headers(files), "dbf-headers", n_rejected=F.count("error"))
     good = headers.where(F.col("error").isNull())
     # One row per distinct (field, type), in order of first position.
     fields = (
@@ -171,7 +172,8 @@ def read_headers(files: DataFrame) -> DbfHeaders:
     for field in sorted(fields, key=lambda f: (f["first"], f["name"])):
         kinds.setdefault(_column(field["name"]), set()).add(field["kind"])
     rejected = headers.where(F.col("error").isNotNull())
-    return DbfHeaders(good, rejected.select("path", file_name("path").alias("name"), "bytes", "error"), kinds)
+    named = rejected.select("path", file_name("path").alias("name"), "bytes", "error")
+    return DbfHeaders(good, named, kinds, seen["n_rejected"])
 
 
 def _column(name: str) -> str:

@@ -167,7 +167,7 @@ def test_queries_take_few_jobs(spark):
     count = lambda name: jobs_of(spark, lambda: QUERIES[name](spark, SF_DIR).collect())
     assert count("merge_by_source") <= 6
     # Two ingestions, the fixtures of both and the read; every shuffle of a small table is a job.
-    assert count("ingest_months_twice") < 80
+    assert count("ingest_months_twice") < 60
 
 
 def test_a_rebuild_reads_its_source_once(spark):
