@@ -18,7 +18,7 @@ from lakeward.session import settled
 # Words of a window, and of the anchors that are chosen from it.
 WINDOW, ANCHOR = 50, 25
 # Words of reference passages in one automaton.
-SHARD_WORDS = 1 << 18
+SHARD_WORDS = 1 << 17
 # Passages of one hot anchor in a tile; each pair of tiles is a group of its own.
 TILE = 1024
 
