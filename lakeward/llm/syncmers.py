@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 # A k-mer is so many words; its inner substrings are its words. It is an anchor if the
 # smallest hash of these is that of its first or its last word.
 KMER = 3
-# Anchors that a fingerprint keeps: those with the smallest hashes.
-KEPT = 64
 # Anchors match if their places differ by so many words at most, or this share of the longer text.
 SHIFT, SHIFT_SHARE = 16, 0.125
 # Documents of one range of doc_id, and the most ranges.
@@ -55,14 +53,13 @@ def _anchors_of_hashes(hashed: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The KEPT anchors with the smallest hashes, each hash once, at its first place."""
+    """All anchors of a text in the order of their hashes, each hash once, at its first place."""
     found = F.array_sort(anchors(text))
     return F.transform(F.array(found), lambda a: _first_of_each(a))[0]
 
 
 def _first_of_each(found: Column) -> Column:
-    fresh = F.filter(found, lambda x, i: (i == 0) | (x["h"] != F.get(found, i - 1)["h"]))
-    return F.slice(fresh, 1, KEPT)
+    return F.filter(found, lambda x, i: (i == 0) | (x["h"] != F.get(found, i - 1)["h"]))
 
 
 def written(marks: Column) -> Column:
@@ -71,18 +68,23 @@ def written(marks: Column) -> Column:
 
 
 def likeness(a: Column, b: Column, tolerance: Column) -> Column:
-    """The share of the smallest anchors of both sketches together that both hold at like places.
+    """The share of the anchors of both sketches together that both hold at like places.
 
-    Two sketches without anchors are alike (1), one without is unlike any other (0).
+    Two sketches without anchors are alike (1), one without is unlike any other (0). A hash stands once in a
+    sketch, so one that both hold stands twice in a row when they are sorted together.
     """
-    hashes, places = lambda s: F.transform(s, lambda x: x["h"]), lambda s: F.transform(s, lambda x: x["p"])
-    ha, hb = hashes(a), hashes(b)
-    both = F.slice(F.array_sort(F.array_union(ha, hb)), 1, KEPT)
-    # The place of the common hashes in either sketch.
-    common = F.array_intersect(F.array_intersect(both, ha), hb)
-    place = lambda h, s, p: F.get(p, (F.array_position(s, h) - 1).cast("int"))
-    near = F.filter(common, lambda h: F.abs(place(h, ha, places(a)) - place(h, hb, places(b))) <= tolerance)
-    return F.when(F.size(both) == 0, 1.0).otherwise(F.size(near) / F.size(both))
+    merged = F.array_sort(F.concat(a, b))
+    return F.transform(F.array(merged), lambda m: _shared(m, tolerance))[0]
+
+
+def _shared(merged: Column, tolerance: Column) -> Column:
+    def again(x: Column, i: Column) -> Column:
+        return (i > 0) & (x["h"] == F.get(merged, i - 1)["h"])
+
+    common = F.filter(merged, again)
+    near = F.filter(merged, lambda x, i: again(x, i) & (x["p"] - F.get(merged, i - 1)["p"] <= tolerance))
+    both = F.size(merged) - F.size(common)
+    return F.when(both == 0, 1.0).otherwise(F.size(near) / both)
 
 
 def _ranges(docs: DataFrame) -> list[int]:
