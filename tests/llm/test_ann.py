@@ -128,3 +128,11 @@ def test_cells_within_a_ball():
     for q in rng.standard_normal((10, ann.DIMENSIONS)):
         near = ((points - q) ** 2).sum(axis=1) <= 4.0
         assert set(cell[near].tolist()) <= set(cells.within(q, 4.0))
+
+
+def test_stop_loses_two_percent_of_neighbours_at_most():
+    assert ann.chi_square_share(ann.stop_factor()) >= 0.98 - 1e-9
+    # Differences of vectors, as the projection in use places them.
+    gaps = np.random.default_rng(6).standard_normal((50_000, 65))
+    ratio = ((gaps @ ann.projection(65)) ** 2).sum(axis=1) / (gaps**2).sum(axis=1)
+    assert np.mean(ratio > ann.stop_factor()) <= 0.02
