@@ -1,8 +1,8 @@
 """The main text of web pages, by two passes over their blocks.
 
 The first pass judges each block alone, by its share of stop words, its length and its share of
-link text, and by what its elements say of themselves. The second lets the blocks that this
-leaves open follow their nearest decided neighbours.
+link text, and by what its elements say of themselves. The second takes long blocks for text where
+the stop words say nothing, and lets the others that are open follow their nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -73,6 +73,8 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Characters of scripts that set no space between words (Thai to Khmer, Han, kana); two count as a word.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -241,16 +243,34 @@ def judged(block: Block) -> int:
     return OPEN
 
 
+def _words(block: Block) -> int:
+    return len(block.text.split()) + len(_UNSPACED.findall(block.text)) // 2
+
+
+def verdicts(pool: list[Block]) -> list[int]:
+    """What blocks are by themselves, long ones of little link text also without stop words.
+
+    These are text in an article or main element, and on a page where they hold more words than the blocks
+    that the stop words make text: then no list of stop words fits the page. Else they stay open.
+    """
+    own = [judged(b) for b in pool]
+    words = [_words(b) if v != BAD else 0 for b, v in zip(pool, own, strict=True)]
+    long_ = [v == OPEN and n >= LONG_WORDS for v, n in zip(own, words, strict=True)]
+    fitting = sum(n for v, n in zip(own, words, strict=True) if v == GOOD)
+    unfit = sum(n for v, n in zip(long_, words, strict=True) if v) > fitting
+    return [GOOD if o and (b.root or unfit) else v for b, v, o in zip(pool, own, long_, strict=True)]
+
+
 def chosen(found: list[Block]) -> list[Block]:
     """The blocks of the main text.
 
-    Where the page has an article or main element, blocks outside it are left out. Of the others, open blocks follow their nearest decided
+    Where the page has an article or main element, blocks outside it are left out. Of the others, open blocks (see verdicts) follow their nearest decided
     neighbours: between two of one kind they are of that kind too, between text and
     something else a heading goes with what follows it, any other block with the nearer side,
     text first. They stay where nothing is decided.
     """
     pool = [b for b in found if b.root] or found
-    verdict = [judged(b) for b in pool]
+    verdict = verdicts(pool)
     decided = [i for i, v in enumerate(verdict) if v != OPEN]
     keep, at = [], 0
     for i, block in enumerate(pool):

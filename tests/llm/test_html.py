@@ -68,3 +68,22 @@ def test_odd_rows(spark):
     got = pages.extract(table).collect()
     assert [r["n_chars"] for r in sorted(got, key=lambda r: r["page_id"] or 0)] == [1, 0, 0, 0, 20_000 * (len(TEXT) + 1) - 1, 50_000, 4]
     assert pages.extract(table.where("false")).collect() == []
+
+
+POLISH = "Wczoraj rano mieszkańcy małego miasteczka zobaczyli nad rzeką wielkie stado białych żurawi lecących powoli wzdłuż brzegu."
+CHINESE = "昨天早上镇上的居民在河边看到一大群白鹤沿着河岸慢慢飞过天空非常壮观令人难忘。"
+LINKS = "<ul><li><a href=1>Inne wiadomości</a></li><li><a href=2>Pogoda</a></li></ul>"
+
+
+@pytest.mark.parametrize("text", [POLISH, CHINESE])
+def test_page_of_another_language_with_a_link_list(text):
+    want = f"{text}\n{text}\n{text}"
+    assert pages.main_text(f"<article><p>{text}</p><p>{text}</p>{LINKS}<p>{text}</p></article>") == want
+    assert pages.main_text(f"<div><p>{text}</p>{LINKS}<p>{text}</p><p>{text}</p></div>") == want
+
+
+def test_long_block_without_stop_words_after_the_last_links():
+    numbers = " ".join(map(str, range(40)))
+    assert pages.main_text(f"<article><p>{TEXT}</p>{LINKS}<pre>{numbers}</pre></article>") == f"{TEXT}\n{numbers}"
+    # Outside an article it follows its neighbours where the stop words fit the page.
+    assert pages.main_text(f"<p>{TEXT * 5}</p>{LINKS}<p>{numbers}</p>") == TEXT * 5
