@@ -15,7 +15,7 @@ from lakeward.operators.enrich import (
     unmapped_folders,
 )
 from lakeward.operators.enrich import rate_per_municipality as municipality_rates
-from lakeward.operators.partitions import write_months
+from lakeward.operators.partitions import month_list, rebuild_partitions, write_months
 from lakeward.plans import registry
 from lakeward.plans.catalog import query
 from lakeward.plans.deliveries import SQL_LISTING, SQL_TAGGED, listing, table, tagged_orders
@@ -248,7 +248,9 @@ def _small_lake(spark: SparkSession, sf_dir: str) -> str:
     orders = tagged_orders(spark, sf_dir).select("o_orderkey", "cents", "uf", "period")
     months = orders.select("o_orderkey", "cents", F.col("period").alias("competencia"))
     write_months(months, f"{lake}/sia/producao_ambulatorial")
-    write_months(months.where("competencia >= '200001' and o_orderkey % 2 = 0"), f"{lake}/sia/producao_ambulatorial")
+    recent = months.where("competencia >= '200001'")
+    # Months that the second delivery names but has no rows for go.
+    rebuild_partitions(recent.where("o_orderkey % 2 = 0"), month_list(recent, "competencia"), f"{lake}/sia/producao_ambulatorial")
     publish_table(orders, f"{lake}/cnes/leitos")
     publish_table(orders.where("uf = 'SP'"), f"{lake}/cnes/leitos")
     publish_table(orders.where("uf = 'RJ'"), f"{lake}/sih/aih_reduzida")
