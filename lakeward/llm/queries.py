@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeward.llm import ann, html, mixing, packing, quality, simhash, substrings, syncmers, toxicity, urlfilter
+from lakeward.llm import ann, bestfit, divergence, html, mixing, packing, quality, simhash, substrings, syncmers, toxicity, urlfilter
 from lakeward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_url_filter": op2_url_filter,
@@ -63,5 +71,11 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
+    "op11_best_fit": op11_best_fit,
+    "op13_source_audit": op13_source_audit,
+}
+ORACLES: dict[str, str] = {
+    "op2_url_filter": urlfilter.FILTER_SQL,
+    "op5_source_mix": mixing.MIX_SQL,
+    "op13_source_audit": divergence.AUDIT_SQL,
 }
-ORACLES: dict[str, str] = {"op2_url_filter": urlfilter.FILTER_SQL, "op5_source_mix": mixing.MIX_SQL}
