@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeward.llm import ann, bestfit, divergence, html, mixing, packing, quality, simhash, substrings, syncmers, toxicity, urlfilter
+from lakeward.llm import ann, bestfit, collocations, divergence, html, mixing, packing, quality, simhash, substrings, syncmers, toxicity, urlfilter
 from lakeward.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.best_fit(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -72,10 +76,12 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
     "op11_best_fit": op11_best_fit,
+    "op12_collocations": op12_collocations,
     "op13_source_audit": op13_source_audit,
 }
 ORACLES: dict[str, str] = {
     "op2_url_filter": urlfilter.FILTER_SQL,
     "op5_source_mix": mixing.MIX_SQL,
+    "op12_collocations": collocations.COLLOCATIONS_SQL,
     "op13_source_audit": divergence.AUDIT_SQL,
 }
