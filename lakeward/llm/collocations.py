@@ -18,10 +18,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import mixed, utf8
+from lakeward.llm.common import mixed, numbers, packed_numbers, utf8
 from lakeward.operators.sizing import join_small
 from lakeward.session import settled
 
@@ -30,7 +31,7 @@ DEPTH, LEAST, UNIT, SHOWN = 4, 30, 2_000_000, 2000
 # A phrase is left out if a longer one around it has so many hundredths of its occurrences.
 COVERED = 80
 # Bytes of text that are sorted together in a task, bytes of text for each bucket, and suffixes that are too many for one.
-BLOCK_BYTES, BUCKET_BYTES, TOO_MANY = 16 << 20, 8 << 20, 4 << 20
+BLOCK_BYTES, BUCKET_BYTES, TOO_MANY = 16 << 20, 8 << 20, 2 << 20
 # Partitions of fewer pointers are sorted at once.
 SMALL = 1 << 12
 
@@ -95,27 +96,15 @@ def _payloads(lang: str, words: list[bytes], columns: np.ndarray, weights: np.nd
         if used[0]:  # place 0 is the end of a piece, also where no suffix is short
             used, local = np.concatenate(([0], used)), local + 1
         local, weight = local.reshape(DEPTH, -1), weights[own]
-        # A column of such an ordered table has long runs, which compress well.
-        suffixes = local.astype(np.min_scalar_type(len(used)).newbyteorder("<"))
-        kept = weight.astype(np.min_scalar_type(int(weight.max())).newbyteorder("<"))
-        rows.append((r, lang, b"\n".join(words[u] for u in used[1:].tolist()), _typed(suffixes), _typed(kept), len(own)))
+        rows.append((r, lang, zstandard.compress(b"\n".join(words[u] for u in used[1:].tolist())), packed_numbers(local), packed_numbers(weight), len(own)))
     kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
     columns_out = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
     names = [field.split()[0] for field in _PAYLOAD.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns_out, kinds, strict=True)], names=names)
 
 
-def _typed(values: np.ndarray) -> bytes:
-    """Numbers as bytes, the first of which is their width."""
-    return bytes([values.dtype.itemsize]) + values.tobytes()
-
-
-def _untyped(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.dtype(f"<u{data[0]}"), offset=1).astype(np.int64)
-
-
 def _unpacked(words: bytes, suffixes: bytes, weights: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    return [BREAK, *words.split(b"\n")], _untyped(suffixes).reshape(DEPTH, -1), _untyped(weights)
+    return [BREAK, *zstandard.decompress(words).split(b"\n")], numbers(suffixes).reshape(DEPTH, -1), numbers(weights).astype(np.int64)
 
 
 def _routed(buckets: int):
@@ -170,7 +159,8 @@ def frequent(columns: np.ndarray, weights: np.ndarray, least: int) -> Iterator[t
             stop = np.concatenate((start[1:], [len(key)]))
             equal = [(pointer[start[i] : stop[i]], int(sums[i])) for i in np.flatnonzero((sums >= least) & (key[start] > 0)).tolist()]
         else:
-            pivot = np.partition(key[:: len(key) // 9], 4)[4]
+            some = np.sort(key[:: max(1, len(key) // 9)])
+            pivot = some[len(some) // 2]
             for rest in (pointer[key < pivot], pointer[key > pivot]):
                 if len(rest) and weights[rest].sum() >= least:
                     todo.append((rest, d))
@@ -254,19 +244,25 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     rows = settled(docs.mapInArrow(_routed(buckets), _PAYLOAD), "suffixes")
     totals = rows.where("route < 0").groupBy("lang").agg(F.sum("size").alias("n"))
     rows, found = rows.where("route >= 0"), []
+
+    def sort(part: DataFrame, level: int) -> DataFrame:
+        # A task for each bucket: several in one would hold their rows at once.
+        return settled(part.repartition(buckets, "route").groupBy("route").applyInPandas(_sorted_bucket(level, least), _PHRASES), "phrases")
+
     for level in range(1, DEPTH + 1):
         sizes = settled(rows.groupBy("route").agg(F.sum("size").alias("total")), "sizes")
         large = sizes.where(F.col("total") > TOO_MANY).select(F.col("route").alias("large"))
         n, among = sizes.where(F.col("total") > TOO_MANY).agg(F.count(F.lit(1)), F.coalesce(F.sum("total"), F.lit(0))).first()
         if not n or level == DEPTH:
-            found.append(settled(rows.groupBy("route").applyInPandas(_sorted_bucket(level, least), _PHRASES), "phrases"))
+            found.append(sort(rows, level))
             break
         marked = join_small(rows, large, F.col("route"), "large", "left")
         small, rest = marked.where("large is null").drop("large"), marked.where("large is not null").drop("large")
-        found.append(settled(small.groupBy("route").applyInPandas(_sorted_bucket(level, least), _PHRASES), "phrases"))
+        found.append(sort(small, level))
         leads = rest.mapInArrow(_leads(level), _PHRASES).groupBy("lang", "depth", "phrase").agg(F.sum("f").alias("f"))
         found.append(settled(leads.where(F.col("f") >= least), "leads"))
-        rows = settled(rest.mapInArrow(_dealt_anew(level, max(1, -(-4 * among // TOO_MANY))), _PAYLOAD), "suffixes")
+        buckets = max(1, -(-4 * among // TOO_MANY))
+        rows = settled(rest.mapInArrow(_dealt_anew(level, buckets), _PAYLOAD), "suffixes")
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)

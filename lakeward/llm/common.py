@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,3 +100,16 @@ def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 def utf8(texts) -> list[bytes]:
     """Texts of a batch as bytes; null is empty."""
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
+
+
+def packed_numbers(values: np.ndarray) -> bytes:
+    """Numbers from 0 on, byte by byte of all of them, compressed: high bytes and the columns of an ordered table have long runs."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    planes = np.ascontiguousarray(values, kind.newbyteorder("<")).reshape(-1, 1).view(np.uint8).T
+    return bytes([kind.itemsize]) + zstandard.compress(planes.tobytes())
+
+
+def numbers(data: bytes) -> np.ndarray:
+    """What `packed_numbers` was given, as one row."""
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel()
