@@ -6,121 +6,188 @@ is distinct among all texts is then cut into terms once, and its terms are joine
 
 from __future__ import annotations
 
-from collections import defaultdict
+import itertools
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import utf8
+from lakeward.llm.common import numbers, packed_numbers, utf8
 from lakeward.operators.sizing import join_small
 from lakeward.session import settled
 
-# A run of letters: anything but the other ASCII characters.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 # Documents of a language that must hold a term, added counts, unit of the shares, and terms shown of a group.
 LEAST, ADDED, UNIT, SHOWN = 30, 5, 1_000_000_000, 50
-# Bytes of text whose chunks are counted together in a task.
-BLOCK_BYTES = 8 << 20
-# Cells (sources x terms) of a language that are compared in one group.
-CELLS = 1 << 18
-
-_CHUNKS = "lang string, source string, chunk string, occurrences long, documents long, ids array<long>"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def _counted(groups: list[tuple[str, str]], texts: list[bytes], first_id: int, least: int) -> pa.RecordBatch:
-    """The distinct chunks of a block by group, with occurrences, documents and, of few documents, their ids."""
-    number: dict[bytes, int] = defaultdict(count().__next__)
-    words = [t.split() for t in texts]
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    chunk = np.fromiter((number[w] for ws in words for w in ws), np.int64, int(lengths.sum()))
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    of_group: dict[tuple[str, str], int] = defaultdict(count().__next__)
-    group = np.fromiter((of_group[g] for g in groups), np.int64, len(groups))
-
-    width = max(1, len(number))
-    in_doc, times = np.unique(owner * width + chunk, return_counts=True)
+# Bytes of text whose chunks are counted together in a task, and bytes of text for each bucket of chunks.
+BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+# Cells (sources x terms) of a language that are compared in one group, at least the square of the sources.
+CELLS = 1 << 14
+
+# The chunks of a block in one bucket, by language: their names, documents, ids of documents where they are few, and for each
+# chunk the number of its sources, these (places in `sources`) and its occurrences in each.
+_BLOCKS = "bucket long, lang string, sources array<string>, chunks binary, documents binary, ids binary, spread binary, used binary, times binary, first long"
+_TERMS = "bucket long, lang string, chunk string, term string, times long, documents long"
+_FOUND = "lang string, source string, term string, n long, id long"
+# Letters A-Z in lower case; every other ASCII character ends a term.
+_LETTERS = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalpha() else 32 for c in range(256))
+
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin."""
+    return np.flatnonzero(np.concatenate((key[:1] == key[:1], key[1:] != key[:-1])))
+
+
+def _counted(
+    langs: list[str], sources: list[str], parts: list[np.ndarray], names: list[bytes], first_id: int, least: int, buckets: int
+) -> Iterator[tuple]:
+    """The distinct chunks of a block by language and bucket. `parts` has the chunks (places in `names`) of each document."""
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    # The chunks of each document, counted.
+    width = len(names)
+    in_doc, times = np.unique(owner * width + np.concatenate(parts), return_counts=True)
     doc, chunk = in_doc // width, in_doc % width
-    order = np.lexsort((doc, chunk, group[doc]))
-    doc, chunk, times = doc[order], chunk[order], times[order]
-    key = group[doc] * width + chunk
-    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    bucket = np.fromiter((xxhash.xxh64_intdigest(name) % buckets for name in names), np.int64, width)
+    # Chunks in the order of their bucket, then of their names, which are alike side by side.
+    order = sorted(range(width), key=names.__getitem__)
+    order = np.array(order, np.int64)[np.argsort(bucket[order], kind="stable")]
+    place = np.empty(width, np.int64)
+    place[order] = np.arange(width)
+    lang_of, lang = np.unique(np.array(langs, object), return_inverse=True)
+    source_of, source = np.unique(np.array(sources, object), return_inverse=True)
+    rows = np.lexsort((source[doc], place[chunk], lang[doc]))
+    doc, chunk, times = doc[rows], chunk[rows], times[rows]
+    key = lang[doc] * width + place[chunk]
+    start = _starts(key)
     documents = np.diff(np.concatenate((start, [len(key)])))
-    occurrences = np.add.reduceat(times, start) if len(key) else documents
-    names, pairs = list(number), list(of_group)
     few = documents < least
-    taken = np.repeat(few, documents)
-    offsets = np.concatenate(([0], np.cumsum(np.where(few, documents, 0)))).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(doc[taken] + first_id))
-    own_group = [pairs[g] for g in (key[start] // width).tolist()]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([g[0] for g in own_group], pa.string()),
-            pa.array([g[1] for g in own_group], pa.string()),
-            pa.array([names[c].decode("utf-8") for c in (key[start] % width).tolist()], pa.string()),
-            pa.array(occurrences, pa.int64()),
-            pa.array(documents, pa.int64()),
-            ids,
-        ],
-        names=["lang", "source", "chunk", "occurrences", "documents", "ids"],
-    )
-
+    ids, id_end = doc[np.repeat(few, documents)], np.cumsum(np.where(few, documents, 0))
+    each = _starts(key * len(source_of) + source[doc])
+    used, totals = source[doc[each]], np.add.reduceat(times, each)
+    use_end = np.searchsorted(each, np.concatenate((start[1:], [len(key)])))
+    spread = np.diff(np.concatenate(([0], use_end)))
+    own, of_lang = chunk[start], key[start] // width
+    cuts = np.concatenate((_starts(of_lang * buckets + bucket[own]), [len(start)]))
+    for a, b in itertools.pairwise(cuts.tolist()):
+        i, u = (slice(int(end[a - 1]) if a else 0, int(end[b - 1])) for end in (id_end, use_end))
+        yield (
+            int(bucket[own[a]]), lang_of[of_lang[a]], source_of.tolist(), zstandard.compress(b"\n".join(names[c] for c in own[a:b].tolist())),
+            packed_numbers(documents[a:b]), packed_numbers(ids[i]), packed_numbers(spread[a:b]), packed_numbers(used[u]), packed_numbers(totals[u]), first_id,
+        )
+
+
+def _chunks(least: int, buckets: int):
+    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), *[pa.binary()] * 6, pa.int64()]
+    names = [field.split()[0] for field in _BLOCKS.split(", ")]
 
-def _chunks(least: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_id = TaskContext.get().partitionId() << 33
-        groups, texts, size = [], [], 0
+        langs, sources, parts, size = [], [], [], 0
+        number: dict[bytes, int] = defaultdict(count().__next__)
+
+        def block() -> pa.RecordBatch:
+            columns = zip(*_counted(langs, sources, parts, list(number), first_id, least, buckets), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
         for batch in batches:
-            langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-            for lang, source, text in zip(langs, sources, utf8(batch.column("text").to_pylist()), strict=True):
-                groups.append((lang, source))
-                texts.append(text)
+            columns = (batch.column(c).to_pylist() for c in ("lang", "source", "text"))
+            for lang, source, text in zip(*columns, strict=True):
+                chunks = utf8([text])[0].split()
+                if not chunks:
+                    continue
+                langs.append(lang)
+                sources.append(source)
+                parts.append(np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks)))
                 size += len(text)
                 if size >= BLOCK_BYTES:
-                    yield _counted(groups, texts, first_id, least)
-                    first_id += len(texts)
-                    groups, texts, size = [], [], 0
-        if texts:
-            yield _counted(groups, texts, first_id, least)
+                    yield block()
+                    first_id += len(parts)
+                    langs, sources, parts, size = [], [], [], 0
+                    number = defaultdict(count().__next__)
+        if parts:
+            yield block()
 
     return read
 
 
-def chunk_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """Per block of texts, group and chunk: occurrences, documents, and the documents' ids if they are fewer than `least`."""
-    return docs.select("lang", "source", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_chunks(least), _CHUNKS)
-
-
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """(chunk, term, times) of each distinct chunk, cut once; chunks without terms are not there."""
-    distinct = chunks.select("chunk").distinct()
-    found = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    return distinct.select("chunk", F.explode(found).alias("term")).groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("times"))
-
-
-def kept_terms(blocks: DataFrame, counted: DataFrame, terms: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, term) of the terms that stand in `least` documents of a language.
+def chunk_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, int]:
+    """The chunks of blocks of texts, dealt to buckets by their names, with documents, their ids if they are fewer than
+    `least`, and occurrences by source; and the number of buckets."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    return docs.select("lang", "source", "text").mapInArrow(_chunks(least, buckets), _BLOCKS), buckets
+
+
+def terms_of(chunk: bytes) -> dict[str, int]:
+    """The terms of a chunk, counted."""
+    return Counter(chunk.translate(_LETTERS).decode("utf-8").split(" "))
+
+
+def _cut(rows: pd.DataFrame) -> pd.DataFrame:
+    """The terms of the chunks of a bucket, each cut once, with the documents of the chunk by language."""
+    held: dict[bytes, dict[str, int]] = defaultdict(dict)
+    for lang, chunks, documents in zip(rows["lang"], rows["chunks"], rows["documents"], strict=True):
+        for chunk, n in zip(zstandard.decompress(chunks).split(b"\n"), numbers(documents).tolist(), strict=True):
+            of = held[chunk]
+            of[lang] = of.get(lang, 0) + n
+    bucket, out = rows["bucket"].iloc[0], []
+    for chunk, of in held.items():
+        name = chunk.decode("utf-8")
+        for term, times in terms_of(chunk).items():
+            if term:
+                out += [(bucket, lang, name, term, times, n) for lang, n in of.items()]
+    return pd.DataFrame(out, columns=["bucket", "lang", "chunk", "term", "times", "documents"])
+
+
+def _joined(blocks: pd.DataFrame, wanted: pd.DataFrame, least: int) -> pd.DataFrame:
+    """Occurrences by source of the wanted terms of a bucket, and the documents of the chunks of doubtful ones."""
+    terms: dict[str, dict[bytes, list]] = defaultdict(dict)
+    for lang, chunk, term, times, doubtful in wanted[["lang", "chunk", "term", "times", "doubtful"]].itertuples(index=False):
+        terms[lang].setdefault(chunk.encode(), []).append((term, times, doubtful))
+    sums: dict[tuple[str, str, str], int] = defaultdict(int)
+    documents: set[tuple[str, str, int]] = set()
+    for row in blocks.itertuples(index=False):
+        known = terms.get(row.lang, {})
+        names = zstandard.decompress(row.chunks).split(b"\n")
+        n, spread, used, times = (numbers(x).astype(np.int64) for x in (row.documents, row.spread, row.used, row.times))
+        ids, end = numbers(row.ids).astype(np.int64), np.cumsum(spread)
+        few = np.cumsum(np.where(n < least, n, 0))
+        for i, name in enumerate(names):
+            for term, within, doubtful in known.get(name, ()):
+                for u in range(int(end[i] - spread[i]), int(end[i])):
+                    sums[row.lang, row.sources[used[u]], term] += within * int(times[u])
+                if doubtful:
+                    documents.update((row.lang, term, int(d) + row.first) for d in ids[few[i] - n[i] : few[i]])
+    out = [(lang, source, term, n, None) for (lang, source, term), n in sums.items()]
+    out += [(lang, None, term, None, d) for lang, term, d in documents]
+    return pd.DataFrame(out, columns=["lang", "source", "term", "n", "id"]).astype({"n": "Int64", "id": "Int64"})
+
+
+def term_counts(blocks: DataFrame, buckets: int, least: int = LEAST) -> DataFrame:
+    """(lang, source, term, n) of the terms that stand in `least` documents of a language.
 
     A term stands in at least as many documents as its commonest chunk, and at most in as many as all its chunks
     together. Only where these two do not decide are its documents counted one by one; each chunk of such a term
     stands in fewer than `least` documents, so there are few and no key is hot.
     """
-    documents = counted.groupBy("lang", "chunk").agg(F.sum("documents").alias("documents"))
-    by_term = settled(documents.join(terms.select("chunk", "term"), "chunk"), "chunks-of-terms")
+    dealt = blocks.repartition(buckets, "bucket").groupBy("bucket")
+    terms = settled(dealt.applyInPandas(_cut, _TERMS), "terms")
     highest = F.sum("documents").alias("high")
-    bounds = settled(by_term.groupBy("lang", "term").agg(F.max("documents").alias("low"), highest).where(F.col("high") >= least), "bounds")
-    open_terms = bounds.where(F.col("low") < least).select("lang", "term")
-    doubtful = by_term.where(F.col("documents") < least).join(open_terms, ["lang", "term"]).select("lang", "chunk", "term")
-    known = blocks.where(F.col("documents") < least).select("lang", "chunk", "ids")
-    one_by_one = known.join(doubtful, ["lang", "chunk"]).select("lang", "term", F.explode("ids").alias("id")).distinct()
-    exact = one_by_one.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    return bounds.where(F.col("low") >= least).select("lang", "term").unionByName(exact.select("lang", "term"))
+    bounds = terms.groupBy("lang", "term").agg(F.max("documents").alias("low"), highest).where(F.col("high") >= least)
+    bounds = settled(bounds.select("lang", "term", (F.col("low") < least).alias("doubtful")), "bounds")
+    wanted = terms.join(bounds, ["lang", "term"]).repartition(buckets, "bucket").groupBy("bucket")
+    found = settled(dealt.cogroup(wanted).applyInPandas(lambda a, b: _joined(a, b, least), _FOUND), "found")
+    exact = found.where("id is not null").select("lang", "term", "id").distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("held"))
+    few = exact.where(F.col("held") < least).select("lang", "term")
+    summed = found.where("n is not null").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    return summed.join(few, ["lang", "term"], "left_anti")
 
 
 def _share(occurrences: Column, total: Column, terms: Column) -> Column:
@@ -164,9 +231,9 @@ def pair_distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "source", "item").agg(F.sum("part_value").alias("value"))
 
 
-def _group(lang: str, source: str) -> Column:
-    """A (lang, source) as one key."""
-    return F.concat(F.length(lang).cast("string"), F.lit(":"), F.col(lang), F.col(source))
+def _pair(first: str, second: str) -> Column:
+    """Two texts as one key."""
+    return F.concat(F.length(first).cast("string"), F.lit(":"), F.col(first), F.col(second))
 
 
 def divergence(docs: DataFrame, least: int = LEAST, shown: int = SHOWN) -> DataFrame:
@@ -178,30 +245,27 @@ def divergence(docs: DataFrame, least: int = LEAST, shown: int = SHOWN) -> DataF
     ordered by item. Other columns are not read. No rows: an empty result.
     """
     rows = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text")
-    blocks = settled(chunk_counts(rows, least), "chunks")
-    sums = [F.sum(c).alias(c) for c in ("occurrences", "documents")]
-    counted = settled(blocks.groupBy("lang", "source", "chunk").agg(*sums), "counted")
-    terms = settled(chunk_terms(counted), "terms")
-    kept = settled(kept_terms(blocks, counted, terms, least), "kept")
-    by_term = counted.join(terms, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("occurrences") * F.col("times")).alias("n"))
+    blocks, buckets = chunk_counts(rows, least)
+    by_term = term_counts(settled(blocks, "chunks"), buckets, least)
     # One row per source of the language in such a window.
     in_lang = F.sum("n").over(Window.partitionBy("lang", "term"))
-    cells = settled(by_term.join(kept, ["lang", "term"]).withColumn("lang_n", in_lang), "cells")
+    cells = settled(by_term.withColumn("lang_n", in_lang), "cells")
 
     found = rows.select("lang", "source").distinct()
     totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     of_lang = totals.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     sizes = found.groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
-    known = sizes.join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v")), "lang", "left").join(of_lang, "lang", "left")
+    known = sizes.join(cells.groupBy("lang").agg(F.count_distinct("term").alias("v")), "lang", "left").join(of_lang, "lang", "left")
     v, n = F.coalesce("v", F.lit(0)), F.coalesce("total", F.lit(0))
-    per_lang = known.withColumn("v", v).withColumn("buckets", F.greatest(F.lit(1), F.ceil(F.col("sources") * F.col("v") / CELLS)).cast("int"))
+    cells_of = F.col("sources") * F.col("v") / F.greatest(F.lit(CELLS), F.col("sources") * F.col("sources"))
+    per_lang = known.withColumn("v", v).withColumn("buckets", F.greatest(F.lit(1), F.ceil(cells_of)).cast("int"))
     with_totals = found.join(totals, ["lang", "source"], "left").withColumn("total", n)
     groups = join_small(with_totals, per_lang.withColumnRenamed("lang", "of"), F.col("lang"), "of", "inner").drop("of")
     empty = F.when(F.col("v") > 0, _share(F.lit(0), F.col("total"), F.col("v"))).otherwise(0)
-    groups = settled(groups.withColumn("absent", empty).withColumn("key", _group("lang", "source")), "groups")
+    groups = settled(groups.withColumn("absent", empty).withColumn("key", _pair("lang", "source")), "groups")
 
     facts = groups.select("key", "total", "lang_total", "v", "buckets")
-    told = join_small(cells, facts, _group("lang", "source"), "key", "inner")
+    told = join_small(cells, facts, _pair("lang", "source"), "key", "inner")
     share, usual = _share(F.col("n"), F.col("total"), F.col("v")), _share(F.col("lang_n"), F.col("lang_total"), F.col("v"))
     told = settled(told.select("lang", "source", "term", "buckets", share.alias("share"), usual.alias("usual")), "shares")
 
