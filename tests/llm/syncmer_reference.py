@@ -23,7 +23,7 @@ def _hash(values) -> int:
     return _signed(seed)
 
 
-def sketch(text: str, kmer: int = 3, kept: int = 64) -> list[tuple[int, int]]:
+def sketch(text: str, kmer: int = 3) -> list[tuple[int, int]]:
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     h = [_signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in words]
     if not h:
@@ -35,16 +35,16 @@ def sketch(text: str, kmer: int = 3, kept: int = 64) -> list[tuple[int, int]]:
         k = h[i : i + kmer]
         if min(k[0], k[-1]) <= min(k[1:-1]):
             found.setdefault(_hash(k), i + 1)
-    return sorted(found.items())[:kept]
+    return sorted(found.items())
 
 
 def written(marks) -> str:
     return " ".join(f"{h & (1 << 64) - 1:016x}@{p}" for h, p in marks)
 
 
-def likeness(a, b, tolerance, kept: int = 64) -> float:
+def likeness(a, b, tolerance) -> float:
     a, b = dict(a), dict(b)
-    both = sorted({*a, *b})[:kept]
+    both = {*a, *b}
     if not both:
         return 1.0
     return sum(h in a and h in b and abs(a[h] - b[h]) <= tolerance for h in both) / len(both)

@@ -59,10 +59,7 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
-def test_all_anchors_of_long_texts_count(spark, documents, make_docs, monkeypatch):
-    monkeypatch.setattr(plain.sketch, "__defaults__", (3, None))
-    monkeypatch.setattr(plain.likeness, "__defaults__", (None,))
-    assert rows_of(QUERIES["op7_syncmers"](spark, SF_DIR)) == want(documents)
+def test_all_anchors_of_long_texts_count(spark, make_docs):
     # Two long texts that share nothing but 50 words at one place, and one with a single word replaced.
     first, second = ([f"{c}{i}" for i in range(20_000)] for c in "ab")
     second[500:550] = first[500:550]
@@ -72,11 +69,3 @@ def test_all_anchors_of_long_texts_count(spark, documents, make_docs, monkeypatc
     assert 0 < rows[3]["near_next"] < 0.01 and 0.99 < rows[2]["near_next"] < 1
     assert rows[2]["fingerprint"] != rows[1]["fingerprint"]
     assert rows_of(syncmers.fingerprints(make_docs(docs))) == want(docs)
-
-
-def test_all_anchors_in_several_ranges(spark, documents, make_docs, monkeypatch):
-    monkeypatch.setattr(plain.sketch, "__defaults__", (3, None))
-    monkeypatch.setattr(plain.likeness, "__defaults__", (None,))
-    monkeypatch.setattr(syncmers, "RANGE_ROWS", 7)
-    docs = [(d * 3 - 100, t) for d, t in documents[:60]]
-    assert rows_of(syncmers.fingerprints(make_docs(docs))) == want(docs)
