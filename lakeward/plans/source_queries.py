@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.functions.periods import month_key_of
+from lakeward.functions.text import file_name
 from lakeward.operators.conform import tag_file
+from lakeward.operators.names import classify_names, rule_table
 from lakeward.operators.partitions import merge_partitions, read_months, read_rejects, write_months
 from lakeward.plans import registry
 from lakeward.plans.catalog import query
@@ -19,6 +21,7 @@ from lakeward.sinks.tables import latest_version, publish_counted, publish_table
 from lakeward.sources.dbf import LINEAGE, scan_dbf
 from lakeward.sources.delimited import (
     scan_csv_union_by_header,
+    scan_csv_union_with_rejects,
     scan_delimited,
     scan_delimited_files,
     scan_delimited_with_rejects,
@@ -29,6 +32,7 @@ from lakeward.sources.parquet import scan_month_range
 from lakeward.sources.parquet import scan_parquet_union_by_name as read_parts
 from lakeward.sources.rawtext import apply_layout, scan_raw_text
 from lakeward.streaming.arrivals import stream_append_new_files
+from lakeward.streaming.revisions import stream_revised_files
 
 # ---- delimited text ----------------------------------------------------------
 
@@ -107,6 +111,41 @@ def consolidate_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SQL_NOTE = "concat(l_returnflag, ', \"', l_linestatus, '\"')"
+_SQL_QUOTED = "concat('\"', l_returnflag, ', \"\"', l_linestatus, '\"\"\"')"
+
+
+@query(f"""WITH lines AS (SELECT CAST(l_orderkey AS VARCHAR) AS k, CAST(l_linenumber AS VARCHAR) AS n, l_linenumber % 7 AS kind, l_linestatus AS m,
+                          {_SQL_NOTE} AS note, {_SQL_QUOTED} AS quoted FROM lineitem)
+    SELECT 'row' AS outcome, k AS chave, n AS linha, CASE WHEN kind IN (2, 4) THEN m END AS modo, CASE WHEN kind IN (1, 5) THEN note END AS nota,
+           NULL::VARCHAR AS texto FROM lines WHERE kind IN (1, 2, 4, 5)
+    UNION ALL SELECT 'line', NULL, NULL, NULL, NULL, concat(k, ',', n, ',', quoted, ',extra') FROM lines WHERE kind = 3
+    UNION ALL SELECT 'line', NULL, NULL, NULL, NULL, concat(m, ',', k) FROM lines WHERE kind = 6
+    UNION ALL SELECT 'header', NULL, NULL, NULL, NULL, 'chave,modo,Chave'""")
+def ragged_csv_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two headers with quoted separators, lines that are too long or too short, and files whose header has a
+    name twice: all good rows are united by name, and all others are set aside with their text."""
+    path = scratch_path(spark, "ragged")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("k"), F.col("l_linenumber").cast("string").alias("n"), (F.col("l_linenumber") % 7).alias("kind"),
+        F.col("l_linestatus").alias("m"), F.concat(F.lit('"'), "l_returnflag", F.lit(', ""'), "l_linestatus", F.lit('"""')).alias("quoted"),
+    )
+    noted = F.concat_ws(",", "k", "n", "quoted", F.when(F.col("kind") == 3, "extra"))
+    moded = F.concat_ws(",", "m", "k", F.when(F.col("kind") != 6, F.col("n")))
+    for name, header, kinds, line in (
+        ("a", "chave,linha,nota", (1, 3, 5), noted), ("b", "modo,CHAVE,linha", (2, 4, 6), moded), ("c", "chave,modo,Chave", (0,), moded),
+    ):
+        write_ragged_lines(lines.where(F.col("kind").isin(*kinds)).select(line), header, f"{path}/{name}", "UTF-8")
+    rows, aside = scan_csv_union_with_rejects(spark, path, infer=False)
+    is_line = F.startswith("error", F.lit("malformed line: "))
+    lost = aside.select(F.when(is_line, "line").otherwise("header").alias("outcome"), F.regexp_replace("error", "^[a-z ]+: ", "").alias("texto"))
+    blank = [F.lit(None).cast("string").alias(c) for c in ("chave", "linha", "modo", "nota")]
+    # There are as many files with a repeated name as the write had tasks.
+    headers = lost.where("outcome = 'header'").distinct().unionByName(lost.where("outcome = 'line'"))
+    good = rows.select(F.lit("row").alias("outcome"), "chave", "linha", "modo", "nota", F.lit(None).cast("string").alias("texto"))
+    return good.unionByName(headers.select("outcome", *blank, "texto"))
+
+
 @query("SELECT doc_id, lang, text FROM documents", name="write_csv")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes, separators and line breaks inside fields survive."""
@@ -572,3 +611,32 @@ def events_as_they_arrive(spark: SparkSession, sf_dir: str) -> DataFrame:
         max_files=2,
     )
     return read_months(spark, target).select("event_id", "competencia", "user_id")
+
+
+def _published_name(path: str) -> Column:
+    return F.regexp_replace(F.upper(file_name(path)), r"\.DBF$", ".DBC")
+
+
+@query(_SQL_TWO_DELIVERIES, name="stream_revised_files")
+def files_written_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder of dBASE files taken as a stream: new files come, and others are written again in place, in the same
+    size and with other prices."""
+    landing, target, state = (scratch_path(spark, name) for name in ("revised", "revised-lake", "revised-state"))
+    rules = rule_table(spark, [registry.get_source("sia_pa").rule])
+
+    def read(files: DataFrame) -> DataFrame:
+        known = classify_names(files, rules, name=LINEAGE).withColumn("competencia", F.col("period"))
+        return scan_dbf(known, carry=(LINEAGE, "competencia"), order_by="competencia").rows
+
+    def arrive() -> None:
+        stream_revised_files(spark, landing, target, state, read, suffix=".dbf", lineage=_published_name)
+
+    orders = _dbf_orders(spark, sf_dir)
+    again = "uf = 'MG' and substring(period, 1, 4) = '2000'"
+    write_dbf(orders.where("uf <> 'SP'"), _PRICE_FIELDS, landing)
+    arrive()
+    arrive()  # nothing new
+    write_dbf(orders.where("uf = 'SP'"), _PRICE_FIELDS, landing)
+    write_dbf(_dearer(orders.where(again)), _PRICE_FIELDS, landing)
+    arrive()
+    return read_months(spark, target)

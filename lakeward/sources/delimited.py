@@ -2,71 +2,13 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable
-from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakeward.operators.conform import union_by_name
-from lakeward.operators.sizing import join_small
-from lakeward.session import settled, small_table
-from lakeward.sources.files import path_list, plain_path, scan_file_inventory, scan_first_lines
-
-REJECT = "_corrupt_record"
-
-
-def _reader(spark: SparkSession, sep: str, encoding: str):
-    # With column pruning the parser no longer sees how many fields a line has,
-    # and malformed lines would slip through whenever a query drops a column.
-    return (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("columnPruning", False)
-    )
-
-
-def first_lines(files: DataFrame, encoding: str) -> DataFrame:
-    """An inventory (path, name, bytes) with the first line of each file, or the error of reading it."""
-    return settled(scan_first_lines(files, encoding).join(files.select("path", "name", "bytes"), "path"), "headers")
-
-
-def files_by_header(files: DataFrame, encoding: str) -> tuple[dict[str, list[str]], DataFrame]:
-    """Paths of an inventory by their header line, and the files set aside (path, name, bytes, error).
-
-    Spark takes the first header for all files, so only files with the same one may be
-    read together. Files without any line hold nothing and are in neither.
-    """
-    heads = first_lines(files, encoding)
-    groups: dict[str, list[str]] = {}
-    # File names only, as many as the listing already holds.
-    for head in heads.where("error is null and line <> ''").orderBy("path").select("path", "line").toLocalIterator():
-        groups.setdefault(head["line"], []).append(head["path"])
-    return groups, heads.where("error is not null").select("path", "name", "bytes", "error")
-
-
-def _lines(spark: SparkSession, paths: list[str], sep: str, encoding: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of files with one header, and their malformed lines (path, line)."""
-    names = _reader(spark, sep, encoding).csv(paths[0]).schema.names
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, REJECT]])
-    # This condition always holds. It makes every query use every column, without
-    # which Spark does not fill the reject column.
-    uses_all = F.length(F.concat_ws("", *[F.col(f"`{n}`") for n in names])) >= 0
-    lines = (
-        _reader(spark, sep, encoding)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", REJECT)
-        .schema(schema)
-        .csv(paths)
-        .where(uses_all)
-        .withColumn("_path", F.col("_metadata.file_path"))
-    )
-    good = lines.where(F.col(REJECT).isNull()).drop(REJECT, "_path")
-    return good, lines.where(F.col(REJECT).isNotNull()).select(F.col("_path").alias("path"), F.col(REJECT).alias("line"))
+from lakeward.sources.files import scan_file_inventory
+from lakeward.sources.headed import MALFORMED, scan_headed
 
 
 def scan_delimited_files(
@@ -77,16 +19,8 @@ def scan_delimited_files(
 
     The rows are None if no file has a header. A UTF-8 byte-order mark is not part of the first name.
     """
-    groups, unread = files_by_header(files, encoding)
-    parts = [_lines(spark, paths, sep, encoding) for paths in groups.values()]
-    nothing = spark.range(0).select(F.lit("").alias("path"), F.lit("").alias("line"))
-    bad = reduce(DataFrame.unionByName, [lines for _, lines in parts], nothing)
-    named = bad.select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("name"), F.octet_length("line").cast("bigint").alias("bytes"),
-        F.concat(F.lit("malformed line: "), "line").alias("error"),
-    )
-    rows = reduce(lambda a, b: union_by_name(a, b, as_text=False), [good for good, _ in parts]) if parts else None
-    return rows, unread.unionByName(named)
+    found = scan_headed(spark, files, sep, encoding)
+    return found.rows, found.aside
 
 
 def scan_delimited(
@@ -108,13 +42,12 @@ def scan_delimited_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """The same table, and beside it the lines set aside: (file, line). A file that cannot be read fails."""
     rows, aside = scan_delimited_files(spark, scan_file_inventory(spark, paths), sep, encoding)
-    prefix = "malformed line: "
-    lost = aside.where(~F.startswith("error", F.lit(prefix))).first()
+    lost = aside.where(~F.startswith("error", F.lit(MALFORMED))).first()
     if lost:
         raise OSError(f"{lost['path']}: {lost['error']}")
     if rows is None:
         raise ValueError(f"no header in {paths}")
-    return rows, aside.select(F.col("name").alias("file"), F.substring(F.col("error"), len(prefix) + 1, 1 << 30).alias("line"))
+    return rows, aside.select(F.col("name").alias("file"), F.substring(F.col("error"), len(MALFORMED) + 1, 1 << 30).alias("line"))
 
 
 # Types in the order in which they are tried, each with the texts that it takes.
@@ -143,47 +76,15 @@ def with_inferred_types(rows: DataFrame) -> DataFrame:
 def scan_csv_union_with_rejects(
     spark: SparkSession, paths: str | Iterable[str], sep: str = ",", encoding: str = "UTF-8", infer: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """CSV files whose headers differ, united by column name, and the files set aside (path, name, bytes, error).
+    """CSV files whose headers differ, united by column name, and what was set aside (path, name, bytes, error):
+    lines with more or fewer fields than their file's header, files whose header repeats a name, files that cannot be read.
 
-    All files are read in one scan, by position; each row then meets the header of its file, which says where each
-    name stands in it. The driver sees the distinct headers. Names are compared ignoring case and shown
-    as they first appear. Types are inferred once, over the union.
+    Names are compared ignoring case and shown as they first appear. Types are inferred once, over the union.
     """
-    heads = first_lines(scan_file_inventory(spark, paths, glob="*.csv"), encoding)
-    good = heads.where("error is null and line <> ''")
-    found = good.groupBy("line").agg(F.min("path").alias("path")).collect()
-    if not found:
+    found = scan_headed(spark, scan_file_inventory(spark, paths, glob="*.csv"), sep, encoding)
+    if found.rows is None:
         raise ValueError(f"no readable CSV file in {paths}")
-    headers = {
-        row["line"]: [n or f"_c{i}" for i, n in enumerate(next(csv.reader([row["line"]], delimiter=sep)))]
-        for row in sorted(found, key=lambda row: row["path"])
-    }
-    shown: dict[str, str] = {}
-    for names in headers.values():
-        for name in names:
-            shown.setdefault(name.upper(), name)
-    width = max(map(len, headers.values()))
-    known = small_table(
-        spark, [{"line": line, "_names": [n.upper() for n in names]} for line, names in headers.items()],
-        pa.schema([("line", pa.string()), ("_names", pa.list_(pa.string()))]),
-    )
-    of_file = good.join(F.broadcast(known), "line").select(F.col("path").alias("_of"), F.array_join("_names", "\x1f").alias("_joined"))
-    cells = [f"_{i}" for i in range(width)]
-    lines = (
-        spark.read.option("sep", sep)
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .schema(T.StructType([T.StructField(c, T.StringType()) for c in cells]))
-        .csv(path_list(paths))
-        .withColumn("_path", plain_path(F.col("_metadata.file_path")))
-    )
-    placed = join_small(lines, of_file, F.col("_path"), "_of", "inner").withColumn("_names", F.split("_joined", "\x1f"))
-    value = lambda name: F.get(F.array(*cells), (F.array_position("_names", name) - 1).cast("int"))
-    rows = placed.select(*[value(upper).alias(name) for upper, name in shown.items()])
-    rejected = heads.where("error is not null").select("path", "name", "bytes", "error")
-    return (with_inferred_types(rows) if infer else rows), rejected
+    return (with_inferred_types(found.rows) if infer else found.rows), found.aside
 
 
 def scan_csv_union_by_header(
@@ -193,9 +94,9 @@ def scan_csv_union_by_header(
     encoding: str = "UTF-8",
     infer: bool = True,
 ) -> DataFrame:
-    """The same table; a file that cannot be read fails."""
+    """The same table without the lines set aside; a file that cannot be read fails."""
     rows, aside = scan_csv_union_with_rejects(spark, paths, sep, encoding, infer)
-    lost = aside.first()
+    lost = aside.where(~F.startswith("error", F.lit(MALFORMED))).first()
     if lost:
         raise OSError(f"{lost['path']}: {lost['error']}")
     return rows
