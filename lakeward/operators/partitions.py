@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from lakeward.operators.ledger import ledger_record
 from lakeward.operators.merge import merge_by_key
 from lakeward.session import small_table
-from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, hadoop_path, latest_version, publish_table, read_ledger, write_ledger
+from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, claim, hadoop_path, read_published, update_ledger, update_published
 
 # Bytes of source files that are rebuilt in one job, before the ledger is written.
 BATCH_BYTES = 1 << 40
@@ -64,20 +64,44 @@ def write_by_year(rows: DataFrame, path: str, column: str = "competencia") -> No
 
 def _listed(spark: SparkSession, path: str) -> dict[str, tuple[int, str]]:
     """Month -> (version, schema), which a calendar bounds."""
-    folder = latest_version(spark, f"{path}/{MONTHS}")
-    if folder is None:
-        return {}
-    rows = spark.read.schema("month string, version bigint, schema string").parquet(folder).collect()
-    return {r["month"]: (r["version"], r["schema"]) for r in rows}
+    return _rows_of_list(read_published(spark, f"{path}/{MONTHS}"))
+
+
+def _rows_of_list(months: DataFrame | None) -> dict[str, tuple[int, str]]:
+    return {} if months is None else {r["month"]: (r["version"], r["schema"]) for r in months.collect()}
 
 
 def _months(listed: dict[str, tuple[int, str]]) -> dict[str, tuple[int, str]]:
     return {m: at for m, at in listed.items() if not m.startswith(REJECTED)}
 
 
-def _publish_list(spark: SparkSession, path: str, months: dict[str, tuple[int, str]]) -> None:
-    rows = [{"month": m, "version": v, "schema": s} for m, (v, s) in sorted(months.items())]
-    publish_table(small_table(spark, rows, MONTHS_TYPE).coalesce(1), f"{path}/{MONTHS}")
+class ConcurrentWrite(RuntimeError):
+    """A month that a run has read was written by another one before the run could publish it."""
+
+
+def _publish_list(
+    spark: SparkSession, path: str, gone: set[str], added: dict[str, tuple[int, str]], base: dict[str, tuple[int, str]] | None
+) -> None:
+    """Publish the list as it is now, without the months `gone` and with those `added`.
+
+    What other runs published meanwhile stays. Only if one of them wrote a month that this run read (in `base`) and replaces, its
+    rows would be lost, so this fails. So does a column that would have two types, which no reader could read.
+    """
+
+    def change(months: DataFrame | None) -> DataFrame | None:
+        listed = _rows_of_list(months)
+        if base is not None:
+            moved = sorted(m for m in gone | set(added) if m in gone and listed.get(m) != base.get(m))
+            if moved:
+                raise ConcurrentWrite(f"written by another run meanwhile: {', '.join(moved)} of {path}")
+        after = {m: at for m, at in listed.items() if m not in gone} | added
+        if after == listed:
+            return None
+        _united(schema for m, (_, schema) in _months(after).items())
+        rows = [{"month": m, "version": v, "schema": s} for m, (v, s) in sorted(after.items())]
+        return small_table(spark, rows, MONTHS_TYPE).coalesce(1)
+
+    update_published(spark, f"{path}/{MONTHS}", change)
 
 
 def month_folders(spark: SparkSession, path: str, column: str = "competencia") -> list[str]:
@@ -124,7 +148,13 @@ def read_months(
     plan a query, and naming months limits the folders that are opened. None
     where nothing was written.
     """
-    listed = _months(_listed(spark, path))
+    return _read_listed(spark, path, column, _listed(spark, path), months)
+
+
+def _read_listed(
+    spark: SparkSession, path: str, column: str, listed: dict[str, tuple[int, str]], months: list[str] | None
+) -> DataFrame | None:
+    listed = _months(listed)
     wanted = sorted(set(listed) if months is None else set(listed) & set(months))
     if not wanted:
         return None
@@ -166,14 +196,28 @@ def drop_unlisted(spark: SparkSession, path: str, column: str = "competencia") -
 # ---- writes --------------------------------------------------------------------
 
 
-def _commit(rows: DataFrame, path: str, column: str, months: list[str] | None, clustered: bool) -> Written:
+def _new_version(spark: SparkSession, path: str) -> int:
+    """A number for a version that no other run writes."""
+    version = max([0, *_version_folders(spark, path)]) + 1
+    while not claim(spark, f"{path}/{DATA}/_begun-{version}"):
+        version += 1
+    return version
+
+
+def _commit(
+    rows: DataFrame, path: str, column: str, months: list[str] | None, clustered: bool, base: dict[str, tuple[int, str]] | None = None
+) -> Written:
     """Write rows as a new version and publish the list in which their months point to it.
 
-    `months` are replaced, also if they have no rows now; without it, those that `rows` has. Rows whose key is no
+    `months` are replaced, also if they have no rows now; without it, those that `rows` has. `base` is the list from which the rows that stay were read. Rows whose key is no
     period go into a folder of their own beside the months of the version. How many rows there are is read from the footers.
     """
     spark = rows.sparkSession
-    version = max([0, *_version_folders(spark, path)]) + 1
+    schema = T.StructType([f for f in rows.schema if f.name != column]).json()
+    others = [s for m, (_, s) in _months(_listed(spark, path)).items() if months is None or m not in months]
+    if months is not None:
+        _united([*others, schema])
+    version = _new_version(spark, path)
     folder = f"{path}/{DATA}/{VERSION}={version}"
     valid = is_period(column)
     if months is not None:
@@ -190,13 +234,10 @@ def _commit(rows: DataFrame, path: str, column: str, months: list[str] | None, c
         written = spark.read.schema(T.StructType().add(column, T.StringType())).parquet(folder)
         counts = {r[0]: r[1] for r in written.groupBy(column).count().collect()}
     rejected = counts.pop(REJECTED, 0)
-    schema = T.StructType([f for f in rows.schema if f.name != column]).json()
-    listed, gone = _listed(spark, path), set(counts if months is None else months)
-    after = {m: at for m, at in listed.items() if m not in gone} | {m: (version, schema) for m in counts}
+    added = {m: (version, schema) for m in counts}
     if rejected:
-        after[f"{REJECTED}{version}"] = (version, schema)
-    if after != listed:
-        _publish_list(spark, path, after)
+        added[f"{REJECTED}{version}"] = (version, schema)
+    _publish_list(spark, path, set(counts if months is None else months), added, base)
     return Written(sum(counts.values()), rejected)
 
 
@@ -242,11 +283,12 @@ def merge_partitions(
     spark = delivered.sparkSession
     units = (delivered if delivered_files is None else delivered_files).select(key, column).distinct()
     months = month_list(units, column)
-    existing = read_months(spark, path, column, months)
+    base = _listed(spark, path)
+    existing = _read_listed(spark, path, column, base, months)
     if existing is None:
-        return _commit(delivered, path, column, months, clustered)
+        return _commit(delivered, path, column, months, clustered, base)
     merged = merge_by_key(existing, delivered, key, delivered_keys=units, as_text=False)
-    return _commit(merged, path, column, months, False)
+    return _commit(merged, path, column, months, False, base)
 
 
 def month_batches(files: DataFrame, months: list[str], column: str, limit: int = BATCH_BYTES) -> list[list[str]]:
@@ -291,5 +333,5 @@ def rebuild_with_ledger(
         written = rebuild_partitions(read, part if done is None else month_list(done, column), path, column, clustered)
         rows, rejected = rows + written.rows, rejected + written.rejected
         done = asked if done is None else done
-        write_ledger(ledger_record(read_ledger(spark, ledger_path), asked, done), ledger_path)
+        update_ledger(spark, ledger_path, lambda now, asked=asked, done=done: ledger_record(now, asked, done))
     return Written(rows, rejected)

@@ -37,8 +37,8 @@ from lakeward.sinks.tables import (
     publish_text,
     read_ledger,
     read_published,
+    update_ledger,
     write_csv,
-    write_ledger,
 )
 from lakeward.sources.dbf import LINEAGE, read_headers, scan_dbf
 from lakeward.sources.delimited import scan_csv_union_with_rejects, scan_delimited_files
@@ -126,7 +126,7 @@ def ingest_merge(
     scan = scan_dbf(todo, carry=(LINEAGE, "competencia"), order_by="competencia")
     done = settled(_read_well(todo, scan.accepted), "done")
     written = merge_partitions(scan.rows, target, delivered_files=done, clustered=True)
-    write_ledger(ledger_record(ledger, todo, done), where)
+    update_ledger(spark, where, lambda now: ledger_record(now, todo, done))
     return Outcome(True, target, written.rows, scan.rejected, written.rejected)
 
 
@@ -149,7 +149,7 @@ def ingest_snapshot(spark: SparkSession, landing: str, lake: str, folder: str, t
     kept = _kept_rows(read_published(spark, target), files, scan.rejected)
     rows = scan.rows if kept is None else union_by_name(kept, scan.rows, as_text=False)
     n_rows = publish_counted(rows, target)
-    write_ledger(ledger_replace_prefix(ledger, rule.prefix, done), where)
+    update_ledger(spark, where, lambda now: ledger_replace_prefix(now, rule.prefix, done))
     return Outcome(True, target, n_rows, scan.rejected)
 
 
@@ -238,7 +238,7 @@ def ingest_years(
     bad = rejected.select(plain_path(F.col("path")).alias("path"))
     same = F.regexp_replace("path", "^file:/+", "file:/")
     done = todo.withColumn("path", same).join(bad.withColumn("path", same), "path", "left_anti")
-    write_ledger(ledger_record(ledger, todo, done), where)
+    update_ledger(spark, where, lambda now: ledger_record(now, todo, done))
     return Outcome(True, target, n_rows, rejected)
 
 
@@ -261,7 +261,7 @@ def _whole(
     if rows is None or not unread.isEmpty():
         return Outcome(False, target, rejected=rejected)
     n_rows = publish_counted(finish(rows), target)
-    write_ledger(ledger_upsert(ledger, files), where)
+    update_ledger(spark, where, lambda now: ledger_upsert(now, files))
     return Outcome(True, target, n_rows, rejected)
 
 
@@ -288,7 +288,7 @@ def ingest_text(spark: SparkSession, path: str, lake: str, folder: str, table: s
     if revision_diff(files, ledger).isEmpty():
         return Outcome(False, target)
     publish_text(scan_raw_text(spark, path), target)
-    write_ledger(ledger_upsert(ledger, files), where)
+    update_ledger(spark, where, lambda now: ledger_upsert(now, files))
     return Outcome(True, target)
 
 
@@ -335,7 +335,7 @@ def tidy_lake(spark: SparkSession, lake: str, keep: int = 2) -> int:
     """
     gone = 0
     for path in lake_tables(spark, lake):
-        for versioned in (path, f"{path}/_ledger", f"{path}/_months"):
+        for versioned in (path, f"{path}/_ledger", f"{path}/_months", f"{path}/_spans"):
             gone += drop_old_versions(spark, versioned, keep)
         gone += drop_unlisted(spark, path)
     return gone

@@ -9,6 +9,8 @@ Nothing is renamed, which suits object stores.
 from __future__ import annotations
 
 import re
+import time
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -67,6 +69,70 @@ def publish_table(df: DataFrame, path: str, max_records_per_file: int = MAX_RECO
     return target
 
 
+# Seconds after which a version that was begun and is not there yet counts as given up, and between two looks.
+GIVEN_UP, LOOK = 600, 0.5
+
+
+def latest_number(spark: SparkSession, path: str) -> int:
+    """The number of the latest committed version, 0 before the first."""
+    return max(versions(spark, path), default=0)
+
+
+def claim(spark: SparkSession, name: str) -> bool:
+    """Create an empty file that nobody else has created; as exclusive as the store's own create."""
+    system, where = hadoop_path(spark, name)
+    try:
+        system.create(where, False).close()
+    except Exception:
+        if not system.exists(where):
+            raise
+        return False
+    return True
+
+
+def _claim_of(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/_begun-{number:08d}"
+
+
+def publish_after(df: DataFrame, path: str, number: int) -> bool:
+    """Publish the version that follows `number`; false if another run has begun or published that one.
+
+    A claim that is old and led to no version, as of a run that died, is taken over.
+    """
+    spark, mine = df.sparkSession, number + 1
+    own, folder = _claim_of(path, mine), version_path(path, mine)
+    if not claim(spark, own):
+        system, where = hadoop_path(spark, own)
+        if path_exists(spark, f"{folder}/_SUCCESS"):
+            return False
+        age = time.time() - system.getFileStatus(where).getModificationTime() / 1000
+        if age < GIVEN_UP:
+            return False
+        system.delete(where, False)
+        if not claim(spark, own):
+            return False
+    system, where = hadoop_path(spark, folder)
+    if path_exists(spark, f"{folder}/_SUCCESS"):
+        return False
+    system.delete(where, True)
+    df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(folder)
+    return True
+
+
+def update_published(spark: SparkSession, path: str, change: Callable[[DataFrame | None], DataFrame | None]) -> None:
+    """Publish what `change` makes of the latest version (None before the first), at the version right after it.
+
+    If another run publishes that one first, its version is read and `change` runs again, so that of two
+    runs at once none is lost. None from `change` leaves the table as it is.
+    """
+    while True:
+        number = latest_number(spark, path)
+        after = change(spark.read.parquet(version_path(path, number)) if number else None)
+        if after is None or publish_after(after, path, number):
+            return
+        time.sleep(LOOK)
+
+
 def publish_counted(df: DataFrame, path: str) -> int:
     """Publish a version and return its rows, counted while they are written."""
     seen = Observation()
@@ -80,9 +146,20 @@ def read_published(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(folder) if folder else None
 
 
+def drop_old_claims(spark: SparkSession, path: str) -> None:
+    """Delete the claims of versions that are there or were passed by."""
+    system, where = hadoop_path(spark, path)
+    latest = latest_number(spark, path)
+    for status in system.listStatus(where) if system.exists(where) else []:
+        match = re.fullmatch("_begun-([0-9]{8})", status.getPath().getName())
+        if match and int(match[1]) < latest:
+            system.delete(status.getPath(), False)
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
     """Delete committed versions but the `keep` latest; returns how many."""
     old = versions(spark, path)[: -max(keep, 1)]
+    drop_old_claims(spark, path)
     for version in old:
         system, where = hadoop_path(spark, version_path(path, version))
         system.delete(where, True)
@@ -114,3 +191,12 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 def write_ledger(ledger: DataFrame, path: str) -> None:
     """Publish the ledger. Call it after the data of its keys was written."""
     publish_table(ledger.select("key", "fingerprint"), path)
+
+
+def update_ledger(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> None:
+    """Publish what `change` makes of the ledger as it is now. Call it after the data of its keys was written."""
+
+    def again(known: DataFrame | None) -> DataFrame:
+        return change(small_table(spark, [], LEDGER_TYPE) if known is None else known).select("key", "fingerprint")
+
+    update_published(spark, path, again)

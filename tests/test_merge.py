@@ -197,10 +197,10 @@ def test_rows_without_a_period_are_set_aside(spark, tmp_path):
 def test_eras_with_other_types_fail(spark, tmp_path):
     path = str(tmp_path / "t")
     write_months(months(spark, [("202001", "a", "1")]), path)
-    write_months(months(spark, [("202002", "a", "1")]).withColumn("v", F.col("v").cast("int")), path)
+    # A list of months that nobody could read as one table is not published.
     with pytest.raises(TypeError):
-        read_months(spark, path)
-    assert read_months(spark, path, months=["202002"]).dtypes[1] == ("v", "int")
+        write_months(months(spark, [("202002", "a", "1")]).withColumn("v", F.col("v").cast("int")), path)
+    assert read_months(spark, path).dtypes[1] == ("v", "string") and month_folders(spark, path) == ["202001"]
 
 
 def test_ledger_follows_the_data(spark, tmp_path, monkeypatch):
