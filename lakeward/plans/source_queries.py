@@ -13,12 +13,13 @@ from lakeward.operators.conform import tag_file
 from lakeward.operators.names import classify_names, rule_table
 from lakeward.operators.partitions import merge_partitions, read_months, read_rejects, write_months
 from lakeward.plans import registry
-from lakeward.plans.catalog import query
+from lakeward.plans.catalog import ORACLES, query
 from lakeward.plans.deliveries import SQL_TAGGED, table, tagged_orders, write_dbf, write_ragged_lines
 from lakeward.plans.ingest import consolidate_folder, ingest_merge, ingest_months, ingest_snapshot, ingest_text, ingest_years
 from lakeward.session import scratch_path
 from lakeward.sinks.tables import latest_version, publish_counted, publish_table, publish_text, read_published, write_csv
-from lakeward.sources.dbf import LINEAGE, scan_dbf
+from lakeward.sources.dbf import LINEAGE, read_headers, scan_dbf
+from lakeward.sources.dbf_format import dbf_schema, read_dbf
 from lakeward.sources.delimited import (
     scan_csv_union_by_header,
     scan_csv_union_with_rejects,
@@ -28,7 +29,7 @@ from lakeward.sources.delimited import (
 )
 from lakeward.sources.files import scan_file_inventory
 from lakeward.sources.json_arrays import POPULATION_COLUMNS, picked_rows, scan_answers, scan_header_first_json
-from lakeward.sources.parquet import scan_month_range
+from lakeward.sources.parquet import scan_calendar, scan_month_range, scan_months
 from lakeward.sources.parquet import scan_parquet_union_by_name as read_parts
 from lakeward.sources.rawtext import apply_layout, scan_raw_text
 from lakeward.streaming.arrivals import stream_append_new_files
@@ -278,6 +279,31 @@ def dbf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("tagged", F.col(LINEAGE).isNotNull()).drop(LINEAGE)
 
 
+_SQL_DBF = ORACLES["scan_dbf"]
+
+
+@query(_SQL_DBF, name="scan_dbf_format")
+def dbf_as_a_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two eras through `spark.read.format("dbf")`, whose tasks read the headers of their own files."""
+    rows = read_dbf(spark, _dbf_folder(spark, sf_dir), task_bytes=str(1 << 20))
+    return rows.withColumn("tagged", F.col(LINEAGE).isNotNull()).drop(LINEAGE)
+
+
+@query(f"""WITH {SQL_TAGGED}
+    SELECT period AS competencia, upper(replace(file, '.dbc', '.dbf')) AS _ARQUIVO_ORIGEM, count(*) AS n,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2))::VARCHAR AS valor
+    FROM tagged WHERE period BETWEEN '199706' AND '199803' AND uf IN ('SP', 'BA') GROUP BY 1, 2""")
+def dbf_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of the dBASE files of some months and states; no other file is opened."""
+    path = scratch_path(spark, "dbf-months")
+    write_dbf(_dbf_orders(spark, sf_dir), _PRICE_FIELDS, path)
+    headers = read_headers(scan_file_inventory(spark, path, glob="*.dbf"))
+    rows = read_dbf(spark, path, dbf_schema(headers, ["VALOR"], months=True), period="^PA[A-Z]{2}([0-9]{2})([0-9]{2})")
+    asked = rows.where(f"competencia between '199706' and '199803' and (startswith({LINEAGE}, 'PASP') or startswith({LINEAGE}, 'PABA'))")
+    total = F.sum(F.col("VALOR").cast("decimal(18,2)")).cast("decimal(18,2)").cast("string")
+    return asked.groupBy("competencia", LINEAGE).agg(F.count(F.lit(1)).alias("n"), total.alias("valor"))
+
+
 @query(f"""WITH {SQL_TAGGED}
     SELECT CASE WHEN uf = 'RS' THEN 'rejected' ELSE 'accepted' END AS outcome, count(DISTINCT file) AS files,
            CAST(sum(CASE WHEN uf = 'RS' THEN 0 ELSE 1 END) AS BIGINT) AS records
@@ -557,6 +583,46 @@ def months_of_two_eras(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("chave", "linha", "retorno", "situacao", "competencia")
 
 
+def _line_months(spark: SparkSession, sf_dir: str) -> str:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", month_key_of("l_shipdate").alias("competencia"))
+    target = scratch_path(spark, "line-months")
+    write_months(lines, target)
+    return target
+
+
+def _busy_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months with their orders: those that have more urgent ones than the month's number in the year."""
+    urgent = F.count(F.when(F.startswith("o_orderpriority", F.lit("1")), 1))
+    by_month = table(spark, sf_dir, "orders").groupBy(month_key_of("o_orderdate").alias("competencia"))
+    months = by_month.agg(F.count(F.lit(1)).alias("n_orders"), urgent.alias("urgent"))
+    return months.where("urgent > cast(substring(competencia, 5, 2) as int)").select("competencia", "n_orders")
+
+
+_SQL_BUSY = """busy AS (
+    SELECT strftime(o_orderdate, '%Y%m') AS competencia, count(*) AS n_orders FROM orders GROUP BY 1
+    HAVING count(*) FILTER (starts_with(o_orderpriority, '1')) > CAST(substr(strftime(max(o_orderdate), '%Y%m'), 5, 2) AS INTEGER))"""
+
+
+@query(f"""WITH {_SQL_BUSY}
+    SELECT b.competencia, n_orders, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+    FROM lineitem JOIN busy b ON strftime(l_shipdate, '%Y%m') = b.competencia GROUP BY 1, 2""")
+def months_of_a_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the months that another table gives; only these folders are opened."""
+    rows = scan_calendar(spark, _line_months(spark, sf_dir), _busy_months(spark, sf_dir))
+    return rows.groupBy("competencia", "n_orders").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
+    )
+
+
+@query("""SELECT strftime(l_shipdate, '%Y%m') AS competencia, count(*) AS n_lines FROM lineitem
+    WHERE strftime(l_shipdate, '%Y%m') BETWEEN '199611' AND '199702' OR strftime(l_shipdate, '%Y%m') LIKE '%12' GROUP BY 1""")
+def months_by_a_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plain filter on the month of the whole table."""
+    rows = scan_months(spark, _line_months(spark, sf_dir))
+    asked = F.col("competencia").between("199611", "199702") | F.endswith("competencia", F.lit("12"))
+    return rows.where(asked).groupBy("competencia").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 @query(f"""WITH {SQL_TAGGED}
     SELECT o_orderkey, cents + 1 AS cents FROM tagged""")
 def publish_over_itself(spark: SparkSession, sf_dir: str) -> DataFrame:

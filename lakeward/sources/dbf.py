@@ -50,42 +50,42 @@ class DbfScan:
     rejected: DataFrame
 
 
+def layout(path: str, size: int) -> tuple[int, int, int, list[dict]]:
+    """Records, header length, record length and fields (name, kind, first, width) of a file, from its header."""
+    import struct
+
+    with open_in_task(path) as handle:
+        start = handle.read(32)
+        if len(start) < 32:
+            raise ValueError("file is shorter than a header")
+        records, header_length, record_length = struct.unpack_from("<IHH", start, 4)
+        descriptors = handle.read(max(header_length - 32, 0))
+    if size < header_length + records * record_length:
+        raise ValueError("file ends before its last record")
+    fields, first = [], 1
+    for at in range(0, len(descriptors) - 31, 32):
+        item = descriptors[at : at + 32]
+        if item[0] == 0x0D:
+            break
+        # Other types (memo pointers, binary numbers) stay as they are written.
+        kind = chr(item[11]) if chr(item[11]) in "CNDLF" else "C"
+        name = item[:11].split(b"\x00", 1)[0].decode("latin-1")
+        fields.append({"name": name, "kind": kind, "first": first, "width": item[16]})
+        first += item[16]
+    if not fields or first > record_length:
+        raise ValueError("fields and record length do not agree")
+    return records, header_length, record_length, fields
+
+
 def scan_headers(files: DataFrame) -> DataFrame:
     """Layout or error of each file of an inventory (columns path, bytes)."""
 
     def read(batches):
-        import struct
-
         import pyarrow as pa
 
         fields_type = pa.list_(
             pa.struct([("name", pa.string()), ("kind", pa.string()), ("first", pa.int32()), ("width", pa.int32())])
         )
-        kinds = set("CNDLF")
-
-        def layout(path, size):
-            with open_in_task(path) as handle:
-                start = handle.read(32)
-                if len(start) < 32:
-                    raise ValueError("file is shorter than a header")
-                records, header_length, record_length = struct.unpack_from("<IHH", start, 4)
-                descriptors = handle.read(max(header_length - 32, 0))
-            if size < header_length + records * record_length:
-                raise ValueError("file ends before its last record")
-            fields, first = [], 1
-            for at in range(0, len(descriptors) - 31, 32):
-                item = descriptors[at : at + 32]
-                if item[0] == 0x0D:
-                    break
-                # Other types (memo pointers, binary numbers) stay as they are written.
-                kind = chr(item[11]) if chr(item[11]) in kinds else "C"
-                name = item[:11].split(b"\x00", 1)[0].decode("latin-1")
-                fields.append({"name": name, "kind": kind, "first": first, "width": item[16]})
-                first += item[16]
-            if not fields or first > record_length:
-                raise ValueError("fields and record length do not agree")
-            return records, header_length, record_length, fields
-
         for batch in batches:
             out = {name: [] for name in ("path", "bytes", "records", "header_length", "record_length", "fields", "error")}
             for path, size in zip(batch.column("path").to_pylist(), batch.column("bytes").to_pylist()):
@@ -103,6 +103,51 @@ def scan_headers(files: DataFrame) -> DataFrame:
     return files.select("path", "bytes").mapInArrow(read, HEADER_TYPE)
 
 
+def record_batches(item: dict, columns: list[str], carried: list[str], encoding: str, batch_records: int):
+    """Arrow batches of a range of records as trimmed text, each with the carried values of its file.
+
+    `item` has path, header_length, record_length, fields, start and count, and the carried values. Only the bytes of `columns` are decoded.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def text(cells):
+        data = np.ascontiguousarray(cells)
+        if data.size and data.view(np.uint8).max() > 127:
+            column = pa.array(np.char.decode(data, encoding, "replace"), pa.string())
+        else:
+            column = pa.array(data, pa.binary()).cast(pa.string())
+        column = pc.ascii_trim_whitespace(column)
+        return pc.if_else(pc.equal(column, ""), pa.scalar(None, pa.string()), column)
+
+    cut = {_column(f["name"]): f for f in item["fields"]}
+    present = [c for c in columns if c in cut]
+    record = np.dtype(
+        {
+            "names": ["flag", *[f"f{i}" for i in range(len(present))]],
+            "formats": ["S1", *[f"S{cut[c]['width']}" for c in present]],
+            "offsets": [0, *[cut[c]["first"] for c in present]],
+            "itemsize": item["record_length"],
+        }
+    )
+    with open_in_task(item["path"]) as handle:
+        handle.seek(item["header_length"] + item["start"] * item["record_length"])
+        left = item["count"]
+        while left:
+            n = min(left, batch_records)
+            raw = handle.read(n * item["record_length"])
+            if len(raw) < n * item["record_length"]:
+                raise OSError(f"{item['path']} changed while it was read")
+            rows = np.frombuffer(raw, dtype=record)
+            rows = rows[rows["flag"] == b" "]
+            left -= n
+            cells = {c: text(rows[f"f{i}"]) for i, c in enumerate(present)}
+            empty = pa.nulls(len(rows), pa.string())
+            tags = [pa.repeat(pa.scalar(item[c], pa.string()), len(rows)) for c in carried]
+            yield pa.RecordBatch.from_arrays([*[cells.get(c, empty) for c in columns], *tags], [*columns, *carried])
+
+
 def _decode_ranges(
     ranges: DataFrame, columns: list[str], carried: list[str], encoding: str, batch_records: int
 ) -> DataFrame:
@@ -110,48 +155,9 @@ def _decode_ranges(
     each with the carried values of its file."""
 
     def read(batches):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        def text(cells):
-            data = np.ascontiguousarray(cells)
-            if data.size and data.view(np.uint8).max() > 127:
-                column = pa.array(np.char.decode(data, encoding, "replace"), pa.string())
-            else:
-                column = pa.array(data, pa.binary()).cast(pa.string())
-            column = pc.ascii_trim_whitespace(column)
-            return pc.if_else(pc.equal(column, ""), pa.scalar(None, pa.string()), column)
-
         for batch in batches:
             for item in batch.to_pylist():
-                cut = {_column(f["name"]): f for f in item["fields"]}
-                present = [c for c in columns if c in cut]
-                record = np.dtype(
-                    {
-                        "names": ["flag", *[f"f{i}" for i in range(len(present))]],
-                        "formats": ["S1", *[f"S{cut[c]['width']}" for c in present]],
-                        "offsets": [0, *[cut[c]["first"] for c in present]],
-                        "itemsize": item["record_length"],
-                    }
-                )
-                with open_in_task(item["path"]) as handle:
-                    handle.seek(item["header_length"] + item["start"] * item["record_length"])
-                    left = item["count"]
-                    while left:
-                        n = min(left, batch_records)
-                        raw = handle.read(n * item["record_length"])
-                        if len(raw) < n * item["record_length"]:
-                            raise OSError(f"{item['path']} changed while it was read")
-                        rows = np.frombuffer(raw, dtype=record)
-                        rows = rows[rows["flag"] == b" "]
-                        left -= n
-                        cells = {c: text(rows[f"f{i}"]) for i, c in enumerate(present)}
-                        empty = pa.nulls(len(rows), pa.string())
-                        tags = [pa.repeat(pa.scalar(item[c], pa.string()), len(rows)) for c in carried]
-                        yield pa.RecordBatch.from_arrays(
-                            [*[cells.get(c, empty) for c in columns], *tags], [*columns, *carried]
-                        )
+                yield from record_batches(item, columns, carried, encoding, batch_records)
 
     schema = ", ".join(f"`{c}` string" for c in [*columns, *carried])
     return ranges.mapInArrow(read, schema)
@@ -242,13 +248,13 @@ def scan_dbf(
     decoded = _decode_ranges(_dealt(ranges, order_by), names, list(carry), encoding, batch_records)
     of_files = files.select("path")
     return DbfScan(
-        rows=decoded.select(*[_published_text(n, headers.kinds[n]).alias(n) for n in names], *carry),
+        rows=decoded.select(*[published_text(n, headers.kinds[n]).alias(n) for n in names], *carry),
         accepted=headers.good.join(of_files, "path", "left_semi").select("path", file_name("path").alias("name"), "bytes", "records"),
         rejected=headers.rejected.join(of_files, "path", "left_semi"),
     )
 
 
-def _published_text(name: str, kinds: set[str]):
+def published_text(name: str, kinds: set[str]):
     """Text of a decoded cell, which is trimmed and not empty."""
     value = F.col(f"`{name}`")
     if kinds == {"D"}:

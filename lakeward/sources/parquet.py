@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeward.operators.partitions import month_folders, read_months
+from lakeward.operators.partitions import month_folders, month_list, read_months
 from lakeward.operators.periods import check_window, in_window
+from lakeward.operators.sizing import join_small
+from lakeward.session import settled
 from lakeward.sources.files import path_list
 
 
@@ -37,3 +40,29 @@ def scan_month_range(
     if rows is None:
         raise ValueError(f"no month of {path} lies in the window {window}")
     return rows
+
+
+def scan_months(spark: SparkSession, path: str, column: str = "competencia") -> DataFrame:
+    """All months of a month-partitioned table, with the month as a partition column.
+
+    A filter on it opens only the months that pass, and so does a join with a filtered table of months that is broadcast:
+    Spark prunes the folders when the query is planned, or from the months that the other side turns out to have.
+    """
+    rows = read_months(spark, path, column)
+    if rows is None:
+        raise ValueError(f"{path} has no months")
+    return rows
+
+
+def scan_calendar(spark: SparkSession, path: str, calendar: DataFrame, column: str = "competencia") -> DataFrame:
+    """The rows of the months that a table of months has, with its other columns.
+
+    The months are found first, whatever plan `calendar` has and however it is joined later, and
+    only their folders are listed and opened. A month that the calendar repeats repeats its rows; months without a folder have none.
+    """
+    known = settled(calendar, "calendar")
+    rows = read_months(spark, path, column, month_list(known, column))
+    if rows is None:
+        # The same columns, without a row.
+        rows = scan_months(spark, path, column).where("false")
+    return join_small(rows, known.withColumnRenamed(column, "_month"), F.col(column), "_month", "inner").drop("_month")

@@ -64,7 +64,7 @@ class FileEventReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         before, after = self._load(start["listing"]), self._load(end["listing"])
         events = [(p, *after[p], "changed" if p in before else "new") for p in sorted(after) if before.get(p) != after[p]]
-        return [InputPartition(events[i : i + PER_TASK]) for i in range(0, len(events), PER_TASK)]
+        return [InputPartition(events[i : i + PER_TASK]) for i in range(0, len(events) or 1, PER_TASK)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         yield from partition.value
