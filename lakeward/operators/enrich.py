@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.text import as_column, zero_fill
 from lakeward.operators.sizing import join_small
+from lakeward.session import settled
 
 UNMAPPED = "(não mapeado no registro)"  # fixed value: label of what has no source
 
@@ -45,6 +46,71 @@ def first_substring_match(
     return found
 
 
+# Letters by which names and fragments of a dictionary table are brought together.
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """The distinct strings of `size` letters in a text, found in one pass; none if it is shorter."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+
+
+def fragment_matches(
+    names: DataFrame,
+    name: str,
+    dictionary: DataFrame,
+    fragment: str = "fragment",
+    target: str = "target",
+    priority: str = "priority",
+    longest: bool = False,
+    as_name: str = "match",
+) -> DataFrame:
+    """`names` with the target of the first fragment, by priority, that the name contains, from a table of fragments.
+
+    For dictionaries that are no list in the code: thousands of fragments or more. Each fragment is found through one of
+    its three-letter strings, the one that the fewest different names have; names meet it by equality and are then looked at
+    closely, so no name meets all fragments. Each different name is matched once. With `longest` the longest
+    contained fragment counts, of equally long ones the first. Equal priorities go by fragment, then by target; a fragment without priority comes last. An empty
+    fragment is in every name; null names and fragments match nothing.
+    """
+    entries = settled(
+        dictionary.where(F.col(fragment).isNotNull()).select(
+            F.col(fragment).alias("_fragment"),
+            F.struct(
+                (F.lit(0) - F.char_length(fragment) if longest else F.lit(0)).alias("length"),
+                F.col(priority).isNull().alias("last"), F.col(priority).alias("priority"), F.col(fragment).alias("fragment"), F.col(target).alias("target"),
+            ).alias("_order"),
+        ),
+        "fragments",
+    )
+    known = settled(names.where(F.col(name).isNotNull()).select(F.col(name).alias("_name")).distinct(), "names")
+    size = F.least(F.char_length("_fragment"), F.lit(GRAM))
+    sizes = sorted(row[0] for row in entries.where("_fragment <> ''").select(size).distinct().collect())  # at most GRAM numbers
+    of_names = known.select("_name", F.explode(F.flatten(F.array(*[_grams(F.col("_name"), n) for n in sizes or [GRAM]]))).alias("_gram"))
+    counts = of_names.groupBy("_gram").agg(F.count(F.lit(1)).alias("n"))
+    own = _grams(F.col("_fragment"), GRAM)
+    for n in range(1, GRAM):
+        own = F.when(size == n, _grams(F.col("_fragment"), n)).otherwise(own)
+    of_entries = entries.where("_fragment <> ''").select("_fragment", F.explode(own).alias("_gram")).distinct()
+    # A string that no name has rules its fragment out, so it is the best choice.
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "_gram")).alias("best")
+    chosen = of_entries.join(counts, "_gram", "left").groupBy("_fragment").agg(rarest).where("best.n > 0")
+    sought = chosen.select("_fragment", F.col("best._gram").alias("_sought"))
+    found = join_small(of_names, sought, F.col("_gram"), "_sought", "inner").where(F.contains("_name", F.col("_fragment")))
+    first = entries.groupBy("_fragment").agg(F.min("_order").alias("_order"))
+    pairs = found.select("_name", F.col("_fragment").alias("_held"))
+    ordered = join_small(pairs, first, F.col("_held"), "_fragment", "inner").groupBy("_name").agg(F.min("_order").alias("_order"))
+    empty = first.where("_fragment = ''").select(F.col("_order").alias("_empty")).first()
+    best = F.col("_order")
+    if empty is not None:
+        every = known.select("_name", F.lit(None).cast(first.schema["_order"].dataType).alias("_order"))
+        always = first.where("_fragment = ''").select(F.col("_order").alias("_always"))
+        ordered = ordered.unionByName(every).groupBy("_name").agg(F.min("_order").alias("_order")).join(F.broadcast(always))
+        best = F.least("_order", "_always")
+    matched = ordered.select("_name", best["target"].alias(as_name))
+    return join_small(names, matched, F.col(name), "_name", "left").drop("_name")
+
+
 def dimension_lookup(df: DataFrame, dimension: DataFrame, key: str, strict: bool = True) -> DataFrame:
     """Add the columns of a keyed dimension; with `strict` an unknown key fails the job."""
     marked = dimension.withColumnRenamed(key, "_known")

@@ -10,6 +10,7 @@ from lakeward.operators import catalogue as cat
 from lakeward.operators.enrich import (
     dimension_lookup,
     first_substring_match,
+    fragment_matches,
     left_enrich,
     rate_per,
     unmapped_folders,
@@ -111,6 +112,50 @@ def longest_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("p_partkey", first_substring_match("p_name", FRAGMENTS, longest=True).alias("id"))
 
 
+_SQL_FRAGMENTS = """names AS (SELECT p_partkey, concat(p_name, '/', p_brand, '/', p_partkey) AS nome FROM part),
+    dictionary AS (
+        SELECT concat(substr(p_brand, 6), '/', p_partkey // 10) AS fragment, concat('d', p_partkey) AS target, (p_partkey * 7919) % 10007 AS priority FROM part
+        UNION ALL SELECT CASE WHEN p_partkey % 50 = 7 THEN p_name ELSE concat(p_partkey % 97, 'e') END, concat('n', p_partkey), 10007 + p_partkey % 11 FROM part
+        UNION ALL SELECT concat(p_partkey % 89, '/'), concat('s', p_partkey), 20000 FROM part WHERE p_partkey % 4 = 1)"""
+
+
+def _sql_match(order: str) -> str:
+    return f"""WITH {_SQL_FRAGMENTS},
+    met AS (SELECT p_partkey, target, row_number() OVER (PARTITION BY p_partkey ORDER BY {order}) AS place
+            FROM names JOIN dictionary ON contains(nome, fragment))
+    SELECT n.p_partkey, target AS match FROM names n LEFT JOIN met m ON n.p_partkey = m.p_partkey AND place = 1"""
+
+
+def _names_and_dictionary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Names of parts, and a dictionary of two fragments and more for each part, some of them several times."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    text = lambda *parts: F.concat(*[p.cast("string") for p in parts])
+    slash = F.lit("/")
+    names = part.select("p_partkey", text(F.col("p_name"), slash, F.col("p_brand"), slash, key).alias("nome"))
+    shown = F.when(key % 50 == 7, F.col("p_name")).otherwise(text(key % 97, F.lit("e")))
+    number = lambda c: c.cast("bigint").alias("priority")
+    entries = [
+        part.select(text(F.substring("p_brand", 6, 99), slash, F.floor(key / 10)).alias("fragment"), text(F.lit("d"), key).alias("target"), number((key * 7919) % 10007)),
+        part.select(shown.alias("fragment"), text(F.lit("n"), key).alias("target"), number(key % 11 + 10007)),
+        part.where(key % 4 == 1).select(text(key % 89, slash).alias("fragment"), text(F.lit("s"), key).alias("target"), number(F.lit(20000))),
+    ]
+    return names, entries[0].unionByName(entries[1]).unionByName(entries[2])
+
+
+@query(_sql_match("priority, fragment, target"))
+def fragments_of_a_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first contained fragment by priority, from a dictionary as large as the names."""
+    names, dictionary = _names_and_dictionary(spark, sf_dir)
+    return fragment_matches(names, "nome", dictionary).select("p_partkey", "match")
+
+
+@query(_sql_match("-length(fragment), priority, fragment, target"))
+def longest_fragment_of_a_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names, dictionary = _names_and_dictionary(spark, sf_dir)
+    return fragment_matches(names, "nome", dictionary, longest=True).select("p_partkey", "match")
+
+
 @query("""SELECT s_suppkey, s_name, n_name, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
        name="dimension_lookup")
 def supplier_places(spark: SparkSession, sf_dir: str) -> DataFrame:

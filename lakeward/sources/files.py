@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.text import file_name
 
+# Bytes that are hashed together, ranges of one task, and files that cost as much to open as a range to read.
+RANGE_BYTES, RANGES, FILES = 64 << 20, 4, 64
+
 
 def path_list(paths: str | Iterable[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -36,16 +39,47 @@ def plain_path(encoded: Column) -> Column:
 
 
 def content_hashes(
-    spark: SparkSession, paths: str | Iterable[str], glob: str | None = None
+    spark: SparkSession, paths: str | Iterable[str], glob: str | None = None, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
-    """MD5 of each file. Reads every byte, so use it where sizes cannot tell."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    listing = reader.load(path_list(paths))
-    return listing.select(
-        "path", file_name("path").alias("name"), F.md5("content").alias("md5")
-    )
+    """A hash of each file (path, name, md5), read in ranges of bytes by many tasks. Reads every byte, so use it where sizes cannot tell.
+
+    A file of one range has its own MD5. A larger one has the MD5 of the digests of its ranges, in their order, with their
+    number behind a dash; it depends on `range_bytes`, which must stay the same between runs that are compared. A file that
+    changes its size while it is read fails.
+    """
+    files = scan_file_inventory(spark, paths, glob)
+    parts = F.greatest(F.lit(1), F.ceil(F.col("bytes") / range_bytes)).cast("bigint")
+    ranges = files.select("path", "bytes", parts.alias("parts"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    # Ranges of one file go to different tasks, small files share them.
+    cost = F.ceil(F.sum(F.least(F.col("bytes") / range_bytes, F.lit(1.0)) + 1 / FILES) / RANGES)
+    dealt = ranges.repartition(max(1, int(ranges.agg(cost).first()[0] or 0)), F.xxhash64("path", "part"))
+
+    def read(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = batch.to_pylist()
+            digests = []
+            for row in rows:
+                digest, left = hashlib.md5(), min(range_bytes, row["bytes"] - row["part"] * range_bytes)
+                with open_in_task(row["path"]) as handle:
+                    handle.seek(row["part"] * range_bytes)
+                    while left > 0:
+                        block = handle.read(min(left, 1 << 20))
+                        if not block:
+                            raise OSError(f"{row['path']} changed while it was read")
+                        digest.update(block)
+                        left -= len(block)
+                digests.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("path", "part", "parts")), pa.array(digests, pa.string())], ["path", "part", "parts", "digest"])
+
+    hashed = dealt.mapInArrow(read, "path string, part bigint, parts bigint, digest string")
+    ordered = F.array_sort(F.collect_list(F.struct("part", "digest")))
+    whole = hashed.groupBy("path").agg(ordered.alias("d"), F.max("parts").alias("n"))
+    tree = F.concat(F.md5(F.array_join("d.digest", "").cast("binary")), F.lit("-"), F.col("n").cast("string"))
+    return whole.select("path", file_name("path").alias("name"), F.when(F.col("n") == 1, F.col("d")[0]["digest"]).otherwise(tree).alias("md5"))
 
 
 def scan_row_counts(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
