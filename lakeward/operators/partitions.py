@@ -22,13 +22,14 @@ from pyspark.sql import types as T
 from lakeward.operators.ledger import ledger_record
 from lakeward.operators.merge import merge_by_key
 from lakeward.session import small_table
-from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, claim, hadoop_path, read_published, update_ledger, update_published
+from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, claim, hadoop_path, latest_version, update_ledger, update_published
 
 # Bytes of source files that are rebuilt in one job, before the ledger is written.
 BATCH_BYTES = 1 << 40
 MONTHS, DATA, VERSION = "_months", "data", "table_version"
 # The folder of rows whose key is no period, in place of a month, and the column with that key.
 REJECTED, REJECTED_KEY = "rejected", "_rejected_key"
+MONTHS_SCHEMA = "month string, version bigint, schema string"
 MONTHS_TYPE = pa.schema([("month", pa.string()), ("version", pa.int64()), ("schema", pa.string())])
 # Year, month or day.
 KEY_PATTERN = "^([0-9]{4}|[0-9]{6}|[0-9]{8})$"
@@ -64,7 +65,8 @@ def write_by_year(rows: DataFrame, path: str, column: str = "competencia") -> No
 
 def _listed(spark: SparkSession, path: str) -> dict[str, tuple[int, str]]:
     """Month -> (version, schema), which a calendar bounds."""
-    return _rows_of_list(read_published(spark, f"{path}/{MONTHS}"))
+    folder = latest_version(spark, f"{path}/{MONTHS}")
+    return _rows_of_list(spark.read.schema(MONTHS_SCHEMA).parquet(folder) if folder else None)
 
 
 def _rows_of_list(months: DataFrame | None) -> dict[str, tuple[int, str]]:
@@ -101,7 +103,7 @@ def _publish_list(
         rows = [{"month": m, "version": v, "schema": s} for m, (v, s) in sorted(after.items())]
         return small_table(spark, rows, MONTHS_TYPE).coalesce(1)
 
-    update_published(spark, f"{path}/{MONTHS}", change)
+    update_published(spark, f"{path}/{MONTHS}", change, MONTHS_SCHEMA)
 
 
 def month_folders(spark: SparkSession, path: str, column: str = "competencia") -> list[str]:
@@ -214,9 +216,9 @@ def _commit(
     """
     spark = rows.sparkSession
     schema = T.StructType([f for f in rows.schema if f.name != column]).json()
-    others = [s for m, (_, s) in _months(_listed(spark, path)).items() if months is None or m not in months]
-    if months is not None:
-        _united([*others, schema])
+    if base is not None and months is not None:
+        # What can be known before the rows are written; the list is checked again when it is published.
+        _united([*(s for m, (_, s) in _months(base).items() if m not in months), schema])
     version = _new_version(spark, path)
     folder = f"{path}/{DATA}/{VERSION}={version}"
     valid = is_period(column)

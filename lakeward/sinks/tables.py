@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from lakeward.session import small_table
 
 MAX_RECORDS_PER_FILE = 5_000_000
+LEDGER_SCHEMA = "key string, fingerprint bigint"
 LEDGER_TYPE = pa.schema([("key", pa.string()), ("fingerprint", pa.int64())])
 
 
@@ -119,15 +120,20 @@ def publish_after(df: DataFrame, path: str, number: int) -> bool:
     return True
 
 
-def update_published(spark: SparkSession, path: str, change: Callable[[DataFrame | None], DataFrame | None]) -> None:
+def update_published(
+    spark: SparkSession, path: str, change: Callable[[DataFrame | None], DataFrame | None], schema: str | None = None
+) -> None:
     """Publish what `change` makes of the latest version (None before the first), at the version right after it.
 
+    With the `schema` of the table no footer is read to know it.
+
     If another run publishes that one first, its version is read and `change` runs again, so that of two
     runs at once none is lost. None from `change` leaves the table as it is.
     """
     while True:
         number = latest_number(spark, path)
-        after = change(spark.read.parquet(version_path(path, number)) if number else None)
+        reader = spark.read.schema(schema) if schema else spark.read
+        after = change(reader.parquet(version_path(path, number)) if number else None)
         if after is None or publish_after(after, path, number):
             return
         time.sleep(LOOK)
@@ -185,7 +191,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     folder = latest_version(spark, path)
     if folder is None:
         return small_table(spark, [], LEDGER_TYPE)
-    return spark.read.schema("key string, fingerprint bigint").parquet(folder)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(folder)
 
 
 def write_ledger(ledger: DataFrame, path: str) -> None:
@@ -199,4 +205,4 @@ def update_ledger(spark: SparkSession, path: str, change: Callable[[DataFrame],
     def again(known: DataFrame | None) -> DataFrame:
         return change(small_table(spark, [], LEDGER_TYPE) if known is None else known).select("key", "fingerprint")
 
-    update_published(spark, path, again)
+    update_published(spark, path, again, LEDGER_SCHEMA)
