@@ -190,7 +190,7 @@ def _sorted_bucket(level: int, least: int):
             for at, depth, f in frequent(columns, np.concatenate(weights), least):
                 if depth >= level:
                     found.append((lang, depth, b" ".join(names[i] for i in columns[:depth, at].tolist()).decode("utf-8"), f))
-        return pd.DataFrame(found, columns=["lang", "depth", "phrase", "f"])
+        return pd.DataFrame(found, columns=["lang", "depth", "phrase", "f"]).astype(object)
 
     return sort
 

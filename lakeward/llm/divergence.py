@@ -143,7 +143,7 @@ def _cut(rows: pd.DataFrame) -> pd.DataFrame:
         for term, times in terms_of(chunk).items():
             if term:
                 out += [(bucket, lang, name, term, times, n) for lang, n in of.items()]
-    return pd.DataFrame(out, columns=["bucket", "lang", "chunk", "term", "times", "documents"])
+    return pd.DataFrame(out, columns=["bucket", "lang", "chunk", "term", "times", "documents"]).astype(object)
 
 
 def _joined(blocks: pd.DataFrame, wanted: pd.DataFrame, least: int) -> pd.DataFrame:
@@ -167,7 +167,7 @@ def _joined(blocks: pd.DataFrame, wanted: pd.DataFrame, least: int) -> pd.DataFr
                     documents.update((row.lang, term, int(d) + row.first) for d in ids[few[i] - n[i] : few[i]])
     out = [(lang, source, term, n, None) for (lang, source, term), n in sums.items()]
     out += [(lang, None, term, None, d) for lang, term, d in documents]
-    return pd.DataFrame(out, columns=["lang", "source", "term", "n", "id"]).astype({"n": "Int64", "id": "Int64"})
+    return pd.DataFrame(out, columns=["lang", "source", "term", "n", "id"]).astype({"lang": object, "source": object, "term": object, "n": "Int64", "id": "Int64"})
 
 
 def term_counts(blocks: DataFrame, buckets: int, least: int = LEAST) -> DataFrame:
@@ -210,7 +210,7 @@ def _distances(rows: pd.DataFrame) -> pd.DataFrame:
     apart = np.array([np.abs(shares - own).sum(axis=1) for own in shares], np.int64).reshape(n, n)
     source, item = np.nonzero(~np.eye(n, dtype=bool))
     lang = heads["lang"].iloc[0]
-    return pd.DataFrame({"lang": [lang] * len(source), "source": names[source], "item": names[item], "part_value": apart[source, item]})
+    return pd.DataFrame({"lang": [lang] * len(source), "source": names[source], "item": names[item], "part_value": apart[source, item]}).astype({c: object for c in ("lang", "source", "item")})
 
 
 def pair_distances(groups: DataFrame, cells: DataFrame) -> DataFrame:
