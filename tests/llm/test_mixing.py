@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from lakeward.llm import mixing
@@ -12,7 +13,9 @@ from tests.conftest import rows_of
 def in_sql(rows):
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r[0], r[1], r[2]) for r in rows])
+    given = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows], "source": [r[2] for r in rows]})
+    con.register("given", given)
+    con.execute("INSERT INTO documents SELECT * FROM given")
     return sorted(con.execute(mixing.MIX_SQL).fetchall(), key=repr)
 
 
@@ -74,3 +77,49 @@ def test_empty_tables(spark, make_docs):
     assert mixing.mix(make_docs(ROWS[:1]).where("false")).collect() == []
     assert rows_of(mixing.mix(make_docs([(1, None, None), (2, "", "a")]))) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     assert rows_of(mixing.mix(make_docs([(1, "a b", "a")]))) == in_sql([(1, "a b", "a")])
+
+
+def missed(rows, source):
+    """What a source lacks or has too much, as a share of what its certain copies leave open, by the SQL."""
+    of = {r[0]: r[2] for r in rows}
+    mine = [r for r in in_sql(rows) if of[r[0]] == source]
+    rest = mine[0][3] - mine[0][3] // mine[0][2] * mine[0][2]
+    return abs(sum(r[4] for r in mine) - mine[0][3]) / rest
+
+
+@pytest.mark.parametrize("long_share", [0.09, 0.3, 0.6])
+def test_a_very_long_document_does_not_end_the_drawing(long_share):
+    # The other source is filled to twice its size, so a fifth of the words of `b` is drawn.
+    long = round(1500 * long_share / (1 - long_share))
+    misses = []
+    for drawing in range(50):
+        base = drawing * 10_000
+        rows = [(base + i, "w w " if i % 2 else "w ", "b") for i in range(1000)] + [(base + 1000, "w " * long, "b")]
+        rows.append((base + 1001, "w " * round((1500 + long) * 0.6), "a"))
+        misses.append(missed(rows, "b"))
+    misses.sort()
+    assert misses[-5] <= 0.005 and misses[-1] <= 0.02
+
+
+def test_inclusion_follows_the_size_and_its_words_sum_up_to_the_rest(spark, make_docs):
+    rows = [(i, "w " * (1 + 9 * (i % 3 == 0)), "a") for i in range(3000)]
+    taken = {d: t > s for d, s, _, _, t in in_sql(rows)}
+    short = [taken[d] for d, t, _ in rows if len(t) == 2]
+    long = [taken[d] for d, t, _ in rows if len(t) > 2]
+    # q = 1/2, mean by words 8.5, longest 10: shares 1/2 + 1/4 * 0.75 and 1/2 - 1/4 * 0.15.
+    assert sum(short) / len(short) == pytest.approx(0.6875, abs=0.04)
+    assert sum(long) / len(long) == pytest.approx(0.4625, abs=0.04)
+    # By the random number alone the same documents would not come first.
+    units = mixing._units(mixing.sized(make_docs(rows)))
+    drawn = {int(r["name"]) for r in mixing._times(mixing.sized(make_docs(rows)), units).where("times > 1").collect()}
+    assert drawn == {d for d, t in taken.items() if t}
+    u = {int(r[0]): r[1] for r in units.select("name", mixing._random(units.name)).collect()}
+    by_number = sorted(u, key=u.get)[: len(drawn)]
+    assert len(drawn - set(by_number)) > 100
+
+
+def test_rows_of_one_id_are_drawn_together(spark, make_docs):
+    rows = ROWS[:100] + [(5000, "a b c d", "s1")] * 30 + [(5000, "e f", "s1"), (None, "a b", "s1"), (None, "a b", "s1")]
+    got = rows_of(mixing.mix(make_docs(rows)))
+    assert got == in_sql(rows)
+    assert len({t // s for d, s, _, _, t in got if d == 5000}) == 1
