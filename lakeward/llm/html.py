@@ -11,6 +11,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,18 +47,20 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Elements whose content is no text, those that hold raw text, and those beside the text.
 SILENT = frozenset("head script style template noscript noframes svg math canvas object applet iframe audio video select datalist textarea button title".split())
 RAW = frozenset("script style textarea title iframe noframes xmp".split())
-BESIDE = frozenset("nav footer aside form menu dialog search".split())
+BESIDE = frozenset("nav footer aside menu dialog search".split())
 BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form note".split())
 # Words in the class or id of elements beside the text.
 BESIDE_NAMES = frozenset(
     """
     ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments
-    commentlist consent cookie cookies copyright disclaimer disqus footer form gdpr header login masthead menu menus
+    commentlist consent cookie cookies copyright disclaimer discussion discussions disqus footer form gdpr header login masthead menu menus
     modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion promoted
     recommended related replies reply responses search share sharing sidebar signup skip social sponsor sponsored
     subscribe subscription tags toolbar topbar widget widgets
     """.split()
 )
+# Of these, the words that also name the layout or the subject of an element that holds the text, as in `social-history`.
+LAYOUT_NAMES = frozenset("banner byline form header notice notices related search share sidebar social sponsor sponsored tags widget widgets".split())
 BESIDE_ARTICLES = frozenset("ad ads advert comment comments promo related reply replies sponsored teaser".split())
 ROOTS = frozenset(["article", "main"])
 # An element of these closes an open one of the second kind.
@@ -76,16 +79,42 @@ _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 # Characters of scripts that set no space between words (Thai to Khmer, Han, kana); two count as a word.
 _UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+# What follows these in a class or id is something that the element has or lacks, not what it is.
+_STATE = re.compile(r"(?:^|(?<=[\s_-]))(?:has|have|with|without|no)[_-]\S*", re.IGNORECASE)
+_COOKIE = re.compile(r"\bcookies?\b", re.IGNORECASE)
+# Beginnings of words by which a notice asks for consent, in English, German, French and Spanish.
+_CONSENT = re.compile(r"\b(?:accept|agree|consent|privacy|akzept|zustimm|einverstanden|datenschutz|accord|confidentialité|acept|consiento|consent|privacidad)", re.IGNORECASE)
 
 
 @dataclass
 class Block:
-    """Text between two block edges, with what is known of the place where it stands."""
+    """Text between two block edges, with what is known of the place where it stands.
+
+    `named` is the innermost element around it whose name is on a list (see Name), 0 if there is none.
+    """
 
     text: str
     linked: int
     root: int
     heading: bool
+    named: int = 0
+
+    @cached_property
+    def own(self) -> int:
+        """What the block is by itself."""
+        return judged(self)
+
+    @cached_property
+    def words(self) -> int:
+        return len(self.text.split()) + len(_UNSPACED.findall(self.text)) // 2
+
+
+@dataclass
+class Name:
+    """An element whose class or id is on a list: the one around it, and whether it may be a wrapper of the text."""
+
+    above: int
+    layout: bool
 
 
 @dataclass
@@ -94,6 +123,7 @@ class _Open:
     beside: bool
     silent: bool
     root: int
+    named: int = 0
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -120,20 +150,35 @@ def _stands_beside(tag: str, attributes: dict[str, str], in_root: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in BESIDE_ROLES:
         return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    return False
+
+
+def _named(tag: str, attributes: dict[str, str], in_root: bool) -> bool | None:
+    """Whether the name of an element is on the lists: True if only by a word that may also name a wrapper of the text, None if not."""
+    if tag in ("html", "body") or tag in ROOTS:
+        return None
+    names = _STATE.sub("", f"{attributes.get('class', '')} {attributes.get('id', '')}")
     parts = {p.lower() for p in _NAME_PARTS.findall(names)}
     if in_root and tag in ("header", "h1", "h2", "h3", "h4", "h5", "h6", "div", "section"):
         parts -= {"header", "banner", "masthead"}
-    return not parts.isdisjoint(BESIDE_NAMES)
+    found = parts & BESIDE_NAMES
+    if not found:
+        return True if tag == "form" else None
+    # A name of one word says what the element is; of a longer one only the words that name nothing else are trusted.
+    return found <= LAYOUT_NAMES and not any(n.lower() in BESIDE_NAMES for n in names.split())
 
 
-def blocks(source: str) -> list[Block]:
-    """The blocks of a page in its order, with character references decoded and white space as one space.
+def blocks(source: str) -> tuple[list[Block], list[Name]]:
+    """The blocks of a page in its order, with character references decoded and white space as one space, and the named elements around them.
 
-    Elements that say themselves that they stand beside the text give none.
+    Elements whose kind, role or style says that they stand beside the text give none. Names count from 1.
     """
     out: list[Block] = []
+    names: list[Name] = [Name(0, False)]
     stack: list[_Open] = []
+    # Where the open elements of each tag, and those that make blocks, stand: an end tag without a start costs nothing.
+    places: dict[str, list[int]] = {}
+    block_places: list[int] = []
     parts: list[str] = []
     linked: list[str] = []
     links = breaks = roots = 0
@@ -155,7 +200,8 @@ def blocks(source: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, len(" ".join("".join(linked).split())), stack[-1].root if stack else 0, heading))
+                here = stack[-1] if stack else _Open("", False, False, 0)
+                out.append(Block(text, len(" ".join("".join(linked).split())), here.root, heading, here.named))
             parts.clear()
             linked.clear()
         heading, breaks = False, 0
@@ -164,7 +210,16 @@ def blocks(source: str) -> list[Block]:
         nonlocal links
         for gone in stack[at:]:
             links -= gone.tag == "a"
+            places[gone.tag].pop()
         del stack[at:]
+        while block_places and block_places[-1] >= at:
+            block_places.pop()
+
+    def enter(element: _Open) -> None:
+        places.setdefault(element.tag, []).append(len(stack))
+        if element.tag in BLOCKS:
+            block_places.append(len(stack))
+        stack.append(element)
 
     at = 0
     while at < len(source):
@@ -185,9 +240,8 @@ def blocks(source: str) -> list[Block]:
         if m["end"]:
             if tag in BLOCKS:
                 close_block()
-            where = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if where is not None:
-                leave(where)
+            if places.get(tag):
+                leave(places[tag][-1])
             continue
         if tag == "br":
             breaks += 1
@@ -201,24 +255,25 @@ def blocks(source: str) -> list[Block]:
             add(" ")
             continue
         if tag == "p" or tag in CLOSES:
-            closes = CLOSES.get(tag, {"p"})
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in closes:
-                    leave(i)
-                    break
-                if stack[i].tag in BLOCKS:
-                    break
+            if block_places and stack[block_places[-1]].tag in CLOSES.get(tag, {"p"}):
+                leave(block_places[-1])
         if tag in ROOTS:
             # An article begins afresh, whatever was left open before it but an element beside the text.
-            if not any(s.root or s.tag in BESIDE for s in stack):
+            if not (stack and stack[-1].root) and not any(places.get(t) for t in BESIDE):
                 keep = [s for s in stack if s.tag in ("html", "body")]
                 leave(0)
-                stack.extend(keep)
+                for s in keep:
+                    enter(s)
                 roots += 1
         above = stack[-1] if stack else _Open("", False, False, 0)
         root = above.root or (roots if tag in ROOTS else 0)
-        beside = above.beside or _stands_beside(tag, _attributes(m["attributes"]) if m["attributes"].strip() else {}, bool(above.root))
-        stack.append(_Open(tag, beside, above.silent or tag in SILENT, root))
+        attributes = _attributes(m["attributes"]) if m["attributes"].strip() else {}
+        beside = above.beside or _stands_beside(tag, attributes, bool(above.root))
+        named, layout = above.named, None if beside else _named(tag, attributes, bool(above.root))
+        if layout is not None:
+            named = len(names)
+            names.append(Name(above.named, layout))
+        enter(_Open(tag, beside, above.silent or tag in SILENT, root, named))
         links += tag == "a"
         heading = heading or (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
         if tag in RAW:
@@ -226,7 +281,7 @@ def blocks(source: str) -> list[Block]:
             leave(len(stack) - 1)
             at = end.end() if end else len(source)
     close_block()
-    return out
+    return out, names
 
 
 GOOD, BAD, OPEN = 1, -1, 0
@@ -243,33 +298,60 @@ def judged(block: Block) -> int:
     return OPEN
 
 
-def _words(block: Block) -> int:
-    return len(block.text.split()) + len(_UNSPACED.findall(block.text)) // 2
-
-
 def verdicts(pool: list[Block]) -> list[int]:
     """What blocks are by themselves, long ones of little link text also without stop words.
 
     These are text in an article or main element, and on a page where they hold more words than the blocks
     that the stop words make text: then no list of stop words fits the page. Else they stay open.
     """
-    own = [judged(b) for b in pool]
-    words = [_words(b) if v != BAD else 0 for b, v in zip(pool, own, strict=True)]
+    own = [b.own for b in pool]
+    words = [b.words if v != BAD else 0 for b, v in zip(pool, own, strict=True)]
     long_ = [v == OPEN and n >= LONG_WORDS for v, n in zip(own, words, strict=True)]
     fitting = sum(n for v, n in zip(own, words, strict=True) if v == GOOD)
     unfit = sum(n for v, n in zip(long_, words, strict=True) if v) > fitting
     return [GOOD if o and (b.root or unfit) else v for b, v, o in zip(pool, own, long_, strict=True)]
 
 
-def chosen(found: list[Block]) -> list[Block]:
+def _text_of(found: list[Block], names: list[Name]) -> list[Block]:
+    """Blocks that may be text: without those in elements whose name says that they stand beside it, and without what is outside the article.
+
+    An element that is named by its layout is a wrapper where it holds more than half of the words of the
+    blocks that are text by themselves. An article or main element is the text's where it holds a third of them. A notice that asks
+    for consent to cookies is left out on a page that otherwise does not speak of them.
+    """
+    verdict = verdicts(found)
+    good = [b.words if v == GOOD else 0 for b, v in zip(found, verdict, strict=True)]
+    inside = [0] * len(names)
+    for block, n in zip(found, good, strict=True):
+        inside[block.named] += n
+    for i in range(len(names) - 1, 0, -1):
+        inside[names[i].above] += inside[i]
+    out = [False] * len(names)
+    for i, name in enumerate(names[1:], 1):
+        out[i] = out[name.above] or not (name.layout and 2 * inside[i] > inside[0])
+    cookies = [bool(_COOKIE.search(b.text)) for b in found]
+    speaks = sum(n for n, c in zip(good, cookies, strict=True) if c) * 4 >= sum(good)
+    kept = [
+        (b, n)
+        for b, n, c in zip(found, good, cookies, strict=True)
+        if not out[b.named] and not (c and not speaks and _CONSENT.search(b.text))
+    ]
+    rooted = [b for b, _ in kept if b.root]
+    if rooted and 3 * sum(n for b, n in kept if b.root) >= sum(n for _, n in kept):
+        return rooted
+    # A short article beside the text is a teaser.
+    return [b for b, n in kept if n or not b.root]
+
+
+def chosen(found: list[Block], names: list[Name]) -> list[Block]:
     """The blocks of the main text.
 
-    Where the page has an article or main element, blocks outside it are left out. Of the others, open blocks (see verdicts) follow their nearest decided
+    Of the blocks that may be text (`_text_of`), open ones (see verdicts) follow their nearest decided
     neighbours: between two of one kind they are of that kind too, between text and
     something else a heading goes with what follows it, any other block with the nearer side,
     text first. They stay where nothing is decided.
     """
-    pool = [b for b in found if b.root] or found
+    pool = _text_of(found, names)
     verdict = verdicts(pool)
     decided = [i for i, v in enumerate(verdict) if v != OPEN]
     keep, at = [], 0
@@ -296,7 +378,7 @@ def chosen(found: list[Block]) -> list[Block]:
 
 def main_text(source: str | None) -> str:
     """The main text of a page, one line a block; empty without any."""
-    return "\n".join(b.text for b in chosen(blocks(source or "")))
+    return "\n".join(b.text for b in chosen(*blocks(source or "")))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

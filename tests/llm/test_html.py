@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -87,3 +88,38 @@ def test_long_block_without_stop_words_after_the_last_links():
     assert pages.main_text(f"<article><p>{TEXT}</p>{LINKS}<pre>{numbers}</pre></article>") == f"{TEXT}\n{numbers}"
     # Outside an article it follows its neighbours where the stop words fit the page.
     assert pages.main_text(f"<p>{TEXT * 5}</p>{LINKS}<p>{numbers}</p>") == TEXT * 5
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        f"<div class='layout has-sidebar'><p>{TEXT}</p></div>",
+        f"<div id='page-with-comments'><p>{TEXT}</p><div class='comments'><p>{TEXT}</p><p>{TEXT}</p></div></div>",
+        f"<form id='aspnetForm'><p>{TEXT}</p></form>",
+        f"<form id='aspnetForm'><div class='sidebar'>{TEXT}</div><article><p>{TEXT}</p></article></form>",
+        f"<article><section class='social-history'><p>{TEXT}</p></section></article>",
+        f"<div id=content><p>{TEXT}</p></div><article class='card'>Short card text here</article>",
+        f"<article><p>{TEXT}</p><div class='user-discussion'><p>{TEXT}</p></div></article>",
+        f"<div class='share-buttons'>Share this on the sites that you are on</div><p>{TEXT}</p>",
+    ],
+)
+def test_names_of_wrappers_and_of_what_stands_beside(source):
+    assert pages.main_text(source) == TEXT
+
+
+def test_a_plain_cookie_notice_goes():
+    notice = "We use cookies on this site and by going on you accept that they are set by us and by our partners."
+    assert pages.main_text(f"<p>{notice}</p><p>{TEXT * 5}</p>") == TEXT * 5
+
+
+def test_a_text_about_cookies_stays():
+    about = "A cookie is a small file that a site sets, and by law a reader has to accept or to refuse it in the browser."
+    assert pages.main_text(f"<p>{about}</p><p>{TEXT}</p>") == f"{about}\n{TEXT}"
+
+
+@pytest.mark.parametrize("unit", ["<b>{}</i>", "<b>{}<td></td>", "<b>{}<li>", "<div class=sidebar-page>{}</div>", "<b>{}<article>", "<p>{}</p>"])
+def test_unclosed_tags_take_linear_time(unit):
+    opened, closed = unit.split("{}")
+    begin = time.process_time()
+    pages.main_text(opened * 100_000 + TEXT + closed * 100_000)
+    assert time.process_time() - begin < 8
