@@ -43,7 +43,7 @@ def judged(captures: DataFrame, events: DataFrame) -> DataFrame:
 
     entry is the most specific list entry that covers the host and was active on the day of the fetch, since the day
     from which it was. A capture without host or date is not blocked. The join goes by entry
-    and month: an interval stands once in each month that it touches up to the last fetch, so the captures of a
+    and month, by merging: the intervals grow with the lists and are never broadcast. An interval stands once in each month that it touches up to the last fetch, so the captures of a
     hot host are spread over the months, and they are reduced to one row per host and day before. Repeated
     captures stay. No captures: an empty result.
     """
@@ -58,7 +58,7 @@ def judged(captures: DataFrame, events: DataFrame) -> DataFrame:
     )
     asked = visits.withColumn("entry", F.explode(suffixes(F.col("host")))).withColumn("month", month("fetched"))
     hits = (
-        asked.join(active, ["entry", "month"])
+        asked.join(active.hint("merge"), ["entry", "month"])
         .where((F.col("fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
         .groupBy("host", "fetched")
         .agg(F.max_by(F.struct("entry", "since"), F.length("entry")).alias("hit"))
