@@ -31,7 +31,7 @@ LOOKALIKES = {
 SEPARATORS = ".-_*~'`^/\\,:;·•"
 # Channel costs, as negative logarithms of probabilities.
 LOOKALIKE_COST, DROP_COST, SPLIT_COST, SHORTEN_COST = 1.0, 0.7, 4.0, 0.5
-# Longer tokens are no words (addresses, keys).
+# Longer tokens (addresses, phrases in hyphens) are read part by part, and what cannot be parted in overlapping pieces of this length.
 LONGEST = 40
 
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "@$") + "«»“”„‘’…–—¿"
@@ -41,8 +41,11 @@ _DISGUISED = re.compile(
     rf"|[^\W\d_][{re.escape(SEPARATORS)}][^\W\d_][{re.escape(SEPARATORS)}]"
     r"|([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3"
 )
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£¡])(?:[ \t](?:[^\W_]|[@$!|+€£¡])){2,}(?!\S)")
-_SPACED_HINT = re.compile(r"(?<!\S)\S \S \S(?!\S)")
+# Marks that may be letters where a word begins or ends; one `!` behind a word is only that.
+_EDGE_LETTERS = re.compile(r"^[^\w!|+@$€£]*((?:[!|+€£]|([@$])\2)[!|+@$€£]*[^\W\d_]\S*?|[^\W\d_]\S*?[+|@$€£])[^\w+|@$€£]*$")
+_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£¡])(?:\s{1,4}(?:[^\W_]|[@$!|+€£¡])){2,}(?!\S)")
+_SPACED_HINT = re.compile(r"(?<!\S)\S\s{1,4}\S\s{1,4}\S(?!\S)")
+_PARTS = re.compile(r"[^\w@$!|+€£¡]+|_+")
 
 
 @lru_cache(1)
@@ -154,8 +157,25 @@ def stripped(token: str) -> str:
 
 
 def restored(token: str, costs: np.ndarray) -> list[str]:
-    """The words that a lower-case token stands for."""
-    word = stripped(token)
+    """The words that a lower-case token stands for.
+
+    A token with marks at its edges that may be letters (`!diot`, `shi+`, `$$hit`) has two readings, without and with them; the
+    words of both are given.
+    """
+    words = _read(stripped(token), costs)
+    edge = _EDGE_LETTERS.match(token)
+    if edge and edge[1] != stripped(token) and len(edge[1]) <= LONGEST:
+        words += [w for w in _decoded(edge[1], costs) if w not in words]
+    return words
+
+
+def _decoded(word: str, costs: np.ndarray) -> list[str]:
+    short = re.sub(r"(.)\1{3,}", r"\1\1\1", word, flags=re.DOTALL)
+    return [w for w in re.findall(r"\w+", decode(short, costs)) if not w.isdigit()]
+
+
+def _read(word: str, costs: np.ndarray) -> list[str]:
+    """The words of a token without the marks around it."""
     if not word or word.isdigit():
         return []
     if word.isalpha() and not _DISGUISED.search(word):
@@ -163,9 +183,13 @@ def restored(token: str, costs: np.ndarray) -> list[str]:
     if " " not in word and not _DISGUISED.search(word):
         return re.findall(r"\w+", word)
     short = re.sub(r"(.)\1{3,}", r"\1\1\1", word, flags=re.DOTALL)
-    if len(short.replace(" ", "")) > LONGEST and " " not in short:
-        return re.findall(r"\w+", word)
-    return [w for w in re.findall(r"\w+", decode(short, costs)) if not w.isdigit()]
+    if len(short.replace(" ", "")) <= LONGEST or " " in short:
+        return _decoded(short, costs)
+    parts = [p for p in _PARTS.split(short) if p]
+    if len(parts) > 1 and 2 * sum(len(p) == 1 for p in parts) < len(parts):
+        return list(dict.fromkeys(w for p in parts for w in _read(stripped(p), costs)))
+    pieces = (short[i : i + LONGEST] for i in range(0, len(short) - LONGEST // 2, LONGEST // 2))
+    return list(dict.fromkeys([*re.findall(r"\w+", word), *(w for p in pieces if _DISGUISED.search(p) for w in _decoded(p, costs))]))
 
 
 def tokens(text: str) -> set[str]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.common import SpanHash, mixed, slices
 from lakeward.llm.noisy import character_model, restored, tokens
+from lakeward.session import settled
 
 # The classifier is fitted on about so many labelled rows at most, chosen by a hash of doc_id.
 TRAIN_ROWS = 20_000
@@ -175,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     """A model of labels.toxic, learned from rows that are not held out.
 
     The language model counts the texts of all documents. The classifier is fitted on a sample of
-    about `train_rows` labelled rows. Rows without doc_id or label are not
+    about `train_rows` labelled documents, each with the first of its texts. Rows without doc_id or label are not
     learned from; of several labels of a document the worst counts. Texts are the only input.
     """
     spark = docs.sparkSession
@@ -190,9 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     kept = min(steps, steps * train_rows // max(1, known.count()))
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("train")), F.lit(steps))
     fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(FOLDS)).cast("int")
-    # About `train_rows` rows of three numbers: small at any size of the input.
+    # About `train_rows` rows of three numbers: small at any size of the input. Of the rows of one doc_id one is learned from.
     drawn = F.broadcast(known.where(place < kept).withColumn("fold", fold))
-    sample = docs.where("doc_id is not null").select("doc_id", "text").join(drawn, "doc_id").select("text", "toxic", "fold")
+    sample = docs.where("doc_id is not null").select("doc_id", "text").join(drawn, "doc_id")
+    sample = settled(sample.groupBy("doc_id", "toxic", "fold").agg(F.min("text").alias("text")).select("text", "toxic", "fold"), "sample")
     cells = [F.sum(F.col("cell")[i]).alias(f"c{i}") for i in range(2 * FOLDS)]
     in_toxic = sum((F.col(f"c{2 * f + 1}") for f in range(FOLDS)), F.lit(0))
     # Only features of at least LEAST_TOXIC toxic texts have a weight.

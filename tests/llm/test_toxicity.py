@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 import zlib
 
 from lakeward.llm import toxicity
-from lakeward.llm.noisy import CLASSES, character_model, restored, tokens
+from lakeward.llm.noisy import CLASSES, character_model, classes_of, decode, lattice, restored, tokens
 
 BAD = ["idiot", "moron", "stupid", "trash", "pathetic", "loser"]
 GOOD = "the of and to in is was that for with on are this be have from word house river garden green yellow paper window".split()
@@ -56,6 +57,66 @@ def test_disguised_words_are_restored_and_scored(fitted, written, meant):
     assert shown > 0.5 > clean
 
 
+@pytest.mark.parametrize(
+    ("written", "meant"),
+    [
+        ("!diot", "idiot"), ("$$tupid", "stupid"), ("+rash", "trash"), ("(!diot)", "idiot"), ("i\td\ti\to\tt", "idiot"), ("i  d  i  o  t", "idiot"),
+        ("what-an-1d10t-the-house-is-that-was-for-the-river-and-the-garden", "idiot"), ("i.d.i.o.t." * 8, "idiot"), ("m0r0n" + "x" * 2 + "yzw" * 30, "moron"),
+    ],
+)
+def test_disguises_at_edges_apart_and_in_long_tokens(fitted, written, meant):
+    read = [w for t in tokens(written) for w in restored(t, fitted.costs)]
+    assert any(meant in w for w in read)
+    assert len(read) < 100
+
+
+def brute(token, costs):
+    """Cost of the best path, by going through all."""
+    best = np.inf
+    for path in itertools.product(*lattice(token), [(" ", 0.0)]):
+        x, y, total = 0, 0, 0.0
+        for emitted, extra in path:
+            total += extra
+            for z in classes_of(emitted) if emitted else []:
+                total += float(costs[x, y, z])
+                x, y = y, int(z)
+        best = min(best, total)
+    return best
+
+
+@pytest.mark.parametrize("token", ["1d10t", "$$h1t", "s.t-u_p", "llool", "|i|l", "a", "tr@@@sh!!", "i d i"])
+def test_the_decoded_path_is_the_best_of_all(fitted, token):
+    text = decode(token, fitted.costs)
+    options = [*lattice(token), [(" ", 0.0)]]
+    mine = min(
+        sum(e for _, e in path) + lm(path, fitted.costs)
+        for path in itertools.product(*options)
+        if "".join(t for t, _ in path) == text
+    )
+    assert mine == pytest.approx(brute(token, fitted.costs), abs=1e-4)
+
+
+def lm(path, costs):
+    x, y, total = 0, 0, 0.0
+    for z in classes_of("".join(t for t, _ in path)):
+        total += float(costs[x, y, z])
+        x, y = y, int(z)
+    return total
+
+
+def test_a_repeated_id_brings_one_row_to_the_driver(spark, make_docs):
+    docs = make_docs([(7, f"the house {i}") for i in range(500)] + [(i, "idiot house") for i in range(100, 160)])
+    labels = spark.createDataFrame([(7, 1, 0)] + [(i, 1, 1) for i in range(100, 160)], "doc_id long, quality int, toxic int")
+    seen = []
+    logistic = toxicity._logistic
+    toxicity._logistic = lambda x, y: seen.append(len(y)) or logistic(x, y)
+    try:
+        toxicity.fit(docs, labels)
+    finally:
+        toxicity._logistic = logistic
+    assert seen[0] <= 61
+
+
 def test_plain_words_and_numbers_stay(fitted):
     read = {word: restored(word, fitted.costs) for word in ["garden", "house's", "2024", "3.14", "and/or", "***", "(window)."]}
     assert read == {
