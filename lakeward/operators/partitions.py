@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from lakeward.operators.ledger import ledger_record
 from lakeward.operators.merge import merge_by_key
 from lakeward.session import small_table
-from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, claim, hadoop_path, latest_version, update_ledger, update_published
+from lakeward.sinks.tables import MAX_RECORDS_PER_FILE, ROW_GROUP_ROWS, claim, group_options, hadoop_path, latest_version, update_ledger, update_published
 
 # Bytes of source files that are rebuilt in one job, before the ledger is written.
 BATCH_BYTES = 1 << 40
@@ -43,6 +43,32 @@ class Written:
     rejected: int
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How rows lie inside a month: in the order of `within`, in row groups of `row_group_rows`, with Bloom filters of `blooms`.
+
+    With `within` the rows are cut into ranges of month and these columns, so a query for one place
+    opens few row groups of a month. Equal places are told apart by a hash of the row, so a place that holds
+    most rows of a month is several ranges. Finding the ranges reads a sample of the rows first.
+    """
+
+    within: tuple[str, ...] = ()
+    row_group_rows: int = ROW_GROUP_ROWS
+    blooms: tuple[str, ...] = ()
+
+    def spread(self, rows: DataFrame, column: str, clustered: bool) -> DataFrame:
+        if self.within:
+            order = [F.col(column), *map(F.col, self.within)]
+            apart = F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns))
+            return rows.repartitionByRange(*order, apart).sortWithinPartitions(*order)
+        # Rebalancing gives a small month one file and splits a month that is far
+        # larger than the rest; rows that come month by month stay where they are.
+        return rows if clustered else rows.hint("rebalance", F.col(column))
+
+
+PLAIN = Layout()
+
+
 def is_period(column: str):
     return F.coalesce(F.col(column).rlike(KEY_PATTERN), F.lit(False))
 
@@ -207,8 +233,9 @@ def _new_version(spark: SparkSession, path: str) -> int:
 
 
 def _commit(
-    rows: DataFrame, path: str, column: str, months: list[str] | None, clustered: bool, base: dict[str, tuple[int, str]] | None = None
-) -> Written:
+    rows: DataFrame, path: str, column: str, months: list[str] | None, clustered: bool, base: dict[str, tuple[int, str]] | None = None,
+    layout: Layout = PLAIN,
+) -> Written:
     """Write rows as a new version and publish the list in which their months point to it.
 
     `months` are replaced, also if they have no rows now; without it, those that `rows` has. `base` is the list from which the rows that stay were read. Rows whose key is no
@@ -227,10 +254,8 @@ def _commit(
     marked = rows.withColumn(REJECTED_KEY, F.when(~valid, F.col(column))).withColumn(
         column, F.when(valid, F.col(column)).otherwise(REJECTED)
     )
-    # Rebalancing gives a small month one file and splits a month that is far
-    # larger than the rest; rows that come month by month stay where they are.
-    spread = marked if clustered else marked.hint("rebalance", F.col(column))
-    spread.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(column).parquet(folder)
+    writer = layout.spread(marked, column, clustered).write.options(**group_options(layout.row_group_rows, layout.blooms))
+    writer.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(column).parquet(folder)
     counts: dict[str, int] = {}
     if _folders(spark, folder, column):
         written = spark.read.schema(T.StructType().add(column, T.StringType())).parquet(folder)
@@ -243,19 +268,19 @@ def _commit(
     return Written(sum(counts.values()), rejected)
 
 
-def write_months(rows: DataFrame, path: str, column: str = "competencia", clustered: bool = False) -> Written:
+def write_months(rows: DataFrame, path: str, column: str = "competencia", clustered: bool = False, layout: Layout = PLAIN) -> Written:
     """Replace the months that `rows` has; others stay as they are."""
-    return _commit(rows, path, column, None, clustered)
+    return _commit(rows, path, column, None, clustered, layout=layout)
 
 
 def rebuild_partitions(
-    rows: DataFrame, months: list[str], path: str, column: str = "competencia", clustered: bool = False
+    rows: DataFrame, months: list[str], path: str, column: str = "competencia", clustered: bool = False, layout: Layout = PLAIN
 ) -> Written:
     """Write the listed months anew from `rows`, which holds all their source rows.
 
     A listed month without rows is removed. Rows without a period as their key are set aside and counted.
     """
-    return _commit(rows, path, column, months, clustered) if months else Written(0, 0)
+    return _commit(rows, path, column, months, clustered, layout=layout) if months else Written(0, 0)
 
 
 def read_rejects(spark: SparkSession, path: str, column: str = "competencia") -> DataFrame | None:
@@ -275,6 +300,7 @@ def merge_partitions(
     column: str = "competencia",
     delivered_files: DataFrame | None = None,
     clustered: bool = False,
+    layout: Layout = PLAIN,
 ) -> Written:
     """Merge a delivery by source, rewriting only the months it touches.
 
@@ -288,9 +314,9 @@ def merge_partitions(
     base = _listed(spark, path)
     existing = _read_listed(spark, path, column, base, months)
     if existing is None:
-        return _commit(delivered, path, column, months, clustered, base)
+        return _commit(delivered, path, column, months, clustered, base, layout)
     merged = merge_by_key(existing, delivered, key, delivered_keys=units, as_text=False)
-    return _commit(merged, path, column, months, False, base)
+    return _commit(merged, path, column, months, False, base, layout)
 
 
 def month_batches(files: DataFrame, months: list[str], column: str, limit: int = BATCH_BYTES) -> list[list[str]]:

@@ -9,6 +9,7 @@ from lakeward.functions.periods import month_key_of
 from lakeward.operators import ledger as led
 from lakeward.operators.merge import merge_by_key, not_in, prefer_final, replace_snapshot
 from lakeward.operators.partitions import (
+    Layout,
     merge_partitions,
     month_list,
     read_months,
@@ -30,6 +31,7 @@ from lakeward.plans.deliveries import (
 )
 from lakeward.session import scratch_path, settled
 from lakeward.sinks.tables import publish_table, read_ledger, read_published, write_ledger
+from lakeward.sources.parquet import scan_months
 
 MONEY = "decimal(18,2)"
 
@@ -186,17 +188,40 @@ def rebuild_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_months(spark, target)
 
 
-@query(f"""WITH {SQL_LISTING}
-    SELECT upper(key) AS key, fingerprint FROM files WHERE period BETWEEN '199609' AND '199812'""")
+@query(f"""WITH {SQL_LISTING},
+    done AS (SELECT * FROM files WHERE period BETWEEN '199609' AND '199812'),
+    months AS (
+        SELECT period, sum(o_orderkey) AS order_keys, sum(cents) AS cents FROM tagged
+        WHERE period BETWEEN '199609' AND '199812' GROUP BY period)
+    SELECT upper(key) AS key, d.fingerprint, d.period AS competencia, CAST(m.order_keys AS BIGINT) AS order_keys, CAST(m.cents AS BIGINT) AS cents
+    FROM done d JOIN months m ON d.period = m.period""")
 def rebuild_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger after a backfill, whose batches are cut by the bytes of their files."""
+    """The ledger after a backfill of four batches cut by the bytes of their files, each file with the sums of its rebuilt month."""
     orders = tagged_orders(spark, sf_dir).select("o_orderkey", F.col("period").alias("competencia"), "cents")
     files = settled(listing(spark, sf_dir).withColumnRenamed("period", "competencia").withColumn("bytes", F.col("rows") * 100), "files")
     months = month_list(files.where("competencia between '199609' and '199812'"), "competencia")
     target, ledger = scratch_path(spark, "backfill"), scratch_path(spark, "backfill-ledger")
 
-    rebuild_with_ledger(lambda part: (orders, None), files, months, target, ledger)
-    return read_ledger(spark, ledger)
+    size = files.where(F.col("competencia").isin(months)).agg(F.sum("bytes")).first()[0]
+    rebuild_with_ledger(lambda part: (orders.where(F.col("competencia").isin(part)), None), files, months, target, ledger, batch_bytes=-(-size // 4))
+    sums = read_months(spark, target).groupBy("competencia").agg(F.sum("o_orderkey").alias("order_keys"), F.sum("cents").alias("cents"))
+    named = files.select(F.upper("key").alias("key"), "competencia")
+    return read_ledger(spark, ledger).join(named, "key").join(sums, "competencia").select("key", "fingerprint", "competencia", "order_keys", "cents")
+
+
+@query(f"""WITH {SQL_TAGGED}
+    SELECT o_custkey, period AS competencia, count(*) AS orders, CAST(sum(cents) AS BIGINT) AS cents
+    FROM tagged WHERE o_custkey BETWEEN 20 AND 60 AND period BETWEEN '199701' AND '199806' GROUP BY o_custkey, period""")
+def months_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few customers in some months of a table whose months lie in the order of the customers, after a merge by source."""
+    orders = tagged_orders(spark, sf_dir).select(
+        "o_orderkey", "o_custkey", F.col("period").alias("competencia"), "cents", F.col("file").alias("_ARQUIVO_ORIGEM"), "uf"
+    )
+    target, layout = scratch_path(spark, "ordered-months"), Layout(("o_custkey",), blooms=("o_orderkey",))
+    write_months(orders.where("uf <> 'MG' or competencia <> '199712'").drop("uf"), target, layout=layout)
+    merge_partitions(orders.where("uf = 'MG' and competencia = '199712'").drop("uf"), target, layout=layout)
+    asked = scan_months(spark, target).where("o_custkey between 20 and 60 and competencia between '199701' and '199806'")
+    return asked.groupBy("o_custkey", "competencia").agg(F.count(F.lit(1)).alias("orders"), F.sum("cents").alias("cents"))
 
 
 @query(f"""WITH {SQL_TAGGED}

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from lakeward.session import small_table
 
 MAX_RECORDS_PER_FILE = 5_000_000
+# Rows of a Parquet row group, the least that a reader can pass over by its statistics.
+ROW_GROUP_ROWS = 250_000
 LEDGER_SCHEMA = "key string, fingerprint bigint"
 LEDGER_TYPE = pa.schema([("key", pa.string()), ("fingerprint", pa.int64())])
 
@@ -63,10 +65,20 @@ def latest_version(spark: SparkSession, path: str) -> str | None:
     return version_path(path, done[-1]) if done else None
 
 
-def publish_table(df: DataFrame, path: str, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
+def group_options(row_group_rows: int = ROW_GROUP_ROWS, blooms: tuple[str, ...] = ()) -> dict[str, str]:
+    """Write options for row groups of at most so many rows, with Bloom filters of the columns `blooms`, by which
+    a search for single values passes over groups whose range would hold them."""
+    options = {"parquet.block.row.count.limit": str(row_group_rows)}
+    for column in blooms:
+        options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(row_group_rows)
+    return options
+
+
+def publish_table(df: DataFrame, path: str, max_records_per_file: int = MAX_RECORDS_PER_FILE, row_group_rows: int = ROW_GROUP_ROWS) -> str:
     """Write a new version of the table at `path`; returns the folder written."""
     target = next_version(df.sparkSession, path)
-    df.write.option("maxRecordsPerFile", max_records_per_file).parquet(target)
+    df.write.options(**group_options(row_group_rows)).option("maxRecordsPerFile", max_records_per_file).parquet(target)
     return target
 
 
