@@ -155,6 +155,43 @@ def rate_per(
     )
 
 
+def rate_carried(
+    events: DataFrame,
+    population: DataFrame,
+    place: str,
+    year: str,
+    people: str = "population",
+    per: int = 100_000,
+    reach: int | None = None,
+    weight: str | None = None,
+) -> DataFrame:
+    """Rates where years without a population take that of the place's nearest year, of two equally near ones the earlier.
+
+    Columns: place, year, events, population, population_year, carried (another year's), rate. With `reach` a
+    year further away than that counts for nothing. Events are counted and a place's populations are put
+    together first, one of each year at most, so the join sees a row per place and year of events. Two different populations of one place and
+    year fail. Places or years that are null, and places without any population, stay with a null rate.
+    """
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = events.groupBy(place, year).agg(total.cast("bigint").alias("events"))
+    known = population.where(F.col(year).isNotNull() & F.col(people).isNotNull()).groupBy(place, year)
+    yearly = known.agg(F.min(people).alias("_least"), F.max(people).alias("_most"))
+    message = F.concat(F.lit("several populations of "), F.col(place).cast("string"), F.lit(" in "), F.col(year).cast("string"))
+    one = F.when(F.col("_least") < F.col("_most"), F.raise_error(message).cast("bigint")).otherwise(F.col("_least").cast("bigint"))
+    of_place = yearly.groupBy(F.col(place).alias("_place")).agg(F.collect_list(F.struct(F.col(year).alias("year"), one.alias("people"))).alias("_years"))
+    met = join_small(counts, of_place, F.col(place), "_place", "left")
+    asked = F.col(year)
+    far = F.transform("_years", lambda x: F.struct(F.abs(x["year"] - asked).alias("far"), x["year"].alias("year"), x["people"].alias("people")))
+    near = F.when(asked.isNotNull(), F.array_min(far))
+    if reach is not None:
+        near = F.when(near["far"] <= reach, near)
+    rate = F.lit(float(per)) * F.col("events") / F.nullif(F.col("_near.people"), F.lit(0))
+    return met.withColumn("_near", near).select(
+        place, year, "events", F.col("_near.people").alias("population"), F.col("_near.year").alias("population_year"),
+        (F.col("_near.far") > 0).alias("carried"), F.round(rate, 2).alias("rate"),
+    )
+
+
 def rate_per_municipality(
     events: DataFrame,
     population: DataFrame,

@@ -12,6 +12,7 @@ from lakeward.operators.enrich import (
     first_substring_match,
     fragment_matches,
     left_enrich,
+    rate_carried,
     rate_per,
     unmapped_folders,
 )
@@ -358,3 +359,29 @@ def rate_per_municipality(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = orders.select("ano").distinct().where("ano <> 1998")
     population = people.withColumn("ano", F.explode(F.lit([r["ano"] for r in years.collect()])))
     return municipality_rates(events, population, "codigo", "place", "ano")
+
+
+@query("""WITH ev AS (SELECT c_nationkey, CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS events
+           FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+    people AS (SELECT c_nationkey, count(*) AS n FROM customer WHERE c_nationkey <> 7 GROUP BY 1),
+    pop AS (
+        SELECT c_nationkey, y.ano, n + y.ano - 1997 AS population FROM people, (VALUES (1997), (2000)) y(ano) WHERE c_nationkey % 2 = 0
+        UNION ALL SELECT c_nationkey, 1999, n + 2 FROM people WHERE c_nationkey % 2 = 1),
+    near AS (
+        SELECT ev.c_nationkey, ev.ano, pop.ano AS population_year, population,
+               row_number() OVER (PARTITION BY ev.c_nationkey, ev.ano ORDER BY abs(pop.ano - ev.ano), pop.ano) AS n
+        FROM ev JOIN pop ON ev.c_nationkey = pop.c_nationkey AND abs(pop.ano - ev.ano) <= 2)
+    SELECT ev.c_nationkey, ev.ano, events, CAST(population AS BIGINT) AS population, CAST(population_year AS INTEGER) AS population_year,
+           population_year <> ev.ano AS carried, round(CAST(100000 AS DOUBLE) * events / nullif(population, 0), 2) AS rate
+    FROM ev LEFT JOIN near ON near.c_nationkey = ev.c_nationkey AND near.ano = ev.ano AND near.n = 1""")
+def rate_carried_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all years where places have populations of one or two years, or of none; two years away at most."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    events = (
+        table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("ano")).agg(F.count(F.lit(1)).alias("n"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    )
+    people = customer.where("c_nationkey <> 7").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    years = F.when(F.col("c_nationkey") % 2 == 0, F.array(F.lit(1997), F.lit(2000))).otherwise(F.array(F.lit(1999)))
+    population = people.select("c_nationkey", "n", F.explode(years).alias("ano")).withColumn("population", F.col("n") + F.col("ano") - 1997)
+    return rate_carried(events, population, "c_nationkey", "ano", reach=2, weight="n")
