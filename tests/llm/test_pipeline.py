@@ -76,3 +76,28 @@ def test_empty_documents(spark, written, tmp_path):
         empty = stage(spark, empty, SF_DIR)
     assert empty.collect() == []
     assert simhash.near_dedup(empty).collect() == substrings.remove_repeats(empty).collect() == []
+
+
+def test_repeated_rows_and_rows_without_id_pass_all_stages(spark, written, tmp_path):
+    some = written[0].where("doc_id < 60")
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 4
+    odd = spark.createDataFrame(
+        [(None, text, "en", None, 1)] * 12 + [(5001, "one two three four", None, "s", 1)] * 9 + [(None, None, None, None, None), (5002, "", "en", "s", 0), (5003, None, "en", "s", 0)],
+        written[0].schema,
+    )
+    docs = some.unionByName(odd)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        kept[name] = docs
+    assert kept["toxicity"].where("doc_id = 5001").count() == 9
+    assert kept["near_duplicates"].where("doc_id = 5001").count() >= 1
+    texts = {r["text"] for r in kept["near_duplicates"].collect()}
+    assert {"one two three four", text} <= texts
+    # A row is taken as a whole, at most twice, and rows of one id alike.
+    counted = kept["source_mix"].groupBy("doc_id", "text").count().collect()
+    before = {(r["doc_id"], r["text"]): r["count"] for r in kept["repeated_passages"].groupBy("doc_id", "text").count().collect()}
+    assert all(r["count"] in (before[r["doc_id"], r["text"]], 2 * before[r["doc_id"], r["text"]]) for r in counted)
+    pieces = kept["packing"].groupBy("sequence_id").sum("length").collect()
+    assert pieces and all(r[1] <= 2048 for r in pieces)
