@@ -41,8 +41,8 @@ _DISGUISED = re.compile(
     rf"|[^\W\d_][{re.escape(SEPARATORS)}][^\W\d_][{re.escape(SEPARATORS)}]"
     r"|([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3"
 )
-# Marks that may be letters where a word begins or ends; one `!` behind a word is only that.
-_EDGE_LETTERS = re.compile(r"^[^\w!|+@$€£]*((?:[!|+€£]|([@$])\2)[!|+@$€£]*[^\W\d_]\S*?|[^\W\d_]\S*?[+|@$€£])[^\w+|@$€£]*$")
+# Marks that may be letters where a word begins or ends. Behind a word only a single + or | may be one: doubled marks there are decoration, as in `word$$$`.
+_EDGE_LETTERS = re.compile(r"^[^\w!|+@$€£]*((?:[!|+€£]|([@$])\2)[!|+@$€£]*[^\W\d_]\S*?|[^\W\d_][^+|]*[+|])[^\w+|@$€£]*$")
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+€£¡])(?:\s{1,4}(?:[^\W_]|[@$!|+€£¡])){2,}(?!\S)")
 _SPACED_HINT = re.compile(r"(?<!\S)\S\s{1,4}\S\s{1,4}\S(?!\S)")
 _PARTS = re.compile(r"[^\w@$!|+€£¡]+|_+")
