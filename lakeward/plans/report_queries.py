@@ -23,7 +23,7 @@ from lakeward.plans.catalog import query
 from lakeward.plans.deliveries import SQL_LISTING, SQL_TAGGED, listing, table, tagged_orders
 from lakeward.session import scratch_path
 from lakeward.sinks.tables import hadoop_path, publish_table, publish_text
-from lakeward.sources.files import scan_file_inventory, scan_row_counts
+from lakeward.sources.files import table_row_counts
 
 
 @query("""WITH pop AS (SELECT c_nationkey AS nk, count(*) AS population FROM customer GROUP BY 1),
@@ -281,10 +281,8 @@ _TABLES = [
 
 @query(" UNION ALL ".join(f"SELECT '{t}.parquet' AS name, count(*) AS rows FROM {t}" for t in _TABLES))
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every file, from the footers; a file without rows counts zero."""
-    files = scan_file_inventory(spark, sf_dir, glob="*.parquet")
-    counted = files.join(scan_row_counts(spark, sf_dir), "path", "left")
-    return counted.select("name", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+    """Rows of every table, one file or a folder of files, from the footers; a table without rows counts zero."""
+    return table_row_counts(spark, sf_dir)
 
 
 def _small_lake(spark: SparkSession, sf_dir: str) -> str:

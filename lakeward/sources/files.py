@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.functions.text import file_name
+from lakeward.sinks.tables import hadoop_path
 
 # Bytes that are hashed together, ranges of one task, and files that cost as much to open as a range to read.
 RANGE_BYTES, RANGES, FILES = 64 << 20, 4, 64
@@ -94,6 +95,20 @@ def scan_row_counts(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
     return counts.select(plain_path(F.col("path")).alias("path"), "rows")
 
 
+def table_row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of each table (name, rows) directly below a folder: of a Parquet file, or of all the files in a folder of them.
+
+    A table whose files have no rows counts zero.
+    """
+    system, where = hadoop_path(spark, root)
+    base = system.makeQualified(where).toString().rstrip("/") + "/"
+    files = scan_file_inventory(spark, root, glob="*.parquet").join(scan_row_counts(spark, root), "path", "left")
+    message = F.concat(F.lit(f"not below {base}: "), F.col("path"))
+    below = F.when(F.startswith("path", F.lit(base)), F.substring("path", len(base) + 1, 1 << 20)).otherwise(F.raise_error(message))
+    total = F.sum(F.coalesce("rows", F.lit(0))).cast("bigint").alias("rows")
+    return files.groupBy(F.substring_index(below, "/", 1).alias("name")).agg(total)
+
+
 def arrow_path(path: str):
     """(file system, inner path) of a Spark path, for use inside tasks."""
     import re

@@ -12,7 +12,7 @@ from lakeward.operators.partitions import write_months
 from lakeward.sinks.tables import publish_text, write_csv
 from lakeward.sources.dbf import LINEAGE, scan_dbf
 from lakeward.sources.delimited import scan_csv_union_by_header, scan_delimited, scan_delimited_with_rejects
-from lakeward.sources.files import content_hashes, scan_file_inventory, scan_row_counts
+from lakeward.sources.files import content_hashes, scan_file_inventory, scan_row_counts, table_row_counts
 from lakeward.sources.json_arrays import scan_header_first_json, scan_population
 from lakeward.sources.parquet import scan_month_range, scan_parquet_union_by_name
 from lakeward.sources.rawtext import apply_layout, scan_raw_text
@@ -262,6 +262,18 @@ def test_row_counts_read_no_column(spark, tmp_path):
     assert [r["rows"] for r in files.collect()] == [3]
 
 
+def test_rows_of_a_table_in_several_files(spark, tmp_path):
+    root = str(tmp_path / "pasta.parquet ção 100%+x")
+    spark.range(7).repartition(3).write.parquet(f"{root}/many.parquet")
+    spark.range(6).selectExpr("id", "id % 2 as part").write.partitionBy("part").parquet(f"{root}/parts.parquet")
+    spark.createDataFrame([], "q string").write.parquet(f"{root}/none.parquet")
+    one = next(iter((tmp_path / "pasta.parquet ção 100%+x" / "none.parquet").glob("*.parquet")))
+    (tmp_path / "pasta.parquet ção 100%+x" / "file.parquet").write_bytes(one.read_bytes())
+    want = [("file.parquet", 0), ("many.parquet", 7), ("none.parquet", 0), ("parts.parquet", 6)]
+    for path in (root, root + "/", "file://" + root):
+        assert rows_of(table_row_counts(spark, path)) == want
+
+
 def test_inventory_does_not_read_content(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"123")
     files = scan_file_inventory(spark, str(tmp_path))
