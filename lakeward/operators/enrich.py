@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeward.functions.text import as_column, zero_fill
 from lakeward.operators.sizing import join_small
-from lakeward.session import settled
+from lakeward.session import settled, settled_observed
 
 UNMAPPED = "(não mapeado no registro)"  # fixed value: label of what has no source
 
@@ -46,13 +46,32 @@ def first_substring_match(
     return found
 
 
-# Letters by which names and fragments of a dictionary table are brought together.
-GRAM = 3
+# First letters of a fragment that are looked for in names before the whole of it.
+START = 3
+# Places in a name whose windows are made together, and letters of the names of one task.
+BLOCK, TASK_LETTERS = 1024, 1 << 20
 
 
-def _grams(text: Column, size: int) -> Column:
-    """The distinct strings of `size` letters in a text, found in one pass; none if it is shorter."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+def _windows(name: Column, most: int) -> Column:
+    """The distinct strings of at most `most` letters that begin somewhere in the first BLOCK letters of a text."""
+    places = F.sequence(F.lit(1), F.least(F.char_length(name), F.lit(BLOCK)))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(name, i, F.lit(most))))
+
+
+def _candidates(known: DataFrame, fragments: DataFrame, letters: int) -> DataFrame:
+    """(_id, _held): strings in the names (_id, _name; not empty) that have the beginning and the length of a fragment (_fragment; not empty)."""
+    size = F.char_length("_fragment")
+    starts = fragments.groupBy(F.left("_fragment", F.lit(START)).alias("_start")).agg(F.collect_set(size).alias("_lengths"))
+    sizes = fragments.groupBy(F.least(size, F.lit(START)).alias("n")).agg(F.max(size).alias("most")).collect()  # at most START rows
+    most = max((row["most"] for row in sizes), default=1)
+    dealt = known.repartition(max(1, -(-letters // TASK_LETTERS)), "_id")
+    blocks = dealt.select("_id", "_name", F.explode(F.sequence(F.lit(1), F.char_length("_name"), F.lit(BLOCK))).alias("_at"))
+    cut = blocks.select("_id", F.substring("_name", F.col("_at"), F.lit(BLOCK + most - 1)).alias("_block"))
+    windows = cut.select("_id", F.explode(_windows(F.col("_block"), most)).alias("_window"))
+    begins = [F.when(F.char_length("_window") >= n, F.left("_window", F.lit(n))) for n in sorted(row["n"] for row in sizes) or [START]]
+    begun = windows.select("_id", "_window", F.explode(F.array_compact(F.array(*begins))).alias("_begin"))
+    met = join_small(begun, starts, F.col("_begin"), "_start", "inner").select("_id", "_window", F.explode("_lengths").alias("_length"))
+    return met.where(F.col("_length") <= F.char_length("_window")).select("_id", F.left("_window", F.col("_length")).alias("_held"))
 
 
 def fragment_matches(
@@ -67,48 +86,33 @@ def fragment_matches(
 ) -> DataFrame:
     """`names` with the target of the first fragment, by priority, that the name contains, from a table of fragments.
 
-    For dictionaries that are no list in the code: thousands of fragments or more. Each fragment is found through one of
-    its three-letter strings, the one that the fewest different names have; names meet it by equality and are then looked at
-    closely, so no name meets all fragments. Each different name is matched once. With `longest` the longest
+    For dictionaries that are no list in the code: thousands of fragments or more. A place in a name is compared by equality
+    with the fragments that share its first START letters, once for each length that these have, so a name meets only
+    fragments that it holds: the work is that of the names' letters times those lengths, however many fragments and names
+    there are. Each different name is matched once, and fragments are compared by their places in the order. With `longest` the longest
     contained fragment counts, of equally long ones the first. Equal priorities go by fragment, then by target; a fragment without priority comes last. An empty
     fragment is in every name; null names and fragments match nothing.
     """
-    entries = settled(
-        dictionary.where(F.col(fragment).isNotNull()).select(
-            F.col(fragment).alias("_fragment"),
-            F.struct(
-                (F.lit(0) - F.char_length(fragment) if longest else F.lit(0)).alias("length"),
-                F.col(priority).isNull().alias("last"), F.col(priority).alias("priority"), F.col(fragment).alias("fragment"), F.col(target).alias("target"),
-            ).alias("_order"),
-        ),
-        "fragments",
+    length = F.lit(0) - F.char_length(fragment) if longest else F.lit(0)
+    order = F.struct(length.alias("length"), F.col(priority).isNull().alias("last"), F.col(priority).alias("priority"), F.col(fragment).alias("fragment"), F.col(target).alias("target"))
+    best = dictionary.where(F.col(fragment).isNotNull()).groupBy(F.col(fragment).alias("_fragment")).agg(F.min(order).alias("_order"))
+    # Numbers that grow in the order, with gaps.
+    ranked = best.orderBy("_order").select("_fragment", F.monotonically_increasing_id().alias("_rank"), F.col("_order.target").alias(as_name))
+    first = settled(ranked, "fragments")
+    known, seen = settled_observed(
+        names.where(F.col(name).isNotNull()).select(F.col(name).alias("_name")).distinct().select("_name", F.monotonically_increasing_id().alias("_id")),
+        "names", letters=F.sum(F.char_length("_name")),
     )
-    known = settled(names.where(F.col(name).isNotNull()).select(F.col(name).alias("_name")).distinct(), "names")
-    size = F.least(F.char_length("_fragment"), F.lit(GRAM))
-    sizes = sorted(row[0] for row in entries.where("_fragment <> ''").select(size).distinct().collect())  # at most GRAM numbers
-    of_names = known.select("_name", F.explode(F.flatten(F.array(*[_grams(F.col("_name"), n) for n in sizes or [GRAM]]))).alias("_gram"))
-    counts = of_names.groupBy("_gram").agg(F.count(F.lit(1)).alias("n"))
-    own = _grams(F.col("_fragment"), GRAM)
-    for n in range(1, GRAM):
-        own = F.when(size == n, _grams(F.col("_fragment"), n)).otherwise(own)
-    of_entries = entries.where("_fragment <> ''").select("_fragment", F.explode(own).alias("_gram")).distinct()
-    # A string that no name has rules its fragment out, so it is the best choice.
-    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "_gram")).alias("best")
-    chosen = of_entries.join(counts, "_gram", "left").groupBy("_fragment").agg(rarest).where("best.n > 0")
-    sought = chosen.select("_fragment", F.col("best._gram").alias("_sought"))
-    found = join_small(of_names, sought, F.col("_gram"), "_sought", "inner").where(F.contains("_name", F.col("_fragment")))
-    first = entries.groupBy("_fragment").agg(F.min("_order").alias("_order"))
-    pairs = found.select("_name", F.col("_fragment").alias("_held"))
-    ordered = join_small(pairs, first, F.col("_held"), "_fragment", "inner").groupBy("_name").agg(F.min("_order").alias("_order"))
-    empty = first.where("_fragment = ''").select(F.col("_order").alias("_empty")).first()
-    best = F.col("_order")
+    fragments = first.where("_fragment <> ''")
+    held = _candidates(known.where("_name <> ''"), fragments, seen["letters"] or 0)
+    met = join_small(settled(held, "held"), fragments.select("_fragment", "_rank"), F.col("_held"), "_fragment", "inner")
+    found = met.groupBy(F.col("_id").alias("_of")).agg(F.min("_rank").alias("_least"))
+    empty = first.where("_fragment = ''").select("_rank").first()
+    least = join_small(known, found, F.col("_id"), "_of", "inner" if empty is None else "left")
     if empty is not None:
-        every = known.select("_name", F.lit(None).cast(first.schema["_order"].dataType).alias("_order"))
-        always = first.where("_fragment = ''").select(F.col("_order").alias("_always"))
-        ordered = ordered.unionByName(every).groupBy("_name").agg(F.min("_order").alias("_order")).join(F.broadcast(always))
-        best = F.least("_order", "_always")
-    matched = ordered.select("_name", best["target"].alias(as_name))
-    return join_small(names, matched, F.col(name), "_name", "left").drop("_name")
+        least = least.withColumn("_least", F.least("_least", F.lit(empty[0])))
+    matched = join_small(least.select("_name", "_least"), first.select("_rank", as_name), F.col("_least"), "_rank", "inner")
+    return join_small(names, matched.select("_name", as_name), F.col(name), "_name", "left").drop("_name")
 
 
 def dimension_lookup(df: DataFrame, dimension: DataFrame, key: str, strict: bool = True) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from lakeward.operators import enrich, sizing
 from lakeward.operators.enrich import fragment_matches
 from lakeward.sources.files import content_hashes
 from tests.conftest import plan_of, rows_of
@@ -50,6 +51,38 @@ def test_no_name_meets_all_fragments(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_names_meet_only_what_they_hold(spark, monkeypatch):
+    """Twice the names and fragments, of few different letters, are twice the rows in every join."""
+    counts = []
+    real = enrich.join_small
+    monkeypatch.setattr(enrich, "join_small", lambda *a, **k: (found := real(*a, **k), counts.append(found.count()))[0])
+
+    def most(n):
+        counts.clear()
+        names = spark.range(n).selectExpr("concat('file/', id % 25, '/', id) as nome")
+        entries = spark.range(n).selectExpr("concat(id % 25, '/', id div 10) as fragment", "cast(id as string) as target", "id as priority")
+        assert fragment_matches(names, "nome", entries).where("match is not null").count() > n // 30
+        return max(counts)
+
+    few, many = most(3_000), most(12_000)
+    assert many < 6 * few and many < 30 * 12_000
+
+
+@pytest.mark.parametrize("longest", [False, True])
+def test_long_names_in_blocks_and_shuffled_joins(spark, monkeypatch, longest):
+    monkeypatch.setattr(enrich, "BLOCK", 5)
+    monkeypatch.setattr(enrich, "TASK_LETTERS", 300)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 0)
+    rng = random.Random(5)
+    word = lambda least, most: "".join(rng.choices("ab\n\U0001f600\U0001f601?", k=rng.randint(least, most)))
+    names = [(i, word(0, 40)) for i in range(120)] + [(200, None), (201, ""), (202, "b"), (203, "ab")]
+    entries = [(word(1, 16), f"t{i}", rng.choice([1, 2, None])) for i in range(200)] + [("", "any", 5)]
+    entries += [(name[2:30], f"u{i}", 1) for i, name in names[:40] if name[2:]] + [("b" * 60, "never", 0)]
+    left = spark.createDataFrame(names, "i int, nome string")
+    right = spark.createDataFrame(entries, "fragment string, target string, priority int")
+    assert rows_of(fragment_matches(left, "nome", right, longest=longest)) == plain(names, entries, longest)
+
+
 def test_hashes_of_ranges(spark, tmp_path):
     data = {"small": b"123", "even": bytes(range(200)), "large": random.Random(1).randbytes(1000), "other": b"x" * 1000}
     for name, content in data.items():
