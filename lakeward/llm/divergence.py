@@ -20,14 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import numbers, packed_numbers, utf8
+from lakeward.llm.common import numbers, packed_numbers
 from lakeward.operators.sizing import join_small
 from lakeward.session import settled
 
 # Documents of a language that must hold a term, added counts, unit of the shares, and terms shown of a group.
 LEAST, ADDED, UNIT, SHOWN = 30, 5, 1_000_000_000, 50
 # Bytes of text whose chunks are counted together in a task, and bytes of text for each bucket of chunks.
-BLOCK_BYTES, BUCKET_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
 # Cells (sources x terms) of a language that are compared in one group, at least the square of the sources.
 CELLS = 1 << 14
 
@@ -46,25 +46,25 @@ def _starts(key: np.ndarray) -> np.ndarray:
 
 
 def _counted(
-    langs: list[str], sources: list[str], parts: list[np.ndarray], names: list[bytes], first_id: int, least: int, buckets: int
+    langs: list[str], sources: list[str], parts: list[np.ndarray], counts: list[np.ndarray], names: list[bytes], first_id: int, least: int, buckets: int
 ) -> Iterator[tuple]:
-    """The distinct chunks of a block by language and bucket. `parts` has the chunks (places in `names`) of each document."""
-    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    # The chunks of each document, counted.
-    width = len(names)
-    in_doc, times = np.unique(owner * width + np.concatenate(parts), return_counts=True)
-    doc, chunk = in_doc // width, in_doc % width
+    """The distinct chunks of a block by language and bucket. `parts` has the distinct chunks (places in `names`) of each document,
+    `counts` their occurrences."""
+    doc = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+    width, chunk, times = len(names), np.concatenate(parts), np.concatenate(counts)
     bucket = np.fromiter((xxhash.xxh64_intdigest(name) % buckets for name in names), np.int64, width)
     # Chunks in the order of their bucket, then of their names, which are alike side by side.
     order = sorted(range(width), key=names.__getitem__)
     order = np.array(order, np.int64)[np.argsort(bucket[order], kind="stable")]
-    place = np.empty(width, np.int64)
+    place = np.empty(width, np.int32)
     place[order] = np.arange(width)
     lang_of, lang = np.unique(np.array(langs, object), return_inverse=True)
     source_of, source = np.unique(np.array(sources, object), return_inverse=True)
+    # Small numbers are sorted faster.
+    source, lang = source.astype(np.min_scalar_type(len(source_of))), lang.astype(np.min_scalar_type(len(lang_of)))
     rows = np.lexsort((source[doc], place[chunk], lang[doc]))
     doc, chunk, times = doc[rows], chunk[rows], times[rows]
-    key = lang[doc] * width + place[chunk]
+    key = lang[doc].astype(np.int64) * width + place[chunk]
     start = _starts(key)
     documents = np.diff(np.concatenate((start, [len(key)])))
     few = documents < least
@@ -89,27 +89,30 @@ def _chunks(least: int, buckets: int):
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first_id = TaskContext.get().partitionId() << 33
-        langs, sources, parts, size = [], [], [], 0
+        langs, sources, parts, counts, size = [], [], [], [], 0
         number: dict[bytes, int] = defaultdict(count().__next__)
 
         def block() -> pa.RecordBatch:
-            columns = zip(*_counted(langs, sources, parts, list(number), first_id, least, buckets), strict=True)
+            columns = zip(*_counted(langs, sources, parts, counts, list(number), first_id, least, buckets), strict=True)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("lang", "source", "text"))
-            for lang, source, text in zip(*columns, strict=True):
-                chunks = utf8([text])[0].split()
+            # The bytes of one text at a time, not the texts of a batch.
+            texts = batch.column("text").cast(pa.binary())
+            for lang, source, held in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts, strict=True):
+                text = held.as_py() or b""
+                chunks = Counter(text.split())
                 if not chunks:
                     continue
                 langs.append(lang)
                 sources.append(source)
-                parts.append(np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks)))
+                parts.append(np.fromiter(map(number.__getitem__, chunks), np.int32, len(chunks)))
+                counts.append(np.fromiter(chunks.values(), np.int32, len(chunks)))
                 size += len(text)
                 if size >= BLOCK_BYTES:
                     yield block()
                     first_id += len(parts)
-                    langs, sources, parts, size = [], [], [], 0
+                    langs, sources, parts, counts, size = [], [], [], [], 0
                     number = defaultdict(count().__next__)
         if parts:
             yield block()

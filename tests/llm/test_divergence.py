@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from lakeward.llm import divergence as dv
@@ -81,6 +84,21 @@ def test_several_blocks_and_buckets(spark, docs, monkeypatch):
     assert rows_of(dv.divergence(table(spark, docs).repartition(3), 5)) == want(docs, 5)
 
 
+def test_blocks_need_little_memory(monkeypatch):
+    """A task holds one block and one text at a time, not all texts of a batch."""
+    monkeypatch.setattr(dv, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(6_000)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 6_000, "source": ["a", "b"] * 3_000, "text": texts})
+    del texts
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in dv._chunks(30, 4)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4 * -(-batch.column("text").nbytes // dv.BLOCK_BYTES) and peak < 80_000_000, peak
+
+
 def test_few_terms_are_shown(spark, docs):
     assert rows_of(dv.divergence(table(spark, docs), 5, shown=2)) == want(docs, 5, 2)
 
